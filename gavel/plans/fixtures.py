@@ -117,7 +117,7 @@ def numeric_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(F.col("l_partkey") % 4 == 2, F.lit(10).cast("decimal(18,4)"))
              .otherwise(F.lit(0.0001).cast("decimal(18,4)")))
     return li.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("expected"),
         (F.col("l_extendedprice").cast("decimal(18,4)") + delta).cast("decimal(18,4)").cast("string").alias("actual"),
         F.lit("Success").alias("status"))

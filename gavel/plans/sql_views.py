@@ -125,7 +125,7 @@ pairs AS (
 
 NUMERIC_PAIRS = r"""
 npairs AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS expected,
     CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,4)) +
       (CASE l_partkey % 4 WHEN 0 THEN CAST(0 AS DECIMAL(18,4)) WHEN 1 THEN CAST(0.01 AS DECIMAL(18,4))
