@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gavel.plans import q_extraction, q_judging, q_tables, q_verdicts  # noqa: F401
+from gavel.plans import q_extraction, q_judging, q_prompts, q_tables, q_verdicts  # noqa: F401
 from gavel.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
