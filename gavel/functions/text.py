@@ -66,15 +66,24 @@ def splitlines(x) -> Column:
             .otherwise(parts))
 
 
+_PY_FLOAT_PADDED_RE = "^[" + PY_WHITESPACE + "]*(?:" + _PY_FLOAT_RE[1:-1] + ")[" + PY_WHITESPACE + "]*$"
+
+
 def is_py_float(x) -> Column:
     """True when Python's ``float(x)`` would succeed (ASCII digits)."""
-    return py_strip(x).rlike(_PY_FLOAT_RE)
+    return _c(x).rlike(_PY_FLOAT_PADDED_RE)
 
 
 def py_float(x) -> Column:
-    """Python ``float(x)`` or null when it would raise."""
-    s = py_strip(x)
-    return F.when(s.rlike(_PY_FLOAT_RE), F.regexp_replace(s, "_", "").try_cast("double"))
+    """Python ``float(x)`` or null when it would raise.
+
+    One regex check on the raw text; Spark's cast already ignores ASCII blanks,
+    so the strip / underscore rewrite only runs when the direct cast fails.
+    """
+    c = _c(x)
+    return F.when(c.rlike(_PY_FLOAT_PADDED_RE),
+                  F.coalesce(c.try_cast("double"),
+                             F.regexp_replace(py_strip(c), "_", "").try_cast("double")))
 
 
 def py_float_equal(a: Column, b: Column, rel_tol: float = 1e-5) -> Column:

@@ -68,10 +68,9 @@ def q_open_blocks(spark, sf):
 SELECT c.doc_id, r.priority, r.language, coalesce(r.code, '') AS code
 FROM completions c LEFT JOIN ranked r ON c.doc_id = r.doc_id AND r.rn = 1""")
 def q_pick_code(spark, sf):
-    c = V.completions(spark, sf)
-    win = X.pick_block(X.all_blocks(F.col("completion"), "python"), "python")
-    return c.select("doc_id", win["priority"].alias("priority"), win["language"].alias("language"),
-                    F.coalesce(win["code"], F.lit("")).alias("code"))
+    c = X.pick(V.completions(spark, sf), "completion", "python", out="win")
+    return c.select("doc_id", F.col("win.priority").alias("priority"), F.col("win.language").alias("language"),
+                    F.coalesce(F.col("win.code"), F.lit("")).alias("code"))
 
 
 # ------------------------------------------------------------------ D25 (+ D6 type)
@@ -82,10 +81,12 @@ SELECT CASE WHEN len(ft) > 0 THEN 'fenced' WHEN len(ot) > 0 THEN 'incomplete_fen
 FROM b LEFT JOIN ranked r ON b.doc_id = r.doc_id AND r.rn = 1
 GROUP BY 1, 2""")
 def q_extraction_census(spark, sf):
-    c = V.completions(spark, sf)
-    ff = X.extract_freeform(F.col("completion"), "python")
-    win = X.pick_block(X.all_blocks(F.col("completion"), "python"), "python")
-    typed = c.select(ff["extracted_type"].alias("extracted_type"), win["language"].alias("language"))
+    t = F.col("completion")
+    st = (V.completions(spark, sf).withColumn("__fb", X.fenced_blocks(t)).withColumn("__ob", X.open_blocks(t))
+          .withColumn("__hb", X.heuristic_blocks(t, "python")))
+    ff = X._freeform_from(F.col("__fb"), F.col("__ob"), F.col("__hb"), "python")
+    win = X.pick_block(F.concat("__fb", "__hb", "__ob"), "python")
+    typed = st.select(ff["extracted_type"].alias("extracted_type"), win["language"].alias("language"))
     return X.extraction_census(typed)
 
 

@@ -212,12 +212,13 @@ def _raw_training(spark, sf):
     """Raw training problems: prompt, source, gold solution and verification info."""
     d = V.table(spark, sf, "documents").select("doc_id", "text", "source")
     i = F.col("doc_id")
-    words = F.transform(F.split("text", " "), lambda x: F.regexp_replace(x, r"[^\p{L}]", ""))
+    raw = F.split("text", " ")
+    words = F.transform(F.slice(raw, 1, 8), lambda x: F.regexp_replace(x, r"[^\p{L}]", ""))
     w1 = F.element_at(words, 1)
     gold = (F.when(i % 5 == 0, F.lit(None).cast("string"))
             .when(i % 5 == 1, F.concat(F.lit("no fence "), w1))
             .otherwise(F.concat(F.lit("```python\n"), w1, F.lit("\n```"))))
-    n = F.least(i % 8, F.size(words))
+    n = F.least(i % 8, F.size(raw))
     is_call = i % 2 == 0
     cases = F.transform(F.slice(words, F.lit(1), n), lambda w, k: F.struct(
         F.when(is_call, F.concat(F.lit('"'), w, F.lit('"\n'), (k + 1).cast("string"))).otherwise(w).alias("input"),
