@@ -69,7 +69,9 @@ def as_labels(df: DataFrame, prompt_col: str = "prompt", id_col: str = "id") ->
 
 
 # ------------------------------------------------------------------ B8-B11 predicates
-EXIT_RE = r"exit\(\s*0\s*\)"
+from gavel.operators.extraction import WS as _WS  # noqa: E402
+
+EXIT_RE = r"exit\(" + _WS + r"*0" + _WS + r"*\)"
 
 
 def antihack_ok(code: Column, language: str) -> Column:
