@@ -151,3 +151,11 @@ def distinct_imports(programs: DataFrame, key_cols: Sequence[str], array_col: st
     return (programs.select(*key_cols, F.explode(array_col).alias("imp"))
             .filter(F.col("imp") != "")
             .groupBy(*key_cols).agg(F.array_sort(F.collect_set("imp")).alias("imports")))
+
+
+def requests_per_endpoint(log: DataFrame, endpoints: DataFrame, key: str = "endpoint") -> DataFrame:
+    """Connections per upstream address, zero included (A8): partial count, then a
+    left join from the endpoint dimension."""
+    counts = log.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return (endpoints.select(key).join(counts, key, "left")
+            .select(key, F.coalesce("n", F.lit(0).cast("long")).alias("n")))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from gavel.plans import q_assembly, q_extraction, q_judging, q_prompts, q_tables, q_verdicts  # noqa: F401
+from gavel.plans import (q_assembly, q_extraction, q_judging, q_prompts, q_streaming, q_tables,  # noqa: F401
+                         q_verdicts)
 from gavel.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
