@@ -163,4 +163,5 @@ def q_deadline(spark, sf):
 
 @register("live_sessions", SESSIONS_SQL)
 def q_live_sessions(spark, sf):
-    return _sessions_out(L.run_to_table(L.live_sessions(_stream_log(spark, sf)), "live_sessions", "complete"))
+    return _sessions_out(L.run_to_table(L.live_sessions(_stream_log(spark, sf), watermark=None), "live_sessions",
+                                       "complete"))

@@ -93,10 +93,16 @@ def first_seen(log: DataFrame, keys: list[str], ts_col: str = "ts") -> DataFrame
 
 
 # ------------------------------------------------------------------ S5
-def live_sessions(log: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
+def live_sessions(log: DataFrame, gap: str = "30 minutes", watermark: str | None = "1 hour") -> DataFrame:
     """Per endpoint activity sessions closed after ``gap`` of event time (S5):
-    a submission whose log goes quiet for the deadline is closed."""
-    return (log.withWatermark("ts", watermark)
+    a submission whose log goes quiet for the deadline is closed.
+
+    Production: append mode with the watermark, a session is emitted once the
+    watermark passes its end and its state is dropped.  ``watermark=None`` keeps
+    every session in state (complete mode, for bounded replays).
+    """
+    src = log.withWatermark("ts", watermark) if watermark else log
+    return (src
             .groupBy("endpoint", F.session_window("ts", gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_error").alias("n_error"))
             .select("endpoint", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
@@ -108,13 +114,18 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
 
 
-def run_to_table(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
+def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
+                 key_cols: list[str] | None = None) -> DataFrame:
     """Run a stream over everything available now and return its result table.
 
     Results go to Parquet under the shared checkpoint folder, written by the
-    executors: the file sink for append mode (exactly once through its metadata
-    log), ``foreachBatch`` overwrite for complete mode.  Nothing is collected on
-    the driver.
+    executors; nothing is collected on the driver.
+    * append: the file sink (exactly once through its metadata log);
+    * complete: ``foreachBatch`` overwrites the folder with the full result;
+    * update: ``foreachBatch`` appends each batch's changed rows with the epoch,
+      and the reader keeps the latest version per ``key_cols`` (a partial
+      ``max_by`` aggregate).  Used for session windows, whose closed sessions
+      are evicted from state and so cannot be re-emitted in complete mode.
     """
     spark = df.sparkSession
     base = stream_checkpoint(spark, name)
@@ -122,11 +133,26 @@ def run_to_table(df: DataFrame, name: str, output_mode: str = "append") -> DataF
     w = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
     if output_mode == "append":
         q = w.format("parquet").option("path", out).outputMode("append").start()
-    else:
+    elif output_mode == "complete":
         def sink(batch: DataFrame, _epoch: int) -> None:
             batch.write.mode("overwrite").parquet(out)
-        q = w.foreachBatch(sink).outputMode(output_mode).start()
+        q = w.foreachBatch(sink).outputMode("complete").start()
+    elif output_mode == "update":
+        if not key_cols:
+            raise ValueError("update mode needs key_cols")
+
+        def sink(batch: DataFrame, epoch: int) -> None:
+            batch.withColumn("__epoch", F.lit(epoch)).write.mode("append").parquet(f"{out}/epoch={epoch}")
+        q = w.foreachBatch(sink).outputMode("update").start()
+    else:
+        raise ValueError(output_mode)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.schema(df.schema).parquet(out)
+    if output_mode != "update":
+        return spark.read.schema(df.schema).parquet(out)
+    from pyspark.sql.types import LongType, StructField, StructType
+    raw = spark.read.schema(StructType(df.schema.fields + [StructField("__epoch", LongType())])).parquet(f"{out}/*")
+    rest = [c for c in df.columns if c not in key_cols]
+    latest = raw.groupBy(*key_cols).agg(F.max_by(F.struct(*rest), "__epoch").alias("__r"))
+    return latest.select(*key_cols, *[F.col(f"__r.{c}").alias(c) for c in rest])
