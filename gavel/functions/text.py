@@ -66,7 +66,9 @@ def splitlines(x) -> Column:
             .otherwise(parts))
 
 
-_PY_FLOAT_PADDED_RE = "^[" + PY_WHITESPACE + "]*(?:" + _PY_FLOAT_RE[1:-1] + ")[" + PY_WHITESPACE + "]*$"
+# float() strips every blank except the four separators \x1c-\x1f.
+FLOAT_BLANKS = "".join(ch for ch in PY_WHITESPACE if ch not in "\x1c\x1d\x1e\x1f")
+_PY_FLOAT_PADDED_RE = "^[" + FLOAT_BLANKS + "]*(?:" + _PY_FLOAT_RE[1:-1] + ")[" + FLOAT_BLANKS + "]*$"
 
 
 def is_py_float(x) -> Column:

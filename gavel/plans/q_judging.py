@@ -18,12 +18,15 @@ def _t(x: str) -> str:
 PYFLOAT_RE = T._PY_FLOAT_RE  # same grammar in RE2
 
 
+_FT = S.sql_chars(T.FLOAT_BLANKS)
+
+
 def _isfloat(x: str) -> str:
-    return f"coalesce(regexp_matches({_t(x)}, '{PYFLOAT_RE}'), false)"
+    return f"coalesce(regexp_matches(trim({x}, {_FT}), '{PYFLOAT_RE}'), false)"
 
 
 def _float(x: str) -> str:
-    return f"TRY_CAST(replace({_t(x)}, '_', '') AS DOUBLE)"
+    return f"TRY_CAST(replace(trim({x}, {_FT}), '_', '') AS DOUBLE)"
 
 
 def _g3_sql(src: str, key_cols: str) -> str:
