@@ -19,6 +19,9 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # per-key top-k filters (sample selection, context budgets) up to this k get
+    # a partial limit before the shuffle, which bounds what a hot key sends
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 
