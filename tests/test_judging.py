@@ -115,3 +115,13 @@ def test_run_status_and_summary(spark):
     out = rows(J.run_summary(J.run_status(runs), J.FULL_SUMMARY), "status", "message", "summary")
     assert out == [("Success", "", "Success"), ("Failed", "", "CompileFailed"), ("Failed", "", "RunTimeout"),
                    ("SandboxError", "boom", "Invalid"), ("SandboxError", "lost", "Invalid")]
+
+
+def test_call_judge_json_rules(spark):
+    data = [(1, "[1, 2]", "[1, 2]"), (2, "[[1, 2]]", "[1, 2]"), (3, "3", "3.0"), (4, '{"1": "a"}', '{"1": "a"}'),
+            (5, "[3]", "4"), (6, "[]", "[]"), (7, '"x"', '["x"]'), (8, "true", "1"), (9, '"1"', "1")]
+    df = spark.createDataFrame([(i, e, a, "Success") for i, e, a in data],
+                               "id int, expected string, stdout string, status string")
+    got = dict(rows(J.judge_call(df), "id", "passed"))
+    # 8: Python compares True == 1 as equal; 9: a string is never a number
+    assert got == {1: True, 2: True, 3: True, 4: True, 5: False, 6: True, 7: False, 8: True, 9: False}
