@@ -263,3 +263,50 @@ def fill_template(template, values: dict[str, Column]) -> Column:
     for k, v in values.items():
         out = F.replace(out, F.lit("{" + k + "}"), F.coalesce(v, F.lit("")))
     return out
+
+
+# ------------------------------------------------------------------ F3
+# The three MBPP few-shot examples placed before the task.
+MBPP_FEWSHOT = [
+    "You are an expert Python programmer, and here is your task: Write a function to find the similar elements from "
+    "the given two tuple lists. Your code should pass these tests:\n\nassert similar_elements((3, 4, 5, 6),(5, 7, 4, "
+    "10)) == (4, 5)\nassert similar_elements((1, 2, 3, 4),(5, 4, 3, 7)) == (3, 4)\nassert similar_elements((11, 12, "
+    "14, 13),(17, 15, 14, 13)) == (13, 14)\n[BEGIN]\ndef similar_elements(test_tup1, test_tup2):\r\n  res = "
+    "tuple(set(test_tup1) & set(test_tup2))\r\n  return (res)\n[DONE]",
+    "You are an expert Python programmer, and here is your task: Write a python function to identify non-prime "
+    "numbers. Your code should pass these tests:\n\nassert is_not_prime(2) == False\nassert is_not_prime(10) == "
+    "True\nassert is_not_prime(35) == True\n[BEGIN]\nimport math\r\ndef is_not_prime(n):\r\n    result = False\r\n"
+    "    for i in range(2,int(math.sqrt(n)) + 1):\r\n        if n % i == 0:\r\n            result = True\r\n"
+    "    return result\n[DONE]",
+    "You are an expert Python programmer, and here is your task: Write a function to find the largest integers from "
+    "a given list of numbers using heap queue algorithm. Your code should pass these tests:\n\nassert "
+    "heap_queue_largest( [25, 35, 22, 85, 14, 65, 75, 22, 58],3)==[85, 75, 65] \nassert heap_queue_largest( [25, 35, "
+    "22, 85, 14, 65, 75, 22, 58],2)==[85, 75]\nassert heap_queue_largest( [25, 35, 22, 85, 14, 65, 75, 22, 58],5)=="
+    "[85, 75, 65, 58, 35]\n[BEGIN]\nimport heapq as hq\r\ndef heap_queue_largest(nums,n):\r\n  largest_nums = "
+    "hq.nlargest(n, nums)\r\n  return largest_nums\n[DONE]",
+]
+MBPP_TASK_HEAD = "You are an expert Python programmer, and here is your task: "
+MBPP_TASK_TESTS = " Your code should pass these tests:\n\n"
+
+
+def mbpp_prompt(content, tests, fewshot: bool = False) -> Column:
+    """MBPP prompt (F3): with all tests, or few-shot (three fixed examples, first two tests, [BEGIN])."""
+    c, t = _c(content), _c(tests)
+    if not fewshot:
+        return F.concat(F.lit(MBPP_TASK_HEAD), c, F.lit(MBPP_TASK_TESTS), F.array_join(t, "\n"))
+    return F.concat(F.lit("\n".join(MBPP_FEWSHOT) + "\n" + MBPP_TASK_HEAD), c, F.lit(MBPP_TASK_TESTS),
+                    F.try_element_at(t, F.lit(1)), F.lit("\n"), F.try_element_at(t, F.lit(2)),
+                    F.lit("\n[BEGIN]\n"))
+
+
+# ------------------------------------------------------------------ F6
+def mhpp_prompt(content, tests) -> Column:
+    """MHPP prompt (F6): cut before the last docstring close (Python ``s[:s.rfind('\"\"\"')]``,
+    which drops the last character when absent) and append the first test line as an example."""
+    c = _c(content)
+    q = '"""'
+    hit = F.instr(F.reverse(c), q)
+    cut = F.when(hit > 0, F.substring(c, F.lit(1), F.length(c) - hit - 2)) \
+        .otherwise(F.substring(c, F.lit(1), F.greatest(F.length(c) - 1, F.lit(0))))
+    first = F.split_part(_c(tests), F.lit("\n"), F.lit(1))
+    return F.concat(cut, F.lit("\n    e.g. "), first, F.lit(' """'))

@@ -368,3 +368,39 @@ def q_parse_judge_program(spark, sf):
            .when(i % 4 == 2, F.concat(F.lit("```js\n"), t, F.lit("\n```")))
            .otherwise(t))
     return d.select("doc_id", X.parse_judge_program(raw).alias("program"))
+
+
+# ------------------------------------------------------------------ D16
+def _py_post_sql(x: str) -> str:
+    guard = "'if __name__ == \"__main__\":'"
+    c = f"(CASE WHEN strpos({x}, {guard}) > 0 THEN {_t(f'left({x}, strpos({x}, {guard}) - 1)')} ELSE {x} END)"
+    eu = "'# Example usage'"
+    return f"(CASE WHEN strpos({c}, {eu}) > 0 THEN {_t(f'left({c}, strpos({c}, {eu}) - 1)')} ELSE {c} END)"
+
+
+def _stop_cut_sql(x: str, tok_sql: str) -> str:
+    return f"(CASE WHEN strpos({x}, {tok_sql}) > 0 THEN left({x}, strpos({x}, {tok_sql}) - 1) ELSE {x} END)"
+
+
+_MBPP_COMPLETIONS = S.completions_sql().replace("completions AS (", "completions0 AS (", 1) + """,
+completions AS (SELECT doc_id, lang,
+    CASE WHEN strpos(c2, '[DONE]') > 0 THEN left(c2, strpos(c2, '[DONE]') - 1) ELSE c2 END AS completion
+  FROM (SELECT doc_id, lang,
+               CASE WHEN doc_id % 6 = 0 THEN left(completion, 40) || '[DONE]' || substr(completion, 41)
+                    ELSE completion END AS c2 FROM completions0))"""
+
+_FIRST = ("replace(CASE WHEN len(ft) > 0 THEN fb[1] WHEN len(ot) > 0 THEN ob[1] WHEN len(hb) > 0 THEN hb[1] "
+          "ELSE '' END, chr(13), '')")
+
+
+@register("mbpp_code", with_ctes(_MBPP_COMPLETIONS, _BLOCK_LISTS) + f"""
+SELECT doc_id, {_stop_cut_sql(_stop_cut_sql(_py_post_sql(_FIRST), "chr(10) || 'assert'"),
+                              "chr(10) || chr(34) || chr(34) || chr(34)")} AS code
+FROM b""")
+def q_mbpp_code(spark, sf):
+    c = V.completions(spark, sf)
+    i = F.col("doc_id")
+    c2 = F.when(i % 6 == 0, F.concat(F.left("completion", F.lit(40)), F.lit("[DONE]"),
+                                      F.substring("completion", 41, 1 << 30))).otherwise(F.col("completion"))
+    c = c.select("doc_id", c2.alias("t"))
+    return X.mbpp_code_df(c, "t").select("doc_id", "code")

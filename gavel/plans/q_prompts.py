@@ -11,9 +11,21 @@ from gavel.plans.registry import register
 
 
 def _q(s: str) -> str:
-    """A SQL string literal; newlines spelled with chr(10)."""
-    parts = s.split("\n")
-    return " || chr(10) || ".join("'" + p.replace("'", "''") + "'" for p in parts) if s else "''"
+    """A SQL string literal; control characters spelled with chr()."""
+    if not s:
+        return "''"
+    out, buf = [], []
+    for ch in s:
+        if ord(ch) < 32:
+            if buf:
+                out.append("'" + "".join(buf).replace("'", "''") + "'")
+                buf = []
+            out.append(f"chr({ord(ch)})")
+        else:
+            buf.append(ch)
+    if buf:
+        out.append("'" + "".join(buf).replace("'", "''") + "'")
+    return "(" + " || ".join(out) + ")"
 
 
 def _t(x: str) -> str:
@@ -148,3 +160,52 @@ def q_completion_budget(spark, sf):
     pt = F.when(F.col("doc_id") % 9 == 0, F.lit(None).cast("long")).otherwise(F.expr("n_chars div 4"))
     return d.select("doc_id", P.completion_budget(pt, F.lit(2048).cast("long"), F.lit(4096).cast("long"))
                     .alias("max_tokens"))
+
+
+# ------------------------------------------------------------------ F3
+_MBPP_SRC = """
+mb AS (SELECT item_id, split_part(text, '. ', 1) AS content,
+              list_transform(string_split(text, '. ')[1:3], lambda x: 'assert ' || x) AS tests
+       FROM benchmark)"""
+
+
+@register("mbpp_prompt", "WITH " + _MBPP_SRC + f"""
+SELECT item_id,
+  {_q(P.MBPP_TASK_HEAD)} || content || {_q(P.MBPP_TASK_TESTS)} || array_to_string(tests, chr(10)) AS prompt,
+  {_q(chr(10).join(P.MBPP_FEWSHOT) + chr(10) + P.MBPP_TASK_HEAD)} || content || {_q(P.MBPP_TASK_TESTS)}
+    || tests[1] || chr(10) || tests[2] || chr(10) || '[BEGIN]' || chr(10) AS fewshot_prompt
+FROM mb""")
+def q_mbpp_prompt(spark, sf):
+    b = V.table(spark, sf, "benchmark")
+    content = F.split_part("text", F.lit(". "), F.lit(1))
+    tests = F.transform(F.slice(F.split("text", r"\. ", -1), 1, 3), lambda x: F.concat(F.lit("assert "), x))
+    m = b.select("item_id", content.alias("content"), tests.alias("tests"))
+    return m.select("item_id", P.mbpp_prompt("content", "tests").alias("prompt"),
+                    P.mbpp_prompt("content", "tests", fewshot=True).alias("fewshot_prompt"))
+
+
+# ------------------------------------------------------------------ F6
+_MHPP_SRC = """
+mh AS (SELECT doc_id,
+    CASE WHEN doc_id % 3 = 0 THEN text
+         ELSE 'def f():' || chr(10) || '    ' || chr(34) || chr(34) || chr(34) || text || chr(34) || chr(34) || chr(34)
+              || chr(10) || '    pass' END AS content,
+    'assert f(' || CAST(doc_id AS VARCHAR) || ') == 1' || chr(10) || 'assert g()' AS tests
+  FROM documents)"""
+
+
+@register("mhpp_prompt", "WITH " + _MHPP_SRC + """
+SELECT doc_id,
+  (CASE WHEN strpos(reverse(content), chr(34) || chr(34) || chr(34)) > 0
+        THEN left(content, length(content) - strpos(reverse(content), chr(34) || chr(34) || chr(34)) - 2)
+        ELSE left(content, greatest(length(content) - 1, 0)) END)
+  || chr(10) || '    e.g. ' || split_part(tests, chr(10), 1) || ' ' || chr(34) || chr(34) || chr(34) AS prompt
+FROM mh""")
+def q_mhpp_prompt(spark, sf):
+    d = V.table(spark, sf, "documents").select("doc_id", "text")
+    i = F.col("doc_id")
+    content = F.when(i % 3 == 0, F.col("text")).otherwise(
+        F.concat(F.lit('def f():\n    """'), F.col("text"), F.lit('"""\n    pass')))
+    tests = F.concat(F.lit("assert f("), i.cast("string"), F.lit(") == 1\nassert g()"))
+    m = d.select("doc_id", content.alias("content"), tests.alias("tests"))
+    return m.select("doc_id", P.mhpp_prompt("content", "tests").alias("prompt"))
