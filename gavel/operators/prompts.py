@@ -256,13 +256,66 @@ def completion_budget(prompt_tokens, max_tokens, context_len) -> Column:
         F.least(mt, F.greatest(F.lit(1), cl - pt)))
 
 
-# ------------------------------------------------------------------ F5
+# ------------------------------------------------------------------ F4 / F5
+# Question / answer hints, wrap-prompt texts and the separator.
+QA_HINTS = {"zh": ("问题：", "答案："), "en": ("Question:", "Answer:")}
+WRAP_PROMPT = {"zh": ("请用中文回答，并用Markdown格式。####Instruction:", "Response:"),
+               "en": ("Please answer in English with Markdown format. ####Instruction:", "Response:")}
+SECTION_SEP = "----------------"
+
+
+def _present(c: Column) -> Column:
+    return c.isNotNull() & (c != "")
+
+
+def layout_prompt(question, context, fewshot, language: str = "en", wrap: bool = False) -> Column:
+    """Context / few-shot / question in four layouts with zh or en hints, optional wrapper (F4, F5 default)."""
+    q, ctx, fs = _c(question), _c(context), _c(fewshot)
+    qh, ah = QA_HINTS[language]
+    wi, wr = WRAP_PROMPT[language]
+    both = F.concat(ctx, F.lit(f"\n\n{SECTION_SEP}\n\n"), fs, F.lit(f"\n\n{qh}"), q, F.lit(f"\n\n{ah}\n"))
+    ctx_only = (F.concat(ctx, F.lit(f"\n\n{wi}\n"), q, F.lit(f"\n{wr}\n")) if wrap
+                else F.concat(ctx, F.lit(f"\n\n{qh}"), q, F.lit(f"\n\n{ah}\n")))
+    fs_only = F.concat(fs, F.lit(f"\n\n{qh}"), q, F.lit(f"\n\n{ah}\n"))
+    bare = F.concat(F.lit(f"{wi}\n"), q, F.lit(f"\n{wr}\n")) if wrap else q
+    return (F.when(_present(ctx) & _present(fs), both).when(_present(ctx), ctx_only)
+            .when(_present(fs), fs_only).otherwise(bare))
+
+
+def choose_fewshot(task_id, labels_fewshot, custom: dict[str, str] | None) -> Column:
+    """Few-shot text by task type (``task_id`` before '/'), then 'default', then the
+    row's labels, else the job fails as the reference does (F4)."""
+    custom = custom or {}
+    task_type = F.split_part(_c(task_id), F.lit("/"), F.lit(1))
+    pick = _map(custom)[task_type] if custom else F.lit(None).cast("string")
+    out = F.coalesce(pick, F.lit(custom["default"]) if "default" in custom else F.lit(None).cast("string"),
+                     _c(labels_fewshot))
+    return F.coalesce(out, F.raise_error(F.concat(F.lit("Missing fewshot of "), _c(task_id))).cast("string"))
+
+
+
+
 def fill_template(template, values: dict[str, Column]) -> Column:
-    """Safe substitution of ``{name}`` fields; unknown fields stay as written."""
-    out = _c(template)
-    for k, v in values.items():
-        out = F.replace(out, F.lit("{" + k + "}"), F.coalesce(v, F.lit("")))
-    return out
+    """``string.Template(t).safe_substitute(**values)`` (F5): ``$name`` and
+    ``${name}`` are replaced, ``$$`` becomes ``$``, unknown names stay as written.
+
+    Tokens are first swapped for private-use markers, so text inside an inserted
+    value is never substituted again.
+    """
+    out = F.replace(_c(template), F.lit("$$"), F.lit("\ue0ff"))
+    names = list(values)
+    for i, k in enumerate(names):
+        out = F.regexp_replace(out, r"\$(?:\{" + k + r"\}|" + k + r"(?![_a-zA-Z0-9]))", chr(0xE000 + i))
+    for i, k in enumerate(names):
+        out = F.replace(out, F.lit(chr(0xE000 + i)), F.coalesce(values[k], F.lit("")))
+    return F.replace(out, F.lit("\ue0ff"), F.lit("$"))
+
+
+def autoeval_prompt(question, template, context, fewshot, locale: str = "en") -> Column:
+    """Template substitution when a template is given, else the default layout."""
+    filled = fill_template(template, {"question": _c(question), "fewshot": _c(fewshot), "context": _c(context),
+                                      "locale": F.lit(locale)})
+    return F.when(_present(_c(template)), filled).otherwise(layout_prompt(question, context, fewshot, locale))
 
 
 # ------------------------------------------------------------------ F3

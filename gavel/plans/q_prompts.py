@@ -209,3 +209,90 @@ def q_mhpp_prompt(spark, sf):
     tests = F.concat(F.lit("assert f("), i.cast("string"), F.lit(") == 1\nassert g()"))
     m = d.select("doc_id", content.alias("content"), tests.alias("tests"))
     return m.select("doc_id", P.mhpp_prompt("content", "tests").alias("prompt"))
+
+
+# ------------------------------------------------------------------ F4
+_MBXP_SRC = """
+mx AS (SELECT doc_id, split_part(text, chr(10), 1) AS question,
+    CASE WHEN doc_id % 3 = 0 THEN 'ctx ' || source WHEN doc_id % 3 = 1 THEN '' END AS context,
+    source || '/' || CAST(doc_id AS VARCHAR) AS task_id, 'labels fs ' || lang AS labels_fewshot
+  FROM documents)"""
+
+MBXP_CUSTOM = {"src1": "custom fs one", "src2": "custom fs two"}
+
+
+def _layout_sql(q: str, ctx: str, fs: str, language: str, wrap: bool) -> str:
+    qh, ah = P.QA_HINTS[language]
+    wi, wr = P.WRAP_PROMPT[language]
+    nl = "chr(10)"
+    present = lambda x: f"({x} IS NOT NULL AND {x} <> '')"
+    both = f"{ctx} || {nl} || {nl} || {_q(P.SECTION_SEP)} || {nl} || {nl} || {fs} || {nl} || {nl} || {_q(qh)} || {q} || {nl} || {nl} || {_q(ah)} || {nl}"
+    ctx_only = (f"{ctx} || {nl} || {nl} || {_q(wi)} || {nl} || {q} || {nl} || {_q(wr)} || {nl}" if wrap else
+                f"{ctx} || {nl} || {nl} || {_q(qh)} || {q} || {nl} || {nl} || {_q(ah)} || {nl}")
+    fs_only = f"{fs} || {nl} || {nl} || {_q(qh)} || {q} || {nl} || {nl} || {_q(ah)} || {nl}"
+    bare = f"{_q(wi)} || {nl} || {q} || {nl} || {_q(wr)} || {nl}" if wrap else q
+    return (f"(CASE WHEN {present(ctx)} AND {present(fs)} THEN {both} WHEN {present(ctx)} THEN {ctx_only} "
+            f"WHEN {present(fs)} THEN {fs_only} ELSE {bare} END)")
+
+
+_FS_SQL = ("coalesce(CASE split_part(task_id, '/', 1) " +
+           " ".join(f"WHEN '{k}' THEN {_q(v)}" for k, v in MBXP_CUSTOM.items()) + " END, labels_fewshot)")
+
+
+@register("mbxp_prompt", "WITH " + _MBXP_SRC + f"""
+SELECT doc_id,
+  {_layout_sql('question', 'context', 'CAST(NULL AS VARCHAR)', 'en', False)} AS prompt,
+  {_layout_sql('question', 'context', 'CAST(NULL AS VARCHAR)', 'zh', True)} AS wrapped_prompt,
+  {_layout_sql('question', 'context', _FS_SQL, 'en', False)} AS fewshot_prompt
+FROM mx""")
+def q_mbxp_prompt(spark, sf):
+    d = V.table(spark, sf, "documents")
+    i = F.col("doc_id")
+    m = d.select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("question"),
+                 F.when(i % 3 == 0, F.concat(F.lit("ctx "), F.col("source"))).when(i % 3 == 1, F.lit(""))
+                 .alias("context"),
+                 F.concat(F.col("source"), F.lit("/"), i.cast("string")).alias("task_id"),
+                 F.concat(F.lit("labels fs "), F.col("lang")).alias("labels_fewshot"))
+    none = F.lit(None).cast("string")
+    fs = P.choose_fewshot("task_id", "labels_fewshot", MBXP_CUSTOM)
+    return m.select("doc_id", P.layout_prompt("question", "context", none, "en").alias("prompt"),
+                    P.layout_prompt("question", "context", none, "zh", wrap=True).alias("wrapped_prompt"),
+                    P.layout_prompt("question", "context", fs, "en").alias("fewshot_prompt"))
+
+
+# ------------------------------------------------------------------ F5
+_AUTOEVAL_SRC = """
+ae AS (SELECT doc_id, split_part(text, chr(10), 1) AS question,
+    CASE WHEN doc_id % 3 = 0 THEN 'ctx ' || source END AS context, 'fs ' || lang AS fewshot,
+    CASE doc_id % 4 WHEN 0 THEN 'Q: ${question}' || chr(10) || 'C: $context $$money $unknown $questions'
+                    WHEN 1 THEN NULL WHEN 2 THEN '' ELSE '$fewshot|$locale|${question}' END AS template
+  FROM documents)"""
+
+
+def _subst_sql(t: str, values: dict[str, str]) -> str:
+    out = f"replace({t}, '$$', chr({0xE0FF}))"
+    for i, (k, _v) in enumerate(values.items()):
+        out = f"replace({out}, '${{{k}}}', chr({0xE000 + i}))"
+        out = f"regexp_replace({out}, '\\$' || '{k}' || '([^_A-Za-z0-9]|$)', chr({0xE000 + i}) || '\\1', 'g')"
+    for i, (k, v) in enumerate(values.items()):
+        out = f"replace({out}, chr({0xE000 + i}), coalesce({v}, ''))"
+    return f"replace({out}, chr({0xE0FF}), '$')"
+
+
+@register("autoeval_prompt", "WITH " + _AUTOEVAL_SRC + f"""
+SELECT doc_id,
+  CASE WHEN template IS NOT NULL AND template <> ''
+       THEN {_subst_sql('template', {'question': 'question', 'fewshot': 'fewshot', 'context': 'context',
+                                      'locale': "'en'"})}
+       ELSE {_layout_sql('question', 'context', 'fewshot', 'en', False)} END AS prompt
+FROM ae""")
+def q_autoeval_prompt(spark, sf):
+    d = V.table(spark, sf, "documents")
+    i = F.col("doc_id")
+    tmpl = (F.when(i % 4 == 0, F.lit("Q: ${question}\nC: $context $$money $unknown $questions"))
+            .when(i % 4 == 1, F.lit(None).cast("string")).when(i % 4 == 2, F.lit(""))
+            .otherwise(F.lit("$fewshot|$locale|${question}")))
+    a = d.select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("question"),
+                 F.when(i % 3 == 0, F.concat(F.lit("ctx "), F.col("source"))).alias("context"),
+                 F.concat(F.lit("fs "), F.col("lang")).alias("fewshot"), tmpl.alias("template"))
+    return a.select("doc_id", P.autoeval_prompt("question", "template", "context", "fewshot", "en").alias("prompt"))
