@@ -119,7 +119,7 @@ SELECT doc_id,
 FROM y""")
 def q_last_def_block(spark, sf):
     c = V.completions(spark, sf).select("doc_id", X.strip_reasoning(F.col("completion")).alias("t"))
-    return c.select("doc_id", X.last_def_block(F.col("t")).alias("code"))
+    return X.last_def_block_df(c, "t").select("doc_id", "code")
 
 
 # ------------------------------------------------------------------ D13
