@@ -266,3 +266,78 @@ def q_training_record(spark, sf):
     return r.select("problem_id", F.col("prompt")[0]["content"].alias("prompt_content"), "solutions",
                     F.col("reward_model.ground_truth").alias("ground_truth"),
                     F.col("reward_model.style").alias("style"), "data_source")
+
+
+# ------------------------------------------------------------------ B9-B12 predicates over stdout pairs
+_PRED = """
+pr AS (SELECT doc_id,
+    CASE doc_id % 3 WHEN 0 THEN 'racket' WHEN 1 THEN 'python' ELSE 'lean' END AS language,
+    CASE WHEN doc_id % 4 = 0 THEN 'FAILURE in test' ELSE 'ok' END AS stderr,
+    CASE WHEN doc_id % 5 = 0 THEN text || ' declaration uses ''sorry''' ELSE text END AS stdout,
+    split_part(text, ' ', 1) AS marker, doc_id % 2 = 0 AS exit_ok
+  FROM documents)"""
+
+
+@register("post_judge_flags", with_ctes(_PRED) + """
+SELECT doc_id,
+  CASE WHEN language = 'racket' AND strpos(stderr, 'FAILURE') > 0 THEN false ELSE exit_ok END AS accepted,
+  strpos(stdout, marker) > 0 AS flag_seen,
+  strpos(stdout, marker) > 0 AND strpos(stdout, 'declaration uses ''sorry''') = 0 AS proof_ok
+FROM pr""")
+def q_post_judge_flags(spark, sf):
+    d = V.table(spark, sf, "documents").select("doc_id", "text")
+    i, t = F.col("doc_id"), F.col("text")
+    p = d.select("doc_id",
+                 F.when(i % 3 == 0, "racket").when(i % 3 == 1, "python").otherwise("lean").alias("language"),
+                 F.when(i % 4 == 0, "FAILURE in test").otherwise("ok").alias("stderr"),
+                 F.when(i % 5 == 0, F.concat(t, F.lit(" declaration uses 'sorry'"))).otherwise(t).alias("stdout"),
+                 F.split_part(t, F.lit(" "), F.lit(1)).alias("marker"), (i % 2 == 0).alias("exit_ok"))
+    return p.select("doc_id", TB.post_judge(F.col("exit_ok"), F.col("language"), F.col("stderr")).alias("accepted"),
+                    TB.flag_seen(F.col("stdout"), F.col("marker")).alias("flag_seen"),
+                    TB.proof_ok(F.col("stdout"), F.col("marker"), F.col("stdout")).alias("proof_ok"))
+
+
+@register("as_labels", """
+SELECT item_id AS id, text AS prompt,
+       '{"id":' || CAST(item_id AS VARCHAR) || ',"n_chars":' || CAST(length(text) AS VARCHAR) || '}' AS labels
+FROM benchmark""")
+def q_as_labels(spark, sf):
+    b = V.table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("prompt"),
+                                               F.length("text").alias("n_chars"))
+    return TB.as_labels(b, "prompt", "id").select("id", "prompt", "labels")
+
+
+# ------------------------------------------------------------------ H9 / H10
+@register("row_counts", with_ctes(_TRAIN_SQL) + """
+SELECT 'before' AS stage, count(*) AS n FROM ok UNION ALL SELECT 'after', count(*) FILTER (WHERE good) FROM ok""")
+def q_row_counts(spark, sf):
+    from gavel.operators import metrics as M
+    raw = _raw_training(spark, sf)
+    return M.row_counts(raw, TB.training_rows(raw))
+
+
+@register("distinct_imports", r"""
+SELECT source, list_sort(list_distinct(list_filter(flatten(list(imps)), lambda x: x <> ''))) AS imports
+FROM (SELECT source, ['import ' || split_part(text, ' ', 1), 'import ' || split_part(text, ' ', 2),
+                     CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'import os' END] AS imps FROM documents)
+GROUP BY source""")
+def q_distinct_imports(spark, sf):
+    from gavel.operators import metrics as M
+    d = V.table(spark, sf, "documents")
+    imps = F.array(F.concat(F.lit("import "), F.split_part("text", F.lit(" "), F.lit(1))),
+                   F.concat(F.lit("import "), F.split_part("text", F.lit(" "), F.lit(2))),
+                   F.when(F.col("doc_id") % 2 == 0, F.lit("")).otherwise(F.lit("import os")))
+    return M.distinct_imports(d.select("source", imps.alias("imps")), ["source"], "imps")
+
+
+# ------------------------------------------------------------------ A3
+@register("read_versions", """
+SELECT 'lineitem' AS version, count(*) AS n FROM lineitem UNION ALL SELECT 'orders', count(*) FROM orders""")
+def q_read_versions(spark, sf):
+    import os
+    from gavel.sources.readers import read_versions
+    base, _ = os.path.split(sf.rstrip("/"))
+    name = os.path.basename(sf.rstrip("/"))
+    df = read_versions(spark, base, [name], "lineitem.parquet").select(F.lit("lineitem").alias("version"))
+    df2 = read_versions(spark, base, [name], "orders.parquet").select(F.lit("orders").alias("version"))
+    return df.unionByName(df2).groupBy("version").agg(F.count(F.lit(1)).alias("n"))
