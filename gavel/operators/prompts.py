@@ -363,3 +363,63 @@ def mhpp_prompt(content, tests) -> Column:
         .otherwise(F.substring(c, F.lit(1), F.greatest(F.length(c) - 1, F.lit(0))))
     first = F.split_part(_c(tests), F.lit("\n"), F.lit(1))
     return F.concat(cut, F.lit("\n    e.g. "), first, F.lit(' """'))
+
+
+# ------------------------------------------------------------------ C8 / F7 (CruxEval-X)
+# How each language spells the call whose argument is hidden.
+CRUX_CALL = {
+    "cpp": "candidate(????)", "csharp": "F(????)", "D_ut": "candidate(????)", "go_test": "candidate(????)",
+    "java": "f(????)", "julia": "candidate(????)", "nodejs": "candidate(????)", "lua": "candidate(????)",
+    "php": "candidate(????)", "python": "candidate(????)", "perl": "$candidate->(????)", "R": "candidate(????)",
+    "ruby": "candidate.call(????)", "racket": "(candidate ????)", "rust": "candidate(????)", "scala": "f(????)",
+    "bash": "$(candidate ????)", "swift": "f(????)", "typescript": "candidate(????)",
+}
+# The two CruxEval-X instructions, split around the language name.
+CRUX_INPUT_HEAD = ("You will be given a ", " function f and a check function, where you only know the output of the "
+                   "test case. Find any input such that executing f on the input leads to the given output. There may "
+                   "be multiple answers, but you should only output one. Think step by step before arriving at an "
+                   "answer. Finally, surround the answer, with no additional words, with [ANSWER] and [/ANSWER] tags. "
+                   "Express your answer as a function call that when executed will give the output. \n    Make Sure "
+                   "The answer is WRAPPED in the format: [ANSWER] <your answer> [/ANSWER].\n\n")
+CRUX_OUTPUT_HEAD = ("Based on the given code, which may contain errors, complete the \"????\" in assert statement with "
+                    "the output when executing the ", " code on the given test case. Do NOT output any extra "
+                    "information, even if the function is incorrect or incomplete. Do NOT output a description for "
+                    "the assert.\n    Make Sure The answer is WRAPPED in the format: [ANSWER] <your answer> "
+                    "[/ANSWER].\n\n")
+
+
+def crux_examples(examples: DataFrame, mode: str, lang_col: str = "language", order_col: str = "idx",
+                  code_col: str = "code", inputs_col: str = "inputs", outputs_col: str = "outputs") -> DataFrame:
+    """Few-shot examples per language concatenated in order.
+
+    Each example hides its input (input mode: replaced by the language's call
+    spelling) or its output (output mode: replaced by ``????``) and shows the
+    answer in [ANSWER] tags.  Concatenation goes through ``ordered_concat``.
+    """
+    from gavel.functions.text import py_rstrip
+    lang = F.col(lang_col)
+    if mode == "input":
+        hidden = F.replace(F.col(code_col), F.col(inputs_col), F.element_at(_map(CRUX_CALL), lang))
+        answer = F.col(inputs_col)
+    else:
+        hidden = F.replace(F.col(code_col), F.col(outputs_col), F.lit("????"))
+        answer = F.col(outputs_col)
+    block = F.concat(F.lit("```"), lang, F.lit("\n"), py_strip(hidden), F.lit("\n```\n[ANSWER]\n"), answer,
+                     F.lit("\n[/ANSWER]\n"))
+    joined = ordered_concat(examples.select(lang.alias("language"), F.col(order_col).alias("__o"),
+                                            block.alias("__blk")), "language", "__o", "__blk", out="examples")
+    return joined.select("language", py_rstrip(F.col("examples")).alias("examples"))
+
+
+def crux_x_prompts(problems: DataFrame, examples: DataFrame, mode: str, id_col: str = "id",
+                   code_col: str = "code", given_col: str = "given") -> DataFrame:
+    """CruxEval-X prompts (F7, x variant): language from the id (all but the last
+    ``_`` part), per-language examples joined in, code + given input/output shown."""
+    lang = F.regexp_extract(F.col(id_col), r"^(.*)_[^_]*$", 1)
+    p = problems.withColumn("language", lang)
+    ex = crux_examples(examples, mode)
+    j = p.join(ex, "language", "left")
+    head = CRUX_INPUT_HEAD if mode == "input" else CRUX_OUTPUT_HEAD
+    prompt = F.concat(F.lit(head[0]), F.col("language"), F.lit(head[1]), F.col("examples"), F.lit("\n```"),
+                      F.col("language"), F.lit("\n"), F.col(code_col), F.col(given_col), F.lit("\n```\n"))
+    return j.withColumn("prompt", prompt)

@@ -296,3 +296,60 @@ def q_autoeval_prompt(spark, sf):
                  F.when(i % 3 == 0, F.concat(F.lit("ctx "), F.col("source"))).alias("context"),
                  F.concat(F.lit("fs "), F.col("lang")).alias("fewshot"), tmpl.alias("template"))
     return a.select("doc_id", P.autoeval_prompt("question", "template", "context", "fewshot", "en").alias("prompt"))
+
+
+# ------------------------------------------------------------------ C8 / F7
+def _crux_tables(spark, sf):
+    b = V.table(spark, sf, "benchmark")
+    w = lambda k: F.coalesce(F.nullif(F.split_part("text", F.lit(" "), F.lit(k)), F.lit("")), F.lit("zz"))
+    ex = b.select(F.when(F.col("item_id") % 3 == 0, "python").when(F.col("item_id") % 3 == 1, "R")
+                  .otherwise("bash").alias("language"), F.col("item_id").alias("idx"), F.col("text").alias("code"),
+                  w(2).alias("inputs"), w(3).alias("outputs"))
+    d = V.table(spark, sf, "documents")
+    i = F.col("doc_id")
+    lang = F.when(i % 4 == 0, "python").when(i % 4 == 1, "R").when(i % 4 == 2, "bash").otherwise("cpp")
+    pr = d.select(F.concat(lang, F.lit("_"), i.cast("string")).alias("id"),
+                  F.split_part("text", F.lit("\n"), F.lit(1)).alias("code"),
+                  F.concat(F.lit(" "), F.split_part("text", F.lit(" "), F.lit(1))).alias("given"))
+    return pr, ex
+
+
+def _crux_sql() -> str:
+    call = "(CASE language " + " ".join(f"WHEN '{k}' THEN {_q(v)}" for k, v in P.CRUX_CALL.items()) + " END)"
+
+    def ex(mode):
+        if mode == "input":
+            hidden, ans = f"replace(code, inputs, {call})", "inputs"
+        else:
+            hidden, ans = "replace(code, outputs, '????')", "outputs"
+        blk = (f"'```' || language || chr(10) || {_t(hidden)} || chr(10) || '```' || chr(10) || '[ANSWER]' || chr(10)"
+               f" || {ans} || chr(10) || '[/ANSWER]' || chr(10)")
+        return (f"ex_{mode} AS (SELECT language, rtrim(string_agg({blk}, '' ORDER BY idx), {S.WS}) AS examples "
+                f"FROM ex GROUP BY language)")
+
+    def prompt(mode):
+        head = P.CRUX_INPUT_HEAD if mode == "input" else P.CRUX_OUTPUT_HEAD
+        return (f"{_q(head[0])} || p.language || {_q(head[1])} || e_{mode}.examples || chr(10) || '```' || "
+                f"p.language || chr(10) || p.code || p.given || chr(10) || '```' || chr(10)")
+    return f"""
+WITH ex AS (SELECT CASE item_id % 3 WHEN 0 THEN 'python' WHEN 1 THEN 'R' ELSE 'bash' END AS language,
+                   item_id AS idx, text AS code,
+                   coalesce(nullif(split_part(text, ' ', 2), ''), 'zz') AS inputs,
+                   coalesce(nullif(split_part(text, ' ', 3), ''), 'zz') AS outputs FROM benchmark),
+{ex('input')},
+{ex('output')},
+p AS (SELECT (CASE doc_id % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'R' WHEN 2 THEN 'bash' ELSE 'cpp' END)
+             || '_' || CAST(doc_id AS VARCHAR) AS id,
+             CASE doc_id % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'R' WHEN 2 THEN 'bash' ELSE 'cpp' END AS language,
+             split_part(text, chr(10), 1) AS code, ' ' || split_part(text, ' ', 1) AS given FROM documents)
+SELECT p.id, {prompt('input')} AS input_prompt, {prompt('output')} AS output_prompt
+FROM p LEFT JOIN ex_input e_input ON p.language = e_input.language
+       LEFT JOIN ex_output e_output ON p.language = e_output.language"""
+
+
+@register("cruxeval_x_prompt", _crux_sql())
+def q_cruxeval_x_prompt(spark, sf):
+    pr, ex = _crux_tables(spark, sf)
+    a = P.crux_x_prompts(pr, ex, "input").select("id", F.col("prompt").alias("input_prompt"))
+    b = P.crux_x_prompts(pr, ex, "output").select("id", F.col("prompt").alias("output_prompt"))
+    return a.join(b, "id")
