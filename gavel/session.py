@@ -22,6 +22,8 @@ _RUNTIME_CONF = {
     # per-key top-k filters (sample selection, context budgets) up to this k get
     # a partial limit before the shuffle, which bounds what a hot key sends
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    # base64 as Python's b64encode: one line, no MIME chunking
+    "spark.sql.chunkBase64String.enabled": "false",
 }
 
 
