@@ -210,3 +210,32 @@ def explode_cells(df: DataFrame, cells_col: str, keep: list[str]) -> DataFrame:
     return (df.select(*keep, F.posexplode(cells_col).alias("cell_idx", "__c"))
             .select(*keep, "cell_idx", F.col("__c.stdout").alias("stdout"), F.col("__c.stderr").alias("stderr"),
                     F.col("__c.display").alias("display"), F.col("__c.error").alias("error")))
+
+
+# ------------------------------------------------------------------ E10
+# MBPP test names whose entry point is taken literally when present.
+MBPP_NAMED_ENTRY_POINTS = ["text_match_three", "is_perfect_square", "similar_elements", "find_char_long",
+                           "common_in_nested_lists", "extract_singly", "larg_nnum", "Diff", "max_height"]
+
+
+def mbpp_entry_point(first_test) -> Column:
+    """Entry point of an assert-style MBPP test (E10): the function inside
+    ``math.isclose(...)``, else a listed name contained in the test, else the first
+    ``assert name(`` call."""
+    t = _c(first_test)
+    ep = F.when(F.instr(t, "math.isclose") > 0, F.regexp_extract(t, r"math\.isclose\((\w+)\(", 1))
+    for name in MBPP_NAMED_ENTRY_POINTS:
+        ep = ep.when(F.instr(t, name) > 0, F.lit(name))
+    return ep.otherwise(F.regexp_extract(t, r"assert\s+([A-Za-z_]\w*)\s*\(", 1))
+
+
+def mbpp_check_program(tests, entry_point) -> Column:
+    """``def check(<entry point>):`` with every assert indented under it."""
+    return F.concat(F.lit("def check("), _c(entry_point), F.lit("):\n    "), F.array_join(_c(tests), "\n    "))
+
+
+def signature_line(code, entry_point) -> Column:
+    """First line of the reference solution that mentions the entry point (E10); '' when none."""
+    lines = F.split(_c(code), "\n", -1)
+    return F.coalesce(F.try_element_at(F.filter(lines, lambda ln: F.instr(ln, _c(entry_point)) > 0), F.lit(1)),
+                      F.lit(""))

@@ -423,3 +423,28 @@ def crux_x_prompts(problems: DataFrame, examples: DataFrame, mode: str, id_col:
     prompt = F.concat(F.lit(head[0]), F.col("language"), F.lit(head[1]), F.col("examples"), F.lit("\n```"),
                       F.col("language"), F.lit("\n"), F.col(code_col), F.col(given_col), F.lit("\n```\n"))
     return j.withColumn("prompt", prompt)
+
+
+# ------------------------------------------------------------------ F8
+LCB_WITH_STARTER = ("### Format: You will use the following starter code to write the solution to the problem and "
+                    "enclose your code within delimiters.\n```python\n")
+LCB_WITHOUT_STARTER = ("### Format: Read the inputs from stdin solve the problem and write the answer to stdout (do not "
+                       "directly test on the sample inputs). Enclose your code within delimiters as follows.\n"
+                       "```python\n```")
+LCB_ANSWER = "\n\n### Answer: (use the provided format with backticks)\n"
+
+
+def lcb_fewshot_prompt(prompt, prefix: str) -> Column:
+    """Contest few-shot prompt (F8): the question and starter code are parsed out
+    of a zero-shot prompt and re-emitted after ``prefix`` (the few-shot examples,
+    a job parameter).  A prompt without both sections fails the job, as in the reference."""
+    p = _c(prompt)
+    q = F.regexp_extract_all(p, F.lit(r"(?s)### Question:\n(.*)\n\n### Format:"), 1)
+    sc = F.regexp_extract_all(p, F.lit(r"(?s)### Format: .*\n```python\n(.*)\n```\n\n"), 1)
+    question = F.try_element_at(q, F.lit(1))
+    starter = F.try_element_at(sc, F.lit(1))
+    body = F.when(starter == "# YOUR CODE HERE", F.lit(LCB_WITHOUT_STARTER)).otherwise(
+        F.concat(F.lit(LCB_WITH_STARTER), starter, F.lit("\n```")))
+    out = F.concat(F.lit(prefix), question, F.lit("\n\n"), body, F.lit(LCB_ANSWER))
+    return F.when(question.isNotNull() & starter.isNotNull(), out).otherwise(
+        F.raise_error(F.lit("prompt has no question / format section")).cast("string"))

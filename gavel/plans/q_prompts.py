@@ -353,3 +353,38 @@ def q_cruxeval_x_prompt(spark, sf):
     a = P.crux_x_prompts(pr, ex, "input").select("id", F.col("prompt").alias("input_prompt"))
     b = P.crux_x_prompts(pr, ex, "output").select("id", F.col("prompt").alias("output_prompt"))
     return a.join(b, "id")
+
+
+# ------------------------------------------------------------------ E10
+from gavel.operators.assembly import MBPP_NAMED_ENTRY_POINTS as _NAMED  # noqa: E402
+
+_MBPP_EP = """
+ep AS (SELECT item_id, t1, tests, text,
+    CASE WHEN strpos(t1, 'math.isclose') > 0 THEN regexp_extract(t1, 'math\\.isclose\\((\\w+)\\(', 1)
+         """ + " ".join(f"WHEN strpos(t1, '{n}') > 0 THEN '{n}'" for n in _NAMED) + """
+         ELSE regexp_extract(t1, 'assert\\s+([A-Za-z_]\\w*)\\s*\\(', 1) END AS entry_point
+  FROM (SELECT item_id, text, tests, tests[1] AS t1
+        FROM (SELECT item_id, text,
+                     [CASE item_id % 3 WHEN 0 THEN 'assert ' || split_part(text, ' ', 1) || '(1) == 2'
+                                       WHEN 1 THEN 'assert math.isclose(' || split_part(text, ' ', 2) || '(3), 4)'
+                                       ELSE 'assert Diff([1], [2]) == [1]' END,
+                      'assert True'] AS tests FROM benchmark)))"""
+
+
+@register("mbpp_check", "WITH " + _MBPP_EP + """
+SELECT item_id, entry_point, 'def check(' || entry_point || '):' || chr(10) || '    '
+       || array_to_string(tests, chr(10) || '    ') AS test,
+       coalesce(list_filter(string_split(text, chr(10)), lambda l: strpos(l, entry_point) > 0)[1], '') AS signature
+FROM ep""")
+def q_mbpp_check(spark, sf):
+    from gavel.operators import assembly as A
+    b = V.table(spark, sf, "benchmark")
+    i = F.col("item_id")
+    t1 = (F.when(i % 3 == 0, F.concat(F.lit("assert "), F.split_part("text", F.lit(" "), F.lit(1)), F.lit("(1) == 2")))
+          .when(i % 3 == 1, F.concat(F.lit("assert math.isclose("), F.split_part("text", F.lit(" "), F.lit(2)),
+                                     F.lit("(3), 4)")))
+          .otherwise(F.lit("assert Diff([1], [2]) == [1]")))
+    m = b.select("item_id", "text", F.array(t1, F.lit("assert True")).alias("tests"))
+    m = m.withColumn("entry_point", A.mbpp_entry_point(F.element_at("tests", 1)))
+    return m.select("item_id", "entry_point", A.mbpp_check_program("tests", "entry_point").alias("test"),
+                    A.signature_line("text", "entry_point").alias("signature"))

@@ -54,3 +54,14 @@ def test_parse_chat_round_trip(spark):
     msgs = p.select(P.parse_chat(F.col("p"), "chatml_qwen3").alias("m")).first()["m"]
     assert [(m["role"], m["content"]) for m in msgs] == [
         ("system", P.CHAT_TEMPLATES["chatml_qwen3"]["system"]), ("user", "hello there")]
+
+
+def test_lcb_fewshot_prompt(spark):
+    zero = ("intro\n### Question:\nAdd two numbers.\n\n### Format: You will use the following starter code\n"
+            "```python\nclass Solution:\n    pass\n```\n\n### Answer:\n")
+    blank = "### Question:\nQ2\n\n### Format: Read\n```python\n# YOUR CODE HERE\n```\n\n"
+    df = spark.createDataFrame([(zero,), (blank,)], "p string")
+    got = [r["f"] for r in df.select(P.lcb_fewshot_prompt(F.col("p"), "PREFIX\n").alias("f")).collect()]
+    assert got[0] == ("PREFIX\nAdd two numbers.\n\n" + P.LCB_WITH_STARTER + "class Solution:\n    pass\n```"
+                      + P.LCB_ANSWER)
+    assert got[1] == "PREFIX\nQ2\n\n" + P.LCB_WITHOUT_STARTER + P.LCB_ANSWER
