@@ -125,3 +125,21 @@ def test_call_judge_json_rules(spark):
     got = dict(rows(J.judge_call(df), "id", "passed"))
     # 8: Python compares True == 1 as equal; 9: a string is never a number
     assert got == {1: True, 2: True, 3: True, 4: True, 5: False, 6: True, 7: False, 8: True, 9: False}
+
+
+def test_math_normalize_and_equal(spark):
+    cases = [("\\$1,234.50.", "1234.5", True),       # dollar, comma, closing dot, trailing zero
+             ("25\\%", "25", True),                  # percent removed
+             ("50", "0.5", True),                    # ref * 100
+             ("x = 7", "7", True),                   # short left-hand side
+             ("\\frac12", "\\frac{1}{2}", True),      # \frac12 -> \frac{1}{2}
+             ("3/4", "\\frac{3}{4}", True),           # a/b -> \frac{a}{b}
+             ("\\sqrt2", "\\sqrt{2}", True),
+             ("[1, 2]", "[1,2]", True),              # bracket-free text
+             ("(1.00, 3)", "(1, 3)", True),           # element-wise
+             ("10 \\text{ miles}", "10", True),       # unit removed
+             ("7", "8", False), ("", "0", False), ("abc", "abd", False)]
+    df = spark.createDataFrame([(a, r) for a, r, _ in cases], "answer string, reference string")
+    got = {(a, r): p for a, r, p in rows(J.judge_math(df), "answer", "reference", "passed")}
+    for a, r, want in cases:
+        assert got[(a, r)] == want, (a, r)
