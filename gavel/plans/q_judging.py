@@ -153,3 +153,129 @@ def q_truncate_text(spark, sf):
     d = J.truncate_case_text(d, ["case_text"])
     return d.select("doc_id", "passed", "case_text",
                     T.truncate_middle(F.col("text"), 300, 150, "...(truncated) ...").alias("contest_text"))
+
+
+# ------------------------------------------------------------------ G10
+def _sql_rep(s: str, a: str, b: str) -> str:
+    from gavel.plans.q_prompts import _q
+    return f"replace({s}, {_q(a)}, {_q(b)})"
+
+
+def _math_sql_steps() -> list:
+    """The normalisation steps of ``judging.math_normalize_df`` as SQL over ``s``."""
+    steps = [f"replace({_t('s')}, chr(10), '')", "rtrim(s, '.')"]
+    for a, b in [("\\!", ""), ("\\ ", ""), ("\\\\", "\\"), ("\\\\", "\\"), ("tfrac", "frac"), ("dfrac", "frac"),
+                 ("\\left", ""), ("\\right", "")]:
+        steps.append(_sql_rep("s", a, b))
+    nu = _t(r"regexp_replace(s, '\\text\{.*?\}$', '')")
+    steps.append(f"CASE WHEN {nu} <> '' AND {nu} <> s THEN {nu} ELSE s END")
+    for a, b in [("^{\\circ}", ""), ("^\\circ", ""), ("\\$", ""), ("$", ""), ("\\text", ""), ("x\\in", ""),
+                 ("\\%", ""), ("%", ""), (" .", " 0."), ("{.", "{0."), ("\\cdot", ""), ("infinity", "\\infty")]:
+        steps.append(_sql_rep("s", a, b))
+    steps.append(f"CASE WHEN strpos(s, '\\infty') = 0 THEN {_sql_rep('s', 'inf', chr(92) + 'infty')} ELSE s END")
+    for a, b in [("+\\inity", "\\infty"), ("and", ""), ("\\mathbf", "")]:
+        steps.append(_sql_rep("s", a, b))
+    steps.append(r"regexp_replace(s, '\\mbox\{.*?\}', '', 'g')")
+    steps.append("CASE WHEN strpos(s, 'j') > 0 AND strpos(s, 'i') = 0 THEN replace(s, 'j', 'i') ELSE s END")
+    steps.append(r"regexp_replace(regexp_replace(s, '(\d+)\.0+([^\d])', '\1\2', 'g'), '(\d+)\.0+$', '\1')")
+    steps.append("CASE WHEN starts_with(s, '.') THEN '0' || s ELSE s END")
+    steps.append("CASE WHEN len(string_split(s, '=')) = 2 AND length(string_split(s, '=')[1]) <= 2 "
+                 "THEN string_split(s, '=')[2] ELSE s END")
+    steps.append(r"replace(regexp_replace(s, '\\sqrt(\w+)', '\\sqrt{\1}', 'g'), ' ', '')")
+    steps.append(r"CASE WHEN regexp_matches(s, '\\frac([^{](\\frac|$)|\\frac|$)') THEN s "
+                 r"ELSE regexp_replace(regexp_replace(s, '\\frac([^{])([^{])', '\\frac{\1}{\2}', 'g'), "
+                 r"'\\frac([^{])\{', '\\frac{\1}{', 'g') END")
+    ok = lambda x: f"(strpos({x}, 'sqrt') > 0 OR regexp_matches({x}, '^(0|-?[1-9][0-9]*)$'))"
+    p1, p2 = "string_split(s, '/')[1]", "string_split(s, '/')[2]"
+    steps.append(f"CASE WHEN len(string_split(s, '/')) = 2 AND {ok(p1)} AND {ok(p2)} "
+                 f"THEN '\\frac{{' || {p1} || '}}{{' || {p2} || '}}' ELSE s END")
+    return steps
+
+
+def _math_eq_sql(pred: str, ref: str) -> str:
+    def close(a, b):
+        return f"(({a} = {b} AND NOT isnan({a})) OR abs({a} - {b}) <= 1e-4 * greatest(abs({a}), abs({b})))"
+
+    def nt(pv, rv):
+        fp, fr = _float(f"replace({pv}, ',', '')"), _float(f"replace({rv}, ',', '')")
+        num = f"({_isfloat(f'replace({pv}, {chr(39)},{chr(39)}, {chr(39)}{chr(39)})')} AND " \
+              f"{_isfloat(f'replace({rv}, {chr(39)},{chr(39)}, {chr(39)}{chr(39)})')})"
+        p, r = _t(pv), _t(rv)
+        br = (f"((starts_with({p}, '[') AND ends_with({p}, ']') AND NOT starts_with({r}, '(')) OR "
+              f"(starts_with({p}, '(') AND ends_with({p}, ')') AND NOT starts_with({r}, '[')))")
+        ps = f"(CASE WHEN {br} THEN trim({p}, '[]()') ELSE {p} END)"
+        rs = f"(CASE WHEN {br} THEN trim({r}, '[]()') ELSE {r} END)"
+        drop = lambda x: f"regexp_replace({x}, '[{{}}()]', '', 'g')"
+        text = f"({pv} <> '' AND {drop(ps)} = {drop(rs)})"
+        numeq = f"coalesce({close(f'{fr} / 100', fp)} OR {close(fr, fp)} OR {close(f'{fr} * 100', fp)}, false)"
+        return f"(CASE WHEN {num} THEN {numeq} ELSE {text} END)"
+
+    p, r = _t(pred), _t(ref)
+    both = (f"((starts_with({p}, '[') AND ends_with({p}, ']') AND starts_with({r}, '[') AND ends_with({r}, ']')) OR "
+            f"(starts_with({p}, '(') AND ends_with({p}, ')') AND starts_with({r}, '(') AND ends_with({r}, ')')))")
+    pp = f"string_split(substr({p}, 2, greatest(length({p}) - 2, 0)), ',')"
+    rp = f"string_split(substr({r}, 2, greatest(length({r}) - 2, 0)), ',')"
+    parts = (f"({both} AND len({pp}) = len({rp}) AND coalesce(list_bool_and(list_transform(range(1, len({pp}) + 1), "
+             f"lambda i: {nt(f'{pp}[i]', f'{rp}[i]')})), true))")
+    numeric = (f"({_isfloat(f'replace({pred}, {chr(39)},{chr(39)}, {chr(39)}{chr(39)})')} AND "
+               f"{_isfloat(f'replace({ref}, {chr(39)},{chr(39)}, {chr(39)}{chr(39)})')})")
+    return f"({nt(pred, ref)} OR (NOT {numeric} AND coalesce({parts}, false)))"
+
+
+_MATH_SRC = r"""
+src AS (SELECT p_partkey, answer, reference FROM (
+  SELECT p_partkey, CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS pr, CAST(p_size % 9 + 1 AS VARCHAR) AS k,
+    CASE p_partkey % 8
+      WHEN 0 THEN '\$' || CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) || '.'
+      WHEN 1 THEN CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) || '\%'
+      WHEN 2 THEN 'x = ' || CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR)
+      WHEN 3 THEN '[' || CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) || ', 2]'
+      WHEN 4 THEN '\frac' || CAST(p_size % 9 + 1 AS VARCHAR) || '2'
+      WHEN 5 THEN CAST(p_size AS VARCHAR) || '/7'
+      WHEN 6 THEN CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) || ' \text{ dollars}'
+      ELSE p_brand END AS answer,
+    CASE p_partkey % 8
+      WHEN 3 THEN '[' || CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) || ',2]'
+      WHEN 4 THEN '\frac{' || CAST(p_size % 9 + 1 AS VARCHAR) || '}{2}'
+      WHEN 5 THEN '\frac{' || CAST(p_size AS VARCHAR) || '}{7}'
+      WHEN 7 THEN replace(p_brand, 'and', '')
+      ELSE CAST(CAST(p_retailprice * (CASE WHEN p_partkey % 16 = 6 THEN 2 ELSE 1 END) AS DECIMAL(18,2)) AS VARCHAR)
+    END AS reference
+  FROM part))"""
+
+
+def _math_sql() -> str:
+    ctes = [_MATH_SRC, "n0 AS (SELECT DISTINCT answer, reference, answer AS s FROM src)"]
+    steps = _math_sql_steps()
+    for k, st in enumerate(steps):
+        ctes.append(f"n{k + 1} AS (SELECT answer, reference, {st} AS s FROM n{k})")
+    last = f"n{len(steps)}"
+    ctes.append(f"j AS (SELECT answer, reference, coalesce({_math_eq_sql('s', 'reference')}, false) AS passed "
+                f"FROM {last})")
+    return with_ctes(*ctes) + ("SELECT p_partkey, coalesce(j.passed, false) AS passed FROM src "
+                               "LEFT JOIN j ON src.answer = j.answer AND src.reference = j.reference")
+
+
+@register("judge_math", _math_sql())
+def q_judge_math(spark, sf):
+    p = V.table(spark, sf, "part")
+    pr = F.col("p_retailprice").cast("decimal(18,2)").cast("string")
+    k = (F.col("p_size") % 9 + 1).cast("string")
+    m = F.col("p_partkey") % 8
+    ans = (F.when(m == 0, F.concat(F.lit("\\$"), pr, F.lit(".")))
+           .when(m == 1, F.concat(pr, F.lit("\\%")))
+           .when(m == 2, F.concat(F.lit("x = "), pr))
+           .when(m == 3, F.concat(F.lit("["), pr, F.lit(", 2]")))
+           .when(m == 4, F.concat(F.lit("\\frac"), k, F.lit("2")))
+           .when(m == 5, F.concat(F.col("p_size").cast("string"), F.lit("/7")))
+           .when(m == 6, F.concat(pr, F.lit(" \\text{ dollars}")))
+           .otherwise(F.col("p_brand")))
+    scaled = (F.col("p_retailprice") * F.when(F.col("p_partkey") % 16 == 6, 2).otherwise(1)) \
+        .cast("decimal(18,2)").cast("string")
+    ref = (F.when(m == 3, F.concat(F.lit("["), pr, F.lit(",2]")))
+           .when(m == 4, F.concat(F.lit("\\frac{"), k, F.lit("}{2}")))
+           .when(m == 5, F.concat(F.lit("\\frac{"), F.col("p_size").cast("string"), F.lit("}{7}")))
+           .when(m == 7, F.replace(F.col("p_brand"), F.lit("and"), F.lit("")))
+           .otherwise(scaled))
+    df = p.select("p_partkey", ans.alias("answer"), ref.alias("reference"))
+    return J.judge_math(df).select("p_partkey", F.coalesce("passed", F.lit(False)).alias("passed"))
