@@ -448,3 +448,54 @@ def lcb_fewshot_prompt(prompt, prefix: str) -> Column:
     out = F.concat(F.lit(prefix), question, F.lit("\n\n"), body, F.lit(LCB_ANSWER))
     return F.when(question.isNotNull() & starter.isNotNull(), out).otherwise(
         F.raise_error(F.lit("prompt has no question / format section")).cast("string"))
+
+
+# ------------------------------------------------------------------ F9
+AIDER_WRAP = ("Please answer in English with Markdown format. Below is the problem:", "Your response here:")
+
+
+def aider_prompt(question, reference, wrap: bool = False) -> Column:
+    """Aider prompt (F9): question, then the reference signature in a python fence; optional wrapper."""
+    p = F.concat(F.lit("\n"), _c(question), F.lit("\n\nPlease generate the code in the following format:\n```python\n"),
+                 _c(reference), F.lit("\n```\n"))
+    if wrap:
+        p = F.concat(F.lit(AIDER_WRAP[0] + "\n"), p, F.lit("\n" + AIDER_WRAP[1] + "\n"))
+    return p
+
+
+def verilog_prompt(code_preface, description, system_prompt, question_prompt, fewshot=None) -> Column:
+    """Verilog prompt (F9), with an optional few-shot block and answer slot."""
+    body = F.concat(_c(system_prompt), F.lit("\n"), _c(question_prompt), F.lit("\n"), _c(description),
+                    F.lit("\n```verilog\n"), _c(code_preface), F.lit("```"))
+    if fewshot is None:
+        return body
+    fs = _c(fewshot)
+    with_fs = F.concat(fs, F.lit(f"\n\n{SECTION_SEP}\n\nQuestion:\n"), body, F.lit("\n\nAnswer:"))
+    return F.when(_present(fs), with_fs).otherwise(body)
+
+
+# Lean4 instruction per locale.
+LEAN_PREFIX = {"zh": "请使用 Lean4 完成下面的证明：", "en": "Please finish the following theorem in Lean4:"}
+
+
+def lean_prompt(content, locale: str = "zh-CN") -> Column:
+    """Lean prompt (F9) without a template: instruction, then the theorem in a lean fence."""
+    prefix = LEAN_PREFIX["en"] if locale == "en" else LEAN_PREFIX["zh"]
+    return F.concat(F.lit(prefix + "\n\n```lean\n"), _c(content), F.lit("\n```"))
+
+
+def template_fields(template: str) -> list[str]:
+    """Column names a ``str.format`` template refers to (parsed once, on the driver)."""
+    import re
+    return re.findall(r"{(\w+)}", template)
+
+
+def format_template(template: str, df: DataFrame) -> Column:
+    """``template.format_map(row)`` for the fields it names (F9 with a template);
+    ``{{`` / ``}}`` are literal braces."""
+    out = F.lit(template.replace("{{", "\ue0fd").replace("}}", "\ue0fe"))
+    for i, f in enumerate(template_fields(template)):
+        out = F.replace(out, F.lit("{" + f + "}"), F.lit(chr(0xE000 + i)))
+    for i, f in enumerate(template_fields(template)):
+        out = F.replace(out, F.lit(chr(0xE000 + i)), F.col(f).cast("string"))
+    return F.replace(F.replace(out, F.lit("\ue0fd"), F.lit("{")), F.lit("\ue0fe"), F.lit("}"))

@@ -388,3 +388,38 @@ def q_mbpp_check(spark, sf):
     m = m.withColumn("entry_point", A.mbpp_entry_point(F.element_at("tests", 1)))
     return m.select("item_id", "entry_point", A.mbpp_check_program("tests", "entry_point").alias("test"),
                     A.signature_line("text", "entry_point").alias("signature"))
+
+
+# ------------------------------------------------------------------ F9
+LEAN_TEMPLATE = "Prove {{ this }}: {source} / {lang}"
+
+
+@register("dataset_prompts", f"""
+SELECT doc_id,
+  chr(10) || text || chr(10) || chr(10) || 'Please generate the code in the following format:' || chr(10) || '```python'
+    || chr(10) || split_part(text, ' ', 1) || chr(10) || '```' || chr(10) AS aider,
+  {_q(P.AIDER_WRAP[0])} || chr(10) || chr(10) || text || chr(10) || chr(10)
+    || 'Please generate the code in the following format:' || chr(10) || '```python' || chr(10)
+    || split_part(text, ' ', 1) || chr(10) || '```' || chr(10) || chr(10) || {_q(P.AIDER_WRAP[1])} || chr(10)
+    AS aider_wrapped,
+  CASE WHEN doc_id % 2 = 0 THEN 'fs ' || lang || chr(10) || chr(10) || {_q(P.SECTION_SEP)} || chr(10) || chr(10)
+       || 'Question:' || chr(10) ELSE '' END
+    || 'sys ' || source || chr(10) || 'q ' || lang || chr(10) || split_part(text, chr(10), 1) || chr(10) || '```verilog'
+    || chr(10) || 'module m;' || chr(10) || '```'
+    || CASE WHEN doc_id % 2 = 0 THEN chr(10) || chr(10) || 'Answer:' ELSE '' END AS verilog,
+  {_q(P.LEAN_PREFIX['en'] + chr(10) + chr(10) + '```lean' + chr(10))} || text || chr(10) || '```' AS lean,
+  'Prove {{ this }}: ' || source || ' / ' || lang AS lean_templated
+FROM documents""")
+def q_dataset_prompts(spark, sf):
+    d = V.table(spark, sf, "documents")
+    i = F.col("doc_id")
+    first_word = F.split_part("text", F.lit(" "), F.lit(1))
+    fs = F.when(i % 2 == 0, F.concat(F.lit("fs "), F.col("lang")))
+    return d.select(
+        "doc_id", P.aider_prompt(F.col("text"), first_word).alias("aider"),
+        P.aider_prompt(F.col("text"), first_word, wrap=True).alias("aider_wrapped"),
+        P.verilog_prompt(F.lit("module m;\n"), F.split_part("text", F.lit("\n"), F.lit(1)),
+                         F.concat(F.lit("sys "), F.col("source")), F.concat(F.lit("q "), F.col("lang")), fs)
+        .alias("verilog"),
+        P.lean_prompt(F.col("text"), "en").alias("lean"),
+        P.format_template(LEAN_TEMPLATE, d).alias("lean_templated"))
