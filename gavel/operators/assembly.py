@@ -239,3 +239,45 @@ def signature_line(code, entry_point) -> Column:
     lines = F.split(_c(code), "\n", -1)
     return F.coalesce(F.try_element_at(F.filter(lines, lambda ln: F.instr(ln, _c(entry_point)) > 0), F.lit(1)),
                       F.lit(""))
+
+
+# ------------------------------------------------------------------ E4
+def humaneval_program_df(df: DataFrame, completion_col: str, prompt_col: str, tests_col: str,
+                         stop_tokens_col: str, language: str, mode: str = "pretrain",
+                         entry_point_col: str | None = None, out: str = "program") -> DataFrame:
+    """HumanEval / MultiPL-E test program.
+
+    * ``pretrain``: completion cut by the row's stop tokens (D13) and kept to the
+      language's end token (D14), appended to the prompt, then the tests;
+    * ``func``: the winning code block (D4) without its main (D15), then the tests;
+    * ``stop_token``: the first freeform block (D6), stop tokens, main removed, tests.
+    The language's import lines are prepended (E3); python programs end with
+    ``check(entry_point)``; Java's ``class Problem`` becomes ``class Main``; Go
+    packages and imports are hoisted (E2).
+    """
+    from gavel.operators import extraction as X
+    lang = language.split(".")[0]
+    c = F.col(completion_col)
+    if mode == "pretrain":
+        code = X.keep_to_end_token(X.stop_trim(c, F.col(stop_tokens_col)), lang)
+        st = df.withColumn("__code", code)
+        full = F.concat(F.col(prompt_col), F.lit("\n"), F.col("__code"), F.lit("\n"), F.col(tests_col))
+    elif mode == "func":
+        st = X.pick(df, completion_col, lang, out="__w")
+        st = st.withColumn("__code", X.cut_main(F.coalesce(F.col("__w.code"), F.lit("")), lang)).drop("__w")
+        full = F.concat(F.col("__code"), F.lit("\n"), F.col(tests_col))
+    elif mode == "stop_token":
+        st = X.extract_freeform_df(df, completion_col, lang, out="__x", first_block_only=True)
+        st = st.withColumn("__code", X.cut_main(X.stop_trim(F.col("__x.code"), F.col(stop_tokens_col)), lang)) \
+            .drop("__x")
+        full = F.concat(F.col("__code"), F.lit("\n"), F.col(tests_col))
+    else:
+        raise ValueError(mode)
+    full = with_import_preamble(full, lang)
+    if lang == "python" and entry_point_col:
+        full = F.concat(full, F.lit("\ncheck("), F.col(entry_point_col), F.lit(")"))
+    if lang == "java":
+        full = F.replace(full, F.lit("class Problem"), F.lit("class Main"))
+    if lang in ("go", "go_test"):
+        full = go_hoist_imports(full)
+    return st.withColumn(out, full).withColumnRenamed("__code", f"{out}_completion")

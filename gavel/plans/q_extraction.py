@@ -404,3 +404,39 @@ def q_mbpp_code(spark, sf):
                                       F.substring("completion", 41, 1 << 30))).otherwise(F.col("completion"))
     c = c.select("doc_id", c2.alias("t"))
     return X.mbpp_code_df(c, "t").select("doc_id", "code")
+
+
+# ------------------------------------------------------------------ E4
+HE_STOP = ["\ndef ", "\nclass ", "\nif ", "\nprint("]
+
+
+def _he_stop_sql(x: str) -> str:
+    out = x
+    for tok in HE_STOP:
+        lit = " || ".join(["chr(10)"] + [f"'{tok[1:]}'"]) if tok.startswith("\n") else f"'{tok}'"
+        out = f"(CASE WHEN strpos({out}, {lit}) > 0 THEN left({out}, strpos({out}, {lit}) - 1) ELSE {out} END)"
+    return out
+
+
+def _he_preamble_sql() -> str:
+    from gavel.operators.assembly import IMPORT_PREAMBLE
+    from gavel.plans.q_prompts import _q
+    return _q("\n".join(IMPORT_PREAMBLE["python"]) + "\n")
+
+
+@register("humaneval_program", with_ctes(S.completions_sql(), _BLOCK_LISTS, _BLOCK_ROWS) + f"""
+SELECT c.doc_id,
+  {_he_preamble_sql()} || 'def f(x):' || chr(10) || {_he_stop_sql('c.completion')} || chr(10) || 'assert f(1)'
+    || chr(10) || 'check(f)' AS pretrain_program,
+  {_he_preamble_sql()} || coalesce(r.code, '') || chr(10) || 'assert f(1)' || chr(10) || 'check(f)' AS func_program
+FROM completions c LEFT JOIN ranked r ON c.doc_id = r.doc_id AND r.rn = 1""")
+def q_humaneval_program(spark, sf):
+    from gavel.operators import assembly as A
+    c = V.completions(spark, sf).select(
+        "doc_id", "completion", F.lit("def f(x):").alias("prompt"), F.lit("assert f(1)").alias("tests"),
+        F.array(*[F.lit(t) for t in HE_STOP]).alias("stops"), F.lit("f").alias("entry_point"))
+    a = A.humaneval_program_df(c, "completion", "prompt", "tests", "stops", "python", "pretrain", "entry_point",
+                               out="pretrain_program")
+    b = A.humaneval_program_df(a, "completion", "prompt", "tests", "stops", "python", "func", "entry_point",
+                               out="func_program")
+    return b.select("doc_id", "pretrain_program", "func_program")

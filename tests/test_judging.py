@@ -143,3 +143,17 @@ def test_math_normalize_and_equal(spark):
     got = {(a, r): p for a, r, p in rows(J.judge_math(df), "answer", "reference", "passed")}
     for a, r, want in cases:
         assert got[(a, r)] == want, (a, r)
+
+
+def test_humaneval_program_java_and_go(spark):
+    fence = "```"
+    df = spark.createDataFrame(
+        [(f"{fence}java\nclass Problem {{ int f() {{ return 1; }} }}\n{fence}", "", "// tests", ["\n}"]),
+         (f"{fence}go\npackage main\nimport \"fmt\"\nfunc F() {{}}\n{fence}", "", "import \"os\"", ["\nzz"])],
+        "completion string, prompt string, tests string, stops array<string>")
+    java = A.humaneval_program_df(df.limit(1), "completion", "prompt", "tests", "stops", "java", "stop_token")
+    p = java.first()["program"]
+    assert p.startswith("import java.util.*;") and "class Main" in p and "class Problem" not in p
+    go = A.humaneval_program_df(df.subtract(df.limit(1)), "completion", "prompt", "tests", "stops", "go", "func")
+    g = go.first()["program"]
+    assert g.startswith('package main\n\nimport "fmt"\nimport "os"\n\n')
