@@ -251,3 +251,30 @@ def training_record(df: DataFrame, prompt_col: str = "prompt", gold_col: str = "
         F.struct(F.when(good, columnar_cases(F.col(f"{info_col}.test_cases"))).otherwise(F.lit(""))
                  .alias("ground_truth"), F.lit("rule").alias("style")).alias("reward_model"),
         F.col(source_col).alias("data_source"))
+
+
+# ------------------------------------------------------------------ C6
+# HumanEval / MultiPL-E dataset id -> run language and extraction language.
+HUMANEVAL_RUN_LANGUAGE = {
+    "humaneval_python": "python", "humaneval_cpp": "cpp", "humaneval_typescript": "typescript",
+    "humaneval_bash": "bash", "humaneval_csharp": "csharp", "humaneval_go": "go_test", "humaneval_java": "java",
+    "humaneval_lua": "lua", "humaneval_javascript": "nodejs", "humaneval_php": "php", "humaneval_perl": "perl",
+    "humaneval_racket": "racket", "humaneval_r": "R", "humaneval_rust": "rust", "humaneval_scala": "scala",
+    "humaneval_swift": "swift", "humaneval_ruby": "ruby", "humaneval_d": "D_ut", "humaneval_julia": "julia",
+    "shadow_humaneval_python": "python", "evoeval": "python",
+}
+HUMANEVAL_EXTRACT_LANGUAGE = {
+    "humaneval_python": "python", "humaneval_cpp": "cpp", "humaneval_typescript": "typescript",
+    "humaneval_bash": "bash", "humaneval_csharp": "csharp", "humaneval_go": "go", "humaneval_java": "java",
+    "humaneval_lua": "lua", "humaneval_js": "js", "humaneval_php": "php", "humaneval_perl": "perl",
+    "humaneval_racket": "racket", "humaneval_r": "r", "humaneval_rust": "rust", "humaneval_scala": "scala",
+    "humaneval_swift": "swift", "humaneval_ruby": "ruby", "humaneval_d": "d", "humaneval_julia": "julia",
+    "shadow_humaneval_python": "python", "evoeval": "python",
+}
+
+
+def map_language(key: Column, mapping: dict[str, str], default: Column) -> Column:
+    """Dataset / alias -> language with a default (C6); a literal map, no join."""
+    from itertools import chain
+    m = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in mapping.items()))
+    return F.coalesce(F.element_at(m, key), default)

@@ -341,3 +341,47 @@ def q_read_versions(spark, sf):
     df = read_versions(spark, base, [name], "lineitem.parquet").select(F.lit("lineitem").alias("version"))
     df2 = read_versions(spark, base, [name], "orders.parquet").select(F.lit("orders").alias("version"))
     return df.unionByName(df2).groupBy("version").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ C6
+_DATASETS = sorted(TB.HUMANEVAL_RUN_LANGUAGE) + ["humaneval_js", "mbpp", "other"]
+
+
+@register("map_language", f"""
+SELECT item_id, dataset,
+  coalesce(CASE dataset {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in TB.HUMANEVAL_RUN_LANGUAGE.items())} END,
+           row_language) AS run_language,
+  split_part(coalesce(CASE dataset {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in TB.HUMANEVAL_EXTRACT_LANGUAGE.items())}
+                      END, row_language), '.', 1) AS extract_language
+FROM (SELECT item_id, ({'['+', '.join(repr(d) for d in _DATASETS)+']'})[item_id % {len(_DATASETS)} + 1] AS dataset,
+             CASE WHEN item_id % 2 = 0 THEN 'python' ELSE 'cpp.x' END AS row_language FROM benchmark)""")
+def q_map_language(spark, sf):
+    b = V.table(spark, sf, "benchmark")
+    ds = F.element_at(F.array(*[F.lit(d) for d in _DATASETS]), (F.col("item_id") % len(_DATASETS) + 1).cast("int"))
+    row_lang = F.when(F.col("item_id") % 2 == 0, F.lit("python")).otherwise(F.lit("cpp.x"))
+    m = b.select("item_id", ds.alias("dataset"), row_lang.alias("row_language"))
+    return m.select("item_id", "dataset",
+                    TB.map_language(F.col("dataset"), TB.HUMANEVAL_RUN_LANGUAGE, F.col("row_language"))
+                    .alias("run_language"),
+                    F.split_part(TB.map_language(F.col("dataset"), TB.HUMANEVAL_EXTRACT_LANGUAGE, F.col("row_language")),
+                                 F.lit("."), F.lit(1)).alias("extract_language"))
+
+
+# ------------------------------------------------------------------ G19
+@register("notebook_cells", """
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS cell_idx, s[i] AS stdout, CASE WHEN i = 2 THEN 'warn' ELSE '' END AS stderr,
+       1 AS n_display, CASE WHEN i = 3 THEN 1 ELSE 0 END AS n_error
+FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i
+      FROM (SELECT doc_id, string_split(text, '. ')[1:3] AS s FROM documents))""")
+def q_notebook_cells(spark, sf):
+    from gavel.operators import assembly as A
+    d = V.table(spark, sf, "documents")
+    sents = F.slice(F.split("text", r"\. ", -1), 1, 3)
+    cells = F.transform(sents, lambda s, i: F.struct(
+        s.alias("stdout"), F.when(i == 1, F.lit("warn")).otherwise(F.lit("")).alias("stderr"),
+        F.array(F.create_map(F.lit("text/plain"), s)).alias("display"),
+        F.when(i == 2, F.array(F.create_map(F.lit("ename"), F.lit("E")))).otherwise(
+            F.array().cast("array<map<string,string>>")).alias("error")))
+    c = A.explode_cells(d.select("doc_id", cells.alias("cells")), "cells", ["doc_id"])
+    return c.select("doc_id", "cell_idx", "stdout", "stderr", F.size("display").alias("n_display"),
+                    F.size("error").alias("n_error"))
