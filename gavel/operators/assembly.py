@@ -281,3 +281,148 @@ def humaneval_program_df(df: DataFrame, completion_col: str, prompt_col: str, te
     if lang in ("go", "go_test"):
         full = go_hoist_imports(full)
     return st.withColumn(out, full).withColumnRenamed("__code", f"{out}_completion")
+
+
+# ------------------------------------------------------------------ E8
+# Literal rendering from VARIANT values.  Re-aimed as the survey decided: scalars
+# (integer, decimal, double, string, boolean, null) for every language; arrays of
+# scalars for python only (the reference prints every list in Python spelling).
+_TRUE_FALSE = {"racket": ("#t", "#f"), "bash": ("1", "0"), "perl": ("1", "0")}
+_C_LIKE_BOOL = ["cpp", "java", "csharp", "go", "rust", "D_ut", "lua", "julia", "nodejs", "typescript", "php", "ruby",
+                "scala", "swift"]
+
+
+def _py_str_repr(s: Column) -> Column:
+    """Python ``repr(str)`` for the common cases: quote choice, backslash, quote and \\n \\r \\t escapes."""
+    esc = F.replace(s, F.lit("\\"), F.lit("\\\\"))
+    for a, b in [("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")]:
+        esc = F.replace(esc, F.lit(a), F.lit(b))
+    use_double = (F.instr(s, "'") > 0) & (F.instr(s, '"') == 0)
+    return F.when(use_double, F.concat(F.lit('"'), esc, F.lit('"'))).otherwise(
+        F.concat(F.lit("'"), F.replace(esc, F.lit("'"), F.lit("\\'")), F.lit("'")))
+
+
+def _py_scalar(v: Column) -> Column:
+    t = F.schema_of_variant(v)
+    return (F.when(t == "STRING", _py_str_repr(F.try_variant_get(v, "$", "string")))
+            .when(t == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), F.lit("True")).otherwise(F.lit("False")))
+            .when(t == "VOID", F.lit("None"))
+            .otherwise(F.to_json(v)))
+
+
+def py_literal(v: Column) -> Column:
+    """Python spelling of a scalar or an array of scalars held in a VARIANT."""
+    items = F.try_variant_get(v, "$", "array<variant>")
+    return F.when(F.schema_of_variant(v).startswith("ARRAY"),
+                  F.concat(F.lit("["), F.array_join(F.transform(items, _py_scalar), ", "), F.lit("]"))) \
+        .otherwise(_py_scalar(v))
+
+
+def _arg_literal(v: Column) -> Column:
+    """Non-python argument: strings in double quotes (unescaped), everything else as Python prints it."""
+    return F.when(F.schema_of_variant(v) == "STRING",
+                  F.concat(F.lit('"'), F.try_variant_get(v, "$", "string"), F.lit('"'))).otherwise(py_literal(v))
+
+
+def _expected_literal(v: Column, language: str) -> Column:
+    """Expected value: a one-element list is unwrapped; strings double-quoted; booleans per language."""
+    first = F.try_variant_get(v, "$[0]", "variant")
+    single = F.schema_of_variant(v).startswith("ARRAY") & (F.size(F.try_variant_get(v, "$", "array<variant>")) == 1)
+    o = F.when(single, first).otherwise(v)
+    t = F.schema_of_variant(o)
+    b = F.try_variant_get(o, "$", "boolean")
+    if language in _C_LIKE_BOOL:
+        tf = (F.lit("true"), F.lit("false"))
+    elif language in _TRUE_FALSE:
+        tf = tuple(F.lit(x) for x in _TRUE_FALSE[language])
+    else:
+        tf = (F.lit("True"), F.lit("False"))
+    return (F.when(t == "STRING", F.concat(F.lit('"'), F.try_variant_get(o, "$", "string"), F.lit('"')))
+            .when(t == "BOOLEAN", F.when(b, tf[0]).otherwise(tf[1]))
+            .otherwise(py_literal(o)))
+
+
+# The python header used when the function is a method of class Solution.
+PY_SOLUTION_HEADER = (
+    "from string import *\nfrom re import *\nfrom datetime import *\nfrom collections import *\nfrom heapq import *\n"
+    "from bisect import *\nfrom copy import *\nfrom math import *\nfrom random import *\nfrom statistics import *\n"
+    "from itertools import *\nfrom functools import *\nfrom operator import *\nfrom io import *\nfrom sys import *\n"
+    "from json import *\nfrom builtins import *\nfrom typing import *\nimport string\nimport re\nimport datetime\n"
+    "import collections\nimport heapq\nimport bisect\nimport copy\nimport math\nimport random\nimport statistics\n"
+    "import itertools\nimport functools\nimport operator\nimport io\nimport sys\nimport json\n"
+    "sys.setrecursionlimit(6*10**5)\n")
+
+# Per-language assertion programs.  Placeholders: {F} function source,
+# {N} function name, {A} argument list, {E} expected literal.
+ASSERT_TEMPLATES = {
+    "racket": "\n{F}\n(define (main)\n    (define res ({N} {A}))\n    (define expected {E})\n    (if (equal? res expected)\n"
+              "        (display \"Test passed\")\n        (error \"Test failed\")))\n(main)\n",
+    "D_ut": "\nimport std.stdio;\n{F}\nvoid main() {\n    auto res = {N}({A});\n    auto expected = {E};\n"
+            "    if (res != expected) {\n        throw new Exception(\"Test failed\");\n    } else {\n"
+            "        writeln(\"Test passed\");\n    }\n}\n",
+    "lua": "\n{F}\nres = {N}({A})\nassert(res =={E}, \"Test failed: expected 8, got \" .. res)\n",
+    "julia": "\n{F}\nres = {N}({A})\nif res != {E}\n    error(\"Test failed\")\nend\n",
+    "nodejs": "\n{F}\nconst res = {N}({A});\nconst expected = {E};\nif (res !== expected) {\n"
+              "    throw new Error(`Test failed`);\n}\n",
+    "cpp": "\n#include <iostream>\n#include <cassert>\n{F}\nint main() {\n    auto res = {N}({A});\n"
+           "    auto expected = {E};\n    assert(res == expected);\n    return 0;\n}\n",
+    "go": "\npackage main\nimport (\n    \"fmt\"\n    \"testing\"\n)\n{F}\nfunc Test{N}(t *testing.T) {\n"
+          "    res := {N}({A})\n    expected := {E}\n    if res != expected {\n"
+          "        t.Errorf(\"Expected %v, got %v\", expected, res)\n    }\n}\nfunc main() {\n    res := {N}({A})\n"
+          "    expected := {E}\n    if res != expected {\n"
+          "        panic(fmt.Sprintf(\"Test failed: Expected %v, got %v\", expected, res))\n    } else {\n"
+          "        fmt.Println(\"Test passed\")\n    }\n}\n",
+    "java": "\npublic class Main {\n    {F}\n    public static void main(String[] args) {\n        var res = {N}({A});\n"
+            "        var expected = {E};\n        if (res != expected) {\n"
+            "            throw new RuntimeException(\"Test failed\");\n        } else {\n"
+            "            System.out.println(\"Test passed\");\n        }\n    }\n}\n",
+    "typescript": "\n{F}\nconst res = {N}({A});\nconst expected = {E};\nif (res !== expected) {\n"
+                  "    throw new Error(`Test failed`);\n}\n",
+    "csharp": "\nusing System;\n\npublic class Test{N} {\n    {F}\n    public static void Main(string[] args) {\n"
+              "        var res = {N}({A});\n        var expected = {E};\n        if (res != expected) {\n"
+              "            throw new Exception(\"Test failed\");\n        } else {\n"
+              "            Console.WriteLine(\"Test passed\");\n        }\n    }\n}\n",
+    "rust": "\n{F}\nfn main() {\n    let res = {N}({A});\n    let expected = {E};\n    if res != expected {\n"
+            "        panic!(\"Test failed\");\n    } else {\n        println!(\"Test passed\");\n    }\n}\n",
+    "php": "\n<?php\n{F}\n$res = {N}({A});\n$expected = {E};\nif ($res != $expected) {\n"
+           "    throw new Exception(\"Test failed\");\n}\n?>\n",
+    "bash": "\n{F}\nres=$({N} {A})\nexpected={E}\nif [ \"$res\" != \"$expected\" ]; then\n"
+            "    echo \"Test failed, res: $res, expected: $expected\" 1>&2\n    exit 1\nfi\n",
+    "ruby": "\n{F}\nres = {N}({A})\nexpected = {E}\nif res != expected\n    raise \"Test failed\"\nend\n",
+    "perl": "\n{F}\n$res = {N}({A});\n$expected = {E};\nif ($res != $expected) {\n    die \"Test failed\";\n}\n",
+    "scala": "\nobject Test{N} {\n    {F}\n    def main(args: Array[String]): Unit = {\n        val res = {N}({A})\n"
+             "        val expected = {E}\n        if (res != expected) {\n"
+             "            throw new Exception(s\"Test failed: Expected $expected, got $res\")\n        } else {\n"
+             "            println(\"Test passed\")\n        }\n    }\n}\n",
+}
+_SPACE_SEPARATED = ("racket", "bash")
+
+
+def _fill(template: str, parts: dict[str, Column]) -> Column:
+    """Split the template on its placeholders and concatenate literal pieces with columns."""
+    import re
+    pieces = re.split(r"(\{[FNAE]\})", template)
+    return F.concat(*[parts[p[1]] if re.fullmatch(r"\{[FNAE]\}", p) else F.lit(p) for p in pieces if p != ""])
+
+
+def function_assertion(function, fn_name, inputs, output, language: str) -> Column:
+    """Assertion program for one function-call case.
+
+    ``inputs`` is a VARIANT array of arguments, ``output`` the expected VARIANT.
+    """
+    fn, name = _c(function), _c(fn_name)
+    args = F.try_variant_get(_c(inputs), "$", "array<variant>")
+    if language == "python":
+        call_args = py_literal(_c(inputs))
+        expected = F.concat(py_literal(_c(output)), F.lit("[0]"))
+        plain = F.concat(F.lit("\n"), fn, F.lit("\nres = "), name, F.lit("(*"), call_args,
+                         F.lit(")\nassert res == "), expected, F.lit("\n"))
+        method = F.concat(F.lit(PY_SOLUTION_HEADER + "\n"), fn, F.lit("\nsol = Solution()\nres = sol."), name,
+                          F.lit("(*"), call_args, F.lit(")\nassert res == "), expected, F.lit("\n"))
+        return F.when(F.instr(fn, "class Solution") > 0, method).otherwise(plain)
+    if language not in ASSERT_TEMPLATES:
+        raise ValueError(f"no assertion template for {language}")
+    sep = " " if language in _SPACE_SEPARATED else ", "
+    arg_str = F.array_join(F.transform(args, _arg_literal), sep)
+    return _fill(ASSERT_TEMPLATES[language], {"F": fn, "N": name, "A": arg_str,
+                                               "E": _expected_literal(_c(output), language)})

@@ -54,3 +54,21 @@ def test_metric_and_dataset_registries(spark):
     assert "acc" in H.METRICS
     H.register_dataset(H.DatasetProfile("humaneval_python", match=lambda d: d.startswith("humaneval_")))
     assert H.dataset_for("humaneval_cpp").name == "humaneval_python" and H.dataset_for("nope") is None
+
+
+def test_function_assertion_programs(spark):
+    df = spark.createDataFrame([("def add(a, b):\n    return a + b", "add", '[1, "x", true, null]', '[3]'),
+                                ("class Solution:\n    def f(self, s): return s", "f", '["it\'s"]', '["ok"]')],
+                               "fn string, name string, i string, o string")
+    d = df.select("fn", "name", F.parse_json("i").alias("i"), F.parse_json("o").alias("o"))
+    py = [r["p"] for r in d.select(A.function_assertion(F.col("fn"), F.col("name"), F.col("i"), F.col("o"),
+                                                        "python").alias("p")).collect()]
+    assert py[0] == "\ndef add(a, b):\n    return a + b\nres = add(*[1, 'x', True, None])\nassert res == [3][0]\n"
+    assert py[1].startswith(A.PY_SOLUTION_HEADER) and "res = sol.f(*[\"it's\"])" in py[1]
+    js = d.limit(1).select(A.function_assertion(F.col("fn"), F.col("name"), F.col("i"), F.col("o"), "nodejs")
+                           .alias("p")).first()["p"]
+    assert "const res = add(1, \"x\", True, None);\nconst expected = 3;" in js
+    b = spark.createDataFrame([("f() { echo 1; }", "f", "[2, \"y\"]", "[true]")], "fn string, name string, i string, o string")
+    bash = b.select(A.function_assertion(F.col("fn"), F.col("name"), F.parse_json("i"), F.parse_json("o"), "bash")
+                    .alias("p")).first()["p"]
+    assert 'res=$(f 2 "y")\nexpected=1\n' in bash
