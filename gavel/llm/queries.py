@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gavel.llm import line_dedup, sharding
+from gavel.llm import decontamination, line_dedup, packing, quality_rules, sharding
 from gavel.llm.common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -20,11 +20,27 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.query(documents(spark, sf_dir))
 
 
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.query(documents(spark, sf_dir))
+
+
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_line_dedup": _op1,
     "op3_sharding": _op3,
+    "op7_quality_rules": _op7,
+    "op8_packing": _op8,
+    "op10_decontamination": _op10,
 }
 
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.SQL,
+    "op10_decontamination": decontamination.SQL,
 }
