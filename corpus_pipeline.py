@@ -1,22 +1,49 @@
-"""Corpus pipeline: five filtering and packing stages over ``documents``, each written as Parquet and read again."""
+"""Corpus pipeline: five filtering and packing stages over ``documents``, each written as Parquet and read again.
+
+Quality rules drop what they reject, line dedup cuts lines, near-dedup keeps
+one document of each class, decontamination drops contaminated documents, and
+packing turns what is left into pieces of sequences.  Each stage works on all
+that its predecessor kept; the cases of nulls, ties and empty tables are those
+of the operators.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gavel.llm import line_dedup
+from gavel.llm import decontamination, line_dedup, near_dedup, packing, quality_rules
 from gavel.llm.common import Scratch, documents
 
 
+def _quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.stage(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.stage(docs)
 
 
+def _near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.stage(docs)
+
+
+def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.stage(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def _packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.stage(docs)
+
+
 STAGES = [
+    ("quality_rules", _quality_rules),
     ("line_dedup", _line_dedup),
+    ("near_dedup", _near_dedup),
+    ("decontamination", _decontamination),
+    ("packing", _packing),
 ]
 
-#: SQL can't express the trained quality model, so the stages are tested against brute-force versions.
+#: SQL can't express the trained trees, so the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
 

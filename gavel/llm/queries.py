@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gavel.llm import decontamination, line_dedup, packing, quality_rules, sharding
+from gavel.llm import decontamination, line_dedup, near_dedup, packing, quality_rules, sharding
 from gavel.llm.common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(documents(spark, sf_dir))
 
 
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.query(documents(spark, sf_dir))
+
+
 def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.query(documents(spark, sf_dir))
 
@@ -34,6 +38,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_line_dedup": _op1,
+    "op2_near_dedup": _op2,
     "op3_sharding": _op3,
     "op7_quality_rules": _op7,
     "op8_packing": _op8,
