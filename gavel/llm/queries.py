@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gavel.llm import decontamination, line_dedup, near_dedup, packing, quality_rules, sharding
+from gavel.llm import (decontamination, license_scan, line_dedup, near_dedup, packing, pseudonyms, quality_rules, sharding,
+                       token_counts)
 from gavel.llm.common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,14 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.query(documents(spark, sf_dir))
 
 
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.query(documents(spark, sf_dir))
+
+
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.query(documents(spark, sf_dir))
+
+
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -32,6 +41,10 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(documents(spark, sf_dir))
 
 
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.query(documents(spark, sf_dir))
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -40,8 +53,11 @@ QUERIES: dict[str, QueryFn] = {
     "op1_line_dedup": _op1,
     "op2_near_dedup": _op2,
     "op3_sharding": _op3,
+    "op5_token_counts": _op5,
+    "op6_license_scan": _op6,
     "op7_quality_rules": _op7,
     "op8_packing": _op8,
+    "op9_pseudonyms": _op9,
     "op10_decontamination": _op10,
 }
 
