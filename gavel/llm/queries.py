@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gavel.llm import (decontamination, license_scan, line_dedup, near_dedup, packing, pseudonyms, quality_rules, sharding,
-                       token_counts)
+                       suffix_dedup, token_counts)
 from gavel.llm.common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.query(documents(spark, sf_dir))
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.query(documents(spark, sf_dir))
+
+
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.query(documents(spark, sf_dir))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, QueryFn] = {
     "op1_line_dedup": _op1,
     "op2_near_dedup": _op2,
     "op3_sharding": _op3,
+    "op4_suffix_dedup": _op4,
     "op5_token_counts": _op5,
     "op6_license_scan": _op6,
     "op7_quality_rules": _op7,
