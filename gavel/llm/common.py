@@ -47,6 +47,12 @@ def text_key(text="text"):
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def shielded(docs: DataFrame, *used: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the columns that an operator doesn't use renamed, so that no name clashes, and how to undo it."""
+    names = {c: f"extra_{k}" for k, c in enumerate(docs.columns) if c not in used}
+    return docs.withColumnsRenamed(names), {v: k for k, v in names.items()}
+
+
 # ------------------------------------------------------------ numpy on bytes
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

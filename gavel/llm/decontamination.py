@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gavel.llm.common import text_key
+from gavel.llm.common import shielded, text_key
 
 SPAN = 13
 GRAM = 6
@@ -142,6 +142,7 @@ def _merge(spans: Column, x: Column) -> Column:
 
 def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All columns of ``docs`` plus dc_n_words, dc_n_hit, dc_items, dc_spans and dc_contaminated."""
+    docs, names = shielded(docs, "doc_id", "text")
     keyed = docs.withColumns({"dc_id": F.col("doc_id"), "dc_text": text_key()})
     keys = ["dc_id", "dc_text"]
     hit = hits(keyed.select(*keys, "text"), benchmark, keys).withColumnsRenamed({"dc_id": "dc_id2", "dc_text": "dc_text2"})
@@ -149,7 +150,7 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     joined = counted.join(hit, F.col("dc_id").eqNullSafe(F.col("dc_id2")) & (F.col("dc_text") == F.col("dc_text2")), "left")
     joined = joined.withColumn("dc_n_hit", F.coalesce("n_hit", F.lit(0).cast("long")))
     joined = joined.withColumn("dc_contaminated", (F.col("dc_n_hit") > 0) & (F.col("dc_n_hit") * MIN_SHARE >= F.col("dc_n_words")))
-    return joined.drop("dc_id", "dc_text", "dc_id2", "dc_text2", "n_hit")
+    return joined.drop("dc_id", "dc_text", "dc_id2", "dc_text2", "n_hit").withColumnsRenamed(names)
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -163,7 +164,10 @@ def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def stage(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated."""
-    return judged(docs, benchmark).where(~F.col("dc_contaminated")).select(*docs.columns)
+    bad = judged(docs.select("doc_id", "text"), benchmark).where("dc_contaminated")
+    bad = bad.select("doc_id", text_key().alias("dc_text")).distinct().alias("bad")
+    same = F.col("doc.doc_id").eqNullSafe(F.col("bad.doc_id")) & (text_key("doc.text") == F.col("bad.dc_text"))
+    return docs.alias("doc").join(bad, same, "left_anti")
 
 
 SQL = r"""
