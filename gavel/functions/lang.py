@@ -62,10 +62,6 @@ def alias_sql_case(tag_sql: str) -> str:
     return f"(CASE {tag_sql} {whens} ELSE '' END)"
 
 
-def is_alias_of(x: Column, language: str) -> Column:
-    return x.isin(ALIASES_OF.get(language, []))
-
-
 def other_language_tags(language: str) -> list[str]:
     """Every alias that belongs to some language other than ``language``."""
     return sorted({a for lang, al in LANGUAGE_ALIASES if lang != language for a in al})

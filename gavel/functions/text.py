@@ -100,13 +100,6 @@ def truncate_middle(x, limit: int = 1000, keep: int = 498, marker: str = "...")
                   F.concat(F.substring(c, 1, keep), F.lit(marker), F.right(c, F.lit(keep)))).otherwise(c)
 
 
-def head_tail(x, head: int, tail: int, marker: str) -> Column:
-    """Head + marker + tail when longer than ``head`` chars."""
-    c = _c(x)
-    return F.when(F.length(c) > head,
-                  F.concat(F.substring(c, 1, head), F.lit(marker), F.right(c, F.lit(tail)))).otherwise(c)
-
-
 def cut_before(x, marker: str, strip: bool = True) -> Column:
     """Python ``s[:s.index(marker)]`` when marker occurs (optionally stripped)."""
     c = _c(x)
@@ -115,7 +108,3 @@ def cut_before(x, marker: str, strip: bool = True) -> Column:
     head = py_strip(head) if strip else head
     return F.when(pos > 0, head).otherwise(c)
 
-
-def text_after_last(x, marker: str) -> Column:
-    """Text after the last occurrence of ``marker`` (whole text when absent)."""
-    return F.substring_index(_c(x), marker, -1)

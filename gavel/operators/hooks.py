@@ -21,7 +21,7 @@ BLOCK_STRUCT = StructType([StructField("priority", IntegerType()), StructField("
 
 def blocks_hook(fn: Callable[[str], list[tuple[int, str, str]]]) -> Callable[[Column], Column]:
     """Wrap ``completion -> [(priority, language, code), ...]`` as a vectorised UDF
-    whose result can be passed as ``custom=`` to ``all_blocks`` / ``pick``."""
+    whose result can be passed as ``custom=`` to ``with_blocks`` / ``pick``."""
     @F.pandas_udf(ArrayType(BLOCK_STRUCT))
     def _udf(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: [{"priority": int(p), "language": lang, "code": code}

@@ -21,15 +21,21 @@ def _lang(tag: str) -> str:
     return alias_sql_case(_t(tag))
 
 
+# the block rules spelled for RE2
+_B = X.WS
+_FENCED = r"(?s)```([^\n]*)\n(.*?)\n" + _B + "*```"
+_OPEN = r"(?s)```([^\n]*)\n(.*)"
+_BARE_PY = r"(?m)(?:^(?:import|from|#)[^\n]+\n)*^(?:def|class) [^\n]+\n(?:" + _B + r"+[^\n]+\n)+"
+
 _BLOCK_LISTS = f"""
 b AS (
   SELECT doc_id, completion,
-    regexp_extract_all(completion, '{X.FENCED_RE}', 1) AS ft,
-    regexp_extract_all(completion, '{X.FENCED_RE}', 2) AS fb,
+    regexp_extract_all(completion, '{_FENCED}', 1) AS ft,
+    regexp_extract_all(completion, '{_FENCED}', 2) AS fb,
     regexp_extract_all(array_to_string(list_filter(string_split(completion, chr(10)),
-        lambda l: {_t('l')} <> ''), chr(10)) || chr(10), '{X.PY_HEURISTIC_RE}', 0) AS hb,
-    regexp_extract_all(completion, '{X.OPEN_RE}', 1) AS ot,
-    regexp_extract_all(completion, '{X.OPEN_RE}', 2) AS ob
+        lambda l: {_t('l')} <> ''), chr(10)) || chr(10), '{_BARE_PY}', 0) AS hb,
+    regexp_extract_all(completion, '{_OPEN}', 1) AS ot,
+    regexp_extract_all(completion, '{_OPEN}', 2) AS ob
   FROM completions)"""
 
 _BLOCK_ROWS = f"""
@@ -81,12 +87,11 @@ SELECT CASE WHEN len(ft) > 0 THEN 'fenced' WHEN len(ot) > 0 THEN 'incomplete_fen
 FROM b LEFT JOIN ranked r ON b.doc_id = r.doc_id AND r.rn = 1
 GROUP BY 1, 2""")
 def q_extraction_census(spark, sf):
-    t = F.col("completion")
-    st = (V.completions(spark, sf).withColumn("__fb", X.fenced_blocks(t)).withColumn("__ob", X.open_blocks(t))
-          .withColumn("__hb", X.heuristic_blocks(t, "python")))
-    ff = X._freeform_from(F.col("__fb"), F.col("__ob"), F.col("__hb"), "python")
-    win = X.pick_block(F.concat("__fb", "__hb", "__ob"), "python")
-    typed = st.select(ff["extracted_type"].alias("extracted_type"), win["language"].alias("language"))
+    won = X.pick(V.completions(spark, sf), "completion", "python", out="win")
+    kind = (F.when(F.col("win.priority") == X.PRIO_FENCED, "fenced")
+            .when(F.col("win.priority") == X.PRIO_OPEN, "incomplete_fenced")
+            .when(F.col("win.priority") == X.PRIO_HEURISTIC, "heuristic").otherwise("empty"))
+    typed = won.select(kind.alias("extracted_type"), F.col("win.language").alias("language"))
     return X.extraction_census(typed)
 
 
