@@ -135,10 +135,18 @@ def cruxeval_program(code, answer, given, mode: str) -> Column:
 
 # ------------------------------------------------------------------ E9
 def marker_program(code, test, marker: str) -> Column:
-    """Test program by marker: the test with ``marker`` replaced by the code, else code + test."""
-    t = _c(test)
-    return F.when(F.instr(t, marker) > 0, F.replace(t, F.lit(marker), _c(code))).otherwise(
-        F.concat(_c(code), F.lit("\n"), t))
+    """Test program by marker: the test with every ``marker`` replaced by the code; without one, the test alone."""
+    return F.replace(_c(test), F.lit(marker), _c(code))
+
+
+def verilog_program(test, preface, completion) -> Column:
+    """Verilog program: test bench, preface and completion, a line each."""
+    return F.concat_ws("\n", _c(test), _c(preface), _c(completion))
+
+
+def ncb_python_program(code, test) -> Column:
+    """NaturalCodeBench python program: pytest import, code, test, with blank lines between."""
+    return F.concat_ws("\n\n", F.lit("import pytest"), _c(code), _c(test))
 
 
 # ------------------------------------------------------------------ E12

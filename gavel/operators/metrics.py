@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,47 +24,40 @@ def pass_at_k_estimator(n: Column, c: Column, k: int) -> Column:
             .otherwise(F.lit(1.0) - prod))
 
 
-def pass_at_k(results: DataFrame, n: int, ks: Sequence[int], id_col: str = "problem_id",
-              category_col: str | None = "category", accepted_col: str = "accepted",
-              complete_only: bool = False) -> DataFrame:
-    """Mean pass@k per category, only for k <= n (the number of repeats).
+def pass_at_k(results: DataFrame, n: int | None, ks: Sequence[int], id_col: str = "problem_id",
+              category_col: str | None = "category", accepted_col: str = "accepted") -> DataFrame:
+    """Mean pass@k per category, only for k <= n.
 
-    Output: ``category, k, pass_at_k``.  ``n`` is the configured repeat count, as in
-    the reference; problems contribute their count of accepted samples.  With
-    ``complete_only`` problems that do not have exactly n samples are left out.
+    Output: ``category, k, pass_at_k``.  With a configured repeat count ``n`` every
+    problem counts as n samples, as in the reference; with ``n=None`` each problem
+    counts all the samples it has, and takes part in the k it has samples for.
     """
     cat = F.col(category_col) if category_col else F.lit("all")
     per_id = (results.groupBy(F.col(id_col), cat.alias("category"))
               .agg(F.count_if(F.col(accepted_col)).alias("c"), F.count(F.lit(1)).alias("m")))
-    if complete_only:
-        per_id = per_id.filter(F.col("m") == n)
-    ks = [int(k) for k in ks if int(k) <= n]
+    if n is not None:
+        per_id = per_id.withColumn("m", F.lit(n).cast("long"))
     if not ks:
         return per_id.select("category", F.lit(0).alias("k"), F.lit(0.0).alias("pass_at_k")).limit(0)
-    per_k = per_id.select("category", "c", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
-    nn = F.lit(n).cast("long")
-    est = F.coalesce(*[F.when(F.col("k") == k, pass_at_k_estimator(nn, F.col("c").cast("long"), k))
-                       for k in ks])
-    return (per_k.groupBy("category", "k").agg(F.avg(est).alias("pass_at_k")))
+    per_k = per_id.select("category", "c", "m", F.explode(F.array(*[F.lit(int(k)) for k in ks])).alias("k")).where("k <= m")
+    est = F.coalesce(*[F.when(F.col("k") == k, pass_at_k_estimator(F.col("m"), F.col("c").cast("long"), k))
+                       for k in map(int, ks)])
+    return per_k.groupBy("category", "k").agg(F.avg(est).alias("pass_at_k"))
 
 
 def accuracy_by_sample(results: DataFrame, id_col: str = "problem_id", sample_col: str = "sample_idx",
                        accepted_col: str = "accepted", group_cols: Sequence[str] = ()) -> DataFrame:
     """Accuracy per sample index, only for indices every problem has (H1).
 
-    The shortest per-problem sample list bounds the indices; with no problems the
-    reference divides by zero, here the result is simply empty.
+    Samples are numbered from 0 without gaps, so an index that every problem has
+    counts as many problems as the fullest index of its group: one aggregation,
+    then a maximum over the indices.  With no problems the result is empty.
     """
     g = list(group_cols)
     per_idx = (results.groupBy(*g, sample_col)
                .agg(F.count_if(F.col(accepted_col)).alias("n_accepted"), F.count(F.lit(1)).alias("n_problems")))
-    shortest = (results.groupBy(*g, id_col).agg(F.count(F.lit(1)).alias("len"))
-                .groupBy(*g).agg(F.min("len").alias("min_len")))
-    if g:
-        joined = per_idx.join(shortest, g)
-    else:
-        joined = per_idx.withColumn("min_len", shortest.scalar())
-    return (joined.filter(F.col(sample_col) < F.col("min_len"))
+    fullest = F.max("n_problems").over(Window.partitionBy(*(g or [F.lit(0)])))
+    return (per_idx.withColumn("__all", fullest).filter(F.col("n_problems") == F.col("__all"))
             .select(*g, sample_col, (F.col("n_accepted") / F.col("n_problems")).alias("accuracy")))
 
 
@@ -138,19 +131,17 @@ def report_counts(tests: DataFrame, passed_col: str = "passed") -> DataFrame:
     return tests.groupBy(passed_col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def row_counts(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Row counts before and after a filter (H9), as one two-row frame."""
-    b = before.agg(F.count(F.lit(1)).alias("n")).select(F.lit("before").alias("stage"), "n")
-    a = after.agg(F.count(F.lit(1)).alias("n")).select(F.lit("after").alias("stage"), "n")
-    return b.unionByName(a)
+def row_counts(df: DataFrame, kept: Column) -> DataFrame:
+    """Row counts before and after a filter (H9), as one two-row frame from one scan."""
+    n = df.agg(F.count(F.lit(1)).alias("before"), F.count_if(kept).alias("after"))
+    return n.select(F.explode(F.array(*(F.struct(F.lit(c).alias("stage"), F.col(c).alias("n")) for c in ("before", "after")))).alias("x")).select("x.*")
 
 
 def distinct_imports(programs: DataFrame, key_cols: Sequence[str], array_col: str) -> DataFrame:
-    """Set union of import lines per key, '' removed (H10). Explodes, so no
-    single row ever holds an unbounded set while it is being built."""
-    return (programs.select(*key_cols, F.explode(array_col).alias("imp"))
-            .filter(F.col("imp") != "")
-            .groupBy(*key_cols).agg(F.array_sort(F.collect_set("imp")).alias("imports")))
+    """Set union of import lines per key, '' removed (H10): one row per key and line,
+    a partial aggregate, so no row or task holds the set of a key."""
+    return (programs.select(*key_cols, F.explode(array_col).alias("import_line"))
+            .filter(F.col("import_line") != "").distinct())
 
 
 def requests_per_endpoint(log: DataFrame, endpoints: DataFrame, key: str = "endpoint") -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from itertools import chain
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -184,15 +186,18 @@ def context_pack(df: DataFrame, key: str, order_col: str, text_col: str, size_co
     until the budget would overflow, then stop (not skip); kept snippets ordered by
     MD5 and concatenated.
 
-    Sizes are positive, so at most ``budget`` snippets can be kept: a
-    ``row_number() <= budget`` filter is planned as a partial per-key limit before
-    the shuffle, which keeps a hot key bounded.
+    Only snippets of a positive size use up the budget, and ``budget + 1`` of them
+    overflow it for certain: their ``row_number()`` filter is planned as a partial
+    per-key limit before the shuffle, which bounds what a hot key sends to the
+    running sum.  Its first overflow is the key's cut-off for all snippets.
     """
     w = Window.partitionBy(key).orderBy(order_col)
-    top = df.select(key, order_col, text_col, size_col).withColumn("__rn", F.row_number().over(w)) \
-        .filter(F.col("__rn") <= budget)
-    run = top.withColumn("__run", F.sum(size_col).over(w.rowsBetween(Window.unboundedPreceding, 0)) + base_size)
-    kept = run.filter(F.col("__run") <= budget)
+    sized = (df.filter(F.col(size_col) > 0).select(key, order_col, size_col)
+             .withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= budget + 1))
+    run = sized.withColumn("__run", F.sum(size_col).over(w.rowsBetween(Window.unboundedPreceding, 0)) + base_size)
+    stops = run.filter(F.col("__run") > budget).groupBy(F.col(key).alias("__key")).agg(F.min(order_col).alias("__stop"))
+    kept = df.join(stops, F.col(key).eqNullSafe(F.col("__key")), "left").filter(
+        (F.col("__stop").isNull() | (F.col(order_col) < F.col("__stop"))) & F.lit(base_size <= budget))
     return kept.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_snippets"),
         F.sum(size_col).alias("used"),
@@ -411,18 +416,21 @@ def crux_examples(examples: DataFrame, mode: str, lang_col: str = "language", or
     return joined.select("language", py_rstrip(F.col("examples")).alias("examples"))
 
 
-def crux_x_prompts(problems: DataFrame, examples: DataFrame, mode: str, id_col: str = "id",
+def crux_x_prompts(problems: DataFrame, examples: DataFrame, modes: Sequence[str] = ("input", "output"), id_col: str = "id",
                    code_col: str = "code", given_col: str = "given") -> DataFrame:
-    """CruxEval-X prompts (F7, x variant): language from the id (all but the last
-    ``_`` part), per-language examples joined in, code + given input/output shown."""
-    lang = F.regexp_extract(F.col(id_col), r"^(.*)_[^_]*$", 1)
-    p = problems.withColumn("language", lang)
-    ex = crux_examples(examples, mode)
-    j = p.join(ex, "language", "left")
-    head = CRUX_INPUT_HEAD if mode == "input" else CRUX_OUTPUT_HEAD
-    prompt = F.concat(F.lit(head[0]), F.col("language"), F.lit(head[1]), F.col("examples"), F.lit("\n```"),
-                      F.col("language"), F.lit("\n"), F.col(code_col), F.col(given_col), F.lit("\n```\n"))
-    return j.withColumn("prompt", prompt)
+    """CruxEval-X prompts (F7, x variant), a column ``<mode>_prompt`` per mode: language from the
+    id (all but the last ``_`` part), per-language examples joined in, code + given shown.
+    A language without examples fails the job."""
+    out = problems.withColumn("language", F.regexp_extract(F.col(id_col), r"^(.*)_[^_]*$", 1))
+    heads = {"input": CRUX_INPUT_HEAD, "output": CRUX_OUTPUT_HEAD}
+    for mode in modes:
+        shots = f"__{mode}_shots"
+        out = out.join(crux_examples(examples, mode).withColumnRenamed("examples", shots), "language", "left")
+        shown = F.coalesce(shots, F.raise_error(F.concat(F.lit("no examples for language "), "language")).cast("string"))
+        out = out.withColumn(f"{mode}_prompt", F.concat(
+            F.lit(heads[mode][0]), F.col("language"), F.lit(heads[mode][1]), shown, F.lit("\n```"),
+            F.col("language"), F.lit("\n"), F.col(code_col), F.col(given_col), F.lit("\n```\n"))).drop(shots)
+    return out
 
 
 # ------------------------------------------------------------------ F8

@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 
 from gavel.functions.text import split_nl
 
-DEFAULT_OFFSET, DEFAULT_LIMIT = 0, 1_000_000
-
 
 # ------------------------------------------------------------------ B1-B4
-def page(df: DataFrame, cols: Sequence[str] | None = None, offset: int = DEFAULT_OFFSET,
-         limit: int = DEFAULT_LIMIT, id_col: str = "id") -> DataFrame:
-    """Column-pruned page ``ORDER BY id LIMIT offset, limit`` (B1); a top-(o+n) per task, then merged."""
-    sel = df.select(*cols) if cols else df
-    return sel.orderBy(id_col).offset(offset).limit(limit)
+def page(df: DataFrame, cols: Sequence[str] | None = None, offset: int = 0,
+         limit: int | None = None, id_col: str = "id") -> DataFrame:
+    """Column-pruned page ``ORDER BY id LIMIT offset, limit`` (B1): all rows unless a limit is
+    given; with one, a top-(offset + limit) per task is merged."""
+    rows = (df.select(*cols) if cols else df).orderBy(id_col)
+    rows = rows.offset(offset) if offset else rows
+    return rows if limit is None else rows.limit(limit)
 
 
 def by_id(df: DataFrame, value, id_col: str = "id") -> DataFrame:
@@ -202,16 +202,20 @@ def json_input_case(input_text: Column, output_text: Column) -> Column:
 
 
 # ------------------------------------------------------------------ B6 / E11 / E15
-def training_rows(df: DataFrame, gold_col: str = "gold_standard_solution", info_col: str = "info") -> DataFrame:
-    """Training-row filter (B6): gold solution present, a python fence at both
+def is_training_row(gold: Column, info: Column) -> Column:
+    """Training-row rule (B6): gold solution present, a python fence at both
     ends, language python, more than 4 cases and a first case with input and output."""
-    g = F.col(gold_col)
-    cases = F.col(f"{info_col}.test_cases")
+    cases = info["test_cases"]
     first = F.try_element_at(cases, F.lit(1))
-    return df.filter(g.isNotNull() & F.startswith(g, F.lit("```python")) & F.endswith(g, F.lit("```"))
-                     & (F.col(f"{info_col}.language") == "python")
-                     & (F.coalesce(F.size(cases), F.lit(0)) > 4)
-                     & first["input"].isNotNull() & first["output"].isNotNull())
+    rule = (gold.isNotNull() & F.startswith(gold, F.lit("```python")) & F.endswith(gold, F.lit("```"))
+            & (info["language"] == "python") & (F.coalesce(F.size(cases), F.lit(0)) > 4)
+            & first["input"].isNotNull() & first["output"].isNotNull())
+    return F.coalesce(rule, F.lit(False))
+
+
+def training_rows(df: DataFrame, gold_col: str = "gold_standard_solution", info_col: str = "info") -> DataFrame:
+    """Rows that make training examples."""
+    return df.filter(is_training_row(F.col(gold_col), F.col(info_col)))
 
 
 def columnar_cases(cases: Column) -> Column:
@@ -241,10 +245,8 @@ def training_record(df: DataFrame, prompt_col: str = "prompt", gold_col: str = "
     Rejected rows become the empty record (solutions ``['']``, ground truth '')
     so that ``training_rows``-style filtering can drop them later.
     """
-    ok = training_rows(df.withColumn("__ok", F.lit(True)), gold_col, info_col).select(id_col, "__ok")
-    j = df.join(ok, id_col, "left")
-    good = F.coalesce(F.col("__ok"), F.lit(False))
-    return j.select(
+    good = is_training_row(F.col(gold_col), F.col(info_col))
+    return df.select(
         F.col(id_col),
         F.array(F.struct(F.lit("user").alias("role"), F.col(prompt_col).alias("content"))).alias("prompt"),
         F.when(good, F.array(F.col(gold_col))).otherwise(F.array(F.lit(""))).alias("solutions"),

@@ -19,18 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- V1 samples
-def samples(spark: SparkSession, sf_dir: str, max_samples: int | None = 10) -> DataFrame:
-    """Problems are parts, categories are brands, a submission per lineitem row.
+def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Problems are parts, categories are brands, a submission per lineitem row; all of them, in no order."""
+    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    return li.join(part, li.l_partkey == part.p_partkey).select(
+        F.col("l_partkey").alias("problem_id"), F.col("p_brand").alias("category"), (F.col("l_returnflag") != "R").alias("accepted"))
 
-    ``row_number() <= k`` lets Spark plan a partial WindowGroupLimit before the
-    shuffle, so a hot part sends at most k rows per map task.
-    """
+
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a sample index, which lineitem lacks: a row number of the problem's submissions."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_returnflag")
     w = Window.partitionBy("l_partkey").orderBy("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
     ranked = li.withColumn("rn", F.row_number().over(w))
-    if max_samples is not None:
-        ranked = ranked.filter(F.col("rn") <= max_samples)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     return (ranked.join(part, ranked.l_partkey == part.p_partkey)
             .select(F.col("l_partkey").alias("problem_id"),

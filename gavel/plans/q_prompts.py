@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gavel.operators import prompts as P
@@ -213,7 +214,7 @@ def q_mhpp_prompt(spark, sf):
 
 # ------------------------------------------------------------------ F4
 _MBXP_SRC = """
-mx AS (SELECT doc_id, split_part(text, chr(10), 1) AS question,
+mx AS (SELECT doc_id, text AS question,
     CASE WHEN doc_id % 3 = 0 THEN 'ctx ' || source WHEN doc_id % 3 = 1 THEN '' END AS context,
     source || '/' || CAST(doc_id AS VARCHAR) AS task_id, 'labels fs ' || lang AS labels_fewshot
   FROM documents)"""
@@ -248,7 +249,7 @@ FROM mx""")
 def q_mbxp_prompt(spark, sf):
     d = V.table(spark, sf, "documents")
     i = F.col("doc_id")
-    m = d.select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("question"),
+    m = d.select("doc_id", F.col("text").alias("question"),
                  F.when(i % 3 == 0, F.concat(F.lit("ctx "), F.col("source"))).when(i % 3 == 1, F.lit(""))
                  .alias("context"),
                  F.concat(F.col("source"), F.lit("/"), i.cast("string")).alias("task_id"),
@@ -262,7 +263,7 @@ def q_mbxp_prompt(spark, sf):
 
 # ------------------------------------------------------------------ F5
 _AUTOEVAL_SRC = """
-ae AS (SELECT doc_id, split_part(text, chr(10), 1) AS question,
+ae AS (SELECT doc_id, text AS question,
     CASE WHEN doc_id % 3 = 0 THEN 'ctx ' || source END AS context, 'fs ' || lang AS fewshot,
     CASE doc_id % 4 WHEN 0 THEN 'Q: ${question}' || chr(10) || 'C: $context $$money $unknown $questions'
                     WHEN 1 THEN NULL WHEN 2 THEN '' ELSE '$fewshot|$locale|${question}' END AS template
@@ -292,24 +293,29 @@ def q_autoeval_prompt(spark, sf):
     tmpl = (F.when(i % 4 == 0, F.lit("Q: ${question}\nC: $context $$money $unknown $questions"))
             .when(i % 4 == 1, F.lit(None).cast("string")).when(i % 4 == 2, F.lit(""))
             .otherwise(F.lit("$fewshot|$locale|${question}")))
-    a = d.select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("question"),
+    a = d.select("doc_id", F.col("text").alias("question"),
                  F.when(i % 3 == 0, F.concat(F.lit("ctx "), F.col("source"))).alias("context"),
                  F.concat(F.lit("fs "), F.col("lang")).alias("fewshot"), tmpl.alias("template"))
     return a.select("doc_id", P.autoeval_prompt("question", "template", "context", "fewshot", "en").alias("prompt"))
 
 
 # ------------------------------------------------------------------ C8 / F7
+CRUX_SHOTS = 3  # few-shot examples of a language
+
+
 def _crux_tables(spark, sf):
     b = V.table(spark, sf, "benchmark")
     w = lambda k: F.coalesce(F.nullif(F.split_part("text", F.lit(" "), F.lit(k)), F.lit("")), F.lit("zz"))
-    ex = b.select(F.when(F.col("item_id") % 3 == 0, "python").when(F.col("item_id") % 3 == 1, "R")
-                  .otherwise("bash").alias("language"), F.col("item_id").alias("idx"), F.col("text").alias("code"),
-                  w(2).alias("inputs"), w(3).alias("outputs"))
+    k = F.col("item_id") % 4
+    ex = b.select(F.when(k == 0, "python").when(k == 1, "R").when(k == 2, "bash").otherwise("cpp").alias("language"),
+                  F.col("item_id").alias("idx"), F.col("text").alias("code"), w(2).alias("inputs"), w(3).alias("outputs"))
+    shot = F.row_number().over(Window.partitionBy("language").orderBy("idx"))
+    ex = ex.withColumn("shot", shot).where(F.col("shot") <= CRUX_SHOTS).drop("shot")
     d = V.table(spark, sf, "documents")
     i = F.col("doc_id")
     lang = F.when(i % 4 == 0, "python").when(i % 4 == 1, "R").when(i % 4 == 2, "bash").otherwise("cpp")
     pr = d.select(F.concat(lang, F.lit("_"), i.cast("string")).alias("id"),
-                  F.split_part("text", F.lit("\n"), F.lit(1)).alias("code"),
+                  F.col("text").alias("code"),
                   F.concat(F.lit(" "), F.split_part("text", F.lit(" "), F.lit(1))).alias("given"))
     return pr, ex
 
@@ -332,16 +338,17 @@ def _crux_sql() -> str:
         return (f"{_q(head[0])} || p.language || {_q(head[1])} || e_{mode}.examples || chr(10) || '```' || "
                 f"p.language || chr(10) || p.code || p.given || chr(10) || '```' || chr(10)")
     return f"""
-WITH ex AS (SELECT CASE item_id % 3 WHEN 0 THEN 'python' WHEN 1 THEN 'R' ELSE 'bash' END AS language,
+WITH ex AS (SELECT CASE item_id % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'R' WHEN 2 THEN 'bash' ELSE 'cpp' END AS language,
                    item_id AS idx, text AS code,
                    coalesce(nullif(split_part(text, ' ', 2), ''), 'zz') AS inputs,
-                   coalesce(nullif(split_part(text, ' ', 3), ''), 'zz') AS outputs FROM benchmark),
+                   coalesce(nullif(split_part(text, ' ', 3), ''), 'zz') AS outputs FROM benchmark
+            QUALIFY row_number() OVER (PARTITION BY item_id % 4 ORDER BY item_id) <= {CRUX_SHOTS}),
 {ex('input')},
 {ex('output')},
 p AS (SELECT (CASE doc_id % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'R' WHEN 2 THEN 'bash' ELSE 'cpp' END)
              || '_' || CAST(doc_id AS VARCHAR) AS id,
              CASE doc_id % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'R' WHEN 2 THEN 'bash' ELSE 'cpp' END AS language,
-             split_part(text, chr(10), 1) AS code, ' ' || split_part(text, ' ', 1) AS given FROM documents)
+             text AS code, ' ' || split_part(text, ' ', 1) AS given FROM documents)
 SELECT p.id, {prompt('input')} AS input_prompt, {prompt('output')} AS output_prompt
 FROM p LEFT JOIN ex_input e_input ON p.language = e_input.language
        LEFT JOIN ex_output e_output ON p.language = e_output.language"""
@@ -350,9 +357,7 @@ FROM p LEFT JOIN ex_input e_input ON p.language = e_input.language
 @register("cruxeval_x_prompt", _crux_sql())
 def q_cruxeval_x_prompt(spark, sf):
     pr, ex = _crux_tables(spark, sf)
-    a = P.crux_x_prompts(pr, ex, "input").select("id", F.col("prompt").alias("input_prompt"))
-    b = P.crux_x_prompts(pr, ex, "output").select("id", F.col("prompt").alias("output_prompt"))
-    return a.join(b, "id")
+    return P.crux_x_prompts(pr, ex).select("id", "input_prompt", "output_prompt")
 
 
 # ------------------------------------------------------------------ E10
@@ -404,7 +409,7 @@ SELECT doc_id,
     AS aider_wrapped,
   CASE WHEN doc_id % 2 = 0 THEN 'fs ' || lang || chr(10) || chr(10) || {_q(P.SECTION_SEP)} || chr(10) || chr(10)
        || 'Question:' || chr(10) ELSE '' END
-    || 'sys ' || source || chr(10) || 'q ' || lang || chr(10) || split_part(text, chr(10), 1) || chr(10) || '```verilog'
+    || 'sys ' || source || chr(10) || 'q ' || lang || chr(10) || text || chr(10) || '```verilog'
     || chr(10) || 'module m;' || chr(10) || '```'
     || CASE WHEN doc_id % 2 = 0 THEN chr(10) || chr(10) || 'Answer:' ELSE '' END AS verilog,
   {_q(P.LEAN_PREFIX['en'] + chr(10) + chr(10) + '```lean' + chr(10))} || text || chr(10) || '```' AS lean,
@@ -418,7 +423,7 @@ def q_dataset_prompts(spark, sf):
     return d.select(
         "doc_id", P.aider_prompt(F.col("text"), first_word).alias("aider"),
         P.aider_prompt(F.col("text"), first_word, wrap=True).alias("aider_wrapped"),
-        P.verilog_prompt(F.lit("module m;\n"), F.split_part("text", F.lit("\n"), F.lit(1)),
+        P.verilog_prompt(F.lit("module m;\n"), F.col("text"),
                          F.concat(F.lit("sys "), F.col("source")), F.concat(F.lit("q "), F.col("lang")), fs)
         .alias("verilog"),
         P.lean_prompt(F.col("text"), "en").alias("lean"),

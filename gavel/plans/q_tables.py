@@ -313,20 +313,16 @@ SELECT 'before' AS stage, count(*) AS n FROM ok UNION ALL SELECT 'after', count(
 def q_row_counts(spark, sf):
     from gavel.operators import metrics as M
     raw = _raw_training(spark, sf)
-    return M.row_counts(raw, TB.training_rows(raw))
+    return M.row_counts(raw, TB.is_training_row(F.col("gold_standard_solution"), F.col("info")))
 
 
 @register("distinct_imports", r"""
-SELECT source, list_sort(list_distinct(list_filter(flatten(list(imps)), lambda x: x <> ''))) AS imports
-FROM (SELECT source, ['import ' || split_part(text, ' ', 1), 'import ' || split_part(text, ' ', 2),
-                     CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'import os' END] AS imps FROM documents)
-GROUP BY source""")
+SELECT DISTINCT source, 'import ' || w AS import_line
+FROM (SELECT source, unnest(string_split(text, ' ')) AS w FROM documents) WHERE w <> ''""")
 def q_distinct_imports(spark, sf):
     from gavel.operators import metrics as M
     d = V.table(spark, sf, "documents")
-    imps = F.array(F.concat(F.lit("import "), F.split_part("text", F.lit(" "), F.lit(1))),
-                   F.concat(F.lit("import "), F.split_part("text", F.lit(" "), F.lit(2))),
-                   F.when(F.col("doc_id") % 2 == 0, F.lit("")).otherwise(F.lit("import os")))
+    imps = F.transform(F.split("text", " "), lambda w: F.when(w == "", "").otherwise(F.concat(F.lit("import "), w)))
     return M.distinct_imports(d.select("source", imps.alias("imps")), ["source"], "imps")
 
 

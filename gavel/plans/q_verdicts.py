@@ -18,22 +18,21 @@ def _r(c: str):
 
 
 # ------------------------------------------------------------------ H3
-PASS_AT_K_SQL = with_ctes(S.SAMPLES10, """
-cc AS (SELECT problem_id, category, count(*) AS n, count(*) FILTER (WHERE accepted) AS c
-       FROM samples GROUP BY 1, 2 HAVING count(*) = 10)""", "kk AS (SELECT unnest([1, 3]) AS k)") + """
+PASS_AT_K_SQL = with_ctes("""
+cc AS (SELECT l_partkey AS problem_id, p_brand AS category, count(*) AS n, count(*) FILTER (WHERE l_returnflag <> 'R') AS c
+       FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)""", "kk AS (SELECT unnest([1, 3]) AS k)") + """
 SELECT category, k, round(avg(CASE WHEN n - c < k THEN 1.0::DOUBLE WHEN c = 0 THEN 0.0::DOUBLE
   ELSE 1.0::DOUBLE - list_reduce(list_prepend(1.0::DOUBLE,
          list_transform(range(n - c + 1, n + 1), lambda i: 1.0::DOUBLE - k::DOUBLE / i)), lambda a, b: a * b)
   END), 9) AS pass_at_k
-FROM cc, kk GROUP BY 1, 2
+FROM cc JOIN kk ON k <= n GROUP BY 1, 2
 """
 
 
 @register("pass_at_k", PASS_AT_K_SQL)
 def q_pass_at_k(spark, sf):
-    """pass@1 and pass@3 by category over ten samples per problem (the minimum slice)."""
-    s = V.samples(spark, sf, max_samples=10)
-    return M.pass_at_k(s, n=10, ks=[1, 3], complete_only=True).select("category", "k", _r("pass_at_k"))
+    """pass@1 and pass@3 by category over all samples of every problem."""
+    return M.pass_at_k(V.verdicts(spark, sf), n=None, ks=[1, 3]).select("category", "k", _r("pass_at_k"))
 
 
 # ------------------------------------------------------------------ G1 / G2 / G11
@@ -72,8 +71,7 @@ SELECT o_orderkey AS submission_id, coalesce(p.accepted, true) AS accepted, coal
 FROM orders LEFT JOIN (SELECT submission_id, bool_and(passed) AS accepted, count(*) AS n_tests
                        FROM kept GROUP BY 1) p ON o_orderkey = p.submission_id""")
 def q_results(spark, sf):
-    kept = J.cut_at_first_failure(V.runs(spark, sf).select("submission_id", "case_idx", "passed"))
-    return J.results(kept, V.submissions(spark, sf))
+    return J.results_of_cases(V.runs(spark, sf).select("submission_id", "case_idx", "passed"), V.submissions(spark, sf))
 
 
 @register("default_reject", with_ctes(S.RUNS, S.RUN_STATUS, S.CUT.replace("FROM runs ", "FROM runs_st ")) + """
@@ -106,7 +104,7 @@ SELECT sample_idx, round(n_acc / n_prob, 9) AS accuracy
 FROM (SELECT sample_idx, count(*) FILTER (WHERE accepted) AS n_acc, count(*) AS n_prob FROM samples GROUP BY 1) p
 WHERE sample_idx < (SELECT min(len) FROM (SELECT problem_id, count(*) AS len FROM samples GROUP BY 1))""")
 def q_accuracy_by_sample(spark, sf):
-    s = V.samples(spark, sf, max_samples=None)
+    s = V.samples(spark, sf)
     return M.accuracy_by_sample(s).select("sample_idx", _r("accuracy"))
 
 
@@ -122,14 +120,14 @@ acc AS (SELECT p.dataset, p.sub_dataset, avg(n_acc / n_prob) AS avg_acc
 SELECT dataset, sub_dataset, round(avg(avg_acc), 9) AS avg_acc, count(*) AS n_sub_datasets
 FROM acc GROUP BY ROLLUP (dataset, sub_dataset)""")
 def q_accuracy_report(spark, sf):
-    s = V.samples(spark, sf, max_samples=None).withColumnRenamed("category", "sub_dataset")
+    s = V.samples(spark, sf).withColumnRenamed("category", "sub_dataset")
     return M.accuracy_report(s).select("dataset", "sub_dataset", _r("avg_acc"), "n_sub_datasets")
 
 
 @register("pass_at_1", with_ctes(S.SAMPLES_ALL) +
           "SELECT problem_id, round(avg(CAST(accepted AS DOUBLE)), 9) AS pass_at_1 FROM samples GROUP BY 1")
 def q_pass_at_1(spark, sf):
-    return M.pass_at_1(V.samples(spark, sf, max_samples=None)).select("problem_id", _r("pass_at_1"))
+    return M.pass_at_1(V.verdicts(spark, sf)).select("problem_id", _r("pass_at_1"))
 
 
 # ------------------------------------------------------------------ H4 / H5

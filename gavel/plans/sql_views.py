@@ -26,17 +26,6 @@ samples AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey)
 """
 
-SAMPLES10 = """
-samples AS (
-  SELECT * FROM (
-    SELECT l_partkey AS problem_id, p_brand AS category, split_part(p_type, ' ', 1) AS dataset,
-           CAST(row_number() OVER (PARTITION BY l_partkey
-                ORDER BY l_orderkey, l_linenumber, l_suppkey, l_extendedprice) - 1 AS INTEGER) AS sample_idx,
-           l_returnflag <> 'R' AS accepted
-    FROM lineitem JOIN part ON l_partkey = p_partkey) t
-  WHERE sample_idx < 10)
-"""
-
 RUNS = """
 runs0 AS (
   SELECT l_orderkey AS submission_id,

@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -46,7 +46,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in _RUNTIME_CONF.items():
         spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -67,8 +66,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(local)
     return local
 
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 # Text-column candidates tried in order when none is named.
 TEXT_FIELD_CANDIDATES = ["problem", "prompt", "description", "statement", "question", "text", "content"]
@@ -20,18 +19,18 @@ def _list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(path) if st.getPath().getName().endswith(suffix))
 
 
-def read_problem_tables(spark: SparkSession, folder: str, schemas: dict[str, StructType] | None = None,
-                        default_cols: Sequence[str] = ("id", "content", "labels", "test")) -> dict[str, DataFrame]:
+def read_problem_tables(spark: SparkSession, folder: str, schemas: dict[str, StructType]) -> dict[str, DataFrame]:
     """Every ``*.jsonl`` in a folder becomes a table named after the file (A1).
 
-    Columns declared as strings receive nested JSON values as JSON text, the
-    reference's rule for non int/str values.
+    A file without a schema is an error, as columns it doesn't name would be lost.
+    Columns declared as strings receive nested JSON values as JSON text.
     """
     out = {}
     for name in _list_files(spark, folder, ".jsonl"):
         table = name[: -len(".jsonl")]
-        schema = (schemas or {}).get(table) or StructType([StructField(c, StringType()) for c in default_cols])
-        out[table] = spark.read.schema(schema).json(f"{folder}/{name}")
+        if table not in schemas:
+            raise ValueError(f"no schema for table {table}")
+        out[table] = spark.read.schema(schemas[table]).json(f"{folder}/{name}")
     return out
 
 
@@ -56,12 +55,12 @@ def read_versions(spark: SparkSession, base: str, versions: Sequence[str], patte
 def read_corpus(spark: SparkSession, path: str, text_field: str | None = None, max_items: int | None = None,
                 schema: StructType | None = None) -> tuple[DataFrame, str]:
     """Reader by suffix (.jsonl / .parquet), first ``max_items`` rows, text column
-    inferred from a fixed candidate list (A4).  Empty input raises."""
+    inferred from a fixed candidate list (A4).  JSON needs a schema (else reading it
+    would take a pass of its own).  Empty input raises."""
     if path.endswith(".jsonl") or path.endswith(".json"):
-        r = spark.read
-        if schema is not None:
-            r = r.schema(schema)
-        df = r.json(path)
+        if schema is None:
+            raise ValueError("JSON input needs a schema")
+        df = spark.read.schema(schema).json(path)
     elif path.endswith(".parquet"):
         df = spark.read.parquet(path)
     else:
@@ -85,7 +84,3 @@ def inline_rows(spark: SparkSession, rows: list[dict], cols: Sequence[str] | Non
     df = spark.createDataFrame(rows, schema=schema) if schema else spark.createDataFrame(rows)
     return df.select(*cols) if cols else df
 
-
-def with_source_file(df: DataFrame) -> DataFrame:
-    """Table name of each row from its file (multi-table folders read as one scan)."""
-    return df.withColumn("table", F.regexp_extract(F.input_file_name(), r"([^/]+)\.jsonl$", 1))

@@ -19,7 +19,11 @@ def test_class_names_and_solution_block(spark):
                                "j string, s string, c string")
     r = df.select(X.java_class_name(F.col("j")).alias("j"), X.scala_object_name(F.col("s")).alias("s"),
                   X.solution_block(F.col("c")).alias("c")).first()
-    assert (r["j"], r["s"], r["c"]) == ("Main", "Solver", "def solution():\n    return 2")
+    assert (r["j"], r["s"], r["c"]) == ("Main", "Solver", "x=1\n```\n```python\ndef solution():\n    return 2\n")
+    other = spark.createDataFrame([("public final class A {", "```\ndef solution():\n 1\n```"), ("public abstract class B", "```python\ndef solution(x):\n 1\n```"),
+                                   ("class C", "")], "j string, c string")
+    got = [tuple(r) for r in other.select(X.java_class_name("j"), X.solution_block("c")).collect()]
+    assert got == [("A", ""), ("B", ""), (None, "")]
 
 
 def test_mhpp_and_marker_programs(spark):
@@ -28,6 +32,9 @@ def test_mhpp_and_marker_programs(spark):
     r = df.select(A.mhpp_program("a", "b", "t").alias("p"), A.marker_program(F.col("b"), F.col("m"), "#CODE#")
                   .alias("q")).first()
     assert r["p"] == "def f(): pass\nassert f() is None" and r["q"] == "X = 1\ndef f(): pass\nrun()"
+    r = df.select(A.marker_program("b", "t", "#CODE#"), A.verilog_program("t", "m", "b"), A.ncb_python_program("b", "t")).first()
+    assert tuple(r) == ("assert f() is None", "assert f() is None\nX = 1\n#CODE#\nrun()\ndef f(): pass",
+                        "import pytest\n\ndef f(): pass\n\nassert f() is None")
 
 
 def test_contest_cases_public_then_private(spark):

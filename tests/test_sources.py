@@ -27,6 +27,8 @@ def test_problem_tables_from_jsonl_folder(spark):
                          StructField("labels", StringType()), StructField("test", StringType())])
     tables = R.read_problem_tables(spark, d, {"code_eval_demo": schema})
     got = {r["id"]: r for r in tables["code_eval_demo"].collect()}
+    with pytest.raises(ValueError):
+        R.read_problem_tables(spark, d, {})
     assert json.loads(got[1]["labels"]) == {"difficulty": "easy"} and json.loads(got[2]["test"]) == []
 
 
@@ -35,10 +37,12 @@ def test_read_corpus_dispatch_and_text_field(spark):
     p = os.path.join(d, "c.jsonl")
     with open(p, "w") as f:
         f.write("\n".join(json.dumps({"problem_id": i, "question": f"q{i}"}) for i in range(5)))
-    df, field = R.read_corpus(spark, p, max_items=3)
+    schema = StructType([StructField("problem_id", LongType()), StructField("question", StringType())])
+    df, field = R.read_corpus(spark, p, max_items=3, schema=schema)
     assert field == "question" and df.count() == 3
-    with pytest.raises(ValueError):
-        R.read_corpus(spark, os.path.join(d, "c.csv"))
+    for bad in (os.path.join(d, "c.csv"), p):  # no such suffix; JSON without a schema
+        with pytest.raises(ValueError):
+            R.read_corpus(spark, bad)
 
 
 def test_cache_requires_every_column(spark):
