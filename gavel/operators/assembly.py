@@ -402,10 +402,22 @@ ASSERT_TEMPLATES = {
              "        val expected = {E}\n        if (res != expected) {\n"
              "            throw new Exception(s\"Test failed: Expected $expected, got $res\")\n        } else {\n"
              "            println(\"Test passed\")\n        }\n    }\n}\n",
+    "swift": "\n{F}\n\nlet res = {N}({A})\nlet expected = {E}\nif res != expected {\n"
+             "    fatalError(\"Test failed: Expected \\(expected), got \\(res)\")\n} else {\n    print(\"Test passed\")\n}\n",
 }
 _SPACE_SEPARATED = ("racket", "bash")
 
 
+def _labelled(args: Column, function: Column, name: Column) -> Column:
+    """Swift arguments with the labels of the function's signature; a single argument goes without."""
+    signature = F.regexp_extract_all(function, F.concat(F.lit("func \\Q"), name, F.lit("\\E\\((.*)\\)")), F.lit(1))
+    labels = F.regexp_extract_all(F.try_element_at(signature, F.lit(1)), F.lit(r"(\w+):"), 1)
+    n = F.least(F.size(labels), F.size(args))
+    one = F.size(args) < 2
+    return F.zip_with(F.slice(labels, F.lit(1), n), F.slice(args, F.lit(1), n), lambda label, arg: F.concat(
+        F.when(one, F.lit("")).otherwise(F.concat(label, F.lit(": "))), _arg_literal(arg)))
+
+
 def _fill(template: str, parts: dict[str, Column]) -> Column:
     """Split the template on its placeholders and concatenate literal pieces with columns."""
     import re
@@ -431,6 +443,7 @@ def function_assertion(function, fn_name, inputs, output, language: str) -> Colu
     if language not in ASSERT_TEMPLATES:
         raise ValueError(f"no assertion template for {language}")
     sep = " " if language in _SPACE_SEPARATED else ", "
-    arg_str = F.array_join(F.transform(args, _arg_literal), sep)
+    spelled = _labelled(args, fn, name) if language == "swift" else F.transform(args, _arg_literal)
+    arg_str = F.array_join(spelled, sep)
     return _fill(ASSERT_TEMPLATES[language], {"F": fn, "N": name, "A": arg_str,
                                                "E": _expected_literal(_c(output), language)})

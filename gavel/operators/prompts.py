@@ -249,9 +249,24 @@ def clip_text(text, head: int = 8000, tail: int = 1000, tag: str = "problem_to_b
     return F.concat(F.lit(f"<{tag}>\n"), clipped, F.lit(f"\n</{tag}>"))
 
 
-def fewshot_prompt(examples: list[str], question, delimiter: str = "\n\n") -> Column:
-    """Fixed few-shot examples joined by a delimiter, then the question."""
-    return F.array_join(F.array(*[F.lit(e) for e in examples], _c(question)), delimiter)
+# Tag and closing instruction of the prompt for a judge program.
+JUDGE_TAG = "problem_that_require_special_judging"
+JUDGE_REQUEST = "\n\nNow, write the python code for judging the correctness of the answer output.\n"
+
+
+def judge_program_prompt(text) -> Column:
+    """Prompt for a judge program: the text clipped at 12000 characters, and the request (F13, second form)."""
+    return F.concat(clip_text(text, 12000, 1000, JUDGE_TAG), F.lit(JUDGE_REQUEST))
+
+
+# Labels of a question and its answer, and what parts the shots.
+SHOT_QUESTION, SHOT_ANSWER, SHOT_DELIMITER = "问题:\n", "\n答案:\n", "---\n"
+
+
+def fewshot_prompt(shots: Sequence[tuple[str, str]], question) -> Column:
+    """Fixed (prompt, response) shots with labels, then the question with its answer left open."""
+    shown = [F.lit(SHOT_QUESTION + q + SHOT_ANSWER + a + "\n") for q, a in shots]
+    return F.array_join(F.array(*shown, F.concat(F.lit(SHOT_QUESTION), _c(question), F.lit(SHOT_ANSWER))), SHOT_DELIMITER)
 
 
 def completion_budget(prompt_tokens, max_tokens, context_len) -> Column:
@@ -434,6 +449,7 @@ def crux_x_prompts(problems: DataFrame, examples: DataFrame, modes: Sequence[str
 
 
 # ------------------------------------------------------------------ F8
+# The answer formats of contest prompts.
 LCB_WITH_STARTER = ("### Format: You will use the following starter code to write the solution to the problem and "
                     "enclose your code within delimiters.\n```python\n")
 LCB_WITHOUT_STARTER = ("### Format: Read the inputs from stdin solve the problem and write the answer to stdout (do not "

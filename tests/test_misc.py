@@ -49,8 +49,8 @@ def test_contest_cases_public_then_private(spark):
 
 def test_fewshot_prompt_and_exit_judge(spark):
     df = spark.createDataFrame([("Q?", "Success"), ("R?", "Failed")], "q string, status string")
-    r = df.select(P.fewshot_prompt(["E1", "E2"], F.col("q"), "\n---\n").alias("p")).first()["p"]
-    assert r == "E1\n---\nE2\n---\nQ?"
+    r = df.select(P.fewshot_prompt([("E1", "A1"), ("E2", "A2")], F.col("q")).alias("p")).first()["p"]
+    assert r == "问题:\nE1\n答案:\nA1\n---\n问题:\nE2\n答案:\nA2\n---\n问题:\nQ?\n答案:\n"
     assert [x["passed"] for x in J.judge_exit(df).orderBy("q").collect()] == [True, False]
 
 
@@ -75,6 +75,10 @@ def test_function_assertion_programs(spark):
     js = d.limit(1).select(A.function_assertion(F.col("fn"), F.col("name"), F.col("i"), F.col("o"), "nodejs")
                            .alias("p")).first()["p"]
     assert "const res = add(1, \"x\", True, None);\nconst expected = 3;" in js
+    sw = spark.createDataFrame([("func g(a: Int, s: String) -> Bool { }", "g", '[2, "y"]', "[true]"), ("func h(x: Int) { }", "h", "[5]", "7")],
+                               "fn string, name string, i string, o string")
+    got = [r["p"] for r in sw.select(A.function_assertion("fn", "name", F.parse_json("i"), F.parse_json("o"), "swift").alias("p")).collect()]
+    assert "let res = g(a: 2, s: \"y\")\nlet expected = true\n" in got[0] and "let res = h(5)\nlet expected = 7\n" in got[1]
     b = spark.createDataFrame([("f() { echo 1; }", "f", "[2, \"y\"]", "[true]")], "fn string, name string, i string, o string")
     bash = b.select(A.function_assertion(F.col("fn"), F.col("name"), F.parse_json("i"), F.parse_json("o"), "bash")
                     .alias("p")).first()["p"]
