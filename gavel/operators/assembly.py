@@ -133,6 +133,21 @@ def cruxeval_program(code, answer, given, mode: str) -> Column:
     return F.concat(_c(code), F.lit("\nassert "), _c(answer), F.lit(" == f("), _c(given), F.lit(")"))
 
 
+def cruxeval_x_program(code, answer, given, language, mode: str) -> Column:
+    """CruxEval-X program (E7): the code and its test with the answer in place of the hidden part.
+
+    In input mode the answer may be the bare argument or the whole call; the
+    language's call is spelled around a bare one.
+    """
+    from gavel.operators.prompts import CRUX_CALL
+    a, hidden = _c(answer), F.lit("????")
+    if mode == "input":
+        call = F.element_at(F.create_map(*(F.lit(x) for pair in CRUX_CALL.items() for x in pair)), _c(language))
+        whole = F.contains(a, F.split_part(call, hidden, F.lit(1)))
+        return F.concat(_c(code), F.replace(_c(given), call, F.when(whole, a).otherwise(F.replace(call, hidden, a))))
+    return F.concat(_c(code), F.replace(_c(given), hidden, a))
+
+
 # ------------------------------------------------------------------ E9
 def marker_program(code, test, marker: str) -> Column:
     """Test program by marker: the test with every ``marker`` replaced by the code; without one, the test alone."""

@@ -385,6 +385,85 @@ def mhpp_prompt(content, tests) -> Column:
     return F.concat(cut, F.lit("\n    e.g. "), first, F.lit(' """'))
 
 
+# ------------------------------------------------------------------ F7 (CruxEval)
+# Instructions, and shots of (code, what is asked, thought, answer); every shot's thought is shown in
+# the reasoning form only.
+_COMPLETE_OUTPUT = (
+    "You are given a Python function and an assertion containing an input to the function. Complete the assertion with a "
+    "literal (no unsimplified expressions, no function calls) containing the output when executing the provided code on the "
+    "given input, even if the function is incorrect or incomplete. Do NOT output any extra information. ")
+CRUX_FORMS = {
+    ("output", "direct"): (
+        _COMPLETE_OUTPUT + "Provide the full assertion with the correct output in [ANSWER] and [/ANSWER] tags, following the examples.",
+        [("def f(n):\n    return n", "assert f(17) == ??", None, "assert f(17) == 17"),
+         ('def f(s):\n    return s + "a"', 'assert f("x9j") == ??', None, 'assert f("x9j") == "x9ja"')]),
+    ("output", "reasoning"): (
+        _COMPLETE_OUTPUT + "Execute the program step by step before arriving at an answer, and provide the full assertion with the "
+        "correct output in [ANSWER] and [/ANSWER] tags, following the examples.",
+        [('def f(s):\n    s = s + s\n    return "b" + s + "a"', 'assert f("hi") == ??',
+          "Let's execute the code step by step:\n\n1. The function f is defined, which takes a single argument s.\n"
+          '2. The function is called with the argument "hi", so within the function, s is initially "hi".\n'
+          '3. Inside the function, s is concatenated with itself, so s becomes "hihi".\n'
+          '4. The function then returns a new string that starts with "b", followed by the value of s (which is now "hihi"), and '
+          'ends with "a".\n5. The return value of the function is therefore "bhihia".',
+          'assert f("hi") == "bhihia"')]),
+    ("input", "direct"): (
+        "You will be given a function f and an output in the form f(??) == output. Find any input such that executing f on the input "
+        "leads to the given output. There may be multiple answers, but you should only output one. In [ANSWER] and [/ANSWER] tags, "
+        "complete the assertion with one such input that will produce the output when executing the function.",
+        [("def f(my_list):\n    count = 0\n    for i in my_list:\n        if len(i) % 2 == 0:\n            count += 1\n    return count",
+          "assert f(??) == 3", None, 'assert f(["mq", "px", "zy"]) == 3'),
+         ("def f(s1, s2):\n    return s1 + s2", 'assert f(??) == "banana"', None, 'assert f("ba", "nana") == "banana"')]),
+    ("input", "reasoning"): (
+        "You will be given a function f and an output in the form f(??) == output. Your task is to find any input such that executing "
+        "f on the input leads to the given output. There may be multiple answers, but only output one. First, think step by step. You "
+        "MUST surround the answer with [ANSWER] and [/ANSWER] tags. Express your answer as a passing assertion containing the input "
+        "and the given output.",
+        [("def f(x):\n    return x + 1", "assert f(??) == 17",
+          "To find an input such that executing f on the input leads to the given output, we can work backwards from the given "
+          "assertion. We know that f(??) == 17. \n\nSince the function f(x) returns x + 1, for f(??) to be equal to 17, the value of "
+          "?? should be 16. ", "assert f(16) == 17")]),
+}
+CRUX_ALTERNATIVE = (
+    "Based on the given Python code, which may contain errors, complete the assert statement with the output when executing the code "
+    "on the given test case. Do NOT output any extra information, even if the function is incorrect or incomplete. Output \"# done\" "
+    "after the assertion.\n\ndef f(n):\n    return n\nassert f(17) == 17 # done\n\ndef f(s):\n    return s + \"a\"\n"
+    "assert f(\"x9j\") == \"x9ja\" # done\n\n")
+CRUX_WRAP = ("Please respond in English and use Markdown format.####Instruction:", "Response:")
+
+
+def _crux_lead(mode: str, form: str) -> str:
+    """Instruction and shots, up to the row's own code."""
+    instruction, shots = CRUX_FORMS[mode, form]
+    parts = [instruction + "\n"]
+    for code, asked, thought, answer in shots:
+        parts.append(f"[PYTHON]\n{code}\n{asked}\n[/PYTHON]\n" + (f"[THOUGHT]\n{thought}\n[/THOUGHT]\n" if thought else "")
+                     + f"[ANSWER]\n{answer}\n[/ANSWER]\n")
+    return "\n".join([*parts, "[PYTHON]\n"])
+
+
+def crux_prompts(problems: DataFrame, mode: str | None = None, reasoning: bool = False, alternative: bool = False,
+                 wrap: bool = False) -> DataFrame:
+    """CruxEval prompts (F7) with their ``mode``; without a mode the input prompts and the output prompts.
+
+    ``problems`` has code, input and output.  ``alternative`` changes the output
+    prompt of the direct form.
+    """
+    def prompt(m: str) -> Column:
+        form = "reasoning" if reasoning else "direct"
+        given = F.concat(F.lit("assert f(??) == "), "output") if m == "input" else F.concat(F.lit("assert f("), "input", F.lit(") == ??"))
+        if m == "output" and alternative and not reasoning:
+            out = F.concat(F.lit(CRUX_ALTERNATIVE), "code", F.lit("\nassert f("), "input", F.lit(") =="))
+        else:
+            tail = "\n[/PYTHON]\n[THOUGHT]\n" if reasoning else "\n[/PYTHON]\n[ANSWER]\n"
+            out = F.concat(F.lit(_crux_lead(m, form)), "code", F.lit("\n"), given, F.lit(tail))
+        return F.concat(F.lit(CRUX_WRAP[0] + "\n"), out, F.lit(f"\n{CRUX_WRAP[1]}\n")) if wrap else out
+
+    modes = [mode] if mode else ["input", "output"]
+    each = F.array(*(F.struct(F.lit(m).alias("mode"), prompt(m).alias("prompt")) for m in modes))
+    return problems.select("*", F.explode(each).alias("__p")).select(*problems.columns, "__p.mode", "__p.prompt")
+
+
 # ------------------------------------------------------------------ C8 / F7 (CruxEval-X)
 # How each language spells the call whose argument is hidden.
 CRUX_CALL = {

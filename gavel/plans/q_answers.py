@@ -168,6 +168,34 @@ def q_judge_prompts(spark, sf):
     return _docs(spark, sf).select("doc_id", P.judge_program_prompt(_around("  x", "x\n")).alias("prompt"))
 
 
+# ------------------------------------------------------------------ F7 / E7
+@register("cruxeval_prompt", """
+SELECT doc_id, mode, form, 'Please respond' AS head,
+  '[PYTHON]' || chr(10) || text || chr(10) || CASE mode WHEN 'input' THEN 'assert f(??) == ' || doc_id ELSE 'assert f(' || doc_id || ') == ??' END
+    || chr(10) || '[/PYTHON]' || chr(10) || CASE form WHEN 'direct' THEN '[ANSWER]' ELSE '[THOUGHT]' END || chr(10) || chr(10) || 'Response:' || chr(10) AS tail
+FROM documents, (SELECT unnest(['input', 'output']) AS mode), (SELECT unnest(['direct', 'reasoning']) AS form)""")
+def q_cruxeval_prompt(spark, sf):
+    n = F.col("doc_id").cast("string")
+    rows = _docs(spark, sf).select("doc_id", F.col("text").alias("code"), n.alias("input"), n.alias("output"))
+    both = (P.crux_prompts(rows, wrap=True).withColumn("form", F.lit("direct"))
+            .unionByName(P.crux_prompts(rows, reasoning=True, wrap=True).withColumn("form", F.lit("reasoning"))))
+    # the row's part follows the shots: it is as long as its code, its assertion and the tags
+    tail = F.length("code") + F.length("input") + F.when(F.col("form") == "direct", 57).otherwise(58)
+    return both.select("doc_id", "mode", "form", F.substring("prompt", 1, 14).alias("head"), F.right("prompt", tail).alias("tail"))
+
+
+@register("cruxeval_x_program", """
+SELECT doc_id, text || chr(10) || 'assert(candidate(' || doc_id || ') == 1)' AS input_program, text || chr(10) || 'assert(f(1) == ' || doc_id || ')' AS output_program
+FROM documents""")
+def q_cruxeval_x_program(spark, sf):
+    n = F.col("doc_id").cast("string")
+    answer = _forms(n, F.concat(F.lit("candidate("), n, F.lit(")")))
+    code = F.concat(F.col("text"), F.lit("\n"))
+    return _docs(spark, sf).select(
+        "doc_id", A.cruxeval_x_program(code, answer, F.lit("assert(candidate(????) == 1)"), F.lit("cpp"), "input").alias("input_program"),
+        A.cruxeval_x_program(code, n, F.lit("assert(f(1) == ????)"), F.lit("cpp"), "output").alias("output_program"))
+
+
 # ------------------------------------------------------------------ A4
 @register("read_corpus", "SELECT doc_id, text FROM documents")
 def q_read_corpus(spark, sf):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from gavel.operators import judging as J
@@ -45,10 +47,14 @@ def q_error_rate(spark, sf):
     return _error_rate_out(L.live_verdict_rate(_log(spark, sf)))
 
 
-@register("live_error_rate", ERROR_RATE_SQL)
+def _closed(sql: str, end: str, delay: str) -> str:
+    """The rows of ``sql`` whose end the last watermark has passed."""
+    return f"""SELECT * FROM ({sql}) WHERE strptime({end}, {DUCK_TS}) <= (SELECT max(ts) FROM events) - INTERVAL '{delay}'"""
+
+
+@register("live_error_rate", _closed(ERROR_RATE_SQL, "window_start", "15 minutes"))
 def q_live_error_rate(spark, sf):
-    res = L.run_to_table(L.live_verdict_rate(_stream_log(spark, sf)), "live_error_rate", "complete")
-    return _error_rate_out(res)
+    return _error_rate_out(L.run_to_table(L.live_verdict_rate(_stream_log(spark, sf)), "live_error_rate"))
 
 
 # ------------------------------------------------------------------ S3
@@ -70,10 +76,9 @@ def q_request_rate(spark, sf):
     return _rate_out(L.live_request_rate(_log(spark, sf), RPM))
 
 
-@register("live_request_rate", REQUEST_RATE_SQL)
+@register("live_request_rate", _closed(REQUEST_RATE_SQL, "window_start", "3 minutes"))
 def q_live_request_rate(spark, sf):
-    return _rate_out(L.run_to_table(L.live_request_rate(_stream_log(spark, sf), RPM), "live_request_rate",
-                                    "complete"))
+    return _rate_out(L.run_to_table(L.live_request_rate(_stream_log(spark, sf), RPM), "live_request_rate"))
 
 
 # ------------------------------------------------------------------ S4
@@ -86,18 +91,20 @@ def q_dedupe(spark, sf):
     return first.select("endpoint", "k", "event_id", _fmt("ts").alias("ts"))
 
 
-@register("live_dedupe", """
-SELECT DISTINCT user_id AS endpoint, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
+@register("live_dedupe", f"""
+SELECT user_id AS endpoint, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+       arg_min(event_id, ts) AS event_id, strftime(min(ts), {DUCK_TS}) AS ts
+FROM events GROUP BY 1, 2""")
 def q_live_dedupe(spark, sf):
-    out = L.run_to_table(L.live_dedupe(_stream_log(spark, sf), ["endpoint", "k"]), "live_dedupe", "append")
-    return out.select("endpoint", "k")
+    out = L.run_to_table(L.live_dedupe(_stream_log(spark, sf), ["endpoint", "k"]), "live_dedupe")
+    return out.select("endpoint", "k", "event_id", _fmt("ts").alias("ts"))
 
 
 # ------------------------------------------------------------------ S2
 @register("live_bad_cases", """
 SELECT event_id, user_id AS endpoint, strftime(ts, '%Y-%m-%d') AS dt FROM events WHERE event_type = 'error'""")
 def q_live_bad_cases(spark, sf):
-    out = L.run_to_table(L.live_bad_cases(_stream_log(spark, sf)), "live_bad_cases", "append")
+    out = L.run_to_table(L.live_bad_cases(_stream_log(spark, sf)), "live_bad_cases")
     return out.select("event_id", "endpoint", "dt")
 
 
@@ -161,7 +168,29 @@ def q_deadline(spark, sf):
     return J.apply_deadline(r, DEADLINE_S).select("submission_id", "case_idx", "passed", "status", "message")
 
 
-@register("live_sessions", SESSIONS_SQL)
+@register("live_sessions", _closed(SESSIONS_SQL, "session_end", "1 hour"))
 def q_live_sessions(spark, sf):
-    return _sessions_out(L.run_to_table(L.live_sessions(_stream_log(spark, sf), watermark=None), "live_sessions",
-                                       "complete"))
+    return _sessions_out(L.run_to_table(L.live_sessions(_stream_log(spark, sf)), "live_sessions"))
+
+
+# ------------------------------------------------------------------ S5
+CASES, TOTAL_TIMEOUT_H = 4, 6
+
+
+@register("live_deadline", f"""
+WITH e AS (SELECT CAST(user_id AS VARCHAR) || ' ' || strftime(ts, '%Y-%m-%d') AS submission, CAST(event_id % {CASES} AS INTEGER) AS case_idx,
+                  event_type <> 'error' AS passed, ts FROM events),
+f AS (SELECT submission, min(ts) AS first FROM e GROUP BY 1
+      HAVING min(ts) + INTERVAL '{TOTAL_TIMEOUT_H} hours' < (SELECT max(ts) FROM events) - INTERVAL '10 minutes'),
+d AS (SELECT e.submission, case_idx, arg_min(passed, ts) AS passed FROM e JOIN f ON e.submission = f.submission
+      WHERE ts <= first + INTERVAL '{TOTAL_TIMEOUT_H} hours' GROUP BY 1, 2),
+c AS (SELECT submission, CAST(unnest(range({CASES})) AS INTEGER) AS case_idx FROM f)
+SELECT c.submission, c.case_idx, coalesce(d.passed, false) AS passed, CASE WHEN d.passed IS NULL THEN 'SandboxError' ELSE 'Finished' END AS status,
+       CASE WHEN d.passed IS NULL THEN 'Total Timeout' ELSE '' END AS message
+FROM c LEFT JOIN d ON c.submission = d.submission AND c.case_idx = d.case_idx""")
+def q_live_deadline(spark, sf):
+    """A day's events of a user are a submission of four cases."""
+    log = _stream_log(spark, sf).select(
+        F.concat_ws(" ", F.col("endpoint").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("submission"),
+        (F.col("event_id") % CASES).cast("int").alias("case_idx"), (~F.col("is_error")).alias("passed"), "ts")
+    return L.run_to_table(L.live_deadline(log, CASES, timedelta(hours=TOTAL_TIMEOUT_H)), "live_deadline")

@@ -1,19 +1,26 @@
 """Structured Streaming over an append-only run log.
 
 Every ``live_*`` function maps a streaming DataFrame to a streaming DataFrame;
-the same function applied to a batch DataFrame is its batch twin (Spark's
-``withWatermark`` is a no-op on batch data), so live and batch results are
-computed by one code path.  ``run_to_table`` drives a stream to completion with
-``availableNow`` into Parquet under the shared ``spark.checkpoint.dir`` and
-reads the result back.
+for the windowed ones the same function applied to a batch DataFrame is its
+batch twin (Spark's ``withWatermark`` is a no-op on batch data).  All streams run
+in append mode: a window, session or submission is emitted once the watermark
+has passed its end, and its state is dropped, so state stays bounded; rows later
+than the watermark are not counted.  ``run_to_table`` drives a stream to
+completion with ``availableNow`` into Parquet under the shared
+``spark.checkpoint.dir`` and reads the result back; what the last watermark has
+not closed is not in it.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
@@ -80,9 +87,29 @@ def live_request_rate(log: DataFrame, rpm: int, watermark: str = "2 minutes") ->
 
 
 # ------------------------------------------------------------------ S4
-def live_dedupe(log: DataFrame, keys: list[str], watermark: str = "30 days") -> DataFrame:
-    """A submission seen again within the watermark is ignored (S4, resume)."""
-    return log.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(keys)
+def _expire(state: GroupState, at_ms: int) -> None:
+    """Time the state out at an event time, or with the next watermark if that has passed."""
+    state.setTimeoutTimestamp(max(at_ms, state.getCurrentWatermarkMs() + 1))
+
+
+def live_dedupe(log: DataFrame, keys: list[str], keep: timedelta = timedelta(days=30), watermark: str = "1 hour") -> DataFrame:
+    """A submission seen again within ``keep`` is ignored (S4, resume): the earliest row of each
+    key's first micro-batch is emitted, and the key is remembered until the watermark is ``keep`` past it."""
+    schema = log.schema
+
+    def first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(frames)
+        if not state.exists:
+            row = rows.sort_values(["ts", "event_id"]).head(1)
+            state.update((True,))
+            _expire(state, int((row["ts"].iloc[0] + keep).timestamp() * 1000))
+            yield row
+
+    return log.withWatermark("ts", watermark).groupBy(*keys).applyInPandasWithState(
+        first, schema, "seen boolean", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def first_seen(log: DataFrame, keys: list[str], ts_col: str = "ts") -> DataFrame:
@@ -93,66 +120,74 @@ def first_seen(log: DataFrame, keys: list[str], ts_col: str = "ts") -> DataFrame
 
 
 # ------------------------------------------------------------------ S5
-def live_sessions(log: DataFrame, gap: str = "30 minutes", watermark: str | None = "1 hour") -> DataFrame:
-    """Per endpoint activity sessions closed after ``gap`` of event time (S5):
-    a submission whose log goes quiet for the deadline is closed.
-
-    Production: append mode with the watermark, a session is emitted once the
-    watermark passes its end and its state is dropped.  ``watermark=None`` keeps
-    every session in state (complete mode, for bounded replays).
-    """
-    src = log.withWatermark("ts", watermark) if watermark else log
-    return (src
+def live_sessions(log: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
+    """Per endpoint activity sessions, closed after ``gap`` of event time without a row."""
+    return (log.withWatermark("ts", watermark)
             .groupBy("endpoint", F.session_window("ts", gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_error").alias("n_error"))
             .select("endpoint", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
                     "n", "n_error"))
 
 
+VERDICT_SCHEMA = "submission string, case_idx int, passed boolean, status string, message string"
+
+
+def live_deadline(log: DataFrame, n_cases: int, total_timeout: timedelta, keep: timedelta = timedelta(days=1),
+                  watermark: str = "10 minutes") -> DataFrame:
+    """Deadline of a submission (S5): it closes ``total_timeout`` of event time after its first row.
+
+    ``log`` has submission, case_idx (0 to ``n_cases`` - 1), passed and ts.  At the close one
+    verdict per case is emitted: of a case's rows within the deadline the first counts, and
+    a case without one fails with 'Total Timeout'.  Per submission the state holds ``n_cases``
+    entries; a closed submission is remembered for ``keep``, so that rows after the close are ignored.
+    """
+    def close(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        first, closed, at, passed = state.getOption if state.exists else (None, False, [None] * n_cases, [None] * n_cases)
+        limit = total_timeout // timedelta(microseconds=1)
+        if state.hasTimedOut:
+            if closed:
+                state.remove()
+                return
+            done = [t is not None and t <= first + limit for t in at]
+            yield pd.DataFrame({
+                "submission": key[0], "case_idx": pd.array(range(n_cases), "int32"), "passed": [bool(d and p) for d, p in zip(done, passed)],
+                "status": ["Finished" if d else "SandboxError" for d in done], "message": ["" if d else "Total Timeout" for d in done]})
+            state.update((first, True, [], []))
+            _expire(state, (first + limit + keep // timedelta(microseconds=1)) // 1000)
+            return
+        at, passed = list(at), list(passed)
+        for rows in frames:
+            if closed:
+                continue
+            micros = rows["ts"].astype("datetime64[us]").astype("int64")
+            for t, case, ok in sorted(zip(micros, rows["case_idx"], rows["passed"])):
+                first = t if first is None else min(first, t)
+                if at[case] is None or t < at[case]:
+                    at[case], passed[case] = int(t), bool(ok)
+        state.update((first, closed, at, passed))
+        _expire(state, (first + limit + (keep // timedelta(microseconds=1) if closed else 0)) // 1000 + 1)
+
+    return log.withWatermark("ts", watermark).groupBy("submission").applyInPandasWithState(
+        close, VERDICT_SCHEMA, "first long, closed boolean, at array<long>, passed array<boolean>", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 # ------------------------------------------------------------------ driver
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
 
 
-def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
-                 key_cols: list[str] | None = None) -> DataFrame:
+def run_to_table(df: DataFrame, name: str) -> DataFrame:
     """Run a stream over everything available now and return its result table.
 
-    Results go to Parquet under the shared checkpoint folder, written by the
-    executors; nothing is collected on the driver.
-    * append: the file sink (exactly once through its metadata log);
-    * complete: ``foreachBatch`` overwrites the folder with the full result;
-    * update: ``foreachBatch`` appends each batch's changed rows with the epoch,
-      and the reader keeps the latest version per ``key_cols`` (a partial
-      ``max_by`` aggregate).  Used for session windows, whose closed sessions
-      are evicted from state and so cannot be re-emitted in complete mode.
+    The file sink writes Parquet under the shared checkpoint folder, exactly once
+    through its metadata log; nothing is collected on the driver.
     """
     spark = df.sparkSession
     base = stream_checkpoint(spark, name)
-    out, ckpt = f"{base}/out", f"{base}/ckpt"
-    w = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-    if output_mode == "append":
-        q = w.format("parquet").option("path", out).outputMode("append").start()
-    elif output_mode == "complete":
-        def sink(batch: DataFrame, _epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
-        q = w.foreachBatch(sink).outputMode("complete").start()
-    elif output_mode == "update":
-        if not key_cols:
-            raise ValueError("update mode needs key_cols")
-
-        def sink(batch: DataFrame, epoch: int) -> None:
-            batch.withColumn("__epoch", F.lit(epoch)).write.mode("append").parquet(f"{out}/epoch={epoch}")
-        q = w.foreachBatch(sink).outputMode("update").start()
-    else:
-        raise ValueError(output_mode)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    if output_mode != "update":
-        return spark.read.schema(df.schema).parquet(out)
-    from pyspark.sql.types import LongType, StructField, StructType
-    raw = spark.read.schema(StructType(df.schema.fields + [StructField("__epoch", LongType())])).parquet(f"{out}/*")
-    rest = [c for c in df.columns if c not in key_cols]
-    latest = raw.groupBy(*key_cols).agg(F.max_by(F.struct(*rest), "__epoch").alias("__r"))
-    return latest.select(*key_cols, *[F.col(f"__r.{c}").alias(c) for c in rest])
+    out = f"{base}/out"
+    query = (df.writeStream.option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True)
+             .format("parquet").option("path", out).outputMode("append").start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return spark.read.schema(df.schema).parquet(out)

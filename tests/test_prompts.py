@@ -65,3 +65,19 @@ def test_lcb_fewshot_prompt(spark):
     assert got[0] == ("PREFIX\nAdd two numbers.\n\n" + P.LCB_WITH_STARTER + "class Solution:\n    pass\n```"
                       + P.LCB_ANSWER)
     assert got[1] == "PREFIX\nQ2\n\n" + P.LCB_WITHOUT_STARTER + P.LCB_ANSWER
+
+
+def test_crux_prompts(spark):
+    df = spark.createDataFrame([(1, "def f(x): return x", "2", "3")], "id int, code string, input string, output string")
+    direct = P.crux_prompts(df)
+    assert [r["mode"] for r in direct.orderBy("mode").collect()] == ["input", "output"]
+    got = direct.where("mode = 'output'").first()["prompt"]
+    assert got.startswith("You are given a Python function") and got.endswith(
+        'following the examples.\n\n[PYTHON]\ndef f(n):\n    return n\nassert f(17) == ??\n[/PYTHON]\n[ANSWER]\nassert f(17) == 17\n[/ANSWER]\n\n'
+        '[PYTHON]\ndef f(s):\n    return s + "a"\nassert f("x9j") == ??\n[/PYTHON]\n[ANSWER]\nassert f("x9j") == "x9ja"\n[/ANSWER]\n\n'
+        '[PYTHON]\ndef f(x): return x\nassert f(2) == ??\n[/PYTHON]\n[ANSWER]\n')
+    got = P.crux_prompts(df, "input", reasoning=True).first()["prompt"]
+    assert got.endswith('?? should be 16. \n[/THOUGHT]\n[ANSWER]\nassert f(16) == 17\n[/ANSWER]\n\n[PYTHON]\ndef f(x): return x\nassert f(??) == 3\n[/PYTHON]\n[THOUGHT]\n')
+    got = P.crux_prompts(df, "output", alternative=True, wrap=True).first()["prompt"]
+    assert got.startswith("Please respond in English and use Markdown format.####Instruction:\nBased on") and got.endswith(
+        ' # done\n\ndef f(x): return x\nassert f(2) ==\nResponse:\n')

@@ -1,6 +1,7 @@
 """Live operators over a replayed run log, in several micro-batches, against their batch twins."""
 
 import tempfile
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -9,11 +10,15 @@ from gavel.streaming import live as L
 from conftest import SF_MID
 
 
-def _replay_dir(spark):
-    """The events table split into 4 files so the stream sees several micro-batches."""
+def _replay_dir(spark, order=(0, 1, 2, 3)):
+    """The events table as 4 files of a quarter of the time each, so the stream sees several micro-batches in this order."""
     d = tempfile.mkdtemp(prefix="gavel-log-")
     ev = spark.read.parquet(f"{SF_MID}/events.parquet")
-    ev.repartitionByRange(4, "ts").write.mode("overwrite").parquet(d)
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = [None, *ev.agg(F.percentile_approx(t, [0.25, 0.5, 0.75])).first()[0], None]
+    for k in order:
+        inside = (t > cuts[k] if cuts[k] else F.lit(True)) & (t <= cuts[k + 1] if cuts[k + 1] else F.lit(True))
+        ev.where(inside).coalesce(1).write.mode("append").parquet(d)
     return d
 
 
@@ -21,31 +26,59 @@ def _sorted(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def _stream(spark, d):
+    return L.as_run_log(L.read_run_log(spark, d, "*.parquet", max_files_per_trigger=1))
+
+
 def test_live_matches_batch_twins(spark):
+    """In append mode: what the last watermark has closed."""
     d = _replay_dir(spark)
     batch = L.as_run_log(spark.read.parquet(d))
+    last = batch.agg(F.max("ts")).first()[0]
 
-    def stream():
-        return L.as_run_log(L.read_run_log(spark, d, "*.parquet", max_files_per_trigger=1))
-
-    live = L.run_to_table(L.live_verdict_rate(stream()), "t_rate", "complete")
-    assert _sorted(live) == _sorted(L.live_verdict_rate(batch))
+    live = L.run_to_table(L.live_verdict_rate(_stream(spark, d)), "t_rate")
+    assert _sorted(live) == _sorted(L.live_verdict_rate(batch).where(F.col("window_start") <= F.lit(last - timedelta(minutes=15))))
 
-    live = L.run_to_table(L.live_request_rate(stream(), 1), "t_rpm", "complete")
-    assert _sorted(live) == _sorted(L.live_request_rate(batch, 1))
+    live = L.run_to_table(L.live_request_rate(_stream(spark, d), 1), "t_rpm")
+    assert _sorted(live) == _sorted(L.live_request_rate(batch, 1).where(F.col("window_start") <= F.lit(last - timedelta(minutes=3))))
 
-    live = L.run_to_table(L.live_sessions(stream(), watermark=None), "t_sess", "complete")
-    cols = ["endpoint", "session_start", "session_end", "n", "n_error"]
-    assert _sorted(live.select(cols)) == _sorted(L.live_sessions(batch).select(cols))
+    live = L.run_to_table(L.live_sessions(_stream(spark, d)), "t_sess")
+    assert _sorted(live) == _sorted(L.live_sessions(batch).where(F.col("session_end") <= F.lit(last - timedelta(hours=1))))
 
-    live = L.run_to_table(L.live_dedupe(stream(), ["endpoint", "k"]), "t_dedupe", "append")
-    assert _sorted(live.select("endpoint", "k")) == _sorted(batch.select("endpoint", "k").distinct())
-    assert live.count() == batch.select("endpoint", "k").distinct().count()
+    live = L.run_to_table(L.live_dedupe(_stream(spark, d), ["endpoint", "k"]), "t_dedupe")
+    cols = ["endpoint", "k", "event_id", "ts"]
+    assert _sorted(live.select(cols)) == _sorted(L.first_seen(batch.select(cols), ["endpoint", "k"]).select(cols))
 
-    live = L.run_to_table(L.live_bad_cases(stream()), "t_bad", "append")
+    live = L.run_to_table(L.live_bad_cases(_stream(spark, d)), "t_bad")
     assert _sorted(live.select("event_id")) == _sorted(batch.filter("is_error").select("event_id"))
 
 
+def test_late_rows_are_not_counted(spark):
+    """The first quarter arrives last, later than the watermark: its windows are never emitted."""
+    d = _replay_dir(spark, (1, 2, 3, 0))
+    batch = L.as_run_log(spark.read.parquet(d))
+    live = L.run_to_table(L.live_verdict_rate(_stream(spark, d)), "t_late")
+    quarter = batch.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.25)).first()[0]
+    late = live.where(F.unix_micros(F.col("window_start").cast("timestamp")) < quarter - 300_000_000)
+    assert late.count() == 0 and live.count() > 0
+
+
+def test_deadline_closes_submissions(spark):
+    rows = [("a", 0, True, 0), ("a", 1, False, 50), ("a", 2, True, 400), ("b", 0, True, 100), ("b", 1, True, 130), ("b", 2, True, 150),
+            ("z", 0, True, 90_000), ("a", 1, True, 90_001)]
+    d = tempfile.mkdtemp(prefix="gavel-deadline-")
+    df = spark.createDataFrame(rows, "submission string, case_idx int, passed boolean, s long").withColumn("ts", F.timestamp_seconds(F.col("s") + 1_000_000)).drop("s")
+    for part in (rows[:4], rows[4:6], rows[6:]):
+        keep = F.lit(False)
+        for r in part:
+            keep = keep | ((F.col("submission") == r[0]) & (F.unix_seconds("ts") == r[3] + 1_000_000))
+        df.where(keep).coalesce(1).write.mode("append").parquet(d)
+    log = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(d)
+    got = L.run_to_table(L.live_deadline(log, 3, timedelta(seconds=300)), "t_deadline")
+    assert _sorted(got.select("submission", "case_idx", "passed", "message")) == [
+        ("a", 0, True, ""), ("a", 1, False, ""), ("a", 2, False, "Total Timeout"), ("b", 0, True, ""), ("b", 1, True, ""), ("b", 2, True, "")]
+
+
 def test_bad_case_sink_partitions_by_date(spark):
     d = _replay_dir(spark)
     out = tempfile.mkdtemp(prefix="gavel-bad-")
