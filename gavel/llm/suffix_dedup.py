@@ -10,9 +10,13 @@ repeat are sorted:
    string is found in no other range holds no repeat.
 2. The bytes a range covers are its context.  Where all ranges of an anchor
    string have the same context, all their windows repeat.
-3. Where contexts differ, one suffix for each window of each different context
-   is written as ``TOKENS`` hashed tokens that make up its first ``LENGTH``
-   bytes.  The suffixes are range-partitioned by their tokens with sampled
+3. Contexts that differ are cut, one of each, into parts of ``PART`` windows
+   aligned to the anchor.  The bytes common to a part's windows are its core:
+   a part whose core is found nowhere else holds no repeat, and where all parts
+   with one core are the same, all their windows repeat.
+4. In the parts that are left, those with an end of a repeat in them, one
+   suffix for each window is written as ``TOKENS`` hashed tokens that make up
+   its first ``LENGTH`` bytes.  The suffixes are range-partitioned by their tokens with sampled
    splitters; each bucket is sorted by multikey quicksort (only ties on one
    token are sorted by the next), neighbours are compared, and the first and
    last suffixes of the buckets are compared across the boundaries, as a
@@ -37,10 +41,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gavel.llm.common import Scratch, SpanHash, chunks, text_key, utf8
+from gavel.llm.common import Scratch, SpanHash, chunks, mix, text_key, utf8
 
 LENGTH = 400
 GRAM = 128
+PART = 16
 TOKENS = 2
 BUCKET_ROWS = 4_000_000
 
@@ -64,10 +69,11 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def ranges(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """Document, first window, number of windows, anchor hash and context hash of every range of a chunk."""
+    """Document, first window, number of windows, anchor (from the first window), its hash and the context hash of
+    every range of a chunk."""
     n = len(data)
     if n < length:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
     span = SpanHash.of_bytes(data)
     at = np.arange(n - gram + 1)
     bits = np.uint64(max(24, n.bit_length()))
@@ -83,7 +89,7 @@ def ranges(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     closes = np.append(good[:-1] & (first[1:] | ~good[1:]), good[-1:])
     count = np.flatnonzero(closes) - begin + 1
     context = span(begin, begin + count - 1 + length)
-    return doc[begin], begin - offsets[doc[begin]], count, hashes[anchor[begin]], context
+    return doc[begin], begin - offsets[doc[begin]], count, anchor[begin] - begin, hashes[anchor[begin]], context
 
 
 def multikey_order(keys: list[np.ndarray]) -> np.ndarray:
@@ -117,46 +123,74 @@ def covered(n: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 # ------------------------------------------------------------------- Spark
 
 def range_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """sx_doc, sx_text, sx_at (first window), sx_n (windows), sx_gram and sx_context of every range."""
+    """sx_doc, sx_text, sx_at (first window), sx_n (windows), sx_anchor, sx_gram and sx_context of every range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(2))
             for i, j in chunks(offsets):
                 part = offsets[i:j + 1]
-                doc, at, n, hashes, context = ranges(data[part[0]:part[-1]], part - part[0], length, gram)
+                doc, at, n, anchor, hashes, context = ranges(data[part[0]:part[-1]], part - part[0], length, gram)
                 rows = pa.array(doc + i)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)),
-                     pa.array(hashes.view(np.int64)), pa.array(context.view(np.int64))],
-                    names=[*_KEY, "sx_at", "sx_n", "sx_gram", "sx_context"])
+                     pa.array(anchor.astype(np.int32)), pa.array(hashes.view(np.int64)), pa.array(context.view(np.int64))],
+                    names=[*_KEY, "sx_at", "sx_n", "sx_anchor", "sx_gram", "sx_context"])
 
     return docs.select(*_KEY, "text").mapInArrow(
-        run, "sx_doc long, sx_text long, sx_at int, sx_n int, sx_gram long, sx_context long")
+        run, "sx_doc long, sx_text long, sx_at int, sx_n int, sx_anchor int, sx_gram long, sx_context long")
+
+
+def part_rows(texts: DataFrame, length: int) -> DataFrame:
+    """sx_core, sx_part (hash of the part), sx_context, and the part's first window, windows and copies of every part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for span, wanted in _held(batches):
+            at, n, anchor = (np.array([w[k] for w in wanted]) for k in ("sx_at", "sx_n", "sx_anchor"))
+            low = (anchor - n + 1) // PART
+            parts = anchor // PART - low + 1
+            row = np.repeat(np.arange(len(wanted)), parts)
+            part = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+            most = np.minimum(anchor[row], part * PART + PART - 1)  # from the part's first window to the anchor
+            least = np.maximum(anchor[row] - n[row] + 1, part * PART)
+            place = at[row] + anchor[row]
+            core = span(place - part * PART, place - part * PART - (PART - 1) + length)
+            whole = mix(span(place - most, place - least + length) + (most * 4096 + least).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            column = lambda k, kind: pa.array(np.array([w[k] for w in wanted], np.int64)[row].astype(kind))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(core.view(np.int64)), pa.array(whole.view(np.int64)), column("sx_context", np.int64),
+                 pa.array((anchor[row] - most).astype(np.int32)), pa.array((most - least + 1).astype(np.int32)), column("sx_copies", np.int64)],
+                names=["sx_core", "sx_part", "sx_context", "sx_first", "sx_windows", "sx_copies"])
+
+    return texts.select("text", "sx_wanted").mapInArrow(
+        run, "sx_core long, sx_part long, sx_context long, sx_first int, sx_windows int, sx_copies long")
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[SpanHash, list[dict]]]:
+    """Hashes of each text, with its list of contexts or parts, some hundred at a time."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            span = SpanHash.of_bytes(utf8(batch.column(0)[row:row + 1])[0])
+            wanted = batch.column(1)[row].as_py()
+            for k in range(0, len(wanted), 512):
+                yield span, wanted[k:k + 512]
 
 
 def suffix_rows(texts: DataFrame, length: int) -> DataFrame:
-    """One row per window of each context: its tokens, sx_context and sx_place (offset, and whether the context repeats)."""
+    """One row per window of each part: its tokens, sx_context and sx_place (offset, and whether the context repeats)."""
     width = length // TOKENS
     names = [f"sx_t{k}" for k in range(TOKENS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                data, _ = utf8(batch.column(0)[row:row + 1])
-                span = SpanHash.of_bytes(data)
-                wanted = batch.column(1)[row].as_py()
-                for k in range(0, len(wanted), 512):
-                    some = wanted[k:k + 512]
-                    n = np.array([w["sx_n"] for w in some])
-                    begin = np.repeat([w["sx_at"] for w in some], n)
-                    offset = np.arange(len(begin)) - np.repeat(np.cumsum(n) - n, n)
-                    at = begin + offset
-                    cut = [at + t * width for t in range(TOKENS)] + [at + length]
-                    tokens = [span(a, b).view(np.int64) for a, b in zip(cut[:-1], cut[1:])]
-                    context = np.repeat(np.array([w["sx_context"] for w in some], np.int64), n)
-                    many = np.repeat([w["sx_copies"] > 1 for w in some], n)
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, tokens), pa.array(context), pa.array(offset * 2 + many)],
-                                                     names=[*names, "sx_context", "sx_place"])
+        for span, wanted in _held(batches):
+            n = np.array([w["sx_windows"] for w in wanted])
+            row = np.repeat(np.arange(len(wanted)), n)
+            offset = np.array([w["sx_first"] for w in wanted])[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            at = np.array([w["sx_at"] for w in wanted])[row] + offset
+            cut = [at + t * width for t in range(TOKENS)] + [at + length]
+            tokens = [span(a, b).view(np.int64) for a, b in zip(cut[:-1], cut[1:])]
+            context = np.array([w["sx_context"] for w in wanted], np.int64)[row]
+            many = np.array([w["sx_copies"] > 1 for w in wanted])[row]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, tokens), pa.array(context), pa.array(offset * 2 + many)],
+                                             names=[*names, "sx_context", "sx_place"])
 
     return texts.select("text", "sx_wanted").mapInArrow(
         run, "".join(f"{x} long, " for x in names) + "sx_context long, sx_place long")
@@ -193,21 +227,34 @@ def compared(buckets: DataFrame) -> DataFrame:
     return buckets.mapInArrow(run, "".join(f"{x} long, " for x in names) + "sx_context long, sx_offset long, sx_weight long, sx_kind long")
 
 
+def _wanted(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.groupBy(*_KEY).agg(F.collect_list(F.struct(*columns)).alias("sx_wanted"))
+
+
 def repeated_windows(texts: DataFrame, contexts: DataFrame, length: int, buckets: int) -> DataFrame:
-    """sx_context and the offsets of its repeated windows, for the contexts that occur once."""
+    """sx_context and runs (sx_first, sx_windows) of its repeated windows, for the contexts that occur once."""
     names = [f"sx_t{k}" for k in range(TOKENS)]
-    wanted = contexts.groupBy(*_KEY).agg(F.collect_list(F.struct("sx_at", "sx_n", "sx_context", "sx_copies")).alias("sx_wanted"))
-    suffixes = suffix_rows(texts.join(wanted, _KEY), length)
+    parts = part_rows(texts.join(_wanted(contexts, "sx_at", "sx_n", "sx_anchor", "sx_context", "sx_copies"), _KEY), length)
+    cores = parts.groupBy("sx_core").agg(F.sum("sx_copies").alias("n"), F.min("sx_part").alias("low"), F.max("sx_part").alias("high"))
+    cores = cores.where("n > 1").select("sx_core", (F.col("low") == F.col("high")).alias("sx_same"))
+    parts = parts.join(cores, "sx_core").select("sx_context", "sx_first", "sx_windows", "sx_copies", "sx_same")
+    run = ["sx_context", "sx_first", "sx_windows"]
+    whole = parts.where("sx_same AND sx_copies = 1").select(*run)
+
+    mixed = parts.where("NOT sx_same").join(contexts.select(*_KEY, "sx_at", "sx_context"), "sx_context")
+    suffixes = suffix_rows(texts.join(_wanted(mixed, "sx_at", "sx_context", "sx_first", "sx_windows", "sx_copies"), _KEY), length)
     found = compared(suffixes.repartitionByRange(buckets, *names, "sx_context", "sx_place"))
     # two rows a bucket at most
     ends = found.where("sx_kind = 2").groupBy(*names).agg(F.sum("sx_weight").alias("sx_sum")).where("sx_sum > 1")
-    inside = found.where("sx_kind = 0").select("sx_context", "sx_offset")
-    across = found.where("sx_kind = 1").join(ends, names, "left_semi").select("sx_context", "sx_offset")
-    return inside.union(across).groupBy("sx_context").agg(F.collect_set("sx_offset").alias("sx_offsets"))
+    window = ["sx_context", F.col("sx_offset").cast("int").alias("sx_first"), F.lit(1).alias("sx_windows")]
+    inside = found.where("sx_kind = 0").select(*window)
+    across = found.where("sx_kind = 1").join(ends, names, "left_semi").select(*window)
+    return whole.union(inside).union(across).groupBy("sx_context").agg(
+        F.collect_list(F.struct("sx_first", "sx_windows")).alias("sx_runs"))
 
 
 def removed_spans(keyed: DataFrame, texts: DataFrame, scratch: Scratch, length: int, gram: int) -> DataFrame:
-    """sx_doc, sx_text and the list sx_found (sx_at, sx_n, sx_offsets) of ranges with repeated windows (null offsets: all)."""
+    """sx_doc, sx_text and the list sx_found (sx_at, sx_n, sx_runs) of ranges with repeated windows (null runs: all)."""
     rows = range_rows(keyed.where(F.octet_length("text") >= length), length, gram)
     anchors = rows.groupBy("sx_gram").agg(F.count("*").alias("n"), F.min("sx_context").alias("low"), F.max("sx_context").alias("high"))
     anchors = anchors.where("n > 1").select("sx_gram", (F.col("low") == F.col("high")).alias("sx_same"))
@@ -215,26 +262,26 @@ def removed_spans(keyed: DataFrame, texts: DataFrame, scratch: Scratch, length:
 
     mixed = shared.where(~F.col("sx_same"))
     contexts = scratch.keep(mixed.groupBy("sx_context").agg(
-        F.min(F.struct(*_KEY, "sx_at", "sx_n")).alias("one"), F.count("*").alias("sx_copies")).select("one.*", "sx_context", "sx_copies"), "contexts")
+        F.min(F.struct(*_KEY, "sx_at", "sx_n", "sx_anchor")).alias("one"), F.count("*").alias("sx_copies")).select("one.*", "sx_context", "sx_copies"), "contexts")
     windows = contexts.agg(F.coalesce(F.sum("sx_n"), F.lit(0))).first()[0]
     least = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    offsets = repeated_windows(texts, contexts, length, max(least, math.ceil(windows / BUCKET_ROWS)))
+    runs = repeated_windows(texts, contexts, length, max(least, math.ceil(windows / BUCKET_ROWS)))
 
     place = [*_KEY, "sx_at", "sx_n"]
-    whole = F.lit(None).cast("array<long>").alias("sx_offsets")
+    whole = F.lit(None).cast("array<struct<sx_first:int,sx_windows:int>>").alias("sx_runs")
     copied = mixed.join(contexts.where("sx_copies > 1").select("sx_context"), "sx_context", "left_semi")
-    some = contexts.where("sx_copies = 1").join(offsets, "sx_context").select(*place, "sx_offsets")
+    some = contexts.where("sx_copies = 1").join(runs, "sx_context").select(*place, "sx_runs")
     spans = shared.where("sx_same").select(*place, whole).union(copied.select(*place, whole)).union(some)
-    return spans.groupBy(*_KEY).agg(F.collect_list(F.struct("sx_at", "sx_n", "sx_offsets")).alias("sx_found"))
+    return spans.groupBy(*_KEY).agg(F.collect_list(F.struct("sx_at", "sx_n", "sx_runs")).alias("sx_found"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, the bytes kept, their number before, and the removed runs (start, end) of every row."""
     spark = docs.sparkSession
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("sx_doc"),
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("sx_doc"),
                         text_key().alias("sx_text"), "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = keyed.repartition(parts, *_KEY)  # moved once, for both joins
+    texts = keyed.repartition(parts, *_KEY)  # moved once: all joins below read the same exchange
     found = removed_spans(keyed, texts, Scratch(spark, "suffixes"), length, gram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,10 +293,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                     data = (text.as_py() or "").encode()
                     spans = []
                     for r in some.as_py() or ():
-                        if r["sx_offsets"] is None:
-                            spans.append((r["sx_at"], r["sx_at"] + r["sx_n"] - 1 + length))
-                        else:
-                            spans += [(r["sx_at"] + o, r["sx_at"] + o + length) for o in r["sx_offsets"]]
+                        for w in [{"sx_first": 0, "sx_windows": r["sx_n"]}] if r["sx_runs"] is None else r["sx_runs"]:
+                            begin = r["sx_at"] + w["sx_first"]
+                            spans.append((begin, begin + w["sx_windows"] - 1 + length))
                     gone = covered(len(data), spans)
                     edges = [0, *(x for g in gone for x in g), len(data)]
                     kept.append(b"".join(data[x:y] for x, y in zip(edges[::2], edges[1::2])))
@@ -260,7 +306,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                      pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                     names=["doc_id", "kept", "n_bytes", "removed"])
 
-    return texts.join(found, _KEY, "left").select("doc_id", "text", "sx_found").mapInArrow(
+    return texts.join(found, _KEY, "left").select(F.nullif("sx_doc", F.lit(_NO_ID)), "text", "sx_found").mapInArrow(
         run, "doc_id long, kept binary, n_bytes long, removed array<struct<start:long,end:long>>")
 
 
