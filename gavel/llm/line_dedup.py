@@ -23,30 +23,37 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_128_digest
 
-from gavel.llm.common import Scratch
+from gavel.llm.common import Scratch, shielded
 
 MIN_CHARS = 10
 BATCHES = 4
 FANOUT = 2
 
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-_BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
+_BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
+_PER_CHAR = 4  # bytes of a code point at most
 _KEY_SCHEMA = T.StructType([T.StructField("ld_doc", T.LongType()), T.StructField("ld_hi", T.LongType()),
                             T.StructField("ld_lo", T.LongType())])
 _OUT = "n_lines long, n_dropped long, text string"
 
 
-def line_key(line: str) -> str:
-    return line.strip(_BLANKS).translate(_LOWER)
+def line_key(line: bytes) -> bytes:
+    """Key of a line in UTF-8 (``bytes.lower`` changes A-Z alone)."""
+    return line.strip(_BLANKS).lower()
 
 
-def key_hash(key: str) -> bytes:
-    return xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass"))
+def long_enough(key: bytes, min_chars: int) -> bool:
+    return len(key) >= min_chars and (len(key) >= _PER_CHAR * min_chars or len(key.decode()) >= min_chars)
+
+
+def long_keys(text: str | None, min_chars: int) -> set[bytes]:
+    """Hashes of the distinct long keys of a text."""
+    lines = {line.strip(_BLANKS) for line in (text or "").encode().lower().split(b"\n")}
+    return {xxh3_128_digest(key) for key in lines if long_enough(key, min_chars)}
 
 
 def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -55,8 +62,8 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         for batch in batches:
             ids, out_ids, digests = batch.column(0).to_pylist(), [], []
             for i, text in enumerate(batch.column(1)):
-                keys = {k for k in map(line_key, (text.as_py() or "").split("\n")) if len(k) >= min_chars}
-                digests += map(key_hash, keys)
+                keys = long_keys(text.as_py(), min_chars)
+                digests += keys
                 out_ids += [ids[i]] * len(keys)
                 if len(out_ids) > 200_000:
                     yield _pack(out_ids, digests)
@@ -121,9 +128,11 @@ class LineIndex:
 
 def batch_bounds(docs: DataFrame, batches: int) -> list[int]:
     """Doc_id cut points of about equal batches (any cut points give the same result)."""
-    cuts = docs.select(F.col("doc_id").cast("double").alias("ld_doc")).approxQuantile(
-        "ld_doc", [i / batches for i in range(1, batches)], 0.01)
-    return sorted({int(c) for c in cuts})
+    shares = [i / batches for i in range(1, batches)]
+    if not shares:
+        return []
+    cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), shares, 1000)).first()[0]
+    return sorted(set(cuts or []))
 
 
 def build_index(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES, fanout: int = FANOUT) -> LineIndex:
@@ -146,7 +155,7 @@ def _rebuild(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataF
                 out.append((len(lines), 0, text))
                 continue
             gone = {np.array([p["ld_hi"], p["ld_lo"]], "<i8").tobytes() for p in lost}
-            kept = [x for x in lines if key_hash(line_key(x)) not in gone]
+            kept = [x for x in lines if xxh3_128_digest(line_key(x.encode())) not in gone]
             out.append((len(lines), len(lines) - len(kept), "\n".join(kept)))
         yield pd.DataFrame(out, columns=["n_lines", "n_dropped", "text"])
 
@@ -154,12 +163,13 @@ def _rebuild(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataF
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES,
                 fanout: int = FANOUT) -> DataFrame:
     """All columns of ``docs`` plus the struct ``ld_out`` (n_lines, n_dropped, text)."""
+    docs, names = shielded(docs, "doc_id", "text")
     index = build_index(docs, min_chars, batches, fanout)
     rebuild = F.pandas_udf(_rebuild, _OUT)
     lost = index.dropped(docs)
     doc = F.col("doc_id").cast("long")
     joined = docs.withColumn("ld_key", doc).join(lost, F.col("ld_key").eqNullSafe(F.col("ld_doc")), "left")
-    return joined.withColumn("ld_out", rebuild("text", "ld_lost")).drop("ld_key", "ld_doc", "ld_lost")
+    return joined.withColumn("ld_out", rebuild("text", "ld_lost")).drop("ld_key", "ld_doc", "ld_lost").withColumnsRenamed(names)
 
 
 def query(docs: DataFrame) -> DataFrame:
@@ -171,12 +181,13 @@ def query(docs: DataFrame) -> DataFrame:
 
 def stage(docs: DataFrame) -> DataFrame:
     """``docs`` with duplicate lines removed; n_chars follows a text that changed."""
-    cut = F.col("ld_out.n_dropped") > 0
-    out = dedup_lines(docs)
-    columns = {"text": F.col("ld_out.text")}
-    if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(cut, F.length("ld_out.text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumns(columns).select(*docs.columns)
+    columns = docs.columns
+    docs, names = shielded(docs, "doc_id", "text", "n_chars")
+    out = dedup_lines(docs).withColumn("text", F.col("ld_out.text"))
+    if "n_chars" in columns:
+        changed = F.col("ld_out.n_dropped") > 0
+        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.drop("ld_out").withColumnsRenamed(names).select(*columns)
 
 
 SQL = r"""
