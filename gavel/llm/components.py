@@ -25,3 +25,16 @@ def components(nodes: DataFrame, edges: DataFrame, scratch: Scratch, name: str)
         if jumped.where(F.col("was") != F.col("comp")).isEmpty():
             return labels
         step += 1
+
+
+def merged(comps: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(node, comp) after more links (a, b) between nodes: components of the few classes that they join."""
+    a = comps.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
+    b = comps.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
+    joins = scratch.keep(links.join(a, "a").join(b, "b").where("ca != cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+                         .distinct(), f"{name}/joins")
+    if joins.isEmpty():
+        return comps
+    old = joins.select(F.col("a").alias("node")).union(joins.select("b")).distinct()
+    new = components(old, joins, scratch, name).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    return scratch.keep(comps.join(new, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), f"{name}/merged")

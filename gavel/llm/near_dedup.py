@@ -2,20 +2,24 @@
 
 A text is the sequence of its five-word shingles (words cut at blanks, A-Z
 lower-cased), each labelled with its occurrence number, so that all are
-different.  A sketch takes, for each of ``BANDS`` hash functions, the two
+different.  A sketch takes, for each of ``BANDS`` hash functions, the ``PICKS``
 smallest labelled shingles in the order they have in the text; texts with an
-equal pair are candidates.  Candidates are verified by aligning their shingle
+equal pick are candidates.  A pair of similarity 0.8 shares a pick with a
+probability of 1 - (1 - 0.8**4)**24, more than 0.999996.  Candidates are verified by aligning their shingle
 sequences inside a band: with L aligned shingles of n and m, the similarity is
 ``L / (n + m - L)``, the Jaccard similarity of the sequences when order counts.
 Texts linked at ``THRESHOLD`` or more, directly or through others, form a class.
 
-No bucket is expanded into pairs.  One minus the similarity is a metric, so a
-bucket is settled by pivots: every member is aligned with a pivot, then the
-bucket is split into the members near the pivot (similarity at least
-``1 - 2 * (1 - THRESHOLD)``) and those not linked to it; no link can join a
-member linked to the pivot with one that is not near it.  Pivots leave their
-bucket, buckets whose members are already in one class are done, and the
-number of pivots doubles each round, until no bucket is left.
+No bucket is expanded into pairs.  It is settled with a pivot, its member with
+the most candidates, and the pivot's cover: its shingles and those of
+``COMPANIONS`` more such members, twice as many in each round.  Every member is
+aligned with all of these.  For any two members in different classes, either they share a shingle outside the
+cover, or all that they share lies in the cover.  The members that share a
+shingle outside the cover make up a new, smaller bucket (the pivot is not in it).
+In the other case the smaller of their two counts of shingles in the cover
+bounds their similarity, and only pairs that reach the threshold by this bound
+are aligned.  Buckets whose members are in one class are done.  Copies of one
+text differ from the cover by shingles of their own, so new buckets are rare.
 
 Defined cases: equal texts are one class whatever their length; a text of fewer
 than five words is one shingle; texts without words are copies of equal texts
@@ -33,12 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gavel.llm.common import Scratch, SpanHash, chunks, mix, utf8, word_spans
-from gavel.llm.components import components
+from gavel.llm.common import Scratch, SpanHash, chunks, mix, shielded, utf8, word_spans
+from gavel.llm.components import merged
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 16
+BANDS = 24
+PICKS = 4
+COMPANIONS = 2
 _SEED = np.random.default_rng(77)
 _XOR = _SEED.integers(0, 2**64, BANDS, np.uint64)
 _TIMES = _SEED.integers(0, 2**64, BANDS, np.uint64) | np.uint64(1)
@@ -68,7 +74,7 @@ def labelled_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray
 
 
 def sketch(labelled: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Texts x BANDS keys of the ordered pairs of smallest shingles; only for texts that have shingles."""
+    """Texts x BANDS keys of the smallest shingles in text order; only for texts that have shingles."""
     size = np.diff(begin)
     begin, size = begin[:-1][size > 0], size[size > 0]
     keys = np.empty((len(size), BANDS), np.uint64)
@@ -77,13 +83,15 @@ def sketch(labelled: np.ndarray, begin: np.ndarray) -> np.ndarray:
     for band in range(BANDS):
         h = (labelled ^ _XOR[band]) * _TIMES[band]
         h ^= h >> np.uint64(32)
-        pair = []
-        for _ in range(2):
+        picks = []
+        for _ in range(PICKS):  # a text with fewer shingles picks its last one again
             where = np.flatnonzero(h == np.repeat(np.minimum.reduceat(h, begin), size))
-            pair.append(where[np.searchsorted(where, begin)])
-            h[pair[-1]] = _TOP
-        low, high = np.minimum(*pair), np.maximum(*pair)
-        keys[:, band] = mix(labelled[low] * np.uint64(0x9FB21C651E98DF25) + labelled[high] + np.uint64(band))
+            picks.append(where[np.searchsorted(where, begin)])
+            h[picks[-1]] = _TOP
+        key = np.full(len(size), band, np.uint64)
+        for pick in np.sort(picks, axis=0):
+            key = mix(key * np.uint64(0x9FB21C651E98DF25) + labelled[pick])
+        keys[:, band] = key
     return keys
 
 
@@ -123,7 +131,7 @@ def _node(text="text"):
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """node and bid (one row per band) of each text with words; ``texts`` has node and text."""
+    """node and its keys (one per band) of each text with words; ``texts`` has node and text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
@@ -135,8 +143,7 @@ def sketches(texts: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays([nodes, lists], names=["node", "keys"])
 
-    return texts.select("node", "text").mapInArrow(run, "node binary, keys array<long>").select(
-        "node", F.explode("keys").alias("bid"))
+    return texts.select("node", "text").mapInArrow(run, "node binary, keys array<long>")
 
 
 def sequences(texts: DataFrame) -> DataFrame:
@@ -171,37 +178,97 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(node, comp) of every text that is linked to a different text; other texts are classes of their own."""
     scratch = Scratch(docs.sparkSession, "near")
     texts = docs.where(F.col("text").isNotNull()).select(_node().alias("node"), "text")
-    all_buckets = sketches(texts).distinct()
-    shared = all_buckets.groupBy("bid").agg(F.count("*").alias("n")).where("n > 1").select("bid")
-    buckets = scratch.keep(all_buckets.join(shared, "bid", "left_semi"), "buckets")
+    banded = scratch.keep(sketches(texts), "sketches").select("node", F.explode("keys").alias("bid"))
+    some = F.xxhash64("node")
+    shared = banded.groupBy("bid").agg(F.min(some).alias("low"), F.max(some).alias("high")).where("low != high").select("bid")
+    shared = scratch.keep(shared, "shared")  # a side read anew is dealt anew, so a hot bucket's rows can be split
+    buckets = scratch.keep(banded.join(shared, "bid", "left_semi").distinct(), "buckets")
     nodes = scratch.keep(buckets.select("node").distinct(), "nodes")
     seqs = scratch.keep(sequences(texts.join(nodes, "node", "left_semi")).groupBy("node").agg(F.first("seq").alias("seq")), "seqs")
 
-    near = 1 - 2 * (1 - threshold)
-    comps, edges, pivots, step = nodes.select("node", F.col("node").alias("comp")), None, 1, 0
+    sizes = buckets.groupBy("bid").agg(F.count("*").alias("n"))
+    weights = scratch.keep(buckets.join(sizes, "bid").groupBy("node").agg(F.sum("n").alias("weight")), "weights")
+    comps, step = nodes.select("node", F.col("node").alias("comp")), 0
     while True:
-        member = buckets.join(comps, "node")
-        mixed = member.groupBy("bid").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-        member = scratch.keep(member.join(mixed.select("bid"), "bid", "left_semi").select("bid", "node"), f"{step}/members")
+        mixed = (buckets.join(comps, "node").groupBy("bid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+                 .where("low != high").select("bid"))
+        mixed = scratch.keep(mixed, f"{step}/mixed")
+        member = scratch.keep(buckets.join(mixed, "bid", "left_semi"), f"{step}/members")
         if member.isEmpty():
             return comps
-        rank = F.row_number().over(Window.partitionBy("bid").orderBy(F.xxhash64("node"), "node"))
-        chosen = scratch.keep(member.select("bid", F.col("node").alias("pivot"), rank.alias("rank")).where(F.col("rank") <= pivots),
-                              f"{step}/pivots")
-        rest = member.join(chosen.select("bid", F.col("pivot").alias("node")), ["bid", "node"], "left_anti")
-        # rest x pivots of each bucket; pivots are compared among themselves by their order
-        tests = rest.join(chosen, "bid").select("pivot", "node")
-        among = chosen.alias("x").join(chosen.alias("y"), (F.col("x.bid") == F.col("y.bid")) & (F.col("x.rank") < F.col("y.rank")))
-        tests = tests.union(among.select("x.pivot", F.col("y.pivot").alias("node"))).distinct()
-        sims = scratch.keep(aligned(tests, seqs, near), f"{step}/sims")
-        linked = sims.where(F.col("sim") >= threshold).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        edges = linked if edges is None else edges.union(linked)
-        comps = components(nodes, edges, scratch, f"{step}/components")
-        first = rest.join(chosen.where("rank = 1").select("bid", "pivot"), "bid").join(sims, ["pivot", "node"])
-        buckets = scratch.keep(
-            first.where(F.col("sim") >= near).select(F.xxhash64("bid", F.lit(1)).alias("bid"), "node")
-            .union(first.where(F.col("sim") < threshold).select(F.xxhash64("bid", F.lit(2)).alias("bid"), "node")), f"{step}/buckets")
-        pivots, step = pivots * 2, step + 1
+        against = scratch.keep(_against_cover(member, weights, seqs, threshold, COMPANIONS << step), f"{step}/against")
+        comps = merged(comps, against.select(F.explode("links").alias("a"), F.col("node").alias("b")), scratch, f"{step}/linked")
+
+        held = against.select("pivot", "node", "covered", "size", "rest").join(comps, "node")
+        open_pivots = scratch.keep(held.groupBy("pivot").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+                                   .where("low != high").select("pivot"), f"{step}/open")
+        held = scratch.keep(held.join(open_pivots, "pivot", "left_semi"), f"{step}/held")
+        close = scratch.keep(aligned(_close_in_cover(held, threshold), seqs, threshold).where(F.col("sim") >= threshold), f"{step}/near")
+        comps = merged(comps, close.select(F.col("pivot").alias("a"), F.col("node").alias("b")), scratch, f"{step}/close")
+        buckets, step = scratch.keep(_sharing_outside(held), f"{step}/buckets"), step + 1
+
+
+def _against_cover(member: DataFrame, weights: DataFrame, seqs: DataFrame, threshold: float, companions: int) -> DataFrame:
+    """Each member of a bucket against its pivot's cover: pivot, node, the texts of the cover that it is linked to,
+    how many of its shingles the cover has (covered), how many it has itself (size), and the others (rest)."""
+    weighed = member.join(weights, "node")
+    heaviest = weighed.groupBy("bid").agg(F.max(F.struct("weight", F.xxhash64("node"), "node")).alias("top"))
+    pairs = member.join(heaviest.select("bid", F.col("top.node").alias("pivot")), "bid").select("pivot", "node").distinct()
+    order = Window.partitionBy("pivot").orderBy(F.desc("weight"), F.xxhash64("node"), "node")
+    others = (pairs.where("pivot != node").join(weights, "node").withColumn("rank", F.row_number().over(order))
+              .where(F.col("rank") <= companions).select("pivot", "node"))
+    covers = (pairs.select("pivot", F.col("pivot").alias("node")).distinct().union(others).join(seqs, "node")
+              .groupBy("pivot").agg(F.collect_list(F.struct("node", "seq")).alias("cover")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                links, covered, size, rest = [], [], [], []
+                for node, seq, cover in zip(part.column(1), part.column(2), part.column(3)):
+                    own = np.frombuffer(seq.as_py(), "<u8")
+                    texts = [(c["node"], np.frombuffer(c["seq"], "<u8")) for c in cover.as_py()]
+                    inside = np.isin(own, np.concatenate([t for _, t in texts]))
+                    links.append([k for k, t in texts if k != node.as_py() and similarity(t, own, threshold)])
+                    covered.append(int(inside.sum()))
+                    size.append(len(own))
+                    rest.append(own[~inside].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(links, pa.list_(pa.binary())), pa.array(covered, pa.int64()),
+                     pa.array(size, pa.int64()), pa.array(rest, pa.list_(pa.int64()))],
+                    names=["pivot", "node", "links", "covered", "size", "rest"])
+
+    joined = pairs.join(seqs, "node").join(covers, "pivot").select("pivot", "node", "seq", "cover")
+    return joined.mapInArrow(run, "pivot binary, node binary, links array<binary>, covered long, size long, rest array<long>")
+
+
+def _close_in_cover(held: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (pivot, node) of texts in different classes that can be linked by what they share inside the cover.
+
+    L shingles in common make a similarity of ``threshold`` only if L is at least
+    ``threshold / (1 + threshold)`` of both sizes together, and L is at most what
+    the cover has of either.  One of the two is outside the cover's largest class.
+    """
+    share = threshold / (1 + threshold)
+    can = held.where(F.col("covered") >= threshold * F.col("size")).select("pivot", "node", "covered", "size", "comp")
+    largest = (can.groupBy("pivot", "comp").agg(F.count("*").alias("n")).groupBy("pivot")
+               .agg(F.max(F.struct("n", "comp")).alias("top")).select("pivot", F.col("top.comp").alias("main")))
+    can = can.join(largest, "pivot")
+    u, v = can.where("comp != main").alias("u"), can.alias("v")
+    bound = F.least("u.covered", "v.covered") >= share * (F.col("u.size") + F.col("v.size"))
+    apart = (F.col("u.comp") < F.col("v.comp")) | ((F.col("u.comp") > F.col("v.comp")) & (F.col("v.comp") == F.col("v.main")))
+    return u.join(v, (F.col("u.pivot") == F.col("v.pivot")) & bound & apart).select(
+        F.col("u.node").alias("pivot"), F.col("v.node").alias("node")).distinct()
+
+
+def _sharing_outside(held: DataFrame) -> DataFrame:
+    """New buckets (bid, node): the holders of a shingle outside the cover, if they are in different classes."""
+    rows = held.select("pivot", "node", "comp", F.explode("rest").alias("shingle"))
+    key = F.xxhash64("pivot", "shingle").alias("bid")
+    sets = rows.groupBy("pivot", "shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"),
+                                                F.bit_xor(F.xxhash64("node")).alias("who")).where("low != high")
+    one = sets.groupBy("pivot", "n", "who").agg(F.min("shingle").alias("shingle")).select("pivot", "shingle")  # one for equal sets
+    return rows.join(one, ["pivot", "shingle"], "left_semi").select(key, "node").distinct()
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -221,9 +288,12 @@ def query(docs: DataFrame) -> DataFrame:
 
 def stage(docs: DataFrame) -> DataFrame:
     """One document of each class: the one with the least doc_id; all documents without a text."""
+    columns = docs.columns
+    docs, names = shielded(docs, "doc_id", "text")
     first = _rows(docs).groupBy("nd_comp").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "nd_node")).alias("first"))
     keepers = first.select(F.col("first.nd_node").alias("nd_node"), F.col("first.doc_id").alias("nd_doc"))
     texts = docs.where(F.col("text").isNotNull()).withColumn("nd_node", _node())
     kept = texts.join(keepers, ["nd_node"]).where(F.col("doc_id").eqNullSafe(F.col("nd_doc"))).dropDuplicates(["nd_node"])
-    return kept.select(*docs.columns).unionByName(docs.where(F.col("text").isNull()))
+    out = kept.select(*docs.columns).unionByName(docs.where(F.col("text").isNull()))
+    return out.withColumnsRenamed(names).select(*columns)
