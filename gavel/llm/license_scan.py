@@ -53,9 +53,13 @@ TEMPLATES = [
 ]
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_OTHER = "".join(chr(c) for c in range(128) if not chr(c).isalnum() and c != 0x20)
+
+
 def terms(text: Column) -> Column:
-    """Lower-case runs of ASCII letters and digits."""
-    return F.array_remove(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), " "), "")
+    """Words: A-Z lower-cased, cut at ASCII characters that are no letter or digit."""
+    return F.array_remove(F.split(F.translate(text, _UPPER + _OTHER, _UPPER.lower() + " " * len(_OTHER)), " "), "")
 
 
 def _vocabulary(templates) -> tuple[list[tuple[str, dict[str, int]]], list[str]]:
@@ -88,14 +92,21 @@ def scored_lines(files: DataFrame, keys: list[str], templates=TEMPLATES, thresho
     unseen = math.log(n + 1) + 1
     idf = {w: math.log((n + 1) / (found.get(w, 0) + 1)) + 1 for w in vocabulary}
 
-    lines = files.select(*keys, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("ls_line", "ls_text"))
-    lines = lines.select(*keys, "ls_line", terms(F.col("ls_text")).alias("ls_words"))
-    known = F.size(F.array_intersect("ls_words", _literals(vocabulary)))
-    other = F.size(F.array_distinct("ls_words")) - known
+    # words are bound by a transform and measured in the generator, so nothing below computes them again
+    def measured(words):
+        known = F.array_intersect(words, _literals(vocabulary))
+        return F.struct(words.alias("words"), known.alias("known"), F.size(F.array_distinct(words)).alias("distinct"))
+
+    words = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), terms)
+    lines = files.select(*keys, F.posexplode(F.transform(words, measured)).alias("ls_line", "x"))
+    lines = lines.where(F.size("x.known") > 0).select(
+        *keys, "ls_line", F.col("x.words").alias("ls_words"), (F.col("x.distinct") - F.size("x.known")).alias("ls_other"),
+        (F.size("x.words") - F.col("x.distinct")).alias("ls_again"),
+        F.transform("x.known", lambda w: F.element_at(F.create_map(*(F.lit(y) for z in idf.items() for y in z)), w)).alias("ls_idf"))
     # a vector's part on the templates' terms bounds its cosines: lines that the other terms outweigh are done
-    most = F.lit(max(idf.values())) * (F.size("ls_words") - other)
-    lines = lines.where((known > 0) & (F.sqrt(other) * (unseen * threshold) <= most * math.sqrt(1 - threshold**2)))
-    lines = Scratch(spark, "licences").keep(lines, "lines")
+    most = F.aggregate("ls_idf", F.lit(0.0), lambda a, x: a + x) + F.col("ls_again") * F.array_max("ls_idf")
+    lines = lines.where(F.sqrt("ls_other") * (unseen * threshold) <= most * math.sqrt(1 - threshold**2))
+    lines = Scratch(spark, "licences").keep(lines.select(*keys, "ls_line", "ls_words"), "lines")
 
     # as many rows as the templates have terms
     weights = F.broadcast(spark.createDataFrame([(w, x) for w, x in idf.items()], "ls_term string, ls_idf double"))
@@ -154,3 +165,40 @@ def query(docs: DataFrame) -> DataFrame:
     path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string"))
     files = docs.select("doc_id", text_key().alias("ls_key"), path.alias("ls_file"), "text")
     return scan(files, ["doc_id", "ls_key"], "ls_file").drop("ls_key").withColumn("score", F.coalesce("score", F.lit(0.0)))
+
+
+def _sql() -> str:
+    quoted = ", ".join("({}, '{}', '{}')".format(k, licence, text.replace("'", "''")) for k, (licence, text) in enumerate(TEMPLATES))
+    cut = "regexp_extract_all(translate({}, '" + _UPPER + "', '" + _UPPER.lower() + r"'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH t(tid, licence, body) AS (VALUES {quoted}),
+tw AS (SELECT tid, licence, w, count(*) AS tf
+       FROM (SELECT tid, licence, unnest({cut.format('body')}) AS w FROM t) GROUP BY ALL),
+vocabulary AS (SELECT DISTINCT w FROM tw),
+lines AS (SELECT doc_id, generate_subscripts(l, 1) AS line, unnest(l) AS body
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+lw AS (SELECT doc_id, line, w, count(*) AS tf
+       FROM (SELECT doc_id, line, unnest({cut.format('body')}) AS w FROM lines) GROUP BY ALL),
+total AS (SELECT count(*) AS n FROM documents),
+df AS (SELECT w, count(DISTINCT doc_id) AS df FROM lw WHERE w IN (SELECT w FROM vocabulary) GROUP BY 1),
+idf AS (SELECT v.w, ln((n + 1.0) / (coalesce(df, 0) + 1)) + 1 AS idf FROM total, vocabulary v LEFT JOIN df ON v.w = df.w),
+tv AS (SELECT tid, licence, tw.w, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY tid)) AS x FROM tw JOIN idf ON tw.w = idf.w),
+lv AS (SELECT doc_id, line, lw.w, tf, tf * coalesce(idf, ln(n + 1.0) + 1) AS x FROM total, lw LEFT JOIN idf ON lw.w = idf.w),
+norms AS (SELECT doc_id, line, sqrt(sum(x * x)) AS norm, sum(tf) AS n FROM lv GROUP BY 1, 2),
+dots AS (SELECT doc_id, line, tid, licence, sum(lv.x * tv.x) AS dot FROM lv JOIN tv ON lv.w = tv.w GROUP BY ALL),
+scored AS (SELECT d.doc_id, d.line, licence, round(dot / norm, 9) AS score, n
+           FROM dots d JOIN norms o ON d.doc_id = o.doc_id AND d.line = o.line WHERE round(dot / norm, 9) >= {THRESHOLD}),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY score DESC, licence) = 1),
+declared AS (SELECT doc_id, licence AS own, score, sum(n) OVER (PARTITION BY doc_id) AS matched FROM best
+             QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1),
+files AS (SELECT d.doc_id, coalesce(source, '') || '/' || coalesce(lang, '') AS dir, own, score,
+                 coalesce(matched >= {FILE_SHARE} * len({cut.format('coalesce(text, chr(32))')}), false) AS is_licence_file
+          FROM documents d LEFT JOIN declared c ON d.doc_id = c.doc_id),
+dirs AS (SELECT dir, own AS licence FROM files WHERE is_licence_file
+         QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, own) = 1)
+SELECT doc_id, coalesce(own, dirs.licence) AS licence, coalesce(score, 0.0::DOUBLE) AS score,
+       CASE WHEN own IS NULL THEN dirs.dir END AS from_dir, is_licence_file
+FROM files LEFT JOIN dirs ON files.dir = dirs.dir"""
+
+
+SQL = _sql()

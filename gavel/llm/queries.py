@@ -68,5 +68,6 @@ QUERIES: dict[str, QueryFn] = {
 
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.SQL,
+    "op6_license_scan": license_scan.SQL,
     "op10_decontamination": decontamination.SQL,
 }
