@@ -1,13 +1,17 @@
-"""Licence scan: TF-IDF cosine of lines to templates, then inheritance from the nearest directory.
-
-Every line of a file is a sparse vector of term frequency times inverse
-document frequency; document frequencies of the templates' terms are counted
-over the whole corpus, and any other term weighs as much as one never seen.  A
-line's best template at ``THRESHOLD`` or more is a declared licence, and the
-file's best line decides.  A file of which such lines make up ``FILE_SHARE`` of
-the words is a licence file of its directory.  A file that declares nothing
-takes the licence of the nearest ancestor directory that has a licence file,
-found by an equi-join on directory paths.
+"""Licence scan: TF-IDF cosine of parts of files to templates, then inheritance from the nearest directory.
+
+The units of a file are its lines, its runs of comment lines and of other
+non-empty lines, its paragraphs (runs of non-empty lines of both sorts) and the
+whole file; comment marks are no words.  Every unit is a sparse vector of term
+frequency times inverse document frequency; document frequencies of the
+templates' terms are counted over the whole corpus, and any other term weighs
+as much as one never seen.  Templates are one-sentence notices, header notices
+and full licence texts.  A unit's best template at ``THRESHOLD`` or more is a
+declared licence, and the file's best unit decides.  A file of which the lines
+of such units make up ``FILE_SHARE`` of the words is a licence file of its
+directory.  A file that declares nothing takes the licence of the nearest
+ancestor directory that has a licence file, found by an equi-join on directory
+paths.
 
 Defined cases: a null or empty text declares nothing; a null path has no
 directory, so nothing is inherited; ties between templates go to the first
@@ -20,6 +24,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +58,39 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 
+#: Wording of notices over several lines, beside the full texts in ``licences/``.
+HEADERS = [
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+     the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law
+     or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
+     CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations
+     under the License."""),
+    *((licence, f"""This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by
+     the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This {what} is distributed in
+     the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+     PARTICULAR PURPOSE. See the GNU {name} for more details. You should have received a copy of the GNU {name} along with this {what}.
+     If not, see https://www.gnu.org/licenses/.""") for licence, what, name in (
+         ("GPL-3.0", "program", "General Public License"), ("LGPL-3.0", "library", "Lesser General Public License"))),
+    ("LGPL-3.0", """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+     License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""),
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+     files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+     merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+     to do so, subject to the following conditions:"""),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+     distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+]
+#: Templates of so many terms count as long.
+LONG = 100
+_MARK = r"""^\s*(?:#|//|/\*|\*|--|;|%|<!--|\"{3}|'{3})"""
+
+
+@cache
+def full_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the notices over several lines and of the licences' full texts; read on the driver."""
+    files = sorted((Path(__file__).parent / "licences").glob("*.txt"))
+    return HEADERS + [(f.stem, f.read_text("ascii")) for f in files]
+
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _OTHER = "".join(chr(c) for c in range(128) if not chr(c).isalnum() and c != 0x20)
@@ -84,60 +123,135 @@ def _literals(values: list) -> Column:
     return F.array(*map(F.lit, values))
 
 
-def scored_lines(files: DataFrame, keys: list[str], templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``keys``, line number, licence, score and words of every line that matches a template."""
-    spark = files.sparkSession
-    bags, vocabulary = _vocabulary(templates)
+def _bounds(bags, idf: dict[str, float], found: dict[str, int], share: float) -> tuple[list, list[str], list[str], int]:
+    """Entries (term, template, licence, weight) of the templates' unit vectors, and what a unit must hold to match any.
+
+    The cosine to a template is at most the length of the template's part on the unit's terms, whose square must
+    be ``share`` at least.  So a unit holds one of a template's rarest terms that together have more than
+    1 - ``share``, and as many terms as the heaviest need for ``share``: anchors of short and of long templates,
+    and the number of terms of the latter.
+    """
+    entries, short, long, least = [], set(), set(), 1 << 30
+    for k, (licence, bag) in enumerate(bags):
+        norm = math.sqrt(sum((c * idf[w]) ** 2 for w, c in bag.items()))
+        side = {w: c * idf[w] / norm for w, c in bag.items()}
+        entries += [(w, k, licence, x) for w, x in side.items()]
+        anchors, part = [], 0.0
+        for w in sorted(side, key=lambda w: (found.get(w, 0), -side[w], w)):
+            anchors.append(w)
+            if (part := part + side[w] ** 2) > 1 - share:
+                break
+        need, part = 0, 0.0
+        for x in sorted(side.values(), reverse=True):
+            need += 1
+            if (part := part + x * x) >= share:
+                break
+        if len(bag) < LONG:
+            short.update(anchors)
+        else:
+            long.update(anchors)
+            least = min(least, need)
+    return entries, sorted(short), sorted(long), least
+
+
+def _runs(classes: Column, n: Column) -> Column:
+    """First and last line of the runs of one class, without those of class 0."""
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(classes, i) != F.get(classes, i - 1)))
+    spans = F.transform(starts, lambda s, k: F.struct(s.alias("first"), (F.coalesce(F.get(starts, k + 1), n) - 1).alias("last")))
+    return F.filter(spans, lambda r: F.get(classes, r["first"]) != 0)
+
+
+def _units(files: DataFrame, keys: list[str], short: list[str], long: list[str], least: int) -> DataFrame:
+    """Lines, comment and other runs, paragraphs and whole files that may match: ``keys``, first and last line, words.
+
+    ``ls_sizes`` are the numbers of words of the unit's lines.
+    """
+    def may(words):
+        return F.arrays_overlap(words, _literals(short)) | (
+            F.arrays_overlap(words, _literals(long)) & (F.size(F.array_distinct(words)) >= least))
+
+    def line(s):
+        kind = F.when(s.rlike(r"^\s*$"), 0).when(s.rlike(_MARK), 1).otherwise(2)
+        return F.struct(terms(s).alias("words"), kind.alias("kind"))
+
+    # each stage goes through a generator, so nothing below computes it again
+    text = F.coalesce("text", F.lit(""))
+    held = files.where(may(terms(text)))
+    lines = held.select(*keys, F.explode(F.array(F.transform(F.split(text, "\n"), line))).alias("l"))
+    lines = lines.select(*keys, F.explode(F.array(F.struct(
+        F.col("l.words").alias("words"), F.col("l.kind").alias("kind"), F.transform("l.kind", lambda k: F.least(k, F.lit(1))).alias("full"),
+        F.transform("l.words", F.size).alias("sizes"), F.size("l").alias("n")))).alias("l"))
+    n = F.col("l.n")
+    lines = lines.select(*keys, "l", F.explode(F.array(F.struct(
+        _runs(F.col("l.kind"), n).alias("runs"), _runs(F.col("l.full"), n).alias("paragraphs")))).alias("r"))
+    single = F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get("l.full", i) > 0),
+                         lambda i: F.struct(i.alias("first"), i.alias("last")))
+    whole = F.when(F.size("r.paragraphs") > 1, F.array(F.struct(
+        F.element_at("r.paragraphs", 1)["first"].alias("first"), F.element_at("r.paragraphs", -1)["last"].alias("last"))))
+    spans = F.array_distinct(F.concat(single, F.col("r.runs"), F.col("r.paragraphs"), F.coalesce(whole, F.slice(single, 1, 0))))
+
+    def unit(span):
+        at, many = span["first"] + 1, span["last"] - span["first"] + 1
+        return F.struct(span["first"].alias("first"), span["last"].alias("last"), F.flatten(F.slice("l.words", at, many)).alias("words"),
+                        F.slice("l.sizes", at, many).alias("sizes"))
+
+    units = lines.select(*keys, F.explode(F.filter(F.transform(spans, unit), lambda u: may(u["words"]))).alias("u"))
+    return units.select(*keys, F.col("u.first").alias("ls_first"), F.col("u.last").alias("ls_last"),
+                        F.col("u.words").alias("ls_words"), F.col("u.sizes").alias("ls_sizes"))
+
+
+def _renamed(df: DataFrame, columns: list[str]) -> tuple[DataFrame, Column]:
+    """``df`` with other names for ``columns``, and the null-safe condition that joins it on them."""
+    same = F.lit(True)
+    for c in columns:
+        same &= F.col(c).eqNullSafe(F.col(f"o_{c}"))
+    return df.withColumnsRenamed({c: f"o_{c}" for c in columns}), same
+
+
+def scored_units(files: DataFrame, keys: list[str], templates=TEMPLATES, threshold: float = THRESHOLD, texts=None) -> DataFrame:
+    """``keys``, first and last line, words of each line, licence and score of every unit that matches a template."""
+    spark, scratch = files.sparkSession, Scratch(files.sparkSession, "licences")
+    bags, vocabulary = _vocabulary([*templates, *(full_texts() if texts is None else texts)])
     n, found = document_frequencies(files, vocabulary)
     unseen = math.log(n + 1) + 1
     idf = {w: math.log((n + 1) / (found.get(w, 0) + 1)) + 1 for w in vocabulary}
-
-    # words are bound by a transform and measured in the generator, so nothing below computes them again
-    def measured(words):
-        known = F.array_intersect(words, _literals(vocabulary))
-        return F.struct(words.alias("words"), known.alias("known"), F.size(F.array_distinct(words)).alias("distinct"))
-
-    words = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), terms)
-    lines = files.select(*keys, F.posexplode(F.transform(words, measured)).alias("ls_line", "x"))
-    lines = lines.where(F.size("x.known") > 0).select(
-        *keys, "ls_line", F.col("x.words").alias("ls_words"), (F.col("x.distinct") - F.size("x.known")).alias("ls_other"),
-        (F.size("x.words") - F.col("x.distinct")).alias("ls_again"),
-        F.transform("x.known", lambda w: F.element_at(F.create_map(*(F.lit(y) for z in idf.items() for y in z)), w)).alias("ls_idf"))
-    # a vector's part on the templates' terms bounds its cosines: lines that the other terms outweigh are done
-    most = F.aggregate("ls_idf", F.lit(0.0), lambda a, x: a + x) + F.col("ls_again") * F.array_max("ls_idf")
-    lines = lines.where(F.sqrt("ls_other") * (unseen * threshold) <= most * math.sqrt(1 - threshold**2))
-    lines = Scratch(spark, "licences").keep(lines.select(*keys, "ls_line", "ls_words"), "lines")
+    share = (threshold - 1e-6) ** 2
+    entries, short, long, least = _bounds(bags, idf, found, share)
+    at = [*keys, "ls_first", "ls_last"]
+    units = scratch.keep(_units(files, keys, short, long, least), "units")
 
     # as many rows as the templates have terms
-    weights = F.broadcast(spark.createDataFrame([(w, x) for w, x in idf.items()], "ls_term string, ls_idf double"))
-    entries = []
-    for k, (licence, bag) in enumerate(bags):
-        norm = math.sqrt(sum((c * idf[w]) ** 2 for w, c in bag.items()))
-        entries += [(w, k, licence, c * idf[w] / norm) for w, c in bag.items()]
+    weights = F.broadcast(spark.createDataFrame(list(idf.items()), "ls_term string, ls_idf double"))
     sides = F.broadcast(spark.createDataFrame(entries, "ls_term string, ls_template int, licence string, ls_side double"))
-
-    at = [*keys, "ls_line"]
-    vector = (lines.select(*at, F.explode("ls_words").alias("ls_term")).groupBy(*at, "ls_term").agg(F.count("*").alias("ls_tf"))
+    near = (units.select(*at, F.explode(F.array_distinct("ls_words")).alias("ls_term")).join(sides, "ls_term")
+            .groupBy(*at, "ls_template").agg(F.sum(F.col("ls_side") * F.col("ls_side")).alias("ls_part"))
+            .where(F.col("ls_part") >= share).select(*at).distinct())
+    near, same = _renamed(near, at)
+    vector = (units.join(near, same, "left_semi").select(*at, F.explode("ls_words").alias("ls_term"))
+              .groupBy(*at, "ls_term").agg(F.count("*").alias("ls_tf"))
               .join(weights, "ls_term", "left").withColumn("ls_w", F.col("ls_tf") * F.coalesce("ls_idf", F.lit(unseen))))
-    norms = vector.groupBy(*at).agg(F.sqrt(F.sum(F.col("ls_w") * F.col("ls_w"))).alias("ls_norm"), F.sum("ls_tf").alias("ls_n"))
+    vector = scratch.keep(vector.select(*at, "ls_term", "ls_w"), "vectors")
+    norms, same = _renamed(vector.groupBy(*at).agg(F.sqrt(F.sum(F.col("ls_w") * F.col("ls_w"))).alias("ls_norm")), at)
     dots = vector.join(sides, "ls_term").groupBy(*at, "ls_template", "licence").agg(F.sum(F.col("ls_w") * F.col("ls_side")).alias("ls_dot"))
-    other_side = norms.select(*[F.col(k).alias(f"o_{k}") for k in at], "ls_norm", "ls_n")
-    same = [F.col(k).eqNullSafe(F.col(f"o_{k}")) for k in at]
-    scored = dots.join(other_side, same).withColumn("score", F.round(F.col("ls_dot") / F.col("ls_norm"), 9))
-    best = scored.where(F.col("score") >= threshold).groupBy(*at, "ls_n").agg(
-        F.min(F.struct((-F.col("score")).alias("minus"), "licence")).alias("best"))
-    return best.select(*at, "best.licence", (-F.col("best.minus")).alias("score"), "ls_n")
+    scored = dots.join(norms, same).withColumn("score", F.round(F.col("ls_dot") / F.col("ls_norm"), 9))
+    best = scored.where(F.col("score") >= threshold).groupBy(*at).agg(
+        F.min(F.struct((-F.col("score")).alias("minus"), "licence")).alias("ls_best"))
+    best, same = _renamed(best, at)
+    return units.join(best, same).select(*at, "ls_sizes", "ls_best.licence", (-F.col("ls_best.minus")).alias("score"))
 
 
 def scan(files: DataFrame, keys: list[str], path: str, templates=TEMPLATES, threshold: float = THRESHOLD,
-         file_share: float = FILE_SHARE) -> DataFrame:
+         file_share: float = FILE_SHARE, texts=None) -> DataFrame:
     """``keys``, licence, score, from_dir (null: declared in the file itself, or none) and is_licence_file of every row.
 
     ``keys`` identify a row and include its text hash or a unique id; ``path`` is a column of "/"-separated names.
     """
-    found = scored_lines(files, keys, templates, threshold)
-    per_file = found.groupBy(*keys).agg(
-        F.min(F.struct((-F.col("score")).alias("minus"), "licence")).alias("best"), F.sum("ls_n").alias("ls_matched"))
+    found = scored_units(files, keys, templates, threshold, texts)
+    # a line counts once, in however many units it matches
+    lines = (found.select(*keys, "licence", "score", F.posexplode("ls_sizes").alias("ls_at", "ls_n"), "ls_first")
+             .groupBy(*keys, (F.col("ls_first") + F.col("ls_at")).alias("ls_line"))
+             .agg(F.min(F.struct((-F.col("score")).alias("minus"), "licence")).alias("best"), F.max("ls_n").alias("ls_n")))
+    per_file = lines.groupBy(*keys).agg(F.min("best").alias("best"), F.sum("ls_n").alias("ls_matched"))
     per_file = per_file.select(*[F.col(k).alias(f"f_{k}") for k in keys], F.col("best.licence").alias("own"),
                                (-F.col("best.minus")).alias("own_score"), "ls_matched")
     same = [F.col(k).eqNullSafe(F.col(f"f_{k}")) for k in keys]

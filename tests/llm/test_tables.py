@@ -127,6 +127,24 @@ def test_licences(spark):
                    "a/b/w.py": ("GPL-3.0", "a/b", False), "ab/v.py": (None, None, False)}
 
 
+def test_licences_of_header_blocks_and_whole_files(spark):
+    import textwrap
+    texts = dict(license_scan.full_texts())
+    gpl = next(t for licence, t in license_scan.HEADERS if licence == "GPL-3.0")
+    wrapped = textwrap.wrap(" ".join(next(t for licence, t in license_scan.TEMPLATES if t.startswith("Permission")).split()), 70)
+    code = "import os\n\n\ndef f(x):\n    return os.path.join(x, str(x))\n"
+    rows = [(f"{licence}/LICENSE", text) for licence, text in texts.items()]
+    rows += [("s/gpl.py", "#!/usr/bin/env python\n#\n" + "\n".join("# " + x for x in textwrap.wrap(" ".join(gpl.split()), 70)) + "\n" + code),
+             ("s/mit.c", "/*\n" + "\n".join(" * " + x for x in wrapped) + "\n */\n" + code), ("s/late.py", code + "\n" + "\n".join(wrapped) + "\n\n" + code),
+             ("s/none.py", code), ("MIT/x.py", code)] + [(f"other/{i}", brute.prose(i, 50)) for i in range(40)]
+    df = spark.createDataFrame(rows, "file string, text string")
+    got = {r["file"]: (r["licence"], r["from_dir"], r["is_licence_file"]) for r in license_scan.scan(df, ["file"], "file").collect()}
+    want = {f"{licence}/LICENSE": (licence, None, True) for licence in texts}
+    want |= {"s/gpl.py": ("GPL-3.0", None, True), "s/mit.c": ("MIT", None, True), "s/late.py": ("MIT", None, True), "MIT/x.py": ("MIT", "MIT", False)}
+    assert {k: got[k] for k in want} == want
+    assert all(got[f"other/{i}"] == (None, None, False) for i in range(40))
+
+
 def test_licence_query_on_awkward_rows(frame):
     got = license_scan.query(frame(ROWS))
     assert got.count() == len(ROWS) and got.where("licence IS NOT NULL").count() == 0
