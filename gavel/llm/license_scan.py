@@ -3,9 +3,8 @@
 The units of a file are its lines, its runs of comment lines and of other
 non-empty lines, its paragraphs (runs of non-empty lines of both sorts) and the
 whole file; comment marks are no words.  Every unit is a sparse vector of term
-frequency times inverse document frequency; document frequencies of the
-templates' terms are counted over the whole corpus, and any other term weighs
-as much as one never seen.  Templates are one-sentence notices, header notices
+frequency times inverse document frequency, where document frequencies of all
+terms are counted over the whole corpus.  Templates are one-sentence notices, header notices
 and full licence texts.  A unit's best template at ``THRESHOLD`` or more is a
 declared licence, and the file's best unit decides.  A file of which the lines
 of such units make up ``FILE_SHARE`` of the words is a licence file of its
@@ -111,12 +110,10 @@ def _vocabulary(templates) -> tuple[list[tuple[str, dict[str, int]]], list[str]]
     return bags, sorted({w for _, bag in bags for w in bag})
 
 
-def document_frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
-    """Number of files, and of files that hold each term of the templates (as many numbers as terms)."""
-    held = files.select(F.explode(F.concat(
-        F.array(F.lit("")), F.array_intersect(terms(F.coalesce("text", F.lit(""))), _literals(vocabulary)))).alias("term"))
-    found = {r["term"]: r["n"] for r in held.groupBy("term").agg(F.count("*").alias("n")).collect()}
-    return found.pop("", 0), found
+def document_frequencies(files: DataFrame) -> DataFrame:
+    """ls_term and ls_df, the number of files that hold it, of every term; the term "" is held by every file."""
+    held = files.select(F.explode(F.concat(F.array(F.lit("")), F.array_distinct(terms(F.coalesce("text", F.lit("")))))).alias("ls_term"))
+    return held.groupBy("ls_term").agg(F.count("*").alias("ls_df"))
 
 
 def _literals(values: list) -> Column:
@@ -212,24 +209,26 @@ def scored_units(files: DataFrame, keys: list[str], templates=TEMPLATES, thresho
     """``keys``, first and last line, words of each line, licence and score of every unit that matches a template."""
     spark, scratch = files.sparkSession, Scratch(files.sparkSession, "licences")
     bags, vocabulary = _vocabulary([*templates, *(full_texts() if texts is None else texts)])
-    n, found = document_frequencies(files, vocabulary)
-    unseen = math.log(n + 1) + 1
+    frequencies = scratch.keep(document_frequencies(files), "frequencies")
+    # as many rows as the templates have terms
+    words = F.broadcast(spark.createDataFrame([(w,) for w in ["", *vocabulary]], "ls_term string"))
+    found = {r["ls_term"]: r["ls_df"] for r in frequencies.join(words, "ls_term").collect()}
+    n = found.pop("", 0)
     idf = {w: math.log((n + 1) / (found.get(w, 0) + 1)) + 1 for w in vocabulary}
     share = (threshold - 1e-6) ** 2
     entries, short, long, least = _bounds(bags, idf, found, share)
     at = [*keys, "ls_first", "ls_last"]
     units = scratch.keep(_units(files, keys, short, long, least), "units")
 
-    # as many rows as the templates have terms
-    weights = F.broadcast(spark.createDataFrame(list(idf.items()), "ls_term string, ls_idf double"))
     sides = F.broadcast(spark.createDataFrame(entries, "ls_term string, ls_template int, licence string, ls_side double"))
     near = (units.select(*at, F.explode(F.array_distinct("ls_words")).alias("ls_term")).join(sides, "ls_term")
             .groupBy(*at, "ls_template").agg(F.sum(F.col("ls_side") * F.col("ls_side")).alias("ls_part"))
             .where(F.col("ls_part") >= share).select(*at).distinct())
     near, same = _renamed(near, at)
-    vector = (units.join(near, same, "left_semi").select(*at, F.explode("ls_words").alias("ls_term"))
-              .groupBy(*at, "ls_term").agg(F.count("*").alias("ls_tf"))
-              .join(weights, "ls_term", "left").withColumn("ls_w", F.col("ls_tf") * F.coalesce("ls_idf", F.lit(unseen))))
+    counted = (units.join(near, same, "left_semi").select(*at, F.explode("ls_words").alias("ls_term"))
+               .groupBy(*at, "ls_term").agg(F.count("*").alias("ls_tf")))
+    vector = counted.join(frequencies, "ls_term").withColumn(
+        "ls_w", F.col("ls_tf") * (F.log(F.lit(n + 1.0) / (F.col("ls_df") + 1)) + 1))
     vector = scratch.keep(vector.select(*at, "ls_term", "ls_w"), "vectors")
     norms, same = _renamed(vector.groupBy(*at).agg(F.sqrt(F.sum(F.col("ls_w") * F.col("ls_w"))).alias("ls_norm")), at)
     dots = vector.join(sides, "ls_term").groupBy(*at, "ls_template", "licence").agg(F.sum(F.col("ls_w") * F.col("ls_side")).alias("ls_dot"))

@@ -145,6 +145,14 @@ def test_licences_of_header_blocks_and_whole_files(spark):
     assert all(got[f"other/{i}"] == (None, None, False) for i in range(40))
 
 
+def test_licence_weights_of_common_words(spark):
+    rows = [("a/x", "Released under the MIT License. Repo LICENSE file.")] + [
+        (f"b/{i}", " ".join(w for w, share in (("repo", 10), ("released", 5), ("mit", 3), ("license", 10), ("file", 20)) if i % 100 < share)
+         + f" the under rare{i}") for i in range(1000)]
+    found = license_scan.scan(spark.createDataFrame(rows, "file string, text string"), ["file"], "file").where("file = 'a/x'").first()
+    assert found["licence"] == "MIT"
+
+
 def test_licence_query_on_awkward_rows(frame):
     got = license_scan.query(frame(ROWS))
     assert got.count() == len(ROWS) and got.where("licence IS NOT NULL").count() == 0
