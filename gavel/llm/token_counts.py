@@ -60,8 +60,9 @@ class Ledger:
         self._enter(batch, path)
         return True
 
-    def deltas(self) -> DataFrame:
-        paths = sorted(self.committed().values())
+    def deltas(self, *batches: str) -> DataFrame:
+        """Rows of the committed batches, or of those named."""
+        paths = sorted(p for b, p in self.committed().items() if not batches or b in batches)
         reader = self.spark.read.schema(_DELTA)
         return reader.parquet(*paths) if paths else self.spark.createDataFrame([], _DELTA)
 
@@ -130,5 +131,15 @@ def maintained(docs: DataFrame) -> Ledger:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """source, lang, tokenizer, n_docs, n_tokens of the distinct texts."""
-    return maintained(docs).totals()
+    """source, lang, tokenizer, and documents and tokens: of all rows, of exact copies, and n_docs, n_tokens of the distinct texts.
+
+    The copies are what the delete batch took off; a key of copies only keeps its row.
+    """
+    ledger, none = maintained(docs), F.lit(0).cast("long")
+    loaded, gone = ledger.deltas("insert", "revise"), ledger.deltas("delete")
+    rows = loaded.select(*KEYS, F.col("d_docs").alias("all_docs"), F.col("d_tokens").alias("all_tokens"),
+                         none.alias("copy_docs"), none.alias("copy_tokens"))
+    rows = rows.union(gone.select(*KEYS, none, none, -F.col("d_docs"), -F.col("d_tokens")))
+    sums = ["all_docs", "all_tokens", "copy_docs", "copy_tokens"]
+    return rows.groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in sums)).select(
+        *KEYS, (F.col("all_docs") - F.col("copy_docs")).alias("n_docs"), (F.col("all_tokens") - F.col("copy_tokens")).alias("n_tokens"), *sums)

@@ -97,6 +97,13 @@ def test_token_counts(frame):
     assert token_counts.query(frame([])).count() == 0
 
 
+def test_token_counts_of_all_documents(spark):
+    rows = [(1, "a b", "s", "x"), (2, "a b", "s", "y"), (3, "a b", "s", "y"), (4, "c", "s", "x"), (5, None, "s", None)]
+    got = token_counts.query(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).where("tokenizer = 'words_v1'")
+    want = {"x": (2, 3, 0, 0, 2, 3), "y": (2, 4, 2, 4, 0, 0), None: (1, 0, 0, 0, 1, 0)}
+    assert {r["lang"]: (r["all_docs"], r["all_tokens"], r["copy_docs"], r["copy_tokens"], r["n_docs"], r["n_tokens"]) for r in got.collect()} == want
+
+
 def test_ledger_is_idempotent(spark):
     rows = spark.createDataFrame([("s", None, "t", 1, 5), ("s", None, "t", 1, 7), (None, "l", "t", 1, 1)], token_counts._DELTA)
     ledger = token_counts.Ledger(spark)
