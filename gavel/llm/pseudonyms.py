@@ -11,8 +11,11 @@ them with ``restore``.
 The permutation P is used as "P, one step on, P undone": a keyed permutation
 in which no value stands for itself (unless its format has one value only).
 
-Defined cases: a null text stays null and an empty one empty; values that fail
-validation stay as they are; rows that share a doc_id are treated each for
+A match that fails validation is tried again with the ends of its groups, then
+as the other formats, and the scan goes on one character behind its start.
+
+Defined cases: a null text stays null and an empty one empty; values that are
+valid in no way stay as they are; rows that share a doc_id are treated each for
 itself; other columns are carried through untouched.
 """
 
@@ -34,19 +37,27 @@ EXAMPLE_KEY = b"example key, not a secret"
 ROUNDS = 10
 KINDS = ["secret", "email", "iban", "date", "ssn", "ip", "phone", "card"]
 
-_FIND = re.compile(r"""
+_SOURCE = r"""
   (?P<secret> (?<![0-9A-Za-z])(?i:api[_-]?key|access[_-]?key|token|secret|password|passwd|pwd)
               \s{0,3}[:=]\s{0,3}["']? (?P<secret_value> [0-9A-Za-z_+/.\-]{8,}) )
 | (?P<email> (?<![0-9A-Za-z._%+\-@]) [0-9A-Za-z._%+\-]{1,64} @ [0-9A-Za-z\-]+ (?:\.[0-9A-Za-z\-]+)* \.[A-Za-z]{2,} )
 | (?P<iban>  (?<![0-9A-Za-z]) [A-Z]{2}[0-9]{2} (?:\ ?[0-9A-Z]{4}){2,7} (?:\ ?[0-9A-Z]{1,4})? (?![0-9A-Za-z]) )
-| (?P<date>  (?<![0-9A-Za-z/.\-]) (?: [0-9]{4}-[0-9]{2}-[0-9]{2} | [0-9]{2}[/.][0-9]{2}[/.][0-9]{4} ) (?![0-9A-Za-z]|[/.\-][0-9]) )
+| (?P<date>  (?<![0-9A-Za-z/.\-]) (?: [0-9]{4}-[0-9]{2}-[0-9]{2} | [0-9]{2}[/.][0-9]{2}[/.][0-9]{4} ) (?=T[0-9]{2}:?[0-9]{2} | (?![0-9A-Za-z]|[/.\-][0-9])) )
 | (?P<ssn>   (?<![0-9A-Za-z\-]) [0-9]{3}-[0-9]{2}-[0-9]{4} (?![0-9A-Za-z]|-[0-9]) )
 | (?P<ip>    (?<![0-9A-Za-z.]) [0-9]{1,3} (?:\.[0-9]{1,3}){3} (?![0-9A-Za-z]|\.[0-9]) )
 | (?P<phone> (?<![0-9A-Za-z+]) (?: \+[0-9]{1,3}[\ .\-]?)? (?: \([0-9]{3}\)\ ? | [0-9]{3}[.\-] ) [0-9]{3}[.\-\ ][0-9]{4} (?![0-9A-Za-z])
            | (?<![0-9A-Za-z+]) \+[0-9]{1,3} (?:[\ .\-]?[0-9]{2,4}){2,5} (?![0-9A-Za-z]) )
 | (?P<card>  (?<![0-9A-Za-z]) (?: [0-9]{13,19} | [0-9]{4}(?P<gap>[\ \-])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{1,7}
            | [0-9]{4}[\ \-][0-9]{6}[\ \-][0-9]{5} ) (?![0-9A-Za-z]) )
-""", re.X)
+"""
+_FIND = re.compile(_SOURCE, re.X)
+#: Each format for itself, in the same order.
+_ONE = {k: re.compile(part, re.X) for k, part in zip(KINDS, re.split(r"\n\| (?=\(\?P<)", _SOURCE.strip()), strict=True)}
+#: Length of an IBAN by country, as the registry has it.
+_IBAN_LENGTHS = {c: int(n) for n, codes in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+    "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,DZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:FR,GR,IT,MC,MR,SM,BI,DJ 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV "
+    "29:BR,EG,PS,QA,UA 30:JO,KW,MU 31:MT,SC 32:LC 33:RU").split()) for c in codes.split(",")}
 #: Cheap tests that a text can hold any value at all.
 _DIGIT = re.compile("[0-9@]")
 _NAMED = re.compile(r"(?i:key|token|secret|password|passwd|pwd)\s{0,3}[:=]")
@@ -245,18 +256,47 @@ def pseudonymise(text: str, key: bytes, step: int = 1) -> tuple[str, dict[str, i
     if not _DIGIT.search(text) and not ((":" in text or "=" in text) and _NAMED.search(text)):
         return text, counts
 
-    def swap(found: re.Match) -> str:
-        kind = found.lastgroup if found.lastgroup in _FORMATS else next(k for k in KINDS if found[k] is not None)
-        whole = found.group()
+    out, done, at = [], 0, 0
+    while found := _FIND.search(text, at):
+        at = found.start() + 1
+        kind = next(k for k in KINDS if found[k] is not None)
         if kind == "secret":
             value = found["secret_value"]
-            counts["secret"] += 1
-            return whole[:len(whole) - len(value)] + _secret(value, key, step)
-        new = _FORMATS[kind](whole, key, step)
-        counts[kind] += new is not None
-        return whole if new is None else new
-
-    return _FIND.sub(swap, text), counts
+            swapped = kind, found.end(), found.group()[:-len(value)] + _secret(value, key, step)
+        else:
+            swapped = _swap(text, found, kind, key, step)
+        if swapped:
+            kind, at, new = swapped
+            counts[kind] += 1
+            out += [text[done:found.start()], new]
+            done = at
+    return "".join([*out, text[done:]]), counts
+
+
+def _ends(kind: str, value: str) -> list[int]:
+    """Ends at which a match may be a value: its own, and those of its groups (an IBAN's country's length first)."""
+    if kind not in ("iban", "phone"):
+        return [len(value)]
+    ends = [len(value), *(i for i in range(len(value) - 1, 0, -1) if value[i] in " .-")]
+    if kind == "iban" and (length := _IBAN_LENGTHS.get(value[:2])):
+        return sorted(ends, key=lambda e: len(value[:e].replace(" ", "")) != length)
+    return ends
+
+
+def _swap(text: str, found: re.Match, kind: str, key: bytes, step: int) -> tuple[str, int, str] | None:
+    """Kind, end and pseudonym of the first valid value where ``found`` starts, in the order of the formats, then of their ends."""
+    start = found.start()
+    for k in KINDS[KINDS.index(kind):]:
+        match = found if k == kind else _ONE[k].match(text, start)
+        if not match:
+            continue
+        for end in _ends(k, match.group()):
+            if end < len(match.group()) and not _ONE[k].fullmatch(text, start, start + end):
+                continue
+            new = _FORMATS[k](text[start:start + end], key, step)
+            if new is not None:
+                return k, start + end, new
+    return None
 
 
 def restore(text: str, key: bytes) -> str:

@@ -255,3 +255,15 @@ def test_pseudonym_query(frame, same):
     got = pseudonyms.query(frame(rows))
     same(got, ["doc_id", "text", "n_email"], [(i, None if t is None else pseudonyms.pseudonymise(t, pseudonyms.EXAMPLE_KEY)[0], int(i in (900, 901))) for i, t in rows])
     assert pseudonyms.query(frame([])).count() == 0
+
+
+@pytest.mark.parametrize("text, kind, kept", [
+    ("pay BE68 5390 0754 7034 EUR", "iban", " EUR"), ("AT61 1904 3002 3457 3201 2024", "iban", " 2024"), ("BE68 5390 0754 7034 NOW 2024", "iban", " NOW 2024"),
+    ("at 2024-01-02T10:00", "date", "T10:00"), ("on 02.01.2024T1000Z", "date", "T1000Z"), ("call +49 30 1234 5678 9012 2024", "phone", " 2024"),
+    ("XX12 4111 1111 1111 1111", "card", "")])
+def test_values_followed_by_more(text, kind, kept):
+    new, counts = pseudonyms.pseudonymise(text, pseudonyms.EXAMPLE_KEY)
+    assert {k: n for k, n in counts.items() if n} == {kind: 1}
+    assert new.endswith(kept) and len(new) == len(text)
+    assert new.removesuffix(kept) != text.removesuffix(kept)
+    assert pseudonyms.restore(new, pseudonyms.EXAMPLE_KEY) == text
