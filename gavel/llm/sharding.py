@@ -115,10 +115,17 @@ def place(recs: DataFrame, slot_map: DataFrame) -> DataFrame:
     return numbered.join(F.broadcast(starts), "sh_slot").withColumn("slot", F.col("sh_start") + F.col("sh_rank") - 1)
 
 
+def grown(recs: DataFrame) -> ShardMap:
+    """A map for one shard less than ``SHARDS``, edited to ``SHARDS``: two stored versions."""
+    maps = ShardMap(recs.sparkSession)
+    sizes = maps.scratch.keep(slot_bytes(recs), "sizes")
+    maps.store(edit_map(maps.store(first_map(sizes, SHARDS - 1)), sizes, SHARDS))
+    return maps
+
+
 def query(docs: DataFrame) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for 24 shards of near equal bytes."""
     recs = records(docs)
-    stored = ShardMap(docs.sparkSession).store(first_map(slot_bytes(recs)))
-    return place(recs, stored).select(
+    return place(recs, grown(recs).versions[-1]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
         "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -43,6 +43,16 @@ def test_shards_are_near_equal_and_edits_move_little(spark):
     assert len(maps.versions) == 2
 
 
+def test_query_places_by_the_edited_map(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(sharding, "place", lambda recs, slot_map, place=sharding.place: stored.append(slot_map) or place(recs, slot_map))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = sharding.query(docs)
+    assert "version=1" in stored[0].inputFiles()[0]
+    load = [r["b"] for r in got.groupBy("shard").agg({"size": "sum"}).toDF("shard", "b").collect()]
+    assert len(load) == 24 and max(load) < 1.02 * min(load) and got.count() == docs.count()
+
+
 # ------------------------------------------------------------------- tokens
 
 def test_ids_are_the_tokenizers(spark):
