@@ -7,19 +7,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from gavel.session import get_spark
     s = get_spark("local[*]", shuffle_partitions=8)
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Collect as plain tuples (tests only, small fixtures)."""
-    cols = cols or tuple(df.columns)
-    return [tuple(r[c] for c in cols) for r in df.collect()]

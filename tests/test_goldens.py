@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from gavel.operators import extraction as X
 from gavel.operators import hooks as H
 from gavel.operators import judging as J

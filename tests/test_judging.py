@@ -11,7 +11,7 @@ from gavel.operators import tables as TB
 from gavel.operators.hooks import checker_hook
 from gavel.sources.readers import inline_rows
 
-from conftest import rows
+from helpers import rows
 
 
 def test_stdout_judge_line_rules(spark):

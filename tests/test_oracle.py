@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from gavel.plans.catalog import ORACLE, QUERIES
 from parity import digest, duck
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 NAMES = sorted(QUERIES)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gavel.operators import prompts as P
 
-from conftest import rows
+from helpers import rows
 
 TEMPLATES = ["Q: ${question}!", "$question$question", "$$question and $questions", "${fewshot}x $locale",
              "$unknown ${context} $", "a $ b", "$context$$", "no fields", "$Question"]

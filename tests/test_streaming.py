@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gavel.streaming import live as L
 
-from conftest import SF_MID
+from helpers import SF_MID
 
 
 def _replay_dir(spark, order=(0, 1, 2, 3)):
