@@ -1,10 +1,5 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 #: Extra columns whose names the operators use themselves.
 CLASH = ["node", "comp", "bid", "keys", "kept", "key", "shard", "slot", "size", "seq", "n", "n_lines", "n_words", "features",
          "licence", "dir", "own", "tokenizer", "class_id", "score", "n_dropped", "start", "n_hit", "dc_items", "removed", "lang", "source"]

@@ -1,6 +1,6 @@
 """Line dedup, near-dedup, suffix dedup, quality rules and decontamination against brute force."""
 
-import brute
+import llm_brute as brute
 import numpy as np
 import pyarrow as pa
 import pytest

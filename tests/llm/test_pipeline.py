@@ -1,6 +1,6 @@
 """The queries against DuckDB, and the pipeline's stages against brute force."""
 
-import brute
+import llm_brute as brute
 import corpus_pipeline
 import pytest
 from gavel.llm import quality_rules, tokens

@@ -3,7 +3,7 @@
 import zlib
 from collections import Counter, defaultdict
 
-import brute
+import llm_brute as brute
 import numpy as np
 import pytest
 from hypothesis import given, settings
