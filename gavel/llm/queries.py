@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gavel.llm import (decontamination, license_scan, line_dedup, near_dedup, packing, pseudonyms, quality_rules, sharding,
+from gavel.llm import (decontamination, filter_audit, license_scan, line_dedup, near_dedup, packing, pseudonyms, quality_rules, sharding,
                        suffix_dedup, token_counts)
 from gavel.llm.common import documents
 
@@ -53,6 +53,10 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_line_dedup": _op1,
     "op2_near_dedup": _op2,
@@ -64,10 +68,12 @@ QUERIES: dict[str, QueryFn] = {
     "op8_packing": _op8,
     "op9_pseudonyms": _op9,
     "op10_decontamination": _op10,
+    "op12_filter_audit": _op12,
 }
 
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.SQL,
     "op6_license_scan": license_scan.SQL,
     "op10_decontamination": decontamination.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
