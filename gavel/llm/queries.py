@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gavel.llm import (decontamination, filter_audit, license_scan, line_dedup, near_dedup, packing, pseudonyms, quality_rules, sharding,
-                       suffix_dedup, token_counts)
+                       suffix_dedup, token_counts, toxicity)
 from gavel.llm.common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_line_dedup": _op1,
     "op2_near_dedup": _op2,
@@ -69,6 +73,7 @@ QUERIES: dict[str, QueryFn] = {
     "op9_pseudonyms": _op9,
     "op10_decontamination": _op10,
     "op12_filter_audit": _op12,
+    "op13_toxicity": _op13,
 }
 
 ORACLE: dict[str, str] = {
