@@ -34,8 +34,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gavel.llm.common import SpanHash, mix
-
 MAX_LABELLED = 4_000
 MAX_CHARS = 20_000
 THRESHOLD = 0.3
@@ -46,6 +44,7 @@ DIMENSIONS = 8
 DROPOUT = 0.5
 WARM_STEPS, WARM_TEXTS, STEPS, CHOOSE, RATE = 20, 500, 80, 4, 0.1
 CHUNK_CHARS = 1 << 20
+_TO_BLANK = dict.fromkeys(range(0x09, 0x0E), " ")
 
 
 # ------------------------------------------------------------------- subwords
@@ -132,60 +131,81 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
 
 
-def _distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per word its place in the vocabulary; per n-gram of the vocabulary its word and bucket; per vocabulary word its number of n-grams."""
-    _, some, of = np.unique(SpanHash(mix(words.points))(words.starts, words.ends), return_index=True, return_inverse=True)
-    starts, ends = words.starts[some], words.ends[some]
-    size = ends - starts + 1  # with the blank before
-    begin = np.cumsum(size) - size
-    points = np.append(words.points[np.arange(size.sum()) + np.repeat(starts - 1 - begin, size)], np.uint32(0x20))
-    owner = np.repeat(np.arange(len(some)), size)
-    found = [(owner[np.flatnonzero(inside)], bucket[inside]) for bucket, inside in grams(points)]
-    return of, np.concatenate([w for w, _ in found]), np.concatenate([b for _, b in found]), n_grams(ends - starts).astype(float)
-
-
-def _sums(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Rows of ``values`` summed by index."""
-    return np.stack([np.bincount(index, column, size) for column in values.T], axis=1)
+@dataclass
+class Bags:
+    """The sample's words as places in a vocabulary, first word of each text, and the n-grams of the vocabulary, word by word."""
+    of: np.ndarray
+    first: np.ndarray
+    word: np.ndarray
+    bucket: np.ndarray
+    size: np.ndarray  # n-grams of each vocabulary word
+
+    @classmethod
+    def of_texts(cls, texts: list[str | None]) -> Bags:
+        places: dict[str, int] = {}
+        of, first = [], [0]
+        for text in texts:
+            words = [w for w in (text or "").lower().translate(_TO_BLANK).split(" ") if w]
+            of.append(np.array([places.setdefault(w, len(places)) for w in words], np.int32))
+            first.append(first[-1] + len(words))
+        words = words_of([" ".join(places)])
+        owner = (np.cumsum(np.bincount(words.starts - 1, minlength=len(words.points))) - 1).astype(np.int32)
+        found = [(owner[:len(bucket)][inside], bucket[inside].astype(np.int32)) for bucket, inside in grams(words.points)]
+        word, bucket = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(word, kind="stable")
+        return cls(np.concatenate(of), np.array(first), word[order], bucket[order], n_grams(words.ends - words.starts).astype(np.float32))
+
+    def means(self, flat: np.ndarray) -> np.ndarray:
+        """Per word of the texts, the mean of its n-grams' numbers."""
+        begin = np.cumsum(self.size).astype(np.int64) - self.size.astype(np.int64)
+        return (np.add.reduceat(flat[self.bucket], begin) / self.size)[self.of]
+
+
+def _sums(index: np.ndarray, rows: np.ndarray, table: np.ndarray, scale: np.ndarray, size: int) -> np.ndarray:
+    """The table's rows, each times its scale, summed by index."""
+    out = np.empty((size, table.shape[1]), np.float32)
+    for k in range(table.shape[1]):
+        out[:, k] = np.bincount(index, table[rows, k] * scale, size)
+    return out
 
 
 def fit(texts: list[str | None], toxic: np.ndarray, seed: int = 5) -> Model | None:
     """Vectors, weights and biases by Adam on the mean cross-entropy; None unless both labels have texts with words."""
-    words = words_of(texts)
-    if len(np.unique(toxic[np.diff(words.first) > 0])) < 2:
+    bags = Bags.of_texts(texts) if any((t or "").translate(_TO_BLANK).strip(" ") for t in texts) else None
+    if bags is None or len(np.unique(toxic[np.diff(bags.first) > 0])) < 2:
         return None
     rng = np.random.default_rng(seed)
-    of, gram_word, gram_bucket, size = _distinct(words)
-    parts = [np.zeros((1 << BUCKET_BITS, DIMENSIONS)), rng.normal(0, 1, (2, DIMENSIONS)), np.zeros(2)]
+    n, buckets = len(bags.size), 1 << BUCKET_BITS
+    parts = [np.zeros((buckets, DIMENSIONS), np.float32), rng.normal(0, 1, (2, DIMENSIONS)).astype(np.float32), np.zeros(2, np.float32)]
     momenta = [(np.zeros_like(p), np.zeros_like(p)) for p in parts]
-    whole = np.flatnonzero(np.diff(words.first))
+    whole = np.flatnonzero(np.diff(bags.first))
     for step in range(1, WARM_STEPS + STEPS + 1):
         vectors, weights, bias = parts
         if step <= WARM_STEPS:
             at = rng.permutation(whole)[:WARM_TEXTS]
-            start, end = words.first[at], words.first[at + 1]
+            start, end = bags.first[at], bags.first[at + 1]
         elif (step - WARM_STEPS) % CHOOSE == 1:
-            flat = vectors @ (weights[1] - weights[0])
-            at, _, start, end = passages((np.bincount(gram_word, flat[gram_bucket], len(size)) / size)[of], words.first)
+            at, _, start, end = passages(bags.means(vectors @ (weights[1] - weights[0])), bags.first)
         length = end - start
         text = np.repeat(np.arange(len(at)), length)
-        word = of[np.arange(length.sum()) + np.repeat(start - (np.cumsum(length) - length), length)]
+        word = bags.of[np.arange(length.sum()) + np.repeat(start - (np.cumsum(length) - length), length)]
 
-        used = np.zeros(len(size), bool)
+        used = np.zeros(n, bool)
         used[word] = True
-        pairs = np.flatnonzero(used[gram_word])
-        by_word, by_bucket = gram_word[pairs], gram_bucket[pairs]
-        left_in = (rng.random(len(vectors)) >= DROPOUT)[by_bucket] / (1 - DROPOUT) / size[by_word]
-        word_vectors = _sums(by_word, vectors[by_bucket] * left_in[:, None], len(size))
-        means = _sums(text, word_vectors[word], len(at)) / length[:, None]
+        pairs = np.flatnonzero(used[bags.word])
+        by_word, by_bucket = bags.word[pairs], bags.bucket[pairs]
+        left_in = ((rng.random(buckets) >= DROPOUT) / np.float32(1 - DROPOUT))[by_bucket] / bags.size[by_word]
+        share = (1 / length)[text]
+        word_vectors = _sums(by_word, by_bucket, vectors, left_in, n)
+        means = _sums(text, word, word_vectors, share, len(at))
 
         logits = means @ weights.T + bias
         p = np.exp(logits - logits.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(at)), toxic[at].astype(int)] -= 1
         p /= len(at)
-        to_words = _sums(word, (p @ weights / length[:, None])[text], len(size))
-        gradients = [_sums(by_bucket, to_words[by_word] * left_in[:, None], len(vectors)), p.T @ means, p.sum(axis=0)]
+        to_words = _sums(word, text, p @ weights, share, n)
+        gradients = [_sums(by_bucket, by_word, to_words, left_in, buckets), p.T @ means, p.sum(axis=0)]
         for part, gradient, (m, v) in zip(parts, gradients, momenta):
             m += 0.1 * (gradient - m)
             v += 0.01 * (gradient**2 - v)
