@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gavel.llm import (decontamination, filter_audit, license_scan, line_dedup, near_dedup, packing, pseudonyms, quality_rules, sharding,
+from gavel.llm import (decontamination, filter_audit, license_scan, line_dedup, near_dedup, packing, prefix_trie, pseudonyms, quality_rules, sharding,
                        suffix_dedup, token_counts, toxicity)
 from gavel.llm.common import documents
 
@@ -53,6 +53,10 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.query(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_packing": _op8,
     "op9_pseudonyms": _op9,
     "op10_decontamination": _op10,
+    "op11_prefix_trie": _op11,
     "op12_filter_audit": _op12,
     "op13_toxicity": _op13,
 }
@@ -80,5 +85,6 @@ ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.SQL,
     "op6_license_scan": license_scan.SQL,
     "op10_decontamination": decontamination.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
     "op12_filter_audit": filter_audit.SQL,
 }
