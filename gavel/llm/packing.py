@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from gavel.llm.common import Scratch
 from gavel.llm.tokens import pieces
 
+PARTITION_TOKENS = 1 << 24  # of a range of the curve, 32 MB of ids
 LENGTH = 1024
 END = 0
 BUCKETS = 256
@@ -89,7 +90,7 @@ def tokenised(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = [table.encode(t.as_py()) + end for t in part.column(1)]
+                ids = [i + end for i in table.encode_all(part.column(1).to_pylist())]
                 at01 = np.stack([project(np.frombuffer(i, "<u2"), along) for i in ids])
                 key = hilbert(np.minimum((at01 * (1 << BITS)).astype(np.int64), (1 << BITS) - 1))
                 yield pa.RecordBatch.from_arrays(
@@ -157,7 +158,9 @@ def _pack(batch: pa.RecordBatch, sequence: int, filled: int, length: int, last:
 def pack(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, hilbert_key."""
     tokens = Scratch(docs.sparkSession, "packing").keep(tokenised(docs, vocabulary), "tokens")
-    ordered = tokens.repartitionByRange("pk_key", "doc_id", "pk_crc").sortWithinPartitions("pk_key", "doc_id", "pk_crc")
+    total = tokens.agg(F.sum("pk_tokens")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PARTITION_TOKENS))
+    ordered = tokens.repartitionByRange(parts, "pk_key", "doc_id", "pk_crc").sortWithinPartitions("pk_key", "doc_id", "pk_crc")
     return ordered.select("doc_id", "pk_ids", "pk_tokens", "pk_key").mapInArrow(
         lambda batches: pack_partition(batches, length), _PIECES)
 

@@ -7,7 +7,8 @@ key, written to a folder of its own, and entered in the ledger's commit log;
 only then does it count.  A batch id that the log already has is not applied
 again, and totals read one folder per id, so a replayed or half-written batch
 changes nothing.  Totals are the sums of all committed deltas; ``compact``
-folds them into one snapshot batch.
+folds them into one snapshot batch, entered together with the ids of all that it
+folds, which can then neither be applied again nor read by name.
 
 Defined cases: a null or empty text has no tokens; null source or lang is a key
 of its own; rows that share a doc_id all count; other columns are ignored.
@@ -16,7 +17,9 @@ Keys whose documents have all been deleted leave no row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import json
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,30 +42,30 @@ class Ledger:
     def __init__(self, spark: SparkSession):
         self.spark, self.scratch = spark, Scratch(spark, "ledger")
         self.log, self.tries = f"{self.scratch.root}/log", 0
-        self._enter("", "")  # so that the log can be read
+        self._enter(("", ""))  # so that the log can be read
 
-    def _enter(self, batch: str, path: str) -> None:
-        self.spark.createDataFrame([(batch, path)], "batch string, path string").coalesce(1).write.mode("append").parquet(self.log)
+    def _enter(self, *entries: tuple[str, str]) -> None:
+        self.spark.createDataFrame(entries, "batch string, path string").coalesce(1).write.mode("append").parquet(self.log)
 
     def committed(self) -> dict[str, str]:
-        """Folder of each committed batch: the first in order, if a batch was entered twice."""
+        """Folder of each committed batch ("": folded into another): the first in order, if a batch was entered twice."""
         rows = self.spark.read.parquet(self.log).where("batch != ''").groupBy("batch").agg(F.min("path").alias("path"))
         return {r["batch"]: r["path"] for r in rows.collect()}  # one row per batch
 
-    def commit(self, batch: str, rows: DataFrame) -> bool:
-        """Apply a batch of signed rows once; False if it was committed before."""
+    def commit(self, batch: str, rows: DataFrame, folds: Iterable[str] = ()) -> bool:
+        """Apply a batch of signed rows once; False if it was committed before.  The ids in ``folds`` count as applied with it."""
         if batch in self.committed():
             return False
         self.tries += 1
         path = f"{self.scratch.root}/batch={batch}/try={self.tries}"
         deltas = rows.groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
         deltas.write.parquet(path)
-        self._enter(batch, path)
+        self._enter((batch, path), *((b, "") for b in folds))
         return True
 
     def deltas(self, *batches: str) -> DataFrame:
         """Rows of the committed batches, or of those named."""
-        paths = sorted(p for b, p in self.committed().items() if not batches or b in batches)
+        paths = sorted(p for b, p in self.committed().items() if p and (not batches or b in batches))
         reader = self.spark.read.schema(_DELTA)
         return reader.parquet(*paths) if paths else self.spark.createDataFrame([], _DELTA)
 
@@ -72,9 +75,10 @@ class Ledger:
             "n_docs != 0 OR n_tokens != 0")
 
     def compact(self) -> Ledger:
-        """A new ledger whose only batch is the sum of this one's."""
-        new = Ledger(self.spark)
-        new.commit("snapshot-" + "-".join(sorted(self.committed()))[:100], self.deltas())
+        """A new ledger whose only batch is the sum of this one's; its log has all their ids, so none can be applied again."""
+        new, folded = Ledger(self.spark), sorted(self.committed())
+        digest = hashlib.md5(json.dumps(folded).encode()).hexdigest()
+        new.commit(f"snapshot-{digest}", self.deltas(), folded)
         return new
 
 
@@ -94,7 +98,7 @@ def counted(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             data, offsets = utf8(text)
             words = np.concatenate([np.diff(word_spans(data[(p := offsets[i:j + 1])[0]:p[-1]], p - p[0])[2])
                                     for i, j in chunks(offsets)] or [np.zeros(0, np.int64)])
-            tokens = [len(table.encode(t.as_py())) // 2 for t in text]
+            tokens = [len(i) // 2 for at in range(0, len(text), 256) for i in table.encode_all(text[at:at + 256].to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in range(4)), pa.array(np.diff(offsets)), pa.array(words.astype(np.int64)),
                  pa.array(tokens, pa.int64())], names=["doc_id", "source", "lang", "tc_text", "n_bytes", "n_words", "n_bpe"])

@@ -1,16 +1,20 @@
 """Token ids of the public 50k byte-level BPE, as bytes of little-endian unsigned 16-bit numbers.
 
-The vocabulary file's path is a parameter.  Texts are cut into the
-vocabulary's pieces by one pattern; a piece's ids are computed once by the
-tokenizer library and looked up after that, in a table of at most
+The ids are those of the ``tokenizers`` library with the vocabulary's JSON file
+(its path is a parameter) and ``add_special_tokens=False``; the string of a
+special token within a text is that token's id.  Texts are cut into the
+vocabulary's pieces by one pattern; the pieces of a run of texts that are not known
+yet are encoded by the library in one call and looked up after that, in a table of at most
 ``MAX_PIECES`` entries that starts anew when it is full.  The fast pattern
-knows letters and digits below U+0250; any other text goes to the library whole.
+knows letters and digits below U+0250; any other text, and any that holds a
+special token's string, goes to the library whole.
 """
 
 from __future__ import annotations
 
-import base64
+import os
 import re
+from collections.abc import Sequence
 
 import numpy as np
 
@@ -19,13 +23,12 @@ _PER_PIECE = 64  # longer pieces are encoded without being kept
 
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _DIGITS = "0-9²³¹¼-¾"
-_SPACES = "\\t\\n\\x0b\\x0c\\r \u0085 "
+_SPACES = "\\t\\n\\x0b\\x0c\\r \u0085 "
 _PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[^{_SPACES}{_LETTERS}{_DIGITS}]+"
                     rf"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
-_BEYOND = re.compile("[^\x00-ɏ]")
 
 
-def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
@@ -35,33 +38,35 @@ class Pieces(dict):
 
     def __init__(self, path: str | None = None):
         super().__init__()
-        import public_tokenizers
-        import tiktoken
-        with open(path or vocabulary_path(), "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        if max(ranks.values()) > 0xFFFF:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        from tokenizers import Tokenizer
+        self.library = Tokenizer.from_file(path or vocabulary_path())
+        if self.library.get_vocab_size() > 0x10000:
             raise ValueError("ids of this vocabulary don't fit 16 bits")
-        self.encoding = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                          special_tokens={})
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), "<u2").tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self._whole(piece)
-        if len(piece) <= _PER_PIECE:
-            if len(self) >= MAX_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
+        special = (re.escape(t.content) for t in self.library.get_added_tokens_decoder().values())
+        self.whole = re.compile("|".join(["[^\\x00-ɏ]", *special]))
+
+    def _encoded(self, texts: Sequence[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u2").tobytes() for e in self.library.encode_batch(list(texts), add_special_tokens=False)]
+
+    def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
+        """Ids of whole texts; null: none."""
+        found = [None if t and self.whole.search(t) else _PIECE.findall(t or "") for t in texts]
+        new = list({p for pieces in found if pieces for p in pieces}.difference(self))
+        ids = dict(zip(new, self._encoded(new)))
+        if len(self) + len(ids) > MAX_PIECES:
+            # pieces of these texts that were known before are needed once more
+            ids |= {p: self[p] for pieces in found if pieces for p in pieces if p in self}
+            self.clear()
+        for piece in new[:MAX_PIECES - len(self)]:
+            if len(piece) <= _PER_PIECE:
+                self[piece] = ids.pop(piece)
+        get = self.get if not ids else lambda p: self[p] if p in self else ids[p]
+        rest = iter(self._encoded([t for t, pieces in zip(texts, found) if pieces is None]))
+        return [next(rest) if pieces is None else b"".join(map(get, pieces)) for pieces in found]
 
     def encode(self, text: str | None) -> bytes:
-        """Ids of a whole text; null: none."""
-        if not text:
-            return b""
-        if _BEYOND.search(text):
-            return self._whole(text)
-        return b"".join(map(self.__getitem__, _PIECE.findall(text)))
+        return self.encode_all([text])[0]
 
 
 _LOADED: dict[str | None, Pieces] = {}

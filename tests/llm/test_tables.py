@@ -59,26 +59,28 @@ def test_ids_are_the_tokenizers(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
-    odd = ["it's we'll IT'S", "  x\n\n y ", " \x1c\x1d y\x85z", "1²¼ab٣", "日本 語x", "<|endoftext|> a", "\t\n\n \n", "ⅷ x", "ɏɐ", "a  b", ""]
+    odd = ["it's we'll IT'S", "  x\n\n y ", " \x1c\x1d y\x85z", "1²¼ab٣", "日本 語x", "<|endoftext|> a", "<|endoftext|>", "a <|endoftext|><|endoftext|> b<|endoftext|>", "<|endoftext |> <|ENDOFTEXT|>", "日<|endoftext|>", "\t\n\n \n", "ⅷ x", "ɏɐ", "a  b", ""]
     table = tokens.pieces()
     for text in odd + [t for _, t in ROWS if t]:
         assert np.frombuffer(table.encode(text), "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(table.encode("<|endoftext|>"), "<u2").tolist() == [50256]
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=40))
 def test_pieces_equal_the_library(text):
     table = tokens.pieces()
-    assert np.frombuffer(table.encode(text), "<u2").tolist() == table.encoding.encode_ordinary(text)
+    assert np.frombuffer(table.encode(text), "<u2").tolist() == table.library.encode(text, add_special_tokens=False).ids
 
 
 def test_full_piece_table_starts_anew(monkeypatch):
-    monkeypatch.setattr(tokens, "MAX_PIECES", 5)
+    monkeypatch.setattr(tokens, "MAX_PIECES", 50)
     table = tokens.Pieces()
-    text = brute.prose(3, 200)
-    assert np.frombuffer(table.encode(text), "<u2").tolist() == table.encoding.encode_ordinary(text)
-    assert len(table) <= 5
+    texts = [brute.prose(3 + k, 200, 60) for k in range(4)] + [None, "", "<|endoftext|>"]
+    for _ in range(2):
+        got = [np.frombuffer(i, "<u2").tolist() for i in table.encode_all(texts)]
+        assert got == [table.library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert len(table) <= 50
 
 
 def counts_of(rows):
@@ -120,15 +122,22 @@ def test_ledger_is_idempotent(spark):
     assert ledger.totals().count() == 0
     assert ledger.commit("a", rows)
     assert not ledger.commit("a", rows)
-    ledger._enter("a", "~/another try")  # entered twice by a retry: the first in order counts
-    ledger._enter("a", ledger.committed()["a"])
+    ledger._enter(("a", "~/another try"))  # entered twice by a retry: the first in order counts
+    ledger._enter(("a", ledger.committed()["a"]))
     want = sorted([(None, "l", "t", 1, 1), ("s", None, "t", 2, 12)], key=str)
     assert sorted(map(tuple, ledger.totals().collect()), key=str) == want
     assert ledger.commit("b", rows.selectExpr("source", "lang", "tokenizer", "-d_docs AS d_docs", "-d_tokens AS d_tokens"))
     assert ledger.totals().count() == 0
     again = token_counts.Ledger(spark)
     again.commit("a", rows)
-    assert sorted(map(tuple, again.compact().totals().collect()), key=str) == want
+    compact = again.compact()
+    assert sorted(map(tuple, compact.totals().collect()), key=str) == want
+    assert not compact.commit("a", rows)  # a replay after the compaction
+    assert compact.commit("c", rows)
+    twice = compact.compact()
+    assert not twice.commit("a", rows) and not twice.commit("c", rows)
+    doubled = sorted(((s, lang, t, 2 * d, 2 * n) for s, lang, t, d, n in want), key=str)
+    assert sorted(map(tuple, twice.totals().collect()), key=str) == doubled
 
 
 # ----------------------------------------------------------------- licences
