@@ -4,13 +4,18 @@ Words are the runs left by lower-casing A-Z and cutting at ASCII characters
 that are no letter or digit.  Both sides are winnowed: of every ``SPAN -
 GRAM + 1`` consecutive ``GRAM``-word hashes the smallest is kept, so any shared
 span of ``SPAN`` words shares a kept hash.  Joining the fingerprints gives the
-candidate (document, item) pairs; their hits are extended to the exact windows,
-compared word by word as text.  Items of fewer than ``SPAN`` words are one window
+candidate documents; their hits are extended to the exact windows, named by two
+64-bit hashes over two hashes of each word (128 bits together).  Items of fewer than ``SPAN`` words are one window
 of their own length; as winnowing guarantees nothing for these, all document
 grams of such a length are their fingerprints.
 
-The benchmark's fingerprints are broadcast while they number at most
-``BROADCAST_ROWS``; beyond that the join shuffles both sides by hash.
+Items are handled in classes: windows that the same items hold are one class, a
+hit document collects the classes of its windows, and only each distinct
+collection of classes is expanded to item ids.  So a passage of many items in
+many documents makes no (document, item) pairs.
+
+The benchmark's fingerprints and windows are broadcast while they number at most
+``BROADCAST_ROWS``; beyond that the joins shuffle both sides by hash.
 
 Defined cases: null or empty text has no words, is never hit, and is no window;
 rows that share a doc_id are judged each by their own text; an item_id that
@@ -23,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gavel.llm.common import shielded, text_key
+from gavel.llm.common import Scratch, shielded, text_key
 
 SPAN = 13
 GRAM = 6
@@ -49,9 +54,8 @@ def _slices(array: str, width: int, make) -> Column:
 
 
 def _hashed(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` plus dc_words (text) and dc_hash (its word hashes)."""
-    cut = texts.select(*keys, words(F.col("text")).alias("dc_words"))
-    return cut.withColumn("dc_hash", F.transform("dc_words", lambda w: F.xxhash64(w)))
+    """``keys`` plus dc_hash: the text's word hashes."""
+    return texts.select(*keys, F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("dc_hash"))
 
 
 def _grams(width: int) -> Column:
@@ -64,16 +68,28 @@ def winnowed(hashed: DataFrame, span: int, gram: int) -> DataFrame:
         "dc_prints", F.array_distinct(_slices("dc_grams", span - gram + 1, F.array_min))).drop("dc_grams")
 
 
-def item_windows(benchmark: DataFrame, span: int = SPAN) -> DataFrame:
-    """dc_item, dc_width and the text dc_window of every window of every item."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("dc_item"), words(F.col("text")).alias("dc_words"))
-    items = items.where(F.size("dc_words") > 0).withColumn("dc_width", F.least(F.size("dc_words"), F.lit(span)))
-    return items.select("dc_item", "dc_width", F.explode(F.array_distinct(_windows(F.col("dc_width")))).alias("dc_window"))
+def windows(texts: DataFrame, keys: list[str], width: Column, places: bool = False) -> DataFrame:
+    """``keys``, dc_width, dc_one and dc_two (together the name) of every window of ``width`` words, and its place from 0 if asked for."""
+    hashed = (texts.select(*keys, words(F.col("text")).alias("dc_words")).withColumn("dc_width", width).where(F.size("dc_words") >= F.col("dc_width"))
+              .select(*keys, "dc_width", F.transform("dc_words", lambda w: F.xxhash64(w)).alias("dc_hash"),
+                      F.transform("dc_words", lambda w: F.xxhash64(F.lit(1), w)).alias("dc_other")))
+    names = F.transform(F.sequence(F.lit(1), F.size("dc_hash") - F.col("dc_width") + 1), lambda i: F.struct(
+        F.xxhash64(F.slice("dc_hash", i, F.col("dc_width"))).alias("dc_one"), F.xxhash64(F.slice("dc_other", i, F.col("dc_width"))).alias("dc_two")))
+    exploded = F.posexplode(names).alias("dc_at", "dc_name") if places else F.explode(names).alias("dc_name")
+    return hashed.select(*keys, "dc_width", exploded).select(*keys, "dc_width", *(["dc_at"] if places else []), "dc_name.*")
 
 
-def _windows(width: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.size("dc_words") - width + 1),
-                       lambda i: F.concat_ws(" ", F.slice("dc_words", i, width)))
+def item_classes(benchmark: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
+    """The distinct windows with their dc_class, and each class's items (dc_class, dc_item)."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("dc_item"), "text")
+    n = F.size("dc_words")
+    held = windows(items, ["dc_item"], F.when(n > 0, F.least(n, F.lit(span)))).distinct()
+    name = ["dc_width", "dc_one", "dc_two"]
+    classed = held.groupBy(*name).agg(F.count("dc_item").alias("n"), F.bit_xor(F.xxhash64("dc_item")).alias("one"),
+                                      F.bit_xor(F.xxhash64(F.lit(1), "dc_item")).alias("two")).select(*name, F.struct("n", "one", "two").alias("dc_class"))
+    some = classed.groupBy("dc_class").agg(F.min(F.struct(*name)).alias("window")).select("dc_class", "window.*")
+    members = some.join(held, name).where("dc_item IS NOT NULL").select("dc_class", "dc_item").distinct()
+    return classed, members
 
 
 def _fingerprints(texts: DataFrame, keys: list[str], span: int, gram: int, short: list[int], own_width: bool) -> DataFrame:
@@ -86,50 +102,54 @@ def _fingerprints(texts: DataFrame, keys: list[str], span: int, gram: int, short
     for width in short:
         grams = F.array_distinct(_grams(width))
         if own_width:
-            grams = F.when(F.size("dc_words") == width, grams)
+            grams = F.when(F.size("dc_hash") == width, grams)
         prints = prints.withColumn(f"dc_short{width}", F.coalesce(grams, F.array()))
         lists.append(f"dc_short{width}")
     return prints.select(*keys, F.explode(F.concat(*lists)).alias("dc_print"))
 
 
+def _bounded(side: DataFrame) -> DataFrame:
+    """Broadcast if it has at most ``BROADCAST_ROWS`` rows (three numbers each)."""
+    return F.broadcast(side) if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else side
+
+
 def candidates(docs: DataFrame, benchmark: DataFrame, keys: list[str], short: list[int],
                span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """Distinct ``keys`` of documents and dc_item that share a fingerprint."""
+    """Distinct ``keys`` of the documents that share a fingerprint with an item."""
     items = benchmark.select(F.col("item_id").cast("string").alias("dc_item"), "text")
-    theirs = _fingerprints(items, ["dc_item"], span, gram, short, True).distinct()
-    ours = _fingerprints(docs, keys, span, gram, short, False)
-    if theirs.select("dc_print").distinct().limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        shared = ours.join(F.broadcast(theirs.select("dc_print").distinct()), "dc_print", "left_semi")
-    else:
-        shared = ours
-    return shared.distinct().join(theirs, "dc_print").select(*keys, "dc_item").distinct()
+    theirs = _fingerprints(items, ["dc_item"], span, gram, short, True).select("dc_print").distinct()
+    return _fingerprints(docs, keys, span, gram, short, False).join(_bounded(theirs), "dc_print", "left_semi").select(*keys).distinct()
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, keys: list[str], span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """Per hit document: ``keys``, n_hit, dc_items (sorted ids) and dc_spans (start, end of merged hit words)."""
-    windows = item_windows(benchmark, span)
-    widths = sorted(r[0] for r in windows.select("dc_width").distinct().collect())  # at most ``span`` numbers
-    pairs = candidates(docs, benchmark, keys, [w for w in widths if w < span], span, gram)
+    scratch = Scratch(docs.sparkSession, "decontamination")
+    classed, members = item_classes(benchmark, span)
+    classed = scratch.keep(classed, "windows")
+    widths = sorted(r[0] for r in classed.select("dc_width").distinct().collect())  # at most ``span`` numbers
+    which = candidates(docs, benchmark, keys, [w for w in widths if w < span], span, gram).alias("p")
     same = [F.col(f"p.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys]
-    which = pairs.select(*keys).distinct().alias("p")
-    texts = docs.alias("d").join(which, same, "left_semi").select(
-        *(f"d.{k}" for k in keys), words(F.col("d.text")).alias("dc_words"))
-    texts = texts.dropDuplicates(keys)
-    own = F.array(*(F.struct(F.lit(w).alias("width"), F.when(F.size("dc_words") >= w, _windows(F.lit(w))).alias("all"))
-                    for w in widths)) if widths else F.array().cast("array<struct<width:int,all:array<string>>>")
-    found = (texts.select(*keys, F.explode(own).alias("x"))
-             .select(*keys, F.col("x.width").alias("dc_width"), F.posexplode("x.all").alias("dc_at", "dc_window")))
-    exact = (found.alias("d").join(windows.alias("w"), ["dc_width", "dc_window"])
-             .join(pairs.alias("p"), [*same, F.col("w.dc_item").eqNullSafe(F.col("p.dc_item"))], "left_semi")
-             .select(*(f"d.{k}" for k in keys), "dc_at", "dc_width", "dc_item"))
+    texts = docs.alias("d").join(which, same, "left_semi").select(*keys, "text").dropDuplicates(keys)
+    widths = F.explode(F.array(*map(F.lit, widths))) if widths else F.explode(F.array().cast("array<int>"))
+    found = windows(texts.withColumn("dc_wide", widths), [*keys, "dc_wide"], F.col("dc_wide"), places=True).drop("dc_wide")
+    exact = found.join(_bounded(classed), ["dc_width", "dc_one", "dc_two"])
     merged = F.aggregate(
         F.array_sort("dc_all"), F.struct(F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans")),
         lambda s, x: F.struct(_merge(s["spans"], x).alias("spans")), lambda s: s["spans"])
     out = exact.groupBy(*keys).agg(
         F.collect_set(F.struct(F.col("dc_at").alias("start"), (F.col("dc_at") + F.col("dc_width")).alias("end"))).alias("dc_all"),
-        F.array_sort(F.collect_set("dc_item")).alias("dc_items"))
-    out = out.withColumn("dc_spans", merged).drop("dc_all")
-    return out.withColumn("n_hit", F.aggregate("dc_spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]))
+        F.array_sort(F.collect_set("dc_class")).alias("dc_classes"))
+    out = scratch.keep(out.select(*keys, merged.alias("dc_spans"), "dc_classes"), "hits")
+
+    # each distinct collection of classes is expanded once
+    collection = F.md5(F.to_json("dc_classes"))
+    expanded = (out.groupBy(collection.alias("dc_collection")).agg(F.first("dc_classes").alias("dc_classes"))
+                .select("dc_collection", F.explode("dc_classes").alias("dc_class")).join(members, "dc_class")
+                .groupBy("dc_collection").agg(F.array_sort(F.collect_set("dc_item")).alias("dc_items")))
+    out = out.withColumn("dc_collection", collection).join(expanded, "dc_collection", "left")
+    items = F.coalesce("dc_items", F.array().cast("array<string>"))
+    return out.select(*keys, "dc_spans", items.alias("dc_items"),
+                      F.aggregate("dc_spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]).alias("n_hit"))
 
 
 def _merge(spans: Column, x: Column) -> Column:
