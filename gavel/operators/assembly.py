@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gavel.functions.pyrepr import py_repr_json, py_str_repr
 from gavel.functions.text import py_lstrip, py_strip
 
 INSERT_TOKEN = "#<INSERT>"
@@ -63,16 +64,18 @@ def _c(x) -> Column:
 
 
 # ------------------------------------------------------------------ E1
-def append_test(code, test) -> Column:
+def append_test(code, test, as_repr: bool = False) -> Column:
     """Insert code at ``#<INSERT>`` (text between the first and second marker
-    only); without a marker cut the code at the main guard and append the test (E1)."""
+    only); without a marker cut the code at the main guard and append the test (E1).
+    ``as_repr``: the code goes in as a Python string literal."""
     c, t = _c(code), _c(test)
+    spelled = py_str_repr if as_repr else (lambda x: x)
     has = F.instr(t, INSERT_TOKEN) > 0
-    inserted = F.concat(F.split_part(t, F.lit(INSERT_TOKEN), F.lit(1)), c,
+    inserted = F.concat(F.split_part(t, F.lit(INSERT_TOKEN), F.lit(1)), spelled(c),
                         F.split_part(t, F.lit(INSERT_TOKEN), F.lit(2)))
     guard = F.instr(c, "if __name__ ==")
     cut = F.when(guard > 0, F.substring(c, F.lit(1), guard - 1)).otherwise(c)
-    return F.when(has, inserted).otherwise(F.concat(cut, F.lit("\n"), t))
+    return F.when(has, inserted).otherwise(F.concat(spelled(cut), F.lit("\n"), t))
 
 
 # ------------------------------------------------------------------ E2
@@ -307,62 +310,33 @@ def humaneval_program_df(df: DataFrame, completion_col: str, prompt_col: str, te
 
 
 # ------------------------------------------------------------------ E8
-# Literal rendering from VARIANT values.  Re-aimed as the survey decided: scalars
-# (integer, decimal, double, string, boolean, null) for every language; arrays of
-# scalars for python only (the reference prints every list in Python spelling).
-_TRUE_FALSE = {"racket": ("#t", "#f"), "bash": ("1", "0"), "perl": ("1", "0")}
-_C_LIKE_BOOL = ["cpp", "java", "csharp", "go", "rust", "D_ut", "lua", "julia", "nodejs", "typescript", "php", "ruby",
-                "scala", "swift"]
-
-
-def _py_str_repr(s: Column) -> Column:
-    """Python ``repr(str)`` for the common cases: quote choice, backslash, quote and \\n \\r \\t escapes."""
-    esc = F.replace(s, F.lit("\\"), F.lit("\\\\"))
-    for a, b in [("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")]:
-        esc = F.replace(esc, F.lit(a), F.lit(b))
-    use_double = (F.instr(s, "'") > 0) & (F.instr(s, '"') == 0)
-    return F.when(use_double, F.concat(F.lit('"'), esc, F.lit('"'))).otherwise(
-        F.concat(F.lit("'"), F.replace(esc, F.lit("'"), F.lit("\\'")), F.lit("'")))
-
-
-def _py_scalar(v: Column) -> Column:
-    t = F.schema_of_variant(v)
-    return (F.when(t == "STRING", _py_str_repr(F.try_variant_get(v, "$", "string")))
-            .when(t == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), F.lit("True")).otherwise(F.lit("False")))
-            .when(t == "VOID", F.lit("None"))
-            .otherwise(F.to_json(v)))
-
-
-def py_literal(v: Column) -> Column:
-    """Python spelling of a scalar or an array of scalars held in a VARIANT."""
-    items = F.try_variant_get(v, "$", "array<variant>")
-    return F.when(F.schema_of_variant(v).startswith("ARRAY"),
-                  F.concat(F.lit("["), F.array_join(F.transform(items, _py_scalar), ", "), F.lit("]"))) \
-        .otherwise(_py_scalar(v))
-
-
-def _arg_literal(v: Column) -> Column:
-    """Non-python argument: strings in double quotes (unescaped), everything else as Python prints it."""
-    return F.when(F.schema_of_variant(v) == "STRING",
-                  F.concat(F.lit('"'), F.try_variant_get(v, "$", "string"), F.lit('"'))).otherwise(py_literal(v))
-
-
-def _expected_literal(v: Column, language: str) -> Column:
-    """Expected value: a one-element list is unwrapped; strings double-quoted; booleans per language."""
-    first = F.try_variant_get(v, "$[0]", "variant")
-    single = F.schema_of_variant(v).startswith("ARRAY") & (F.size(F.try_variant_get(v, "$", "array<variant>")) == 1)
-    o = F.when(single, first).otherwise(v)
-    t = F.schema_of_variant(o)
-    b = F.try_variant_get(o, "$", "boolean")
-    if language in _C_LIKE_BOOL:
-        tf = (F.lit("true"), F.lit("false"))
-    elif language in _TRUE_FALSE:
-        tf = tuple(F.lit(x) for x in _TRUE_FALSE[language])
-    else:
-        tf = (F.lit("True"), F.lit("False"))
-    return (F.when(t == "STRING", F.concat(F.lit('"'), F.try_variant_get(o, "$", "string"), F.lit('"')))
-            .when(t == "BOOLEAN", F.when(b, tf[0]).otherwise(tf[1]))
-            .otherwise(py_literal(o)))
+# Values are JSON text.  Arguments and results print as Python prints them, nested ones included,
+# in every language; only strings and booleans that stand alone are spelled as the language does.
+_TRUE_FALSE = {"racket": ("#t", "#f"), "bash": ("1", "0"), "perl": ("1", "0"), "python": ("True", "False")}
+
+
+def _elements(json: Column) -> Column:
+    """The elements of a JSON array: struct(text, is_string), the text decoded if it is a string."""
+    kinds = F.transform(F.try_variant_get(F.try_parse_json(json), "$", "array<variant>"), lambda v: F.schema_of_variant(v) == "STRING")
+    return F.zip_with(F.from_json(json, "array<string>"), kinds, lambda text, is_string: F.struct(
+        F.coalesce(text, F.lit("null")).alias("text"), F.coalesce(is_string, F.lit(False)).alias("is_string")))
+
+
+def _arg_literal(e: Column) -> Column:
+    """Argument outside python: strings in double quotes (unescaped), everything else as Python prints it."""
+    return F.when(e["is_string"], F.concat(F.lit('"'), e["text"], F.lit('"'))).otherwise(py_repr_json(e["text"]))
+
+
+def _expected_literal(json: Column, language: str) -> Column:
+    """Expected value: a one-element list is unwrapped; a boolean is spelled as in the language."""
+    whole = F.struct(
+        F.when(json.startswith('"'), F.try_variant_get(F.try_parse_json(json), "$", "string")).otherwise(json).alias("text"),
+        json.startswith('"').alias("is_string"))
+    parts = _elements(json)
+    one = F.when(json.startswith("[") & (F.size(parts) == 1), F.element_at(parts, 1)).otherwise(whole)
+    yes, no = _TRUE_FALSE.get(language, ("true", "false"))
+    lone = ~one["is_string"]
+    return (F.when(lone & (one["text"] == "true"), F.lit(yes)).when(lone & (one["text"] == "false"), F.lit(no)).otherwise(_arg_literal(one)))
 
 
 # The python header used when the function is a method of class Solution.
@@ -441,15 +415,20 @@ def _fill(template: str, parts: dict[str, Column]) -> Column:
 
 
 def function_assertion(function, fn_name, inputs, output, language: str) -> Column:
+    """``function_assertion_json`` for VARIANT values (whose maps are in order of their keys)."""
+    return function_assertion_json(function, fn_name, F.to_json(_c(inputs)), F.to_json(_c(output)), language)
+
+
+def function_assertion_json(function, fn_name, inputs, output, language: str) -> Column:
     """Assertion program for one function-call case.
 
-    ``inputs`` is a VARIANT array of arguments, ``output`` the expected VARIANT.
+    ``inputs`` is the JSON text of the array of arguments, ``output`` that of the expected value.
     """
     fn, name = _c(function), _c(fn_name)
-    args = F.try_variant_get(_c(inputs), "$", "array<variant>")
+    inputs, output = (F.btrim(_c(x), F.lit(" \t\n\r")) for x in (inputs, output))
     if language == "python":
-        call_args = py_literal(_c(inputs))
-        expected = F.concat(py_literal(_c(output)), F.lit("[0]"))
+        call_args = py_repr_json(inputs)
+        expected = F.concat(py_repr_json(output), F.lit("[0]"))
         plain = F.concat(F.lit("\n"), fn, F.lit("\nres = "), name, F.lit("(*"), call_args,
                          F.lit(")\nassert res == "), expected, F.lit("\n"))
         method = F.concat(F.lit(PY_SOLUTION_HEADER + "\n"), fn, F.lit("\nsol = Solution()\nres = sol."), name,
@@ -458,7 +437,8 @@ def function_assertion(function, fn_name, inputs, output, language: str) -> Colu
     if language not in ASSERT_TEMPLATES:
         raise ValueError(f"no assertion template for {language}")
     sep = " " if language in _SPACE_SEPARATED else ", "
+    args = _elements(inputs)
     spelled = _labelled(args, fn, name) if language == "swift" else F.transform(args, _arg_literal)
     arg_str = F.array_join(spelled, sep)
     return _fill(ASSERT_TEMPLATES[language], {"F": fn, "N": name, "A": arg_str,
-                                               "E": _expected_literal(_c(output), language)})
+                                               "E": _expected_literal(output, language)})
