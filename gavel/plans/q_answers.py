@@ -169,19 +169,24 @@ def q_judge_prompts(spark, sf):
 
 
 # ------------------------------------------------------------------ F7 / E7
-@register("cruxeval_prompt", """
-SELECT doc_id, mode, form, 'Please respond' AS head,
-  '[PYTHON]' || chr(10) || text || chr(10) || CASE mode WHEN 'input' THEN 'assert f(??) == ' || doc_id ELSE 'assert f(' || doc_id || ') == ??' END
-    || chr(10) || '[/PYTHON]' || chr(10) || CASE form WHEN 'direct' THEN '[ANSWER]' ELSE '[THOUGHT]' END || chr(10) || chr(10) || 'Response:' || chr(10) AS tail
+def _crux_leads() -> str:
+    """The instruction and the shots of each mode and form, up to the row's own part."""
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    cases = (f"WHEN mode = '{m}' AND form = '{f}' THEN {quoted(P.CRUX_WRAP[0] + chr(10) + P._crux_lead(m, f))}"
+             for m in ("input", "output") for f in ("direct", "reasoning"))
+    return "CASE " + " ".join(cases) + " END"
+
+
+@register("cruxeval_prompt", f"""
+SELECT doc_id, mode, form, {_crux_leads()} || text || chr(10) || CASE mode WHEN 'input' THEN 'assert f(??) == ' || doc_id ELSE 'assert f(' || doc_id || ') == ??' END
+    || chr(10) || '[/PYTHON]' || chr(10) || CASE form WHEN 'direct' THEN '[ANSWER]' ELSE '[THOUGHT]' END || chr(10) || chr(10) || 'Response:' || chr(10) AS prompt
 FROM documents, (SELECT unnest(['input', 'output']) AS mode), (SELECT unnest(['direct', 'reasoning']) AS form)""")
 def q_cruxeval_prompt(spark, sf):
     n = F.col("doc_id").cast("string")
     rows = _docs(spark, sf).select("doc_id", F.col("text").alias("code"), n.alias("input"), n.alias("output"))
     both = (P.crux_prompts(rows, wrap=True).withColumn("form", F.lit("direct"))
             .unionByName(P.crux_prompts(rows, reasoning=True, wrap=True).withColumn("form", F.lit("reasoning"))))
-    # the row's part follows the shots: it is as long as its code, its assertion and the tags
-    tail = F.length("code") + F.length("input") + F.when(F.col("form") == "direct", 57).otherwise(58)
-    return both.select("doc_id", "mode", "form", F.substring("prompt", 1, 14).alias("head"), F.right("prompt", tail).alias("tail"))
+    return both.select("doc_id", "mode", "form", "prompt")
 
 
 @register("cruxeval_x_program", """

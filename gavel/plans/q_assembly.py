@@ -22,7 +22,7 @@ prog AS (SELECT doc_id,
       AS code,
     CASE doc_id % 3 WHEN 0 THEN 'prefix' || chr(10) || '#<INSERT>' || chr(10) || 'suffix'
                     WHEN 1 THEN 'a#<INSERT>b#<INSERT>c' ELSE 'assert f()' END AS test,
-    ['assert ' || split_part(text, ' ', 1), 'assert ' || split_part(text, ' ', 2)] AS tests
+    list_transform(string_split(text, ' '), lambda w: 'assert ' || w) AS tests
   FROM documents)"""
 
 
@@ -35,9 +35,9 @@ SELECT doc_id,
   CASE WHEN contains(test, '#<INSERT>') THEN split_part(test, '#<INSERT>', 1) || code || split_part(test, '#<INSERT>', 2)
        ELSE {_cut_guard_sql('code')} || chr(10) || test END AS program,
   {_q(chr(10).join(A.IMPORT_PREAMBLE['python']) + chr(10))} || code AS with_imports,
-  {_cut_guard_sql("'setup = 1' || chr(10) || code")} || chr(10) || tests[1] || chr(10) || chr(10) || tests[2] || chr(10)
+  {_cut_guard_sql("'setup = 1' || chr(10) || code")} || array_to_string(list_transform(tests, lambda x: chr(10) || x || chr(10)), '')
     AS mbpp_all,
-  {_cut_guard_sql("'setup = 1' || chr(10) || code")} || chr(10) || tests[2] || chr(10) AS mbpp_fewshot
+  {_cut_guard_sql("'setup = 1' || chr(10) || code")} || chr(10) || tests[-1] || chr(10) AS mbpp_fewshot
 FROM prog""")
 def q_append_test(spark, sf):
     d = V.table(spark, sf, "documents").select("doc_id", "text")
@@ -45,8 +45,7 @@ def q_append_test(spark, sf):
     code = F.concat(t, F.when(i % 2 == 0, F.lit('\nif __name__ == "__main__":\n  run()')).otherwise(F.lit("")))
     test = (F.when(i % 3 == 0, F.lit("prefix\n#<INSERT>\nsuffix")).when(i % 3 == 1, F.lit("a#<INSERT>b#<INSERT>c"))
             .otherwise(F.lit("assert f()")))
-    tests = F.array(F.concat(F.lit("assert "), F.split_part(t, F.lit(" "), F.lit(1))),
-                    F.concat(F.lit("assert "), F.split_part(t, F.lit(" "), F.lit(2))))
+    tests = F.transform(F.split(t, " "), lambda w: F.concat(F.lit("assert "), w))
     p = d.select("doc_id", code.alias("code"), test.alias("test"), tests.alias("tests"))
     return p.select("doc_id", A.append_test("code", "test").alias("program"),
                     A.with_import_preamble(F.col("code"), "python").alias("with_imports"),
@@ -103,7 +102,7 @@ def q_cruxeval_program(spark, sf):
 def _reports(spark, sf):
     d = V.table(spark, sf, "documents").select("doc_id", "text")
     i = F.col("doc_id")
-    words = F.slice(F.split("text", " "), 1, 5)
+    words = F.split("text", " ")
     tests = F.transform(words, lambda w, k: F.struct(
         F.when((i + k) % 4 == 0, F.lit("failed")).otherwise(F.lit("passed")).alias("status"),
         F.concat(F.lit("suite "), w).alias("fullName"),
@@ -121,7 +120,7 @@ rep AS (SELECT doc_id, 0 AS suite_idx, CAST(k - 1 AS INTEGER) AS test_idx, (doc_
            'suite ' || w[k] AS full_name, '/t/' || CAST(doc_id AS VARCHAR) AS file, 'root > ' || w[k] AS suite,
            w[k] AS test, CASE WHEN (doc_id + k - 1) % 4 = 0 THEN 1 ELSE 0 END AS n_failure_messages
   FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k
-        FROM (SELECT doc_id, string_split(text, ' ')[1:5] AS w FROM documents)))"""
+        FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)))"""
 
 
 @register("report_cases", with_ctes(_REPORT_ROWS) + "SELECT * FROM rep")
@@ -156,7 +155,7 @@ def q_judge_acceptance(spark, sf):
 _GO = """
 go AS (SELECT doc_id, 'package main' || chr(10) || 'import "fmt"' || chr(10) || 'import (' || chr(10) || '  "os"'
     || chr(10) || '  "strings"' || chr(10) || ')' || chr(10) || 'package util' || chr(10) || 'import "os"' || chr(10)
-    || split_part(text, chr(10), 1) AS code FROM documents)"""
+    || text AS code FROM documents)"""
 
 
 @register("go_imports", with_ctes(_GO) + r"""
@@ -174,5 +173,5 @@ FROM go""")
 def q_go_imports(spark, sf):
     d = V.table(spark, sf, "documents").select("doc_id", "text")
     code = F.concat(F.lit('package main\nimport "fmt"\nimport (\n  "os"\n  "strings"\n)\npackage util\nimport "os"\n'),
-                    F.split_part("text", F.lit("\n"), F.lit(1)))
+                    "text")
     return d.select("doc_id", A.go_hoist_imports(code).alias("program"))

@@ -226,11 +226,11 @@ def q_strip_entrypoint(spark, sf):
 # ------------------------------------------------------------------ D17
 _ANSWERS = """
 ans AS (SELECT doc_id, CASE doc_id % 4
-    WHEN 0 THEN '[ANSWER]' || chr(10) || 'assert f(' || split_part(text, ' ', 1) || ') == ' || split_part(text, ' ', 2)
+    WHEN 0 THEN '[ANSWER]' || chr(10) || 'assert f(' || text || ') == ' || reverse(text)
                 || chr(10) || '[/ANSWER] trailing'
-    WHEN 1 THEN split_part(text, ' ', 1) || ' == ' || split_part(text, ' ', 2) || '# done extra == x'
+    WHEN 1 THEN text || ' == ' || reverse(text) || '# done extra == x'
     WHEN 2 THEN 'no tags ' || text
-    ELSE '[ANSWER]' || split_part(text, ' ', 1) || '[ANSWER]' || split_part(text, ' ', 3) END AS c
+    ELSE '[ANSWER]' || text || '[ANSWER]' || text END AS c
   FROM documents)"""
 
 
@@ -248,14 +248,11 @@ def _answer_sql(mode: str) -> str:
 def q_answer_of(spark, sf):
     d = V.table(spark, sf, "documents").select("doc_id", "text")
     i, t = F.col("doc_id"), F.col("text")
-
-    def w(k):
-        return F.split_part(t, F.lit(" "), F.lit(k))
-    c = (F.when(i % 4 == 0, F.concat(F.lit("[ANSWER]\nassert f("), w(1), F.lit(") == "), w(2),
+    c = (F.when(i % 4 == 0, F.concat(F.lit("[ANSWER]\nassert f("), t, F.lit(") == "), F.reverse(t),
                                      F.lit("\n[/ANSWER] trailing")))
-         .when(i % 4 == 1, F.concat(w(1), F.lit(" == "), w(2), F.lit("# done extra == x")))
+         .when(i % 4 == 1, F.concat(t, F.lit(" == "), F.reverse(t), F.lit("# done extra == x")))
          .when(i % 4 == 2, F.concat(F.lit("no tags "), t))
-         .otherwise(F.concat(F.lit("[ANSWER]"), w(1), F.lit("[ANSWER]"), w(3))))
+         .otherwise(F.concat(F.lit("[ANSWER]"), t, F.lit("[ANSWER]"), t)))
     d = d.select("doc_id", c.alias("c"))
     return d.select("doc_id", X.answer_of(F.col("c"), "input").alias("answer_input"),
                     X.answer_of(F.col("c"), "output").alias("answer_output"))

@@ -165,8 +165,8 @@ def q_completion_budget(spark, sf):
 
 # ------------------------------------------------------------------ F3
 _MBPP_SRC = """
-mb AS (SELECT item_id, split_part(text, '. ', 1) AS content,
-              list_transform(string_split(text, '. ')[1:3], lambda x: 'assert ' || x) AS tests
+mb AS (SELECT item_id, text AS content,
+              list_transform(string_split(text, '. '), lambda x: 'assert ' || x) AS tests
        FROM benchmark)"""
 
 
@@ -178,9 +178,8 @@ SELECT item_id,
 FROM mb""")
 def q_mbpp_prompt(spark, sf):
     b = V.table(spark, sf, "benchmark")
-    content = F.split_part("text", F.lit(". "), F.lit(1))
-    tests = F.transform(F.slice(F.split("text", r"\. ", -1), 1, 3), lambda x: F.concat(F.lit("assert "), x))
-    m = b.select("item_id", content.alias("content"), tests.alias("tests"))
+    tests = F.transform(F.split("text", r"\. ", -1), lambda x: F.concat(F.lit("assert "), x))
+    m = b.select("item_id", F.col("text").alias("content"), tests.alias("tests"))
     return m.select("item_id", P.mbpp_prompt("content", "tests").alias("prompt"),
                     P.mbpp_prompt("content", "tests", fewshot=True).alias("fewshot_prompt"))
 
@@ -305,10 +304,13 @@ CRUX_SHOTS = 3  # few-shot examples of a language
 
 def _crux_tables(spark, sf):
     b = V.table(spark, sf, "benchmark")
-    w = lambda k: F.coalesce(F.nullif(F.split_part("text", F.lit(" "), F.lit(k)), F.lit("")), F.lit("zz"))
+    words = F.split("text", " ")
+    half = F.floor(F.size(words) / 2).cast("int")
+    inputs, outputs = (F.coalesce(F.nullif(F.array_join(w, " "), F.lit("")), F.lit("zz"))
+                       for w in (F.slice(words, F.lit(1), half), F.slice(words, half + 1, F.size(words))))
     k = F.col("item_id") % 4
     ex = b.select(F.when(k == 0, "python").when(k == 1, "R").when(k == 2, "bash").otherwise("cpp").alias("language"),
-                  F.col("item_id").alias("idx"), F.col("text").alias("code"), w(2).alias("inputs"), w(3).alias("outputs"))
+                  F.col("item_id").alias("idx"), F.col("text").alias("code"), inputs.alias("inputs"), outputs.alias("outputs"))
     shot = F.row_number().over(Window.partitionBy("language").orderBy("idx"))
     ex = ex.withColumn("shot", shot).where(F.col("shot") <= CRUX_SHOTS).drop("shot")
     d = V.table(spark, sf, "documents")
@@ -316,7 +318,7 @@ def _crux_tables(spark, sf):
     lang = F.when(i % 4 == 0, "python").when(i % 4 == 1, "R").when(i % 4 == 2, "bash").otherwise("cpp")
     pr = d.select(F.concat(lang, F.lit("_"), i.cast("string")).alias("id"),
                   F.col("text").alias("code"),
-                  F.concat(F.lit(" "), F.split_part("text", F.lit(" "), F.lit(1))).alias("given"))
+                  F.concat(F.lit(" "), "text").alias("given"))
     return pr, ex
 
 
@@ -340,15 +342,16 @@ def _crux_sql() -> str:
     return f"""
 WITH ex AS (SELECT CASE item_id % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'R' WHEN 2 THEN 'bash' ELSE 'cpp' END AS language,
                    item_id AS idx, text AS code,
-                   coalesce(nullif(split_part(text, ' ', 2), ''), 'zz') AS inputs,
-                   coalesce(nullif(split_part(text, ' ', 3), ''), 'zz') AS outputs FROM benchmark
+                   coalesce(nullif(array_to_string(string_split(text, ' ')[1:len(string_split(text, ' ')) // 2], ' '), ''), 'zz') AS inputs,
+                   coalesce(nullif(array_to_string(string_split(text, ' ')[len(string_split(text, ' ')) // 2 + 1:], ' '), ''), 'zz') AS outputs
+            FROM benchmark
             QUALIFY row_number() OVER (PARTITION BY item_id % 4 ORDER BY item_id) <= {CRUX_SHOTS}),
 {ex('input')},
 {ex('output')},
 p AS (SELECT (CASE doc_id % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'R' WHEN 2 THEN 'bash' ELSE 'cpp' END)
              || '_' || CAST(doc_id AS VARCHAR) AS id,
              CASE doc_id % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'R' WHEN 2 THEN 'bash' ELSE 'cpp' END AS language,
-             text AS code, ' ' || split_part(text, ' ', 1) AS given FROM documents)
+             text AS code, ' ' || text AS given FROM documents)
 SELECT p.id, {prompt('input')} AS input_prompt, {prompt('output')} AS output_prompt
 FROM p LEFT JOIN ex_input e_input ON p.language = e_input.language
        LEFT JOIN ex_output e_output ON p.language = e_output.language"""
@@ -370,10 +373,11 @@ ep AS (SELECT item_id, t1, tests, text,
          ELSE regexp_extract(t1, 'assert\\s+([A-Za-z_]\\w*)\\s*\\(', 1) END AS entry_point
   FROM (SELECT item_id, text, tests, tests[1] AS t1
         FROM (SELECT item_id, text,
-                     [CASE item_id % 3 WHEN 0 THEN 'assert ' || split_part(text, ' ', 1) || '(1) == 2'
-                                       WHEN 1 THEN 'assert math.isclose(' || split_part(text, ' ', 2) || '(3), 4)'
-                                       ELSE 'assert Diff([1], [2]) == [1]' END,
-                      'assert True'] AS tests FROM benchmark)))"""
+                     list_append(list_transform(string_split(text, ' '), lambda w:
+                                   CASE item_id % 3 WHEN 0 THEN 'assert ' || w || '(1) == 2'
+                                       WHEN 1 THEN 'assert math.isclose(' || w || '(3), 4)'
+                                       ELSE 'assert Diff([1], [2]) == ' || w END),
+                      'assert True') AS tests FROM benchmark)))"""
 
 
 @register("mbpp_check", "WITH " + _MBPP_EP + """
@@ -385,11 +389,10 @@ def q_mbpp_check(spark, sf):
     from gavel.operators import assembly as A
     b = V.table(spark, sf, "benchmark")
     i = F.col("item_id")
-    t1 = (F.when(i % 3 == 0, F.concat(F.lit("assert "), F.split_part("text", F.lit(" "), F.lit(1)), F.lit("(1) == 2")))
-          .when(i % 3 == 1, F.concat(F.lit("assert math.isclose("), F.split_part("text", F.lit(" "), F.lit(2)),
-                                     F.lit("(3), 4)")))
-          .otherwise(F.lit("assert Diff([1], [2]) == [1]")))
-    m = b.select("item_id", "text", F.array(t1, F.lit("assert True")).alias("tests"))
+    tests = F.transform(F.split("text", " "), lambda w: (
+        F.when(i % 3 == 0, F.concat(F.lit("assert "), w, F.lit("(1) == 2"))).when(i % 3 == 1, F.concat(F.lit("assert math.isclose("), w, F.lit("(3), 4)")))
+        .otherwise(F.concat(F.lit("assert Diff([1], [2]) == "), w))))
+    m = b.select("item_id", "text", F.array_append(tests, F.lit("assert True")).alias("tests"))
     m = m.withColumn("entry_point", A.mbpp_entry_point(F.element_at("tests", 1)))
     return m.select("item_id", "entry_point", A.mbpp_check_program("tests", "entry_point").alias("test"),
                     A.signature_line("text", "entry_point").alias("signature"))
@@ -402,10 +405,10 @@ LEAN_TEMPLATE = "Prove {{ this }}: {source} / {lang}"
 @register("dataset_prompts", f"""
 SELECT doc_id,
   chr(10) || text || chr(10) || chr(10) || 'Please generate the code in the following format:' || chr(10) || '```python'
-    || chr(10) || split_part(text, ' ', 1) || chr(10) || '```' || chr(10) AS aider,
+    || chr(10) || text || chr(10) || '```' || chr(10) AS aider,
   {_q(P.AIDER_WRAP[0])} || chr(10) || chr(10) || text || chr(10) || chr(10)
     || 'Please generate the code in the following format:' || chr(10) || '```python' || chr(10)
-    || split_part(text, ' ', 1) || chr(10) || '```' || chr(10) || chr(10) || {_q(P.AIDER_WRAP[1])} || chr(10)
+    || text || chr(10) || '```' || chr(10) || chr(10) || {_q(P.AIDER_WRAP[1])} || chr(10)
     AS aider_wrapped,
   CASE WHEN doc_id % 2 = 0 THEN 'fs ' || lang || chr(10) || chr(10) || {_q(P.SECTION_SEP)} || chr(10) || chr(10)
        || 'Question:' || chr(10) ELSE '' END
@@ -418,11 +421,10 @@ FROM documents""")
 def q_dataset_prompts(spark, sf):
     d = V.table(spark, sf, "documents")
     i = F.col("doc_id")
-    first_word = F.split_part("text", F.lit(" "), F.lit(1))
     fs = F.when(i % 2 == 0, F.concat(F.lit("fs "), F.col("lang")))
     return d.select(
-        "doc_id", P.aider_prompt(F.col("text"), first_word).alias("aider"),
-        P.aider_prompt(F.col("text"), first_word, wrap=True).alias("aider_wrapped"),
+        "doc_id", P.aider_prompt(F.col("text"), F.col("text")).alias("aider"),
+        P.aider_prompt(F.col("text"), F.col("text"), wrap=True).alias("aider_wrapped"),
         P.verilog_prompt(F.lit("module m;\n"), F.col("text"),
                          F.concat(F.lit("sys "), F.col("source")), F.concat(F.lit("q "), F.col("lang")), fs)
         .alias("verilog"),

@@ -83,9 +83,9 @@ def q_attach_problem(spark, sf):
 SELECT p_partkey, checker FROM part JOIN (
   SELECT l_partkey, arg_max('check_' || CAST(l_suppkey AS VARCHAR),
                             (l_orderkey, l_linenumber, l_suppkey, l_extendedprice)) AS checker
-  FROM lineitem WHERE l_partkey % 5 <> 0 GROUP BY 1) c ON p_partkey = c.l_partkey""")
+  FROM lineitem GROUP BY 1) c ON p_partkey = c.l_partkey""")
 def q_attach_checker(spark, sf):
-    li = V.table(spark, sf, "lineitem").filter(F.col("l_partkey") % 5 != 0)
+    li = V.table(spark, sf, "lineitem")
     checkers = li.select(F.col("l_partkey").alias("p_partkey"),
                          F.concat(F.lit("check_"), F.col("l_suppkey").cast("string")).alias("checker"),
                          F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice").alias("ord"))
@@ -156,16 +156,14 @@ def q_expand_samples(spark, sf):
 
 @register("regroup_samples", """
 WITH g AS (SELECT item_id, text, CAST(unnest(range(0, 4)) AS INTEGER) AS sample_idx FROM benchmark),
-r AS (SELECT item_id, sample_idx, left(text, 20) || '#' || CAST(sample_idx AS VARCHAR) AS text FROM g
-      WHERE (item_id + sample_idx) % 3 <> 0)
+r AS (SELECT item_id, sample_idx, CASE WHEN (item_id + sample_idx) % 3 <> 0 THEN text || '#' || CAST(sample_idx AS VARCHAR) END AS text FROM g)
 SELECT g.item_id, list(coalesce(r.text, '') ORDER BY g.sample_idx) AS sample
 FROM g LEFT JOIN r ON g.item_id = r.item_id AND g.sample_idx = r.sample_idx GROUP BY g.item_id""")
 def q_regroup_samples(spark, sf):
     b = V.table(spark, sf, "benchmark").select("item_id", "text")
     grid = TB.expand_samples(b, 4)
-    res = (grid.filter((F.col("item_id") + F.col("sample_idx")) % 3 != 0)
-           .select("item_id", "sample_idx",
-                   F.concat(F.left("text", F.lit(20)), F.lit("#"), F.col("sample_idx").cast("string")).alias("text")))
+    answer = F.concat(F.col("text"), F.lit("#"), F.col("sample_idx").cast("string"))
+    res = grid.select("item_id", "sample_idx", F.when((F.col("item_id") + F.col("sample_idx")) % 3 != 0, answer).alias("text"))
     return TB.regroup_samples(grid, res, 4, key="item_id")
 
 
@@ -187,7 +185,7 @@ _JSON_CASES = r"""
 jc AS (SELECT doc_id,
     CASE WHEN doc_id % 5 = 0 THEN 'not json ' || w ELSE '"' || w || '"' || chr(10) || CAST(n_chars AS VARCHAR) END AS inp,
     CASE WHEN doc_id % 7 = 0 THEN 'oops' ELSE CAST(length(w) AS VARCHAR) END AS outp
-  FROM (SELECT doc_id, n_chars, regexp_replace(split_part(text, ' ', 1), '[^\p{L}]', '', 'g') AS w FROM documents))"""
+  FROM (SELECT doc_id, n_chars, regexp_replace(text, '[^\p{L}]', '', 'g') AS w FROM documents))"""
 
 
 @register("json_input_cases", with_ctes(_JSON_CASES) + """
@@ -199,7 +197,7 @@ FROM jc""")
 def q_json_input_cases(spark, sf):
     d = V.table(spark, sf, "documents").select("doc_id", "n_chars", "text")
     i = F.col("doc_id")
-    w = F.regexp_replace(F.split_part("text", F.lit(" "), F.lit(1)), r"[^\p{L}]", "")
+    w = F.regexp_replace("text", r"[^\p{L}]", "")
     inp = F.when(i % 5 == 0, F.concat(F.lit("not json "), w)).otherwise(
         F.concat(F.lit('"'), w, F.lit('"\n'), F.col("n_chars").cast("string")))
     outp = F.when(i % 7 == 0, F.lit("oops")).otherwise(F.length(w).cast("string"))
@@ -213,14 +211,13 @@ def _raw_training(spark, sf):
     d = V.table(spark, sf, "documents").select("doc_id", "text", "source")
     i = F.col("doc_id")
     raw = F.split("text", " ")
-    words = F.transform(F.slice(raw, 1, 8), lambda x: F.regexp_replace(x, r"[^\p{L}]", ""))
-    w1 = F.element_at(words, 1)
+    words = F.transform(raw, lambda x: F.regexp_replace(x, r"[^\p{L}]", ""))
+    body = F.array_join(words, " ")
     gold = (F.when(i % 5 == 0, F.lit(None).cast("string"))
-            .when(i % 5 == 1, F.concat(F.lit("no fence "), w1))
-            .otherwise(F.concat(F.lit("```python\n"), w1, F.lit("\n```"))))
-    n = F.least(i % 8, F.size(raw))
+            .when(i % 5 == 1, F.concat(F.lit("no fence "), body))
+            .otherwise(F.concat(F.lit("```python\n"), body, F.lit("\n```"))))
     is_call = i % 2 == 0
-    cases = F.transform(F.slice(words, F.lit(1), n), lambda w, k: F.struct(
+    cases = F.transform(words, lambda w, k: F.struct(
         F.when(is_call, F.concat(F.lit('"'), w, F.lit('"\n'), (k + 1).cast("string"))).otherwise(w).alias("input"),
         F.when(is_call, F.length(w).cast("string")).otherwise(F.lower(w)).alias("output"),
         F.when(is_call, F.lit("f")).otherwise(F.lit(None).cast("string")).alias("fn_name")))
@@ -235,11 +232,11 @@ tw AS (SELECT doc_id, text, source,
          list_transform(string_split(text, ' '), lambda x: regexp_replace(x, '[^\p{L}]', '', 'g')) AS words
        FROM documents),
 tr AS (SELECT doc_id AS problem_id, text AS prompt, source,
-    CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN 'no fence ' || words[1]
-         ELSE '```python' || chr(10) || words[1] || chr(10) || '```' END AS gold,
+    CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN 'no fence ' || array_to_string(words, ' ')
+         ELSE '```python' || chr(10) || array_to_string(words, ' ') || chr(10) || '```' END AS gold,
     CASE WHEN doc_id % 7 = 0 THEN 'cpp' ELSE 'python' END AS language,
     doc_id % 2 = 0 AS is_call,
-    words[1:least(doc_id % 8, len(words))] AS cw
+    words AS cw
   FROM tw),
 ok AS (SELECT *, gold IS NOT NULL AND starts_with(gold, '```python') AND ends_with(gold, '```')
                  AND language = 'python' AND len(cw) > 4 AS good FROM tr)"""
@@ -328,15 +325,16 @@ def q_distinct_imports(spark, sf):
 
 # ------------------------------------------------------------------ A3
 @register("read_versions", """
-SELECT 'lineitem' AS version, count(*) AS n FROM lineitem UNION ALL SELECT 'orders', count(*) FROM orders""")
+SELECT 'lineitem' AS version, count(*) AS n, sum(l_orderkey)::BIGINT AS keys, sum(l_partkey)::BIGINT AS others FROM lineitem
+UNION ALL SELECT 'orders', count(*), sum(o_orderkey)::BIGINT, sum(o_custkey)::BIGINT FROM orders""")
 def q_read_versions(spark, sf):
     import os
     from gavel.sources.readers import read_versions
     base, _ = os.path.split(sf.rstrip("/"))
     name = os.path.basename(sf.rstrip("/"))
-    df = read_versions(spark, base, [name], "lineitem.parquet").select(F.lit("lineitem").alias("version"))
-    df2 = read_versions(spark, base, [name], "orders.parquet").select(F.lit("orders").alias("version"))
-    return df.unionByName(df2).groupBy("version").agg(F.count(F.lit(1)).alias("n"))
+    df = read_versions(spark, base, [name], "lineitem.parquet").select(F.lit("lineitem").alias("version"), "l_orderkey", "l_partkey")
+    df2 = read_versions(spark, base, [name], "orders.parquet").select(F.lit("orders").alias("version"), "o_orderkey", "o_custkey")
+    return df.union(df2).groupBy("version").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"), F.sum("l_partkey").alias("others"))
 
 
 # ------------------------------------------------------------------ C6
@@ -368,11 +366,11 @@ def q_map_language(spark, sf):
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS cell_idx, s[i] AS stdout, CASE WHEN i = 2 THEN 'warn' ELSE '' END AS stderr,
        1 AS n_display, CASE WHEN i = 3 THEN 1 ELSE 0 END AS n_error
 FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i
-      FROM (SELECT doc_id, string_split(text, '. ')[1:3] AS s FROM documents))""")
+      FROM (SELECT doc_id, string_split(text, '. ') AS s FROM documents))""")
 def q_notebook_cells(spark, sf):
     from gavel.operators import assembly as A
     d = V.table(spark, sf, "documents")
-    sents = F.slice(F.split("text", r"\. ", -1), 1, 3)
+    sents = F.split("text", r"\. ", -1)
     cells = F.transform(sents, lambda s, i: F.struct(
         s.alias("stdout"), F.when(i == 1, F.lit("warn")).otherwise(F.lit("")).alias("stderr"),
         F.array(F.create_map(F.lit("text/plain"), s)).alias("display"),
