@@ -1,6 +1,7 @@
-"""Positions and running totals within keys of any size, without a window over a whole key.
+"""Positions and running totals within keys of any size, without a window over a large key.
 
-The rows are range-partitioned by (key, order), so a key that holds a third of
+Keys of at most ``SEGMENT_ROWS`` rows are windows of their own.  The rows of the
+others, which are at most one key for each ``SEGMENT_ROWS`` rows, are range-partitioned by (key, order), so a key that holds a third of
 all rows is cut into many segments.  Each segment is summed once; a key that
 spans several segments (at most two for each partition begin or end in one)
 gets the totals of its earlier segments as offsets, and the running values are a
@@ -16,14 +17,39 @@ from pyspark.sql import functions as F
 
 from gavel.sources.scratch import Scratch
 
+SEGMENT_ROWS = 1 << 20
+
 
 def running(df: DataFrame, keys: list[str], order: list[Column | str], position: str | None = None, sums: dict[str, Column] | None = None,
-            xors: dict[str, Column] | None = None, scratch: Scratch | None = None) -> DataFrame:
+            xors: dict[str, Column] | None = None, scratch: Scratch | None = None, segment_rows: int | None = None) -> DataFrame:
     """``df`` plus ``position`` (from 1), running sums and running bitwise xors (all inclusive) along ``order`` within ``keys``."""
     spark = df.sparkSession
-    scratch = scratch or Scratch(spark, "segments")
+    size = SEGMENT_ROWS if segment_rows is None else segment_rows
+    large = df.groupBy(*(F.col(k).alias(f"sg_key{n}") for n, k in enumerate(keys))).agg(F.count("*").alias("sg_n")).where(F.col("sg_n") > size)
+    same = [F.col(k).eqNullSafe(F.col(f"sg_key{n}")) for n, k in enumerate(keys)]
+    if large.isEmpty():
+        return _windowed(df, keys, order, position, sums, xors)
+    large = F.broadcast(large.drop("sg_n"))  # at most one row for each ``size`` rows
+    return _windowed(df.join(large, same, "left_anti"), keys, order, position, sums, xors).unionByName(
+        _segmented(df.join(large, same, "left_semi"), keys, order, position, sums, xors, scratch))
+
+
+def _values(position, sums, xors) -> tuple[dict, dict]:
+    """The columns to be folded, and by what."""
     values = ({position: F.lit(1).cast("long")} if position else {}) | dict(sums or {}) | dict(xors or {})
-    folds = {name: F.bit_xor if name in (xors or {}) else F.sum for name in values}
+    return values, {name: F.bit_xor if name in (xors or {}) else F.sum for name in values}
+
+
+def _windowed(df, keys, order, position, sums, xors) -> DataFrame:
+    values, folds = _values(position, sums, xors)
+    along = Window.partitionBy(*keys).orderBy(*(o.asc_nulls_first() if isinstance(o, Column) else F.col(o).asc_nulls_first() for o in order))
+    return df.select("*", *(folds[name](value).over(along.rowsBetween(Window.unboundedPreceding, 0)).alias(name) for name, value in values.items()))
+
+
+def _segmented(df, keys, order, position, sums, xors, scratch) -> DataFrame:
+    spark = df.sparkSession
+    scratch = scratch or Scratch(spark, "segments")
+    values, folds = _values(position, sums, xors)
     ordered = {f"sg_order{k}": o if isinstance(o, Column) else F.col(o) for k, o in enumerate(order)}
     placed = df.withColumns({f"sg_{name}": value for name, value in values.items()} | ordered)
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))

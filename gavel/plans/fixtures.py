@@ -8,9 +8,11 @@ columns and pushes filters into the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gavel.operators.segments import running
+
 NL = "\n"
 
 
@@ -31,14 +33,13 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a sample index, which lineitem lacks: a row number of the problem's submissions."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_returnflag")
-    w = Window.partitionBy("l_partkey").orderBy("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-    ranked = li.withColumn("rn", F.row_number().over(w))
+    ranked = running(li, ["l_partkey"], ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"], position="rn")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     return (ranked.join(part, ranked.l_partkey == part.p_partkey)
             .select(F.col("l_partkey").alias("problem_id"),
                     F.col("p_brand").alias("category"),
                     F.split("p_type", " ").getItem(0).alias("dataset"),
-                    (F.col("rn") - 1).alias("sample_idx"),
+                    (F.col("rn") - 1).cast("int").alias("sample_idx"),
                     (F.col("l_returnflag") != "R").alias("accepted")))
 
 
@@ -51,14 +52,14 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    li = running(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], position="rn")
     pk = F.col("l_partkey")
     compile_fail = (pk % 31 == 0)
     run_state = (F.when(compile_fail, F.lit(None).cast("string"))
                  .when(pk % 23 == 0, "TimeLimitExceeded")
                  .when(pk % 29 == 0, "Error")
                  .otherwise("Finished"))
-    return (li.withColumn("case_idx", F.row_number().over(w) - 1)
+    return (li.withColumn("case_idx", F.col("rn") - 1)
             .select(F.col("l_orderkey").alias("submission_id"),
                     F.col("case_idx").cast("int").alias("case_idx"),
                     (pk % 7 != 0).alias("passed"),

@@ -127,7 +127,7 @@ def _sessions_out(df):
 
 @register("sessions", SESSIONS_SQL)
 def q_sessions(spark, sf):
-    return _sessions_out(L.live_sessions(_log(spark, sf)))
+    return _sessions_out(L.sessions(_log(spark, sf)))
 
 
 # ------------------------------------------------------------------ H6 / A8

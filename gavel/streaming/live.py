@@ -24,7 +24,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
+from gavel.operators.segments import running
 from gavel.session import ensure_checkpoint_dir
+from gavel.sources.scratch import Scratch
 
 RUN_LOG_SCHEMA = StructType([
     StructField("event_id", LongType()), StructField("ts", TimestampType()),
@@ -101,9 +103,11 @@ def live_dedupe(log: DataFrame, keys: list[str], keep: timedelta = timedelta(day
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(frames)
-        if not state.exists:
-            row = rows.sort_values(["ts", "event_id"]).head(1)
+        row = None
+        for rows in frames:  # one frame at a time: a key may have any number of rows
+            if not state.exists:
+                row = pd.concat([x for x in (row, rows) if x is not None]).sort_values(["ts", "event_id"]).head(1)
+        if row is not None:
             state.update((True,))
             _expire(state, int((row["ts"].iloc[0] + keep).timestamp() * 1000))
             yield row
@@ -129,6 +133,35 @@ def live_sessions(log: DataFrame, gap: str = "30 minutes", watermark: str = "1 h
                     "n", "n_error"))
 
 
+def sessions(log: DataFrame, gap: timedelta = timedelta(minutes=30), slice_length: timedelta = timedelta(hours=6)) -> DataFrame:
+    """The sessions of ``live_sessions`` on batch data, for endpoints of any size.
+
+    Two levels: sessions within (endpoint, time slice), so that an endpoint's rows
+    are dealt over as many tasks as it has slices; then the last session of a slice
+    is joined with the first one of the next slice if that begins within the gap, and
+    chains of such sessions are numbered by segments and summed.  A slice is at least
+    as long as the gap, so no session can reach beyond the neighbouring slice without having a row in it.
+    """
+    micros = timedelta(microseconds=1)
+    if slice_length < gap:
+        raise ValueError("a slice can't be shorter than the gap")
+    at = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(slice_length // micros)).cast("long")
+    parts = (log.where(F.col("ts").isNotNull()).withColumn("slice", at)
+             .groupBy("endpoint", "slice", F.session_window("ts", f"{gap // micros} microseconds").alias("s"))
+             .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_error").alias("n_error"))
+             .select("endpoint", "slice", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n", "n_error"))
+    parts = Scratch(log.sparkSession, "sessions").keep(parts, "parts")
+    last = parts.groupBy(F.col("endpoint").alias("e"), (F.col("slice") + 1).alias("next")).agg(F.max("session_end").alias("until"))
+    first = F.unix_micros(F.col("session_start").cast("timestamp")) - F.col("slice") * F.lit(slice_length // micros) <= F.lit(gap // micros)
+    joined = parts.join(last, F.col("endpoint").eqNullSafe(F.col("e")) & (F.col("slice") == F.col("next")) & first, "left")
+    goes_on = F.coalesce(F.col("session_start") <= F.col("until"), F.lit(False))  # a row at the very end belongs to the session
+    numbered = running(joined.select(*parts.columns, goes_on.alias("goes_on")), ["endpoint"], ["session_start"],
+                       sums={"session": F.when(F.col("goes_on"), 0).otherwise(1).cast("long")})
+    return numbered.groupBy("endpoint", "session").agg(
+        F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"), F.sum("n").alias("n"),
+        F.sum("n_error").alias("n_error")).drop("session")
+
+
 VERDICT_SCHEMA = "submission string, case_idx int, passed boolean, status string, message string"
 
 
@@ -138,7 +171,7 @@ def live_deadline(log: DataFrame, n_cases: int, total_timeout: timedelta, keep:
 
     ``log`` has submission, case_idx (0 to ``n_cases`` - 1), passed and ts.  At the close one
     verdict per case is emitted: of a case's rows within the deadline the first counts, and
-    a case without one fails with 'Total Timeout'.  Per submission the state holds ``n_cases``
+    a case without one fails with 'Total Timeout'; rows of no such case are left out.  Per submission the state holds ``n_cases``
     entries; a closed submission is remembered for ``keep``, so that rows after the close are ignored.
     """
     def close(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -167,7 +200,8 @@ def live_deadline(log: DataFrame, n_cases: int, total_timeout: timedelta, keep:
         state.update((first, closed, at, passed))
         _expire(state, (first + limit + (keep // timedelta(microseconds=1) if closed else 0)) // 1000 + 1)
 
-    return log.withWatermark("ts", watermark).groupBy("submission").applyInPandasWithState(
+    known = F.col("case_idx").between(0, n_cases - 1) & F.col("ts").isNotNull()
+    return log.withWatermark("ts", watermark).where(known).groupBy("submission").applyInPandasWithState(
         close, VERDICT_SCHEMA, "first long, closed boolean, at array<long>, passed array<boolean>", "append", GroupStateTimeout.EventTimeTimeout)
 
 

@@ -114,3 +114,13 @@ def test_results_in_one_aggregation(spark):
     assert sorted(rows(J.results_of_cases(cases, subs))) == [(1, False, 2), (2, True, 2), (3, True, 0)]
     cut = J.results(J.cut_at_first_failure(cases), subs)
     assert sorted(rows(cut)) == sorted(rows(J.results_of_cases(cases, subs)))
+
+
+def test_a_case_without_a_verdict_is_a_failure(spark):
+    cases = spark.createDataFrame([(1, 0, None), (2, 0, True), (2, 1, None), (2, 2, True), (3, 0, True)], "submission_id int, case_idx int, passed boolean")
+    subs = spark.createDataFrame([(1,), (2,), (3,), (4,)], "submission_id int")
+    want = [(1, False, 1), (2, False, 2), (3, True, 1), (4, True, 0)]
+    assert sorted(rows(J.results_of_cases(cases, subs))) == want
+    assert sorted(rows(J.results(J.cut_at_first_failure(cases), subs))) == want
+    coded = J.error_code(cases.selectExpr("*", "'Success' AS summary"))
+    assert sorted(rows(coded, "submission_id", "case_idx", "error_code")) == [(1, 0, -2), (2, 0, 0), (2, 1, -2), (2, 2, 0), (3, 0, 0)]
