@@ -48,6 +48,8 @@ GRAM = 128
 PART = 16
 TOKENS = 2
 BUCKET_ROWS = 4_000_000
+PLACE_BITS = 24  # of a window's key; the others are its hash
+SLICE = 1 << PLACE_BITS
 
 _KEY = ["sx_doc", "sx_text"]
 _NO_ID = -(1 << 63)
@@ -70,13 +72,24 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 def ranges(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     """Document, first window, number of windows, anchor (from the first window), its hash and the context hash of
-    every range of a chunk."""
+    every range of a chunk.
+
+    A text of more than ``SLICE`` bytes, which is a chunk of its own, is cut into slices with disjoint windows, so
+    that anchors are chosen alike in texts of any size; a range that is cut there is two ranges.
+    """
     n = len(data)
+    if n > SLICE and len(offsets) == 2:
+        slices = []
+        for s in range(0, n - length + 1, SLICE - length + 1):
+            piece = data[s:s + SLICE]
+            doc, at, *rest = ranges(piece, np.array([0, len(piece)]), length, gram)
+            slices.append((doc, at + s, *rest))
+        return tuple(np.concatenate(column) for column in zip(*slices))
     if n < length:
         return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
     span = SpanHash.of_bytes(data)
     at = np.arange(n - gram + 1)
-    bits = np.uint64(max(24, n.bit_length()))
+    bits = np.uint64(PLACE_BITS)
     place = np.uint64(1) << bits
     hashes = span(at, at + gram)
     key = hashes >> bits << bits | at.astype(np.uint64)
@@ -276,7 +289,8 @@ def removed_spans(keyed: DataFrame, texts: DataFrame, scratch: Scratch, length:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, the bytes kept, their number before, and the removed runs (start, end) of every row."""
+    """doc_id, the bytes kept, these as text (without bytes of cut characters), their number before, and the removed
+    runs (start, end) of every row."""
     spark = docs.sparkSession
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("sx_doc"),
                         text_key().alias("sx_text"), "text")
@@ -288,7 +302,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                kept, sizes, runs = [], [], []
+                kept, shown, sizes, runs = [], [], [], []
                 for text, some in zip(part.column(1), part.column(2)):
                     data = (text.as_py() or "").encode()
                     spans = []
@@ -299,19 +313,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                     gone = covered(len(data), spans)
                     edges = [0, *(x for g in gone for x in g), len(data)]
                     kept.append(b"".join(data[x:y] for x, y in zip(edges[::2], edges[1::2])))
+                    shown.append(kept[-1].decode("utf-8", "ignore"))
                     sizes.append(len(data))
                     runs.append([{"start": x, "end": y} for x, y in gone])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()),
+                    [part.column(0), pa.array(kept, pa.binary()), pa.array(shown, pa.string()), pa.array(sizes, pa.int64()),
                      pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                    names=["doc_id", "kept", "n_bytes", "removed"])
+                    names=["doc_id", "kept", "text", "n_bytes", "removed"])
 
     return texts.join(found, _KEY, "left").select(F.nullif("sx_doc", F.lit(_NO_ID)), "text", "sx_found").mapInArrow(
-        run, "doc_id long, kept binary, n_bytes long, removed array<struct<start:long,end:long>>")
+        run, "doc_id long, kept binary, text string, n_bytes long, removed array<struct<start:long,end:long>>")
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, the text that is kept, and whether any was removed."""
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["start"])
     return remove_repeats(docs).select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
-                                       F.sha2("kept", 256).alias("kept_sha256"))
+                                       F.sha2("kept", 256).alias("kept_sha256"), "text", (F.size("removed") > 0).alias("has_repeats"))
