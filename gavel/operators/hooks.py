@@ -67,6 +67,11 @@ def register_dataset(profile: DatasetProfile) -> DatasetProfile:
     return profile
 
 
+def list_datasets() -> list[str]:
+    """Names of the registered datasets, in order of registration."""
+    return [p.name for p in DATASETS]
+
+
 def dataset_for(dataset_id: str) -> DatasetProfile | None:
     """First registered profile whose rule matches the id (first match wins)."""
     return next((p for p in DATASETS if p.name == dataset_id or p.match(dataset_id)), None)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gavel.functions.text import split_nl
+from gavel.sources.scratch import Scratch
 
 
 # ------------------------------------------------------------------ B1-B4
@@ -26,6 +27,37 @@ def page(df: DataFrame, cols: Sequence[str] | None = None, offset: int = 0,
     return rows if limit is None else rows.limit(limit)
 
 
+class Pages:
+    """Deep pages (B1) of a table that is stored once in ranges of its id.
+
+    The row counts of the ranges tell which of them a page lies in; only these are
+    read and sorted, however deep the page is.
+    """
+
+    def __init__(self, df: DataFrame, id_col: str = "id", ranges: int | None = None):
+        self.spark, self.id_col, self.columns = df.sparkSession, id_col, df.columns
+        n = ranges or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.path = f"{Scratch(self.spark, 'pages').root}/table"
+        placed = df.repartitionByRange(n, id_col).withColumn("pg_range", F.spark_partition_id())
+        placed.write.partitionBy("pg_range").parquet(self.path)
+        self.schema = placed.schema
+        self.table = self.spark.read.schema(self.schema).parquet(self.path)
+        # one row for each range
+        self.counts = sorted(tuple(r) for r in self.table.groupBy("pg_range").agg(F.count("*")).collect())
+
+    def page(self, offset: int, limit: int, cols: Sequence[str] | None = None) -> DataFrame:
+        """Rows ``offset`` to ``offset + limit`` in order of the id."""
+        before, held, skip = 0, [], 0
+        for range_id, count in self.counts:
+            if before + count > offset and before < offset + limit:
+                if not held:
+                    skip = offset - before
+                held.append(range_id)
+            before += count
+        rows = self.table.where(F.col("pg_range").isin(held)).drop("pg_range")
+        return page(rows, cols or self.columns, skip, limit, self.id_col)
+
+
 def by_id(df: DataFrame, value, id_col: str = "id") -> DataFrame:
     """Point lookup (B2); ints and quoted strings are both accepted and pushed to the scan."""
     if isinstance(value, str):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Text-column candidates tried in order when none is named.
@@ -34,6 +35,16 @@ def read_problem_tables(spark: SparkSession, folder: str, schemas: dict[str, Str
     return out
 
 
+def read_open_table(spark: SparkSession, path: str, known: StructType) -> DataFrame:
+    """JSON lines with columns that no schema names (A1): the known ones typed, all others kept in ``other``, a map of
+    their JSON texts.  Each line is parsed once, into a VARIANT."""
+    lines = spark.read.format("json").option("singleVariantColumn", "line").load(path)
+    fields = F.try_variant_get("line", "$", "map<string,variant>")
+    other = F.map_filter(fields, lambda k, _: ~k.isin([f.name for f in known.fields]))
+    typed = (F.try_variant_get("line", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in known.fields)
+    return lines.select(*typed, F.transform_values(other, lambda _, v: F.to_json(v)).alias("other"))
+
+
 def cache_tables(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Keep chosen columns of a reused dimension table cached (A2).
 
