@@ -1,4 +1,4 @@
-"""Shared helpers: tables in the shared scratch folder, and byte-level numpy views of Arrow text columns.
+"""Shared helpers: columns and tables, and byte-level numpy views of Arrow text columns.
 
 The numpy helpers work on a whole run of documents at once (one flat byte
 buffer plus offsets), in chunks of a bounded number of bytes, so that the
@@ -7,7 +7,6 @@ memory of a task follows the chunk and the longest single text, not the batch.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.session import ensure_checkpoint_dir
+from gavel.sources.scratch import Scratch  # noqa: F401  (all operators take it from here)
 
 CHUNK_BYTES = 1 << 21
 _MULT = 0x9E3779B97F4A7C15 | 1
@@ -24,20 +23,6 @@ _INV = pow(_MULT, -1, 1 << 64)
 
 # ------------------------------------------------------------------ tables
 
-class Scratch:
-    """Tables written below one fresh path of the shared checkpoint folder."""
-
-    def __init__(self, spark: SparkSession, what: str):
-        self.spark = spark
-        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gavel-{what}-{uuid.uuid4().hex}"
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as Parquet and read it back: lineage is cut, and any executor can read it again."""
-        path = f"{self.root}/{name}"
-        df.write.mode("error").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

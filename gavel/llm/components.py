@@ -1,15 +1,40 @@
-"""Connected components of an edge table: least label of the neighbours, then pointer jumping, until nothing changes."""
+"""Connected components of an edge table: least label of the neighbours, then pointer jumping, until nothing changes.
+
+Up to ``FEW`` edges are settled in one task, as a forest of pointers; a step of
+the distributed loop costs more than that.  Both ways give the least node.
+"""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gavel.llm.common import Scratch
 
+FEW = 200_000
+
+
+def _forest(edges: pd.DataFrame) -> pd.DataFrame:
+    """(node, comp) of the nodes of some edges; the smaller root becomes the parent."""
+    parent: dict[bytes, bytes] = {}
+
+    def root(x: bytes) -> bytes:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+    for a, b in zip(edges["a"].map(bytes), edges["b"].map(bytes)):
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return pd.DataFrame({"node": list(parent), "comp": [root(x) for x in list(parent)]})
+
 
 def components(nodes: DataFrame, edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(node, comp) for every row of ``nodes`` (node); ``edges`` has columns a and b.  comp is the least node reached."""
+    """(node, comp) for every row of ``nodes`` (binary node); ``edges`` has columns a and b.  comp is the least node reached."""
+    edges = scratch.keep(edges.select("a", "b"), f"{name}/pairs")
+    if edges.limit(FEW + 1).count() <= FEW:
+        found = edges.groupBy(F.lit(0).alias("all")).applyInPandas(_forest, "node binary, comp binary")
+        return scratch.keep(nodes.join(found, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), f"{name}/forest")
     both = scratch.keep(edges.select(F.col("a").alias("node"), F.col("b").alias("to"))
                         .union(edges.select("b", "a")).distinct(), f"{name}/edges")
     labels = nodes.select("node", F.col("node").alias("comp"))

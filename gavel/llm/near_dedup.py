@@ -4,22 +4,34 @@ A text is the sequence of its five-word shingles (words cut at blanks, A-Z
 lower-cased), each labelled with its occurrence number, so that all are
 different.  A sketch takes, for each of ``BANDS`` hash functions, the ``PICKS``
 smallest labelled shingles in the order they have in the text; texts with an
-equal pick are candidates.  A pair of similarity 0.8 shares a pick with a
-probability of 1 - (1 - 0.8**4)**24, more than 0.999996.  Candidates are verified by aligning their shingle
+equal pick are candidates.  Candidates are verified by aligning their shingle
 sequences inside a band: with L aligned shingles of n and m, the similarity is
 ``L / (n + m - L)``, the Jaccard similarity of the sequences when order counts.
 Texts linked at ``THRESHOLD`` or more, directly or through others, form a class.
 
+Recall: with U shingles in two texts together and L in common, a band agrees with
+probability C(L, 4) / C(U, 4).  At similarity 0.8 all 24 bands miss a pair with
+probability 3e-6 for long texts, 1e-5 for U = 20 and 6e-5 for U = 10.  For U of 9
+or less, 0.8 means that one text has exactly one shingle more than the other;
+such texts (``SHORT`` shingles at most) also meet on their whole sequence and on
+all sequences with one shingle left out, so none of these pairs is missed.
+
+Candidates that can't have a partner go first: a text with more than a share
+1 - ``THRESHOLD`` of shingles that no other candidate has is in no pair.  This
+takes away most of what only shares a passage.
+
 No bucket is expanded into pairs.  It is settled with a pivot, its member with
 the most candidates, and the pivot's cover: its shingles and those of
-``COMPANIONS`` more such members, twice as many in each round.  Every member is
-aligned with all of these.  For any two members in different classes, either they share a shingle outside the
-cover, or all that they share lies in the cover.  The members that share a
-shingle outside the cover make up a new, smaller bucket (the pivot is not in it).
+``COMPANIONS`` more such members.  Every member is aligned with all of these; the members are dealt by (pivot, salt) and
+stream past the cover, which is sent once for each salt.  For any two members in
+different classes, either they share a shingle outside the cover, or all that
+they share lies in the cover.  In the first case they share one of the rarest
+shingles that each has outside the cover, as many as may be missing from a
+partner; its holders make up a new, smaller bucket (the pivot is not in it).
 In the other case the smaller of their two counts of shingles in the cover
 bounds their similarity, and only pairs that reach the threshold by this bound
-are aligned.  Buckets whose members are in one class are done.  Copies of one
-text differ from the cover by shingles of their own, so new buckets are rare.
+are aligned.  Buckets whose members are in one class are done, and of a pivot
+with at most ``FEW`` members those in different classes are aligned at once.
 
 Defined cases: equal texts are one class whatever their length; a text of fewer
 than five words is one shingle; texts without words are copies of equal texts
@@ -45,6 +57,11 @@ THRESHOLD = 0.8
 BANDS = 24
 PICKS = 4
 COMPANIONS = 2
+SHORT = 9
+_SLACK = 1e-9  # for products with the threshold that are whole numbers but for rounding
+FEW = 32
+_BITMAP = 1 << 15  # bits of one of Spark's bitmaps
+SALT_ROWS = 500  # members that stream past one copy of a cover
 _SEED = np.random.default_rng(77)
 _XOR = _SEED.integers(0, 2**64, BANDS, np.uint64)
 _TIMES = _SEED.integers(0, 2**64, BANDS, np.uint64) | np.uint64(1)
@@ -95,32 +112,55 @@ def sketch(labelled: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return keys
 
 
-def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
-    """Aligned Jaccard similarity of two sequences without repeats; 0 if it is below ``least``.
+def short_keys(labelled: np.ndarray) -> np.ndarray:
+    """Keys by which a short text meets every text that has one shingle more or less: its sequence, and all with one left out."""
+    def key(shingles):
+        h = np.full(1, BANDS, np.uint64)
+        for x in shingles:
+            h = mix(h * np.uint64(0x9FB21C651E98DF25) + x)
+        return h
+    n = len(labelled)
+    if not 4 <= n <= SHORT:
+        return np.zeros(0, np.uint64)
+    return np.concatenate([key(labelled)] + [key(np.delete(labelled, k)) for k in range(n) if n > 4])
+
+
+class Aligner:
+    """One sequence without repeats, sorted once, to be aligned with many others."""
+
+    def __init__(self, sequence: np.ndarray):
+        self.order = np.argsort(sequence, kind="stable")
+        self.sorted = sequence[self.order]
+
+    def similarity(self, other: np.ndarray, least: float) -> float:
+        """Aligned Jaccard similarity; 0 if it is below ``least``.
+
+        As no value repeats, the longest common subsequence is the longest
+        increasing run of matched places; a similarity of ``least`` bounds the
+        insertions and deletions, and so the band around the diagonal.
+        """
+        n, m = len(self.sorted), len(other)
+        if not n or not m or min(n, m) < least * max(n, m) - _SLACK:
+            return 0.0
+        at = np.minimum(np.searchsorted(self.sorted, other), n - 1)
+        i = np.flatnonzero(self.sorted[at] == other)
+        j = self.order[at[i]]
+        j = j[np.abs(i - j) <= (n + m) * (1 - least) / (1 + least) + _SLACK]
+        aligned = len(j)
+        if aligned < least * (n + m - aligned) - _SLACK:
+            return 0.0
+        if aligned and not (np.diff(j) > 0).all():
+            tails: list[int] = []
+            for x in j.tolist():
+                k = bisect_left(tails, x)
+                tails[k:k + 1] = [x]
+            aligned = len(tails)
+        found = aligned / (n + m - aligned)
+        return found if found >= least else 0.0
 
-    As no value repeats, the longest common subsequence is the longest
-    increasing run of matched places; a similarity of ``least`` bounds the
-    insertions and deletions, and so the band around the diagonal.
-    """
-    n, m = len(a), len(b)
-    if not n or not m or min(n, m) < least * max(n, m):
-        return 0.0
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    band = (n + m) * (1 - least) / (1 + least)
-    order = np.argsort(i)
-    i, j = i[order], j[order]
-    j = j[np.abs(i - j) <= band]
-    aligned = len(j)
-    if aligned < least * (n + m - aligned):
-        return 0.0
-    if aligned and not (np.diff(j) > 0).all():
-        tails: list[int] = []
-        for x in j.tolist():
-            k = bisect_left(tails, x)
-            tails[k:k + 1] = [x]
-        aligned = len(tails)
-    found = aligned / (n + m - aligned)
-    return found if found >= least else 0.0
+
+def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
+    return Aligner(a).similarity(b, least)
 
 
 # ------------------------------------------------------------------- Spark
@@ -131,17 +171,20 @@ def _node(text="text"):
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """node and its keys (one per band) of each text with words; ``texts`` has node and text."""
+    """node and its keys (one per band, and those of short texts) of each text with words; ``texts`` has node and text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for i, j in chunks(offsets):
                 part = offsets[i:j + 1]
                 labelled, begin = labelled_shingles(data[part[0]:part[-1]], part - part[0])
-                keys = sketch(labelled, begin).view(np.int64)
-                nodes = batch.column(0)[i:j].filter(pa.array(np.diff(begin) > 0))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([nodes, lists], names=["node", "keys"])
+                size = np.diff(begin)
+                keys = list(sketch(labelled, begin).view(np.int64))
+                for row, k in enumerate(np.flatnonzero(size)):
+                    if size[k] <= SHORT:
+                        keys[row] = np.concatenate([keys[row], short_keys(labelled[begin[k]:begin[k + 1]]).view(np.int64)])
+                nodes = batch.column(0)[i:j].filter(pa.array(size > 0))
+                yield pa.RecordBatch.from_arrays([nodes, pa.array(keys, pa.list_(pa.int64()))], names=["node", "keys"])
 
     return texts.select("node", "text").mapInArrow(run, "node binary, keys array<long>")
 
@@ -182,9 +225,15 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     some = F.xxhash64("node")
     shared = banded.groupBy("bid").agg(F.min(some).alias("low"), F.max(some).alias("high")).where("low != high").select("bid")
     shared = scratch.keep(shared, "shared")  # a side read anew is dealt anew, so a hot bucket's rows can be split
-    buckets = scratch.keep(banded.join(shared, "bid", "left_semi").distinct(), "buckets")
+    buckets = scratch.keep(banded.join(shared, "bid", "left_semi").distinct(), "candidates")
     nodes = scratch.keep(buckets.select("node").distinct(), "nodes")
-    seqs = scratch.keep(sequences(texts.join(nodes, "node", "left_semi")).groupBy("node").agg(F.first("seq").alias("seq")), "seqs")
+    seqs = scratch.keep(sequences(texts.join(nodes.hint("merge"), "node", "left_semi")).groupBy("node").agg(F.first("seq").alias("seq")), "all")
+    alone = scratch.keep(_without_partner(seqs, threshold), "alone")
+    buckets = scratch.keep(buckets.join(alone, "node", "left_anti"), "buckets")
+    nodes = nodes.join(alone, "node", "left_anti")
+    seqs = scratch.keep(seqs.join(alone, "node", "left_anti"), "seqs")
+    for name in ("sketches", "shared", "candidates", "all"):
+        scratch.clear(name)
 
     sizes = buckets.groupBy("bid").agg(F.count("*").alias("n"))
     weights = scratch.keep(buckets.join(sizes, "bid").groupBy("node").agg(F.sum("n").alias("weight")), "weights")
@@ -192,54 +241,114 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     while True:
         mixed = (buckets.join(comps, "node").groupBy("bid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
                  .where("low != high").select("bid"))
-        mixed = scratch.keep(mixed, f"{step}/mixed")
         member = scratch.keep(buckets.join(mixed, "bid", "left_semi"), f"{step}/members")
         if member.isEmpty():
             return comps
-        against = scratch.keep(_against_cover(member, weights, seqs, threshold, COMPANIONS << step), f"{step}/against")
-        comps = merged(comps, against.select(F.explode("links").alias("a"), F.col("node").alias("b")), scratch, f"{step}/linked")
+        against = scratch.keep(_against_cover(member, weights, seqs, threshold, scratch, step), f"{step}/against")
+        comps = merged(comps, against.select(F.explode("links").alias("a"), F.col("node").alias("b")), scratch, f"linked{step}")
+
+        held = scratch.keep(against.select("pivot", "node", "covered", "size", "rest").join(comps, "node"), f"{step}/held")
+        open_pivots = held.groupBy("pivot").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).where("low != high")
+        open_pivots = scratch.keep(open_pivots.select("pivot", (F.col("n") <= FEW).alias("few")), f"{step}/open")
+        few = held.join(open_pivots.where("few"), "pivot", "left_semi").select("pivot", "node", "comp")
+        held = held.join(open_pivots.where("NOT few"), "pivot", "left_semi")
+        close = aligned(_close_in_cover(held, threshold), seqs, threshold).where(F.col("sim") >= threshold).select("pivot", "node")
+        close = scratch.keep(close.toDF("a", "b").unionByName(_among_few(few, seqs, threshold)), f"{step}/near")
+        comps = merged(comps, close, scratch, f"close{step}")
+        buckets = scratch.keep(_sharing_outside(held, threshold, scratch, step), f"buckets{step}")
+        scratch.clear(str(step))  # all that later rounds read is written elsewhere
+        step += 1
+
+
+def _without_partner(seqs: DataFrame, threshold: float) -> DataFrame:
+    """The nodes of which more than a share 1 - ``threshold`` of the shingles is in no other node's sequence."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                lists = [np.frombuffer(x.as_py(), "<i8") for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lists, pa.list_(pa.int64()))], names=["node", "shingles"])
 
-        held = against.select("pivot", "node", "covered", "size", "rest").join(comps, "node")
-        open_pivots = scratch.keep(held.groupBy("pivot").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-                                   .where("low != high").select("pivot"), f"{step}/open")
-        held = scratch.keep(held.join(open_pivots, "pivot", "left_semi"), f"{step}/held")
-        close = scratch.keep(aligned(_close_in_cover(held, threshold), seqs, threshold).where(F.col("sim") >= threshold), f"{step}/near")
-        comps = merged(comps, close.select(F.col("pivot").alias("a"), F.col("node").alias("b")), scratch, f"{step}/close")
-        buckets, step = scratch.keep(_sharing_outside(held), f"{step}/buckets"), step + 1
+    rows = (seqs.select("node", "seq").mapInArrow(run, "node binary, shingles array<long>")
+            .select(F.xxhash64("node").alias("who"), F.explode("shingles").alias("shingle")))
+    own = (rows.groupBy("shingle").agg(F.min("who").alias("who"), F.max("who").alias("other")).where("who = other")
+           .groupBy("who").agg(F.count("*").alias("own")))
+    n = F.octet_length("seq") / 8
+    return seqs.join(own, F.xxhash64("node") == F.col("who")).where(n - F.col("own") < threshold * n - _SLACK).select("node")
 
 
-def _against_cover(member: DataFrame, weights: DataFrame, seqs: DataFrame, threshold: float, companions: int) -> DataFrame:
+def _against_cover(member: DataFrame, weights: DataFrame, seqs: DataFrame, threshold: float, scratch: Scratch, step: int) -> DataFrame:
     """Each member of a bucket against its pivot's cover: pivot, node, the texts of the cover that it is linked to,
     how many of its shingles the cover has (covered), how many it has itself (size), and the others (rest)."""
     weighed = member.join(weights, "node")
     heaviest = weighed.groupBy("bid").agg(F.max(F.struct("weight", F.xxhash64("node"), "node")).alias("top"))
-    pairs = member.join(heaviest.select("bid", F.col("top.node").alias("pivot")), "bid").select("pivot", "node").distinct()
+    pairs = scratch.keep(member.join(heaviest.select("bid", F.col("top.node").alias("pivot")), "bid").select("pivot", "node").distinct(),
+                         f"{step}/pairs")
     order = Window.partitionBy("pivot").orderBy(F.desc("weight"), F.xxhash64("node"), "node")
     others = (pairs.where("pivot != node").join(weights, "node").withColumn("rank", F.row_number().over(order))
-              .where(F.col("rank") <= companions).select("pivot", "node"))
-    covers = (pairs.select("pivot", F.col("pivot").alias("node")).distinct().union(others).join(seqs, "node")
-              .groupBy("pivot").agg(F.collect_list(F.struct("node", "seq")).alias("cover")))
+              .where(F.col("rank") <= COMPANIONS).select("pivot", "node"))
+    salts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
+    salts = scratch.keep(salts, f"{step}/salts")
+    covers = (salts.select("pivot", F.col("pivot").alias("node")).union(others).join(salts, "pivot").join(seqs, "node")
+              .select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("member"), "node", "seq"))
+    members = pairs.join(salts, "pivot").join(seqs, "node").select(
+        "pivot", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("member"), "node", "seq")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot, cover, inside = None, [], None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                out = []
+                for key, salt, is_member, node, seq in zip(*(c.to_pylist() for c in part.columns)):
+                    own = np.frombuffer(seq, "<u8")
+                    if (key, salt) != pivot:
+                        pivot, cover, inside = (key, salt), [], None
+                    if not is_member:
+                        cover.append((node, Aligner(own)))
+                        continue
+                    if inside is None:
+                        inside = np.sort(np.concatenate([a.sorted for _, a in cover]))
+                    known = inside[np.minimum(np.searchsorted(inside, own), len(inside) - 1)] == own
+                    out.append((key, node, [k for k, a in cover if k != node and a.similarity(own, threshold)], int(known.sum()), len(own),
+                                own[~known].view(np.int64)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=names)
+
+    kinds = [pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    names = ["pivot", "node", "links", "covered", "size", "rest"]
+    dealt = covers.unionByName(members).repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "member")
+    return dealt.mapInArrow(run, "pivot binary, node binary, links array<binary>, covered long, size long, rest array<long>")
+
+
+def _among_few(few: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between the members of a pivot that are in different classes; every pivot has at most ``FEW`` members."""
+    def links(group: list[tuple]) -> list[tuple]:
+        comps = [comp for _, comp, _ in group]
+        texts = [np.frombuffer(seq, "<u8") for _, _, seq in group]
+        out = []
+        for i, (node, _, _) in enumerate(group):
+            own = Aligner(texts[i])
+            for j in range(i):
+                if comps[i] != comps[j] and own.similarity(texts[j], threshold):
+                    out.append((node, group[j][0]))
+                    comps = [comps[j] if c == comps[i] else c for c in comps]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot, group = None, []
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                links, covered, size, rest = [], [], [], []
-                for node, seq, cover in zip(part.column(1), part.column(2), part.column(3)):
-                    own = np.frombuffer(seq.as_py(), "<u8")
-                    texts = [(c["node"], np.frombuffer(c["seq"], "<u8")) for c in cover.as_py()]
-                    inside = np.isin(own, np.concatenate([t for _, t in texts]))
-                    links.append([k for k, t in texts if k != node.as_py() and similarity(t, own, threshold)])
-                    covered.append(int(inside.sum()))
-                    size.append(len(own))
-                    rest.append(own[~inside].view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(links, pa.list_(pa.binary())), pa.array(covered, pa.int64()),
-                     pa.array(size, pa.int64()), pa.array(rest, pa.list_(pa.int64()))],
-                    names=["pivot", "node", "links", "covered", "size", "rest"])
-
-    joined = pairs.join(seqs, "node").join(covers, "pivot").select("pivot", "node", "seq", "cover")
-    return joined.mapInArrow(run, "pivot binary, node binary, links array<binary>, covered long, size long, rest array<long>")
+            out = []
+            for key, *member in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != pivot:
+                    out += links(group)
+                    pivot, group = key, []
+                group.append(member)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links(group)], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    dealt = few.join(seqs, "node").select("pivot", "node", "comp", "seq").repartition("pivot").sortWithinPartitions("pivot", "node")
+    return dealt.mapInArrow(run, "a binary, b binary")
 
 
 def _close_in_cover(held: DataFrame, threshold: float) -> DataFrame:
@@ -261,14 +370,46 @@ def _close_in_cover(held: DataFrame, threshold: float) -> DataFrame:
         F.col("u.node").alias("pivot"), F.col("v.node").alias("node")).distinct()
 
 
-def _sharing_outside(held: DataFrame) -> DataFrame:
-    """New buckets (bid, node): the holders of a shingle outside the cover, if they are in different classes."""
-    rows = held.select("pivot", "node", "comp", F.explode("rest").alias("shingle"))
+def _sharing_outside(held: DataFrame, threshold: float, scratch: Scratch, step: int) -> DataFrame:
+    """New buckets (bid, node): the holders of a shingle outside the cover, if they are in different classes.
+
+    A text of n shingles shares at least ``threshold * n`` with a partner, so it
+    shares one of any n - ceil(threshold * n) + 1 of its shingles; the rarest are
+    taken, first those that no other member has, which make no bucket.  Members of a
+    pivot's largest class only look for members of others, so of theirs only the
+    shingles are listed that some other member may have, by a bitmap of these.
+    """
+    largest = (held.groupBy("pivot", "comp").agg(F.count("*").alias("n")).groupBy("pivot")
+               .agg(F.max(F.struct("n", "comp")).alias("top")).select("pivot", F.col("top.comp").alias("main")))
+    columns = ["pivot", "node", "comp", "size", (F.col("size") - F.col("covered")).alias("outside"), "rest"]
+    sided = held.join(scratch.keep(largest, f"{step}/largest"), "pivot")
+    others, main = sided.where("comp != main").select(*columns), sided.where("comp = main").select(*columns)
+    bits = (others.select("pivot", F.explode("rest").alias("shingle")).groupBy("pivot")
+            .agg(F.bitmap_construct_agg(F.col("shingle").bitwiseAND(F.lit(_BITMAP - 1))).alias("bits")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for rest, known in zip(batch.column("rest"), batch.column("bits")):
+                own = rest.values.to_numpy()
+                kept.append(own[np.unpackbits(np.frombuffer(known.as_py(), np.uint8), bitorder="little")[own & (_BITMAP - 1)] == 1])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(kept, pa.list_(pa.int64()))], names=[*names, "rest"])
+
+    names = ["pivot", "node", "comp", "size", "outside"]
+    main = main.join(scratch.keep(bits, f"{step}/bits"), "pivot").mapInArrow(
+        run, "pivot binary, node binary, comp binary, size long, outside long, rest array<long>")
+    rows = others.unionByName(main).select(*names, F.explode("rest").alias("shingle"))
+    counts = rows.groupBy("pivot", "shingle").agg(F.count("*").alias("n")).where("n > 1")
+    shared = rows.join(counts, ["pivot", "shingle"])
+    one = Window.partitionBy("pivot", "node")  # the shingles of one text
+    room = F.col("size") - F.ceil(threshold * F.col("size") - _SLACK) + 1 - (F.col("outside") - F.count("*").over(one))
+    shared = (shared.withColumn("room", room).withColumn("rank", F.row_number().over(one.orderBy("n", "shingle")))
+              .where("rank <= room").select("pivot", "node", "comp", "shingle"))
+    sets = shared.groupBy("pivot", "shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"),
+                                                  F.bit_xor(F.xxhash64("node")).alias("who")).where("low != high")
+    first = sets.groupBy("pivot", "n", "who").agg(F.min("shingle").alias("shingle")).select("pivot", "shingle")  # one for equal sets
     key = F.xxhash64("pivot", "shingle").alias("bid")
-    sets = rows.groupBy("pivot", "shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"),
-                                                F.bit_xor(F.xxhash64("node")).alias("who")).where("low != high")
-    one = sets.groupBy("pivot", "n", "who").agg(F.min("shingle").alias("shingle")).select("pivot", "shingle")  # one for equal sets
-    return rows.join(one, ["pivot", "shingle"], "left_semi").select(key, "node").distinct()
+    return shared.join(first, ["pivot", "shingle"], "left_semi").select(key, "node").distinct()
 
 
 def _rows(docs: DataFrame) -> DataFrame:

@@ -68,6 +68,31 @@ def test_near_dedup_chain_and_families(frame, same):
     same(near_dedup.query(frame(rows)), ["doc_id", "class_id", "class_size"], brute.classes(rows))
 
 
+@pytest.mark.parametrize("words,pairs,lost", [(8, 400, 0), (12, 200, 0), (14, 200, 1), (30, 100, 0)])
+def test_near_dedup_recall_by_length(frame, words, pairs, lost):
+    """Pairs of similarity 0.8 or little more: as many words more as that allows, at either end."""
+    shingle_count = words - 4
+    more = shingle_count // 4
+    rows = []
+    for k in range(pairs):
+        text = " ".join(f"p{k}w{j}" for j in range(words))
+        extra = " ".join(f"p{k}x{j}" for j in range(more))
+        rows += [(2 * k, text), (2 * k + 1, f"{text} {extra}" if k % 2 else f"{extra} {text}")]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.query(frame(rows, clash=False)).collect()}
+    assert sum(got[2 * k + 1] != 2 * k for k in range(pairs)) <= lost
+
+
+def test_near_dedup_passages_in_many_documents(frame, same):
+    """Documents that share one, two or three of a few passages, below and above the threshold, and copies of some."""
+    passages = [brute.prose(300 + k, 60) for k in range(4)]
+    rows = []
+    for k in range(60):
+        shared = [passages[(k + j) % 4] for j in range(1 + k % 3)]
+        rows.append((k, " ".join([*shared, brute.prose(400 + k, 6 if k % 5 == 0 else 90)])))
+    rows += [(100 + k, brute.edited(rows[k][1], k, 1)) for k in range(0, 60, 4)]
+    same(near_dedup.query(frame(rows)), ["doc_id", "class_id", "class_size"], brute.classes(rows))
+
+
 def test_near_dedup_stage(frame):
     out = near_dedup.stage(frame(ROWS))
     assert out.columns == frame(ROWS).columns
@@ -118,6 +143,17 @@ def test_suffix_dedup_boundaries(frame, same, spark, monkeypatch):
     assert suffix_dedup.query(frame([])).count() == 0
 
 
+def test_suffix_dedup_of_texts_over_a_slice(frame, same, monkeypatch):
+    """Texts longer than a slice and shorter ones share passages, at slice ends too."""
+    monkeypatch.setattr(suffix_dedup, "SLICE", 3000)
+    monkeypatch.setattr("gavel.llm.common.CHUNK_BYTES", 1000)
+    passage, repeats = brute.prose(70, 200), "ab" * 700
+    long = brute.prose(71, 2000)
+    rows = [(1, long), (2, brute.prose(72, 50) + long[2700:3400]), (3, brute.prose(73, 900) + passage), (4, passage + repeats), (5, repeats + long[5000:5500]),
+            (6, long[100:4200] + brute.prose(74, 30))]
+    same(suffix_dedup.query(frame(rows)), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], brute.suffixes(rows))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(0, 2)), max_size=30))
 def test_multikey_order(rows):
@@ -193,6 +229,16 @@ def test_decontamination_beyond_broadcast(frame, spark, same, monkeypatch):
     same(decontamination.query(frame(ROWS), items(spark)), COLUMNS, brute.contamination(ROWS, ITEMS))
 
 
+def test_decontamination_passage_of_many_items(frame, spark, same):
+    """A passage of 14 words in 80 items and 200 documents: rows grow with documents plus items, not with their product."""
+    passage = " ".join(f"b{k}" for k in range(14))
+    bench = [(k, f"{passage} {brute.prose(k, 20 + k % 3)}") for k in range(80)] + [(200, passage)]
+    rows = [(k, f"{brute.prose(1000 + k, 30)} {passage if k % 4 else bench[k % 80][1]}") for k in range(200)]
+    same(decontamination.query(frame(rows), items(spark, bench)), COLUMNS, brute.contamination(rows, bench))
+    classed, members = decontamination.item_classes(items(spark, bench))
+    assert members.count() <= 81 + 80 + 20  # the shared class, each item's own, and few at the edges
+
+
 def test_decontamination_empty_and_stage(frame, spark, same):
     assert decontamination.query(frame([]), items(spark)).count() == 0
     same(decontamination.query(frame(ROWS), items(spark, [])), COLUMNS, brute.contamination(ROWS, []))
@@ -208,3 +254,21 @@ def test_every_shared_span_is_found(frame, spark, same):
     rows = [(k, " ".join(["q"] * k + text[k:k + 13] + ["r"] * 5)) for k in range(47)] + [(99, " ".join(text[:12] + ["s"] + text[13:25]))]
     bench = [(1, " ".join(text))]
     same(decontamination.query(frame(rows), items(spark, bench)), COLUMNS, brute.contamination(rows, bench))
+
+
+# -------------------------------------------------------------- components
+
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_components_either_way(spark, monkeypatch, few):
+    from gavel.llm import components
+    from gavel.llm.common import Scratch
+    monkeypatch.setattr(components, "FEW", few)
+    pairs = [(f"{k:03d}", f"{k + 1:03d}") for k in range(0, 30) if k % 7] + [("099", "005"), ("050", "099"), ("070", "071"), ("071", "070")]
+    edges = spark.createDataFrame(pairs, "a string, b string").selectExpr("cast(a as binary) a", "cast(b as binary) b")
+    nodes = spark.createDataFrame([(f"{k:03d}",) for k in range(101)], "node string").selectExpr("cast(node as binary) node")
+    got = {bytes(r["node"]).decode(): bytes(r["comp"]).decode() for r in components.components(nodes, edges, Scratch(spark, "t"), f"few{few}").collect()}
+    least = {f"{k:03d}": f"{k:03d}" for k in range(101)}
+    for _ in range(101):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    assert got == least

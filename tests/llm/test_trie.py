@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 from gavel.llm import prefix_trie
+from gavel.operators import segments
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -61,7 +62,8 @@ def test_trie(spark, same):
     same(prefix_trie.query(frame(spark, rows)), COLUMNS, brute(rows))
 
 
-def test_many_shards_and_heavy_nodes(spark, same):
+def test_many_shards_and_heavy_nodes(spark, same, monkeypatch):
+    monkeypatch.setattr(segments, "SEGMENT_ROWS", 60)  # the long conversation is cut into segments
     rows = conversations(5, 30) + [(5000, t, "user", "long") for t in range(300)]
     same(prefix_trie.trie(frame(spark, rows), shard_rows=20), COLUMNS, brute(rows))
 
