@@ -51,6 +51,13 @@ def q_judge_stdout(spark, sf):
     return J.judge_stdout(p, actual_col="actual", expected_col="expected").select("case_id", "passed")
 
 
+@register("judge_line_tables", with_ctes(S.STDOUT_PAIRS) + _g3_sql("pairs", "case_id"))
+def q_judge_line_tables(spark, sf):
+    p = V.stdout_pairs(spark, sf)
+    lines = lambda c: p.select("case_id", F.posexplode(F.split(c, "\n", -1)).alias("line_no", "line"))
+    return J.judge_line_tables(p.select("case_id", "status"), lines("actual"), lines("expected")).select("case_id", "passed")
+
+
 @register("judge_stdout_numeric", with_ctes(S.NUMERIC_PAIRS) + _g3_sql("npairs", ", ".join(NUM_KEYS)))
 def q_judge_stdout_numeric(spark, sf):
     p = V.numeric_pairs(spark, sf)

@@ -157,3 +157,23 @@ def test_humaneval_program_java_and_go(spark):
     go = A.humaneval_program_df(df.subtract(df.limit(1)), "completion", "prompt", "tests", "stops", "go", "func")
     g = go.first()["program"]
     assert g.startswith('package main\n\nimport "fmt"\nimport "os"\n\n')
+
+
+def test_line_tables_judge_as_rows(spark):
+    """Random small texts: the join of line tables gives the verdicts of the row form."""
+    import random
+    rng = random.Random(8)
+    line = lambda: rng.choice(["", " ", "a", "A ", "1.0", "1", "1.000001", "x\ty", "\u2003", "nan", "2e3", "2000"])
+    texts = [(k, "\n".join(line() for _ in range(rng.randrange(4))), "\n".join(line() for _ in range(rng.randrange(4))), rng.choice(["Success", "Success", "Failed"]))
+             for k in range(400)]
+    runs = spark.createDataFrame(texts, "case_id int, stdout string, expected string, status string")
+    tables = [runs.select("case_id", F.posexplode(F.split(c, "\n", -1)).alias("line_no", "line")) for c in ("stdout", "expected")]
+    for lower in (True, False):
+        want = sorted(rows(J.judge_stdout(runs, lower=lower), "case_id", "passed"))
+        got = J.judge_line_tables(runs.select("case_id", "status"), *tables, lower=lower)
+        assert sorted(rows(got, "case_id", "passed")) == want
+    one = spark.createDataFrame([(1, 0, "a"), (1, 1, "b")], "case_id int, line_no int, line string")
+    other = spark.createDataFrame([(1, 0, "a"), (1, 1, "c")], "case_id int, line_no int, line string")
+    case = spark.createDataFrame([(1, "Success"), (2, "Success"), (3, None)], "case_id int, status string")
+    got = J.judge_line_tables(case, one, other)
+    assert sorted(rows(got, "case_id", "first_mismatch", "passed")) == [(1, 2, False), (2, None, True), (3, None, False)]
