@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -150,3 +150,11 @@ def requests_per_endpoint(log: DataFrame, endpoints: DataFrame, key: str = "endp
     counts = log.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return (endpoints.select(key).join(counts, key, "left")
             .select(key, F.coalesce("n", F.lit(0).cast("long")).alias("n")))
+
+
+def write_counted(df: DataFrame, kept: Column, write) -> DataFrame:
+    """``row_counts`` of a filter, collected in the pass that writes the kept rows (H9): ``write`` takes the filtered rows."""
+    before, after = Observation(), Observation()
+    count = F.count(F.lit(1)).alias("n")
+    write(df.observe(before, count).where(kept).observe(after, count))
+    return df.sparkSession.createDataFrame([("before", before.get["n"]), ("after", after.get["n"])], "stage string, n long")

@@ -8,7 +8,9 @@ from pyspark.sql.types import StructType
 from gavel.operators import assembly as A
 from gavel.operators import extraction as X
 from gavel.operators import hooks as H
+from gavel.operators import metrics as M
 from gavel.operators import tables as TB
+from gavel.operators.resume import ResultStore
 from gavel.plans import fixtures as V
 from gavel.plans.registry import register
 from gavel.sources import readers as R
@@ -107,3 +109,32 @@ def q_hooked_metrics(spark, sf):
     out = H.METRICS["share_by_brand"](V.verdicts(spark, sf))
     ones = F.col("brand").endswith("1")
     return H.dataset_for("Brand#11").judge(out.where(ones)).unionByName(H.dataset_for("Brand#12").judge(out.where(~ones)))
+
+
+# ------------------------------------------------------------------ C4 / C5
+@register("resumed_samples", """
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN [text || ' again'] WHEN 1 THEN [text || ' first'] WHEN 2 THEN [text || ' last', lang] ELSE CAST([] AS VARCHAR[]) END AS sample
+FROM documents""")
+def q_resumed_samples(spark, sf):
+    """A sampler's batches: a first one, its replay with other samples, a revision, empty samples, and what was pending after these."""
+    d = V.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    part = F.col("doc_id") % 4
+    text = lambda tail: F.array(F.concat("text", F.lit(tail))).alias("sample")
+    folder = Scratch(spark, "samples").root
+    store = ResultStore(spark, folder, "doc_id")
+    store.commit("b1", d.where(part < 2).select("doc_id", text(" first")))
+    store.commit("b1", d.select("doc_id", text(" replayed")))
+    store.commit("b2", d.where(part == 0).select("doc_id", text(" again")))
+    store.commit("b3", d.select("doc_id", F.array().cast("array<string>").alias("sample")))
+    resumed = ResultStore(spark, folder, "doc_id")
+    todo = resumed.pending(d).where(part == 2)
+    resumed.commit("b4", todo.select("doc_id", F.array(F.concat("text", F.lit(" last")), "lang").alias("sample")))
+    return resumed.results(d)
+
+
+# ------------------------------------------------------------------ H9
+@register("counted_write", """
+SELECT 'before' AS stage, count(*) AS n FROM documents UNION ALL SELECT 'after', count(*) FILTER (WHERE length(text) > 500) FROM documents""")
+def q_counted_write(spark, sf):
+    path = f"{Scratch(spark, 'counted').root}/kept"
+    return M.write_counted(V.table(spark, sf, "documents"), F.length("text") > 500, lambda kept: W.write_results(kept, path, "parquet"))
