@@ -90,3 +90,38 @@ def test_bad_case_sink_partitions_by_date(spark):
     assert "dt" in got.columns
     n_err = spark.read.parquet(d).filter(F.col("event_type") == "error").count()
     assert got.count() == n_err
+
+
+def _batches(spark, schema, *batches):
+    """A stream of these micro-batches, ts given in seconds."""
+    d = tempfile.mkdtemp(prefix="gavel-batches-")
+    for rows in batches:
+        df = spark.createDataFrame(rows, schema.replace("ts timestamp", "ts long"))
+        df.withColumn("ts", F.timestamp_seconds(F.col("ts") + 1_000_000)).coalesce(1).write.mode("append").parquet(d)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d)
+
+
+CASE = "submission string, case_idx int, passed boolean, ts timestamp"
+
+
+def _state_rows(df):
+    q = df.writeStream.format("noop").trigger(availableNow=True).option("checkpointLocation", tempfile.mkdtemp(prefix="gavel-ck-")).start()
+    q.awaitTermination()
+    return max(op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"])
+
+
+def test_state_is_by_buckets_of_keys(spark):
+    """Python is called for a bucket of keys, not once per key."""
+    cases = [(f"s{i}", 0, True, 0) for i in range(600)]
+    assert 1 < _state_rows(L.live_deadline(_batches(spark, CASE, cases), 2, timedelta(hours=1), buckets=16)) <= 16
+
+
+def test_deadlines_of_one_bucket(spark):
+    """Open, closed and forgotten submissions side by side."""
+    log = _batches(spark, CASE, [("a", 0, None, 0), ("a", 0, True, 5), ("b", 1, True, 200), (None, 1, True, 10), ("a", 5, True, 0)],
+                   [("b", 0, True, 450), ("a", 1, True, 300), ("c", 0, True, 900)], [("d", 0, True, 5_000)], [("b", 0, False, 5_000), ("d", 0, False, 4_999)],
+                   [("z", 0, True, 90_000)])
+    got = L.run_to_table(L.live_deadline(log, 2, timedelta(seconds=300), watermark="1 minute", buckets=1), "t_bucket")
+    assert {tuple(r) for r in got.select("submission", "case_idx", "passed", "message").collect()} == {
+        ("a", 0, False, ""), ("a", 1, True, ""), ("b", 0, True, ""), ("b", 1, True, ""), (None, 0, False, "Total Timeout"), (None, 1, True, ""),
+        ("c", 0, True, ""), ("c", 1, False, "Total Timeout"), ("d", 0, False, ""), ("d", 1, False, "Total Timeout")} and got.count() == 10
