@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
+from pyspark.sql.types import (DoubleType, IntegralType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
 from gavel.operators.segments import running
@@ -92,6 +92,7 @@ def live_request_rate(log: DataFrame, rpm: int, watermark: str = "2 minutes") ->
 
 # ------------------------------------------------------------------ S4
 BUCKETS = 1024
+_NO_TIME = 2**63 - 1  # after all others
 
 
 def _by_bucket(rows: DataFrame, key: str, buckets: int) -> GroupedData:
@@ -117,31 +118,46 @@ def _store(state: GroupState, table: pd.DataFrame, until: pd.Series, watermark:
     state.setTimeoutTimestamp(max(int(until.min()), watermark, 1))
 
 
-def _expire(state: GroupState, at_ms: int) -> None:
-    """Time the state out at an event time, or with the next watermark if that has passed."""
-    state.setTimeoutTimestamp(max(at_ms, state.getCurrentWatermarkMs() + 1))
-
-
-def live_dedupe(log: DataFrame, keys: list[str], keep: timedelta = timedelta(days=30), watermark: str = "1 hour") -> DataFrame:
+def live_dedupe(log: DataFrame, keys: list[str], keep: timedelta = timedelta(days=30), watermark: str = "1 hour",
+                buckets: int = BUCKETS) -> DataFrame:
     """A submission seen again within ``keep`` is ignored (S4, resume): the earliest row of each
-    key's first micro-batch is emitted, and the key is remembered until the watermark is ``keep`` past it."""
-    schema = log.schema
+    key's first micro-batch is emitted, and the key is remembered until the watermark is ``keep`` past it.
+
+    Keys are dealt to ``buckets`` (fixed for the life of a checkpoint), and a bucket's
+    keys are handled together; its state is a table of keys and when to forget them.
+    """
+    schema, keep_ms = log.schema, keep // timedelta(milliseconds=1)
+    columns = log.columns
 
     def first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        row = None
-        for rows in frames:  # one frame at a time: a key may have any number of rows
-            if not state.exists:
-                row = pd.concat([x for x in (row, rows) if x is not None]).sort_values(["ts", "event_id"]).head(1)
-        if row is not None:
-            state.update((True,))
-            _expire(state, int((row["ts"].iloc[0] + keep).timestamp() * 1000))
-            yield row
-
-    return log.withWatermark("ts", watermark).groupBy(*keys).applyInPandasWithState(
-        first, schema, "seen boolean", "append", GroupStateTimeout.EventTimeTimeout)
+        known, now = _load(state), state.getCurrentWatermarkMs()
+        new = None
+        if not state.hasTimedOut:
+            for rows in frames:  # one frame at a time: a key may have any number of rows
+                if known is not None:
+                    rows = rows[~rows["_key"].isin(known["key"])]
+                new = (pd.concat([x for x in (new, rows) if x is not None])
+                       .sort_values(["_micros", "_order"], kind="stable").drop_duplicates("_key"))
+        if known is not None:
+            known = known[known["until"] >= now]
+        if new is not None and len(new):
+            at = new["_micros"].where(new["_micros"] != _NO_TIME, now * 1000) // 1000
+            seen = pd.DataFrame({"key": new["_key"], "until": (at + keep_ms).clip(lower=now + 1)})
+            known = seen if known is None or known.empty else pd.concat([known, seen])
+            yield new[columns]
+        if known is not None:
+            _store(state, known, known["until"], now)
+
+    # integers as text: with nulls among them pandas would make them floats
+    text = StructType([StructField(f.name, StringType() if isinstance(f.dataType, IntegralType) else f.dataType) for f in schema])
+    rows = log.withWatermark("ts", watermark).select(
+        *[F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, IntegralType) else f.name for f in schema],
+        F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{n}") for n, k in enumerate(keys)])).alias("_key"),
+        F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(_NO_TIME)).alias("_micros"),
+        F.coalesce("event_id", F.lit(_NO_TIME)).alias("_order"))
+    out = _by_bucket(rows, "_key", buckets).applyInPandasWithState(
+        first, text, "seen binary", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
 
 def first_seen(log: DataFrame, keys: list[str], ts_col: str = "ts") -> DataFrame:

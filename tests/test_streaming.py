@@ -101,6 +101,7 @@ def _batches(spark, schema, *batches):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d)
 
 
+RUN = "event_id long, ts timestamp, endpoint long, k long"
 CASE = "submission string, case_idx int, passed boolean, ts timestamp"
 
 
@@ -112,10 +113,22 @@ def _state_rows(df):
 
 def test_state_is_by_buckets_of_keys(spark):
     """Python is called for a bucket of keys, not once per key."""
+    runs = [(i, i, i % 600, i) for i in range(600)]
+    assert 1 < _state_rows(L.live_dedupe(_batches(spark, RUN, runs), ["endpoint", "k"], buckets=16)) <= 16
     cases = [(f"s{i}", 0, True, 0) for i in range(600)]
     assert 1 < _state_rows(L.live_deadline(_batches(spark, CASE, cases), 2, timedelta(hours=1), buckets=16)) <= 16
 
 
+def test_dedupe_forgets_keys_and_keeps_integers(spark):
+    big, day = 2**60 + 1, 86_400
+    log = _batches(spark, RUN, [(big, 50, 1, None), (big + 2, 40, 1, None), (7, 60, None, big), (9, 60, 2, 2), (8, 60, 2, 2)],
+                   [(10, 100, 1, None), (11, 100, 3, 3)], [(12, 5 * day, 4, 4)], [(13, 5 * day + 1, 1, None)], [(14, 5 * day + 2, 1, None)])
+    got = L.run_to_table(L.live_dedupe(log, ["endpoint", "k"], keep=timedelta(days=1), buckets=1), "t_forget")
+    # the key seen again at 100 s is still forgotten a day after its first row, once the watermark's next micro-batch is done
+    assert {tuple(r) for r in got.select("event_id", "endpoint", "k").collect()} == {
+        (big + 2, 1, None), (7, None, big), (8, 2, 2), (11, 3, 3), (12, 4, 4), (14, 1, None)} and got.count() == 6
+
+
 def test_deadlines_of_one_bucket(spark):
     """Open, closed and forgotten submissions side by side."""
     log = _batches(spark, CASE, [("a", 0, None, 0), ("a", 0, True, 5), ("b", 1, True, 200), (None, 1, True, 10), ("a", 5, True, 0)],
