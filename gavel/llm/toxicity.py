@@ -80,7 +80,7 @@ def grams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             h = (rolling + np.uint32(n)) * np.uint32(0x9E3779B1)
             h ^= h >> np.uint32(15)
             h *= np.uint32(0x85EBCA77)
-            yield h >> np.uint32(32 - BUCKET_BITS), blanks[n - 1:-1] == blanks[1:len(points) - n + 2]
+            yield h >> np.uint32(32 - BUCKET_BITS), blanks[n - 1:-1] == blanks[1:max(0, len(points) - n + 2)]
 
 
 def n_grams(length: np.ndarray) -> np.ndarray:

@@ -44,6 +44,13 @@ def test_scores_are_the_highest_passage(texts):
     assert np.allclose(got, want, rtol=1e-4, atol=1e-6)
 
 
+@pytest.mark.parametrize("text", ["", "B", "aB", "a b", "aBa"])
+def test_texts_shorter_than_the_n_grams(text):
+    """The only text of a batch, with fewer code points than the longest n-gram."""
+    got = toxicity.Model(TABLE, -0.5).scores([text])
+    assert np.allclose(got, [1 / (1 + np.exp(0.5 - (margin(text, TABLE) or 0)))], rtol=1e-4, atol=1e-6)
+
+
 def planted(n, seed, bad):
     rng = random.Random(seed)
     texts, marks = [], []
