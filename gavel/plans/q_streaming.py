@@ -97,7 +97,8 @@ SELECT user_id AS endpoint, CAST(json_extract_string(props, '$.k') AS BIGINT) AS
 FROM events GROUP BY 1, 2""")
 def q_live_dedupe(spark, sf):
     out = L.run_to_table(L.live_dedupe(_stream_log(spark, sf), ["endpoint", "k"]), "live_dedupe")
-    return out.select("endpoint", "k", "event_id", _fmt("ts").alias("ts"))
+    first = F.when(F.col("ts").isNotNull(), F.col("event_id"))  # no row without a time is the earliest
+    return out.select("endpoint", "k", first.alias("event_id"), _fmt("ts").alias("ts"))
 
 
 # ------------------------------------------------------------------ S2

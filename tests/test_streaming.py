@@ -1,10 +1,14 @@
 """Live operators over a replayed run log, in several micro-batches, against their batch twins."""
 
+import glob
+import os
+import shutil
 import tempfile
 from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from gavel.plans import q_streaming
 from gavel.streaming import live as L
 
 from helpers import SF_MID
@@ -129,6 +133,21 @@ def test_dedupe_forgets_keys_and_keeps_integers(spark):
         (big + 2, 1, None), (7, None, big), (8, 2, 2), (11, 3, 3), (12, 4, 4), (14, 1, None)} and got.count() == 6
 
 
+def test_dedupe_takes_rows_without_time(spark):
+    rows = [(1, None, 1, "view", 0.0, '{"k": 1}'), (2, 20, 2, "view", 0.0, '{"k": 1}'), (3, None, 2, "view", 0.0, '{"k": 1}'), (4, 10, None, "view", 0.0, None)]
+    log = _batches(spark, RUN, [(event, ts, user, 1) for event, ts, user, *_ in rows])
+    got = L.run_to_table(L.live_dedupe(log, ["endpoint", "k"]), "t_untimed")
+    assert {tuple(r) for r in got.select("event_id", "endpoint").collect()} == {(1, 1), (2, 2), (4, None)} and got.count() == 3
+
+    d = tempfile.mkdtemp(prefix="gavel-untimed-")
+    df = spark.createDataFrame(rows, "event_id long, ts long, user_id long, event_type string, value double, props string")
+    df.withColumn("ts", F.timestamp_seconds("ts")).coalesce(1).write.parquet(f"{d}/out")
+    os.makedirs(f"{d}/table")
+    shutil.copy(glob.glob(f"{d}/out/*.parquet")[0], f"{d}/table/events.parquet")  # a stream reads a file of this name
+    got = q_streaming.q_live_dedupe(spark, f"{d}/table")
+    assert {tuple(r) for r in got.collect()} == {(1, 1, None, None), (2, 1, 2, "1970-01-01 00:00:20.000000"), (None, None, 4, "1970-01-01 00:00:10.000000")}
+
+
 def test_deadlines_of_one_bucket(spark):
     """Open, closed and forgotten submissions side by side."""
     log = _batches(spark, CASE, [("a", 0, None, 0), ("a", 0, True, 5), ("b", 1, True, 200), (None, 1, True, 10), ("a", 5, True, 0)],
