@@ -20,7 +20,7 @@ from datetime import timedelta
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import (DoubleType, IntegralType, LongType, StringType, StructField, StructType,
@@ -150,11 +150,12 @@ def live_dedupe(log: DataFrame, keys: list[str], keep: timedelta = timedelta(day
 
     # integers as text: with nulls among them pandas would make them floats
     text = StructType([StructField(f.name, StringType() if isinstance(f.dataType, IntegralType) else f.dataType) for f in schema])
+    order = F.coalesce("event_id", F.lit(_NO_TIME)) if isinstance(schema["event_id"].dataType, IntegralType) else F.col("event_id")
     rows = log.withWatermark("ts", watermark).select(
         *[F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, IntegralType) else f.name for f in schema],
         F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{n}") for n, k in enumerate(keys)])).alias("_key"),
         F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(_NO_TIME)).alias("_micros"),
-        F.coalesce("event_id", F.lit(_NO_TIME)).alias("_order"))
+        order.alias("_order"))
     out = _by_bucket(rows, "_key", buckets).applyInPandasWithState(
         first, text, "seen binary", "append", GroupStateTimeout.EventTimeTimeout)
     return out.select(*[F.col(f.name).cast(f.dataType) for f in schema])

@@ -133,6 +133,12 @@ def test_dedupe_forgets_keys_and_keeps_integers(spark):
         (big + 2, 1, None), (7, None, big), (8, 2, 2), (11, 3, 3), (12, 4, 4), (14, 1, None)} and got.count() == 6
 
 
+def test_dedupe_orders_ids_of_any_type(spark):
+    log = _batches(spark, RUN.replace("event_id long", "event_id string"), [("b", 5, 1, 1), ("a", 5, 1, 1), (None, 4, 2, 2), ("c", 9, 2, 2)])
+    got = L.run_to_table(L.live_dedupe(log, ["endpoint", "k"]), "t_ids")
+    assert {tuple(r) for r in got.select("event_id", "endpoint").collect()} == {("a", 1), (None, 2)}
+
+
 def test_dedupe_takes_rows_without_time(spark):
     rows = [(1, None, 1, "view", 0.0, '{"k": 1}'), (2, 20, 2, "view", 0.0, '{"k": 1}'), (3, None, 2, "view", 0.0, '{"k": 1}'), (4, 10, None, "view", 0.0, None)]
     log = _batches(spark, RUN, [(event, ts, user, 1) for event, ts, user, *_ in rows])
