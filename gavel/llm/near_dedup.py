@@ -21,7 +21,11 @@ Candidates that can't have a partner go first: a text with more than a share
 takes away most of what only shares a passage.
 
 No bucket is expanded into pairs.  It is settled with a pivot, its member with
-the most candidates, and the pivot's cover: its shingles and those of
+the most candidates; buckets with one pivot are one.  The members of a pivot with
+at most ``MANY`` of them and ``MANY_SHINGLES`` shingles (``FEW`` members, if they
+are long) are settled by one task at once: their common shingles are counted, and
+those in different classes that have enough are aligned.  A larger group is
+settled with the pivot's cover: its shingles and those of
 ``COMPANIONS`` more such members.  Every member is aligned with all of these; the members are dealt by (pivot, salt) and
 stream past the cover, which is sent once for each salt.  For any two members in
 different classes, either they share a shingle outside the cover, or all that
@@ -30,8 +34,7 @@ shingles that each has outside the cover, as many as may be missing from a
 partner; its holders make up a new, smaller bucket (the pivot is not in it).
 In the other case the smaller of their two counts of shingles in the cover
 bounds their similarity, and only pairs that reach the threshold by this bound
-are aligned.  Buckets whose members are in one class are done, and of a pivot
-with at most ``FEW`` members those in different classes are aligned at once.
+are aligned.  Buckets whose members are in one class are done.
 
 Defined cases: equal texts are one class whatever their length; a text of fewer
 than five words is one shingle; texts without words are copies of equal texts
@@ -60,6 +63,8 @@ COMPANIONS = 2
 SHORT = 9
 _SLACK = 1e-9  # for products with the threshold that are whole numbers but for rounding
 FEW = 32
+MANY = 1024
+MANY_SHINGLES = 1 << 20
 _BITMAP = 1 << 15  # bits of one of Spark's bitmaps
 SALT_ROWS = 500  # members that stream past one copy of a cover
 _SEED = np.random.default_rng(77)
@@ -163,6 +168,33 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
     return Aligner(a).similarity(b, least)
 
 
+def common_counts(texts: list[np.ndarray]) -> np.ndarray:
+    """How many values any two of some sequences without repeats have in common: values that a share of the sequences
+    hold by products of matrices, rarer ones by their pairs of holders.  Only counts off the diagonal are meant."""
+    n = len(texts)
+    column = np.unique(np.concatenate(texts), return_inverse=True)[1]
+    row = np.repeat(np.arange(n), [len(t) for t in texts])
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    holders = np.bincount(column)
+    first = np.cumsum(holders) - holders
+    found = np.zeros((n, n))
+    often = holders * FEW > n
+    number = np.cumsum(often & (holders > 1)) - 1
+    at = np.flatnonzero((often & (holders > 1))[column])
+    edges = np.searchsorted(number[column[at]], np.arange(0, number[-1] + 1 + MANY, MANY) if len(at) else [0])
+    for k, (x, y) in enumerate(zip(edges[:-1], edges[1:])):
+        block = np.zeros((n, MANY), np.float32)
+        block[row[at[x:y]], number[column[at[x:y]]] - k * MANY] = 1
+        found += block @ block.T
+    at = np.flatnonzero((~often & (holders > 1))[column])
+    for part in np.split(at, range(1 << 15, len(at), 1 << 15)):
+        many = holders[column[part]]
+        other = np.arange(many.sum()) + np.repeat(first[column[part]] - np.cumsum(many) + many, many)
+        found += np.bincount(np.repeat(row[part], many) * n + row[other], minlength=n * n).reshape(n, n)
+    return found
+
+
 # ------------------------------------------------------------------- Spark
 
 def _node(text="text"):
@@ -236,7 +268,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         scratch.clear(name)
 
     sizes = buckets.groupBy("bid").agg(F.count("*").alias("n"))
-    weights = scratch.keep(buckets.join(sizes, "bid").groupBy("node").agg(F.sum("n").alias("weight")), "weights")
+    weights = buckets.join(sizes, "bid").groupBy("node").agg(F.sum("n").alias("weight"))
+    weights = scratch.keep(weights.join(seqs.select("node", (F.octet_length("seq") / 8).cast("long").alias("size")), "node"), "weights")
     comps, step = nodes.select("node", F.col("node").alias("comp")), 0
     while True:
         mixed = (buckets.join(comps, "node").groupBy("bid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
@@ -244,19 +277,27 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         member = scratch.keep(buckets.join(mixed, "bid", "left_semi"), f"{step}/members")
         if member.isEmpty():
             return comps
-        against = scratch.keep(_against_cover(member, weights, seqs, threshold, scratch, step), f"{step}/against")
-        comps = merged(comps, against.select(F.explode("links").alias("a"), F.col("node").alias("b")), scratch, f"linked{step}")
-
-        held = scratch.keep(against.select("pivot", "node", "covered", "size", "rest").join(comps, "node"), f"{step}/held")
-        open_pivots = held.groupBy("pivot").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).where("low != high")
-        open_pivots = scratch.keep(open_pivots.select("pivot", (F.col("n") <= FEW).alias("few")), f"{step}/open")
-        few = held.join(open_pivots.where("few"), "pivot", "left_semi").select("pivot", "node", "comp")
-        held = held.join(open_pivots.where("NOT few"), "pivot", "left_semi")
-        close = aligned(_close_in_cover(held, threshold), seqs, threshold).where(F.col("sim") >= threshold).select("pivot", "node")
-        close = scratch.keep(close.toDF("a", "b").unionByName(_among_few(few, seqs, threshold)), f"{step}/near")
-        comps = merged(comps, close, scratch, f"close{step}")
-        buckets = scratch.keep(_sharing_outside(held, threshold, scratch, step), f"buckets{step}")
+        pairs = scratch.keep(_pivoted(member, weights), f"{step}/pairs")
+        few = (F.col("n") <= FEW) | (F.col("n") <= MANY) & (F.col("size") <= MANY_SHINGLES)
+        pivots = pairs.join(weights, "node").groupBy("pivot").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+        pivots = scratch.keep(pivots.select("pivot", "n", few.alias("few")), f"{step}/pivots")
+        small, large = pivots.where("few"), pivots.where("NOT few")
+        links, done = _among_few(pairs.join(small, "pivot", "left_semi").join(comps, "node"), seqs, threshold), large.isEmpty()
+        if not done:
+            against = scratch.keep(_against_cover(pairs.join(large, "pivot", "left_semi"), large, weights, seqs, threshold, scratch, step),
+                                   f"{step}/against")
+            links = links.union(against.select(F.explode("links").alias("a"), F.col("node").alias("b")))
+        comps = merged(comps, links, scratch, f"linked{step}")
+        if not done:
+            held = scratch.keep(against.select("pivot", "node", "covered", "size", "rest").join(comps, "node"), f"{step}/held")
+            open_pivots = held.groupBy("pivot").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+            held = held.join(scratch.keep(open_pivots.select("pivot"), f"{step}/open"), "pivot", "left_semi")
+            close = aligned(_close_in_cover(held, threshold), seqs, threshold).where(F.col("sim") >= threshold)
+            comps = merged(comps, close.select(F.col("pivot").alias("a"), F.col("node").alias("b")), scratch, f"close{step}")
+            buckets = scratch.keep(_sharing_outside(held, threshold, scratch, step), f"buckets{step}")
         scratch.clear(str(step))  # all that later rounds read is written elsewhere
+        if done:
+            return comps
         step += 1
 
 
@@ -277,18 +318,22 @@ def _without_partner(seqs: DataFrame, threshold: float) -> DataFrame:
     return seqs.join(own, F.xxhash64("node") == F.col("who")).where(n - F.col("own") < threshold * n - _SLACK).select("node")
 
 
-def _against_cover(member: DataFrame, weights: DataFrame, seqs: DataFrame, threshold: float, scratch: Scratch, step: int) -> DataFrame:
-    """Each member of a bucket against its pivot's cover: pivot, node, the texts of the cover that it is linked to,
-    how many of its shingles the cover has (covered), how many it has itself (size), and the others (rest)."""
+def _pivoted(member: DataFrame, weights: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's pivot."""
     weighed = member.join(weights, "node")
     heaviest = weighed.groupBy("bid").agg(F.max(F.struct("weight", F.xxhash64("node"), "node")).alias("top"))
-    pairs = scratch.keep(member.join(heaviest.select("bid", F.col("top.node").alias("pivot")), "bid").select("pivot", "node").distinct(),
-                         f"{step}/pairs")
+    return member.join(heaviest.select("bid", F.col("top.node").alias("pivot")), "bid").select("pivot", "node").distinct()
+
+
+def _against_cover(pairs: DataFrame, pivots: DataFrame, weights: DataFrame, seqs: DataFrame, threshold: float, scratch: Scratch,
+                   step: int) -> DataFrame:
+    """Each member of a bucket against its pivot's cover: pivot, node, the texts of the cover that it is linked to,
+    how many of its shingles the cover has (covered), how many it has itself (size), and the others (rest)."""
+    pairs = scratch.keep(pairs, f"{step}/large")
     order = Window.partitionBy("pivot").orderBy(F.desc("weight"), F.xxhash64("node"), "node")
     others = (pairs.where("pivot != node").join(weights, "node").withColumn("rank", F.row_number().over(order))
               .where(F.col("rank") <= COMPANIONS).select("pivot", "node"))
-    salts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
-    salts = scratch.keep(salts, f"{step}/salts")
+    salts = pivots.select("pivot", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("salts"))
     covers = (salts.select("pivot", F.col("pivot").alias("node")).union(others).join(salts, "pivot").join(seqs, "node")
               .select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("member"), "node", "seq"))
     members = pairs.join(salts, "pivot").join(seqs, "node").select(
@@ -322,17 +367,23 @@ def _against_cover(member: DataFrame, weights: DataFrame, seqs: DataFrame, thres
 
 
 def _among_few(few: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between the members of a pivot that are in different classes; every pivot has at most ``FEW`` members."""
+    """Links (a, b) between the members of a pivot that are in different classes; every pivot has at most ``MANY`` members."""
     def links(group: list[tuple]) -> list[tuple]:
-        comps = [comp for _, comp, _ in group]
         texts = [np.frombuffer(seq, "<u8") for _, _, seq in group]
+        size, first = np.array([len(x) for x in texts]), {}
+        comps = np.array([first.setdefault(comp, k) for k, (_, comp, _) in enumerate(group)])
+        able = np.ones((len(group), len(group)), bool)
+        if size.sum() <= MANY_SHINGLES and len(first) > 1:
+            able = common_counts(texts) * (1 + threshold) >= threshold * (size[:, None] + size) - _SLACK
         out = []
         for i, (node, _, _) in enumerate(group):
-            own = Aligner(texts[i])
-            for j in range(i):
-                if comps[i] != comps[j] and own.similarity(texts[j], threshold):
-                    out.append((node, group[j][0]))
-                    comps = [comps[j] if c == comps[i] else c for c in comps]
+            others, own = np.flatnonzero(able[i, :i] & (comps[:i] != comps[i])), None
+            for j in others:
+                if comps[i] != comps[j]:
+                    own = own or Aligner(texts[i])
+                    if own.similarity(texts[j], threshold):
+                        out.append((node, group[j][0]))
+                        comps[comps == comps[i]] = comps[j]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -93,6 +93,41 @@ def test_near_dedup_passages_in_many_documents(frame, same):
     same(near_dedup.query(frame(rows)), ["doc_id", "class_id", "class_size"], brute.classes(rows))
 
 
+def _families(members):
+    """Near copies of one text in families that are linked within but not to each other, in few buckets."""
+    rows, base = [], brute.prose(70, 120)
+    for f in range(6):
+        rows += [(100 * f + k, brute.edited(brute.edited(base, 500 + f, 5), 10 * f + k, 1)) for k in range(members)]
+    return rows
+
+
+def test_near_dedup_settles_a_pivot_at_once(frame, same, monkeypatch):
+    """Groups of more than FEW members need no round of new buckets, so no row for each of their shingles."""
+    def none(*args):
+        raise AssertionError("a new round of buckets")
+    monkeypatch.setattr(near_dedup, "_sharing_outside", none)
+    rows = _families(8)
+    assert len(rows) > near_dedup.FEW
+    same(near_dedup.query(frame(rows, clash=False)), ["doc_id", "class_id", "class_size"], brute.classes(rows))
+
+
+@pytest.mark.parametrize("few,many,shingles", [(3, 3, 1 << 20), (3, 1024, 2000)])
+def test_near_dedup_large_groups(frame, same, monkeypatch, few, many, shingles):
+    """Groups over the limits of members and of shingles are settled by covers and new buckets, with the same classes."""
+    for name, value in (("FEW", few), ("MANY", many), ("MANY_SHINGLES", shingles)):
+        monkeypatch.setattr(near_dedup, name, value)
+    rows = _families(5)
+    same(near_dedup.query(frame(rows, clash=False)), ["doc_id", "class_id", "class_size"], brute.classes(rows))
+
+
+@pytest.mark.parametrize("n,size,values", [(1, 5, 9), (5, 0, 3), (33, 40, 60), (100, 30, 3000), (80, 300, 1500)])
+def test_common_counts(n, size, values):
+    rng = np.random.default_rng(n)
+    texts = [np.unique(rng.integers(0, values, size if k % 7 else size // 2)).astype(np.uint64) for k in range(n)]
+    got = near_dedup.common_counts(texts)
+    assert all(got[i, j] == len(np.intersect1d(texts[i], texts[j])) for i in range(n) for j in range(n) if i != j)
+
+
 def test_near_dedup_stage(frame):
     out = near_dedup.stage(frame(ROWS))
     assert out.columns == frame(ROWS).columns
