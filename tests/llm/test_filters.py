@@ -6,9 +6,11 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from gavel.llm import decontamination, line_dedup, near_dedup, quality_rules, suffix_dedup
 from gavel.llm.common import utf8
+from gavel.sources.scratch import noted
 
 ROWS = brute.awkward()
 ITEMS = [(1, " ".join(brute.words(ROWS[0][1])[40:60])), (1, " ".join(brute.words(ROWS[0][1])[100:114])), (2, "One line"), (3, None), (4, ""),
@@ -189,6 +191,27 @@ def test_suffix_dedup_of_texts_over_a_slice(frame, same, monkeypatch):
     same(suffix_dedup.query(frame(rows)), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], brute.suffixes(rows))
 
 
+def test_suffix_dedup_hot_anchor(frame, same, spark):
+    """The ranges of one anchor, and of one context, are dealt to several tasks."""
+    rows = [(1, "ab" * 3000 + brute.prose(75, 80)), (2, brute.prose(76, 80) + "ab" * 3000), (3, brute.prose(77, 400)), (4, brute.prose(77, 400))]
+    tasks = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in tasks}
+    try:
+        for k, v in tasks.items():
+            spark.conf.set(k, v)
+        with noted() as made:
+            same(suffix_dedup.query(frame(rows)), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], brute.suffixes(rows))
+        shared = spark.read.parquet(f"{made[0].root}/shared")
+        contexts = spark.read.parquet(f"{made[0].root}/contexts").select("sx_context", F.col("sx_copies").alias("n"))
+        copies = suffix_dedup.spread_join(shared, contexts, "sx_context", "sx_doc", "sx_at").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = [r["count"] for r in shared.groupBy(F.input_file_name()).count().collect()]
+    assert max(files) < 0.5 * sum(files) and sum(files) > 5000
+    assert max(r["count"] for r in copies) < 0.5 * sum(r["count"] for r in copies)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(0, 2)), max_size=30))
 def test_multikey_order(rows):
